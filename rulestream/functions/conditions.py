@@ -2,8 +2,8 @@
 
 A condition tree arrives as JSON (``@class`` discriminated).  Spark types
 cannot recurse, so the tree is flattened into a postfix program
-(``schemas.COND_PROGRAM``) by a Column expression unrolled to a fixed
-nesting depth.  The program can then be
+(``schemas.COND_PROGRAM``) one tree level at a time (``flatten_trees``), so
+any nesting depth works with small expressions.  The program can then be
 
 * evaluated row by row with higher-order functions (rules as data: the
   rule side of a broadcast join, or rules that change while a stream runs),
@@ -20,13 +20,11 @@ from __future__ import annotations
 
 from typing import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.schemas import COMPARISON_TYPES
 
-MAX_DEPTH = 8
-
 
 def _cls(m: Column) -> Column:
     # '@class' is matched on its last dotted segment only.
@@ -43,16 +41,23 @@ def _op(op, key=None, val=None, num=None, n=None) -> Column:
                     lit(n, "int").alias("n"))
 
 
+def _rop(op, idx=None, neg=None, n=None) -> Column:
+    def lit(x, t):
+        if x is None:
+            return F.lit(None).cast(t)
+        return x if isinstance(x, Column) else F.lit(x).cast(t)
+    return F.struct(lit(op, "string").alias("op"), lit(idx, "array<int>").alias("idx"),
+                    lit(neg, "array<boolean>").alias("neg"), lit(n, "int").alias("n"))
+
+
 def _regex_ok(rx: Column) -> Column:
     # java.util.regex.Pattern.matches(rx, "") raises on a bad pattern.
     return F.call_function("try_reflect", F.lit("java.util.regex.Pattern"), F.lit("matches"),
                            rx, F.lit("")).isNotNull()
 
 
-def condition_program(js: Column, depth: int = MAX_DEPTH) -> Column:
-    """JSON text of a block condition -> postfix program (ARRAY<COND_OP>)."""
-    m = F.from_json(js, "map<string,string>")
-    cls = _cls(m)
+def _cond_node(m: Column, cls: Column, nkids: Column) -> Column:
+    """One block-condition node -> program instruction."""
     key = m["key"]
     cmp_case = F.upper(m["type"])
     cmp_op = F.when(m["type"].isNull(), F.lit("err"))
@@ -61,64 +66,76 @@ def condition_program(js: Column, depth: int = MAX_DEPTH) -> Column:
     cmp_op = cmp_op.otherwise(F.lit("bad"))
     regex = m["regex"]
     regex_op = F.when(regex.isNull(), F.lit("err")).when(_regex_ok(regex), F.lit("regex")).otherwise(F.lit("err"))
-    eq_leaf = F.array(_op("eq", key=key, val=m["value"]))
-    regex_leaf = F.array(_op(regex_op, key=key, val=regex))
     num = F.coalesce(m["thresholdValue"].try_cast("double"), F.lit(0.0))
-    cmp_leaf = F.array(_op(cmp_op, key=key, num=num))
     ctype = F.upper(m["type"])
     comp_kind = (F.when(m["type"].isNull() | (ctype == "AND"), F.lit("and"))
                  .when(ctype == "OR", F.lit("or")).otherwise(F.lit("bad")))
-    if depth > 0:
-        children = F.coalesce(F.from_json(m["conditions"], "array<string>"),
-                              F.array().cast("array<string>"))
-        comp = F.concat(
-            F.flatten(F.transform(children, lambda c: condition_program(c, depth - 1))),
-            F.array(_op(comp_kind, n=F.size(children))))
-    else:
-        comp = F.array(_op("bad", val=F.lit("nesting too deep")))
-    return (F.when(cls == "EqualCondition", eq_leaf)
-            .when(cls == "RegexCondition", regex_leaf)
-            .when(cls == "ComparisonCondition", cmp_leaf)
-            .when(cls == "CompositeCondition", comp)
-            .otherwise(F.array(_op("bad", val=F.concat(F.lit("unknown condition "), F.coalesce(cls, F.lit("")))))))
+    return (F.when(cls == "EqualCondition", _op("eq", key=key, val=m["value"]))
+            .when(cls == "RegexCondition", _op(regex_op, key=key, val=regex))
+            .when(cls == "ComparisonCondition", _op(cmp_op, key=key, num=num))
+            .when(cls == "CompositeCondition", _op(comp_kind, n=nkids))
+            .otherwise(_op("bad", val=F.concat(F.lit("unknown condition "), F.coalesce(cls, F.lit(""))))))
 
 
-def _rop(op, idx=None, neg=None, n=None) -> Column:
-    def lit(x, t):
-        if x is None:
-            return F.lit(None).cast(t)
-        return x if isinstance(x, Column) else F.lit(x).cast(t)
-    return F.struct(lit(op, "string").alias("op"), lit(idx, "array<int>").alias("idx"),
-                    lit(neg, "array<boolean>").alias("neg"), lit(n, "int").alias("n"))
-
-
-def rule_condition_program(js: Column, depth: int = MAX_DEPTH) -> Column:
-    """JSON text of a rule condition -> postfix program (ARRAY<RULE_OP>)."""
-    m = F.from_json(js, "map<string,string>")
-    cls = _cls(m)
+def _rule_node(m: Column, cls: Column, nkids: Column) -> Column:
+    """One rule-condition node -> program instruction."""
     idx = F.from_json(m["blockIndices"], "array<int>")
     entries = F.from_json(m["conditions"], "array<struct<blockIndex:int,notPresent:boolean>>")
-    seq_leaf = F.array(_rop(
-        "seq",
-        idx=F.transform(entries, lambda e: e["blockIndex"]),
-        neg=F.transform(entries, lambda e: F.coalesce(e["notPresent"], F.lit(False)))))
     ctype = F.upper(m["type"])
     comp_kind = (F.when(m["type"].isNull() | (ctype == "AND"), F.lit("and"))
                  .when(ctype == "OR", F.lit("or")).otherwise(F.lit("bad")))
-    if depth > 0:
-        children = F.coalesce(F.from_json(m["conditions"], "array<string>"),
-                              F.array().cast("array<string>"))
-        comp = F.concat(
-            F.flatten(F.transform(children, lambda c: rule_condition_program(c, depth - 1))),
-            F.array(_rop(comp_kind, n=F.size(children))))
-    else:
-        comp = F.array(_rop("bad"))
-    return (F.when(js.isNull(), F.lit(None).cast("array<struct<op:string,idx:array<int>,neg:array<boolean>,n:int>>"))
-            .when(cls == "AllBlocksOccurredRuleCondition", F.array(_rop("all", idx=idx)))
-            .when(cls == "AnyBlocksOccurredRuleCondition", F.array(_rop("any", idx=idx)))
-            .when(cls == "SequenceRuleCondition", seq_leaf)
-            .when(cls == "CompositeRuleCondition", comp)
-            .otherwise(F.array(_rop("bad"))))
+    return (F.when(cls == "AllBlocksOccurredRuleCondition", _rop("all", idx=idx))
+            .when(cls == "AnyBlocksOccurredRuleCondition", _rop("any", idx=idx))
+            .when(cls == "SequenceRuleCondition", _rop(
+                "seq", idx=F.transform(entries, lambda e: e["blockIndex"]),
+                neg=F.transform(entries, lambda e: F.coalesce(e["notPresent"], F.lit(False)))))
+            .when(cls == "CompositeRuleCondition", _rop(comp_kind, n=nkids))
+            .otherwise(_rop("bad")))
+
+
+_COMPOSITES = {"cond": "CompositeCondition", "rule": "CompositeRuleCondition"}
+
+
+def flatten_trees(df: DataFrame, id_cols: list[str], js_col: str, kind: str,
+                  out_col: str, max_depth: int = 64) -> DataFrame:
+    """JSON condition trees -> postfix programs, one tree level per step.
+
+    Each step parses the current level's nodes and explodes the children of
+    composite nodes with their path; the loop ends when a level has no
+    composite nodes (a small action on the rules frame, which is
+    configuration-sized).  Nodes are then ordered post-order by a path key
+    (children before parents, siblings in order) and collected per tree.
+    Rows whose tree is NULL get a NULL program.
+    """
+    node_fn = _cond_node if kind == "cond" else _rule_node
+    comp = _COMPOSITES[kind]
+    frontier = df.select(*id_cols, F.array().cast("array<int>").alias("path"), F.col(js_col).alias("js")) \
+                 .where(F.col("js").isNotNull())
+    levels = []
+    for _ in range(max_depth):
+        m = F.from_json("js", "map<string,string>")
+        lvl = frontier.select(*id_cols, "path", m.alias("m")).select(
+            *id_cols, "path", "m", _cls(F.col("m")).alias("cls"))
+        kids = F.coalesce(F.from_json(F.col("m")["conditions"], "array<string>"), F.array().cast("array<string>"))
+        lvl = lvl.select(*id_cols, "path", "m", "cls",
+                         F.when(F.col("cls") == comp, kids).alias("kids"))
+        levels.append(lvl.select(*id_cols, "path", node_fn(F.col("m"), F.col("cls"), F.size("kids")).alias("ins")))
+        frontier = lvl.where(F.col("kids").isNotNull()).select(
+            *id_cols, F.posexplode("kids").alias("i", "js"), "path"
+        ).select(*id_cols, F.concat("path", F.array("i")).alias("path"), "js")
+        if frontier.isEmpty():
+            break
+    nodes = levels[0]
+    for lv in levels[1:]:
+        nodes = nodes.unionByName(lv)
+    # '000001.000000.~' sorts before '000001.~' (child before parent) and
+    # before '000002.~' (siblings in order); the root's key is '~'.
+    key = F.concat(F.array_join(F.transform("path", lambda i: F.concat(F.lpad(i.cast("string"), 6, "0"),
+                                                                         F.lit("."))), ""), F.lit("~"))
+    progs = nodes.groupBy(*id_cols).agg(
+        F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col("ins").alias("ins")))).alias("p")
+    ).select(*id_cols, F.transform("p", lambda x: x["ins"]).alias(out_col))
+    return df.join(progs, id_cols, "left")
 
 
 # ---------------------------------------------------------------------------
@@ -154,8 +171,8 @@ def eval_condition(prog: Column, field: Callable[[Column], Column]) -> Column:
                 .when(i["op"] == "le", F.when(empty, F.lit(False)).otherwise(fv <= i["num"]))
                 .otherwise(F.lit(None).cast("boolean")))
         n = F.coalesce(i["n"], F.lit(0))
-        tail = F.slice(st, F.size(st) - n + 1, n)
-        head = F.slice(st, F.lit(1), F.size(st) - n)
+        tail = F.slice(st, F.greatest(F.size(st) - n + 1, F.lit(1)), n)
+        head = F.slice(st, F.lit(1), F.greatest(F.size(st) - n, F.lit(0)))
         folded = F.when(i["op"] == "or", _fold_or(tail)).otherwise(_fold_and(tail))
         return F.when(i["op"].isin("and", "or"), F.concat(head, F.array(folded))) \
             .otherwise(F.concat(st, F.array(leaf)))
@@ -175,8 +192,8 @@ def eval_rule_condition(prog: Column, seen: Column, seq_ok: Column) -> Column:
                 .when(x["op"] == "seq", F.coalesce(F.try_element_at(seq_ok, e["i"]), F.lit(False)))
                 .otherwise(F.lit(False)))
         n = F.coalesce(x["n"], F.lit(0))
-        tail = F.slice(st, F.size(st) - n + 1, n)
-        head = F.slice(st, F.lit(1), F.size(st) - n)
+        tail = F.slice(st, F.greatest(F.size(st) - n + 1, F.lit(1)), n)
+        head = F.slice(st, F.lit(1), F.greatest(F.size(st) - n, F.lit(0)))
         folded = F.when(x["op"] == "or", F.exists(tail, lambda b: b)).otherwise(F.forall(tail, lambda b: b))
         return F.when(x["op"].isin("and", "or"), F.concat(head, F.array(folded))) \
             .otherwise(F.concat(st, F.array(F.coalesce(leaf, F.lit(False)))))

@@ -18,7 +18,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulestream.functions.conditions import condition_program, rule_condition_program
+from rulestream.functions.conditions import flatten_trees
 from rulestream.schemas import (PARAM_ANOMALY_THRESHOLD, PARAM_THRESHOLD, PARAM_UNIQUE_FIELD,
                                 RULE_JSON, RULE_TYPE_COMPLEX, RULE_TYPE_SIMPLE)
 
@@ -32,12 +32,12 @@ def decode_rule(content: Column) -> Column:
     return F.from_json(content, RULE_JSON)
 
 
-def _block(b: Column, i: Column) -> Column:
+def _block(b: Column, i: Column, cond: Column) -> Column:
     params = b["parameters"]
     return F.struct(
         i.cast("int").alias("block_index"),
         F.upper(b["type"]).alias("block_type"),
-        condition_program(b["condition"]).alias("cond"),
+        cond.alias("cond"),
         F.coalesce(b["windowSize"].try_cast("bigint"), F.lit(0).cast("bigint")).alias("window_size"),
         F.coalesce(b["windowSlide"].try_cast("bigint"), F.lit(0).cast("bigint")).alias("window_slide"),
         b["aggregationGroupingFields"].alias("agg_fields"),
@@ -50,15 +50,30 @@ def _block(b: Column, i: Column) -> Column:
 
 def parse_rules(df: DataFrame, id_col: str = "rule_id", version_col: str = "rule_version",
                 content_col: str = "content") -> DataFrame:
-    """Decode rule content.  ``df`` has one row per rule version to load."""
-    r = decode_rule(F.col(content_col))
+    """Decode rule content.  ``df`` has one row per rule version to load.
+
+    Condition trees are flattened once per distinct rule text; the programs
+    are joined back by that text.
+    """
+    contents = df.select(F.col(content_col).alias("content")).where(F.col("content").isNotNull()).distinct()
+    dec = contents.select("content", decode_rule(F.col("content")).alias("_r"))
+    blk = dec.select("content", F.posexplode("_r.blocks").alias("block_index", "b"))
+    cond = flatten_trees(blk.select("content", "block_index", F.col("b.condition").alias("js")),
+                         ["content", "block_index"], "js", "cond", "cond").drop("js")
+    blk = blk.join(cond, ["content", "block_index"], "left")
+    by_index = lambda l, r: F.when(l["block_index"] < r["block_index"], -1) \
+        .when(l["block_index"] > r["block_index"], 1).otherwise(0)
+    blocks = blk.groupBy("content").agg(F.array_sort(F.collect_list(
+        _block(F.col("b"), F.col("block_index"), F.col("cond"))), by_index).alias("blocks"))
+    rprog = flatten_trees(dec.select("content", F.col("_r.ruleCondition").alias("js")),
+                          ["content"], "js", "rule", "rule_program").drop("js")
+    parsed = dec.join(rprog, "content", "left").join(blocks, "content", "left")
     out = df.select(
         F.col(id_col).cast("string").alias("rule_id"),
         F.col(version_col).cast("int").alias("rule_version"),
-        F.col(content_col).alias("content"),
-        r.alias("_r"))
+        F.col(content_col).alias("content"))
+    out = out.join(parsed, "content", "left")
     rr = F.col("_r")
-    blocks = F.transform(rr["blocks"], lambda b, i: _block(b, i))
     return out.select(
         "rule_id", "rule_version",
         F.coalesce(_int(rr["baseSeverity"]), F.lit(0)).alias("base_severity"),
@@ -67,8 +82,8 @@ def parse_rules(df: DataFrame, id_col: str = "rule_id", version_col: str = "rule
         F.coalesce(rr["windowSlide"].try_cast("bigint"), F.lit(0).cast("bigint")).alias("rule_window_slide"),
         F.coalesce(F.size(rr["blocks"]), F.lit(0)).alias("n_blocks"),
         F.when(F.size(rr["blocks"]) > 1, F.lit(RULE_TYPE_COMPLEX)).otherwise(F.lit(RULE_TYPE_SIMPLE)).alias("rule_type"),
-        rule_condition_program(rr["ruleCondition"]).alias("rule_program"),
-        blocks.alias("blocks"),
+        "rule_program",
+        F.coalesce("blocks", F.array().cast(blocks.schema["blocks"].dataType)).alias("blocks"),
         "content")
 
 

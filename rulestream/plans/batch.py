@@ -20,11 +20,54 @@ from pyspark.sql import functions as F
 from rulestream.operators import blocks as B
 from rulestream.operators.alerts import simple_alerts
 from rulestream.operators.combine import combine
-from rulestream.operators.match import MAX_BROADCAST_BLOCKS, collect_rule_blocks, match_compiled, match_joined
+from rulestream.operators.match import MAX_BROADCAST_BLOCKS, MAX_COMPILED_BLOCKS, match_compiled, match_joined
+
+
+class RuleSet:
+    """A parsed rule set, ready to plan with.
+
+    Rules are configuration: the frame is brought to the driver once (its
+    size checked first) and planning facts - largest THRESHOLD, longest
+    sequence, block types in use - are read from it.  Rule sets above the
+    compile limit stay distributed and are matched with a broadcast join.
+    """
+
+    def __init__(self, rules: DataFrame, limit: int = MAX_COMPILED_BLOCKS):
+        rows = rules.limit(limit + 1).collect()
+        n_blocks = sum(len(r["blocks"] or []) for r in rows)
+        self.compiled = len(rows) <= limit and n_blocks <= limit
+        if self.compiled:
+            spark = rules.sparkSession
+            self.frame = spark.createDataFrame(rows, rules.schema) if rows else rules
+            self.blocks = []
+            for r in rows:
+                d = r.asDict(recursive=True)
+                for b in d.pop("blocks") or []:
+                    self.blocks.append({**d, **b})
+            self.facts = _facts_from_rows([r.asDict(recursive=True) for r in rows])
+        else:
+            self.frame = rules
+            self.blocks = None
+            self.facts = rule_set_facts(rules)
+
+
+def _facts_from_rows(rows: list[dict]) -> dict:
+    types, thr, seq = [], 0, 0
+    for r in rows:
+        for b in r.get("blocks") or []:
+            if b.get("block_type") and b["block_type"] not in types:
+                types.append(b["block_type"])
+            thr = max(thr, b.get("threshold") or 0)
+        for x in r.get("rule_program") or []:
+            if x.get("op") == "seq":
+                seq = max(seq, len(x.get("idx") or []))
+    return {"n_rules": len(rows), "n_blocks": sum(len(r.get("blocks") or []) for r in rows),
+            "max_threshold": thr, "max_seq": seq, "types": types,
+            "any_complex": any(r.get("rule_type") == "COMPLEX" for r in rows)}
 
 
 def rule_set_facts(rules: DataFrame) -> dict:
-    """Small aggregate over the rules frame (one row)."""
+    """Planning facts of a large rule set, as one small aggregate."""
     r = rules.select(
         F.count(F.lit(1)).alias("n_rules"),
         F.sum("n_blocks").alias("n_blocks"),
@@ -49,15 +92,14 @@ def block_results(matched: DataFrame, types: list[str], max_threshold: int) -> D
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def run_blocks(events: DataFrame, rules: DataFrame, mode: str = "auto", facts: dict | None = None,
-               cache_matched: bool = True) -> DataFrame:
-    """Events + rules -> block results."""
-    facts = facts or rule_set_facts(rules)
-    if facts["n_blocks"] > MAX_BROADCAST_BLOCKS * 64:
-        raise ValueError("rule set too large for a broadcast rule side")
-    blocks_list = collect_rule_blocks(rules) if mode in ("auto", "compiled") else None
-    matched = match_compiled(events, blocks_list) if blocks_list is not None \
-        else match_joined(events, rules, facts["n_blocks"])
+def run_blocks(events: DataFrame, rules, mode: str = "auto", cache_matched: bool = True) -> DataFrame:
+    """Events + rules (frame or RuleSet) -> block results."""
+    rs = rules if isinstance(rules, RuleSet) else RuleSet(rules)
+    facts = rs.facts
+    if rs.compiled and mode in ("auto", "compiled"):
+        matched = match_compiled(events, rs.blocks)
+    else:
+        matched = match_joined(events, rs.frame, facts["n_blocks"])
     types = facts["types"]
     consumers = sum({"THRESHOLD": 2, "UNIQUE_THRESHOLD": 3}.get(t, 1) for t in types)
     if cache_matched and consumers > 1:
@@ -66,11 +108,11 @@ def run_blocks(events: DataFrame, rules: DataFrame, mode: str = "auto", facts: d
     return block_results(matched, types, facts["max_threshold"])
 
 
-def run_rules(events: DataFrame, rules: DataFrame, mode: str = "auto",
-              materialize: bool = True) -> DataFrame:
-    """Events + rules -> alert rows (see ``operators.alerts``)."""
-    facts = rule_set_facts(rules)
-    blocks = run_blocks(events, rules, mode, facts)
+def run_rules(events: DataFrame, rules, mode: str = "auto", materialize: bool = True) -> DataFrame:
+    """Events + rules (frame or RuleSet) -> alert rows (see ``operators.alerts``)."""
+    rs = rules if isinstance(rules, RuleSet) else RuleSet(rules)
+    facts = rs.facts
+    blocks = run_blocks(events, rs, mode)
     if not facts["any_complex"]:
         return simple_alerts(blocks)
     if materialize:
@@ -80,4 +122,4 @@ def run_rules(events: DataFrame, rules: DataFrame, mode: str = "auto",
         blocks = blocks.checkpoint(eager=True)
     if facts["n_rules"] > MAX_BROADCAST_BLOCKS:
         raise ValueError("too many rules for a broadcast rule-condition side")
-    return simple_alerts(blocks).unionByName(combine(blocks, rules, facts["max_seq"]))
+    return simple_alerts(blocks).unionByName(combine(blocks, rs.frame, facts["max_seq"]))

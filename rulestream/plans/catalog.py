@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from rulestream.functions.windows import sec_to_ms, sliding_starts
 from rulestream.operators import blocks as B
 from rulestream.operators.alerts import flat_alerts
-from rulestream.operators.match import collect_rule_blocks, match_compiled, match_joined
+from rulestream.operators.match import match_compiled, match_joined
 from rulestream.operators.rules import rules_from_json
-from rulestream.plans.batch import block_results, rule_set_facts, run_rules
+from rulestream.plans.batch import RuleSet, run_blocks, run_rules
 from rulestream.sources.events import read_events_table
 
 PKG = "rulestream.conditions."
@@ -143,10 +143,7 @@ def _flat_blocks(b: DataFrame) -> DataFrame:
 
 def _blocks_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rules = _spark_rules(spark, name)
-        facts = rule_set_facts(rules)
-        matched = match_compiled(read_events_table(spark, sf_dir), collect_rule_blocks(rules))
-        return _flat_blocks(block_results(matched, facts["types"], facts["max_threshold"]))
+        return _flat_blocks(run_blocks(read_events_table(spark, sf_dir), RuleSet(_spark_rules(spark, name))))
     return q
 
 
@@ -175,8 +172,8 @@ def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling counts per (customer, type, hour)."""
-    rules = _spark_rules(spark, "anomaly_1h")
-    matched = match_compiled(read_events_table(spark, sf_dir), collect_rule_blocks(rules))
+    rs = RuleSet(_spark_rules(spark, "anomaly_1h"))
+    matched = match_compiled(read_events_table(spark, sf_dir), rs.blocks)
     c = B.window_counts(matched, "SIMPLE_ANOMALY")
     return c.select("customer", "group_by", F.col("p").alias("window_start_ms"),
                     F.col("n").alias("event_count"))
