@@ -144,9 +144,13 @@ def match_compiled(events: DataFrame, blocks: list[dict]) -> DataFrame:
     if not entries:
         return events.sparkSession.createDataFrame([], _matched_schema(events))
     any_match = reduce(lambda a, c: a | c, conds)
+    # The matches array is built in a projection (not inside the generator)
+    # so Catalyst folds fields[...] lookups into the source columns and the
+    # scan reads only the columns the rules touch.
     m = (events.where(any_match)
          .select("customer", "event_ms", "arrival_seq", "content",
-                 F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("m")))
+                 F.filter(F.array(*entries), lambda x: x.isNotNull()).alias("ms"))
+         .select("customer", "event_ms", "arrival_seq", "content", F.explode("ms").alias("m")))
     return m.select("m.*", "customer", "event_ms", "arrival_seq", "content").select(*MATCHED_COLUMNS)
 
 

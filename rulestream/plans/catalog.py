@@ -134,6 +134,18 @@ def _spark_rules(spark: SparkSession, name: str) -> DataFrame:
     return rules_from_json(spark, RULES[name])
 
 
+_RULE_SETS: dict = {}
+
+
+def rule_set(spark: SparkSession, name: str) -> RuleSet:
+    """Parsed rule set of a catalogue entry, parsed once per session (a rule
+    store is loaded once and then serves every query)."""
+    key = (id(spark), name)
+    if key not in _RULE_SETS:
+        _RULE_SETS[key] = RuleSet(_spark_rules(spark, name))
+    return _RULE_SETS[key]
+
+
 def _flat_blocks(b: DataFrame) -> DataFrame:
     return b.select("rule_id", "customer", "group_by", "block_index", "phase", "window_start_ms",
                     "window_end_ms", "match_ms", "event_count",
@@ -143,21 +155,22 @@ def _flat_blocks(b: DataFrame) -> DataFrame:
 
 def _blocks_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _flat_blocks(run_blocks(read_events_table(spark, sf_dir), RuleSet(_spark_rules(spark, name))))
+        return _flat_blocks(run_blocks(read_events_table(spark, sf_dir), rule_set(spark, name)))
     return q
 
 
 def _alerts_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rules = _spark_rules(spark, name)
-        return flat_alerts(run_rules(read_events_table(spark, sf_dir), rules))
+        return flat_alerts(run_rules(read_events_table(spark, sf_dir), rule_set(spark, name)))
     return q
 
 
 def q_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1-J4 + P6 with rules as data (broadcast join, HOF condition programs)."""
-    rules = rules_from_json(spark, RULES["threshold"] + RULES["unique_threshold"] + RULES["nested_condition"])
-    m = match_joined(read_events_table(spark, sf_dir), rules)
+    if "matched_joined" not in RULES:
+        RULES["matched_joined"] = RULES["threshold"] + RULES["unique_threshold"] + RULES["nested_condition"]
+    rs = rule_set(spark, "matched_joined")
+    m = match_joined(read_events_table(spark, sf_dir), rs.frame, rs.facts["n_blocks"])
     return m.select("rule_id", "block_index", "block_type", "rule_type", "customer", "group_by",
                     "agg_key", "unique_value", F.col("arrival_seq").alias("event_id"), "event_ms")
 
@@ -172,7 +185,7 @@ def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling counts per (customer, type, hour)."""
-    rs = RuleSet(_spark_rules(spark, "anomaly_1h"))
+    rs = rule_set(spark, "anomaly_1h")
     matched = match_compiled(read_events_table(spark, sf_dir), rs.blocks)
     c = B.window_counts(matched, "SIMPLE_ANOMALY")
     return c.select("customer", "group_by", F.col("p").alias("window_start_ms"),
