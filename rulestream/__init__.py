@@ -10,6 +10,7 @@ Streaming with watermarks and ``transformWithState``.
 from rulestream.plans.batch import run_rules  # noqa: F401
 from rulestream.operators.rules import parse_rules, rules_from_json  # noqa: F401
 from rulestream.sources.events import parse_events, table_events  # noqa: F401
+from rulestream.operators.control import fold_control  # noqa: F401
 
 __all__ = ["run_rules", "parse_rules", "rules_from_json", "parse_events",
-           "table_events"]
+           "table_events", "fold_control"]

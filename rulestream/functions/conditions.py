@@ -50,6 +50,10 @@ def _rop(op, idx=None, neg=None, n=None) -> Column:
                     lit(neg, "array<boolean>").alias("neg"), lit(n, "int").alias("n"))
 
 
+def _keys(*names) -> Column:
+    return F.array(F.lit("@class"), *[F.lit(n) for n in names])
+
+
 def _regex_ok(rx: Column) -> Column:
     # java.util.regex.Pattern.matches(rx, "") raises on a bad pattern.
     return F.call_function("try_reflect", F.lit("java.util.regex.Pattern"), F.lit("matches"),
@@ -70,7 +74,12 @@ def _cond_node(m: Column, cls: Column, nkids: Column) -> Column:
     ctype = F.upper(m["type"])
     comp_kind = (F.when(m["type"].isNull() | (ctype == "AND"), F.lit("and"))
                  .when(ctype == "OR", F.lit("or")).otherwise(F.lit("bad")))
-    return (F.when(cls == "EqualCondition", _op("eq", key=key, val=m["value"]))
+    unknown = F.size(F.array_except(F.map_keys(m), F.when(cls == "EqualCondition", _keys("key", "value"))
+                                    .when(cls == "RegexCondition", _keys("key", "regex"))
+                                    .when(cls == "ComparisonCondition", _keys("key", "thresholdValue", "type"))
+                                    .otherwise(_keys("type", "conditions")))) > 0
+    return (F.when(unknown, _op("bad", val=F.lit("unknown property")))
+            .when(cls == "EqualCondition", _op("eq", key=key, val=m["value"]))
             .when(cls == "RegexCondition", _op(regex_op, key=key, val=regex))
             .when(cls == "ComparisonCondition", _op(cmp_op, key=key, num=num))
             .when(cls == "CompositeCondition", _op(comp_kind, n=nkids))
@@ -84,7 +93,11 @@ def _rule_node(m: Column, cls: Column, nkids: Column) -> Column:
     ctype = F.upper(m["type"])
     comp_kind = (F.when(m["type"].isNull() | (ctype == "AND"), F.lit("and"))
                  .when(ctype == "OR", F.lit("or")).otherwise(F.lit("bad")))
-    return (F.when(cls == "AllBlocksOccurredRuleCondition", _rop("all", idx=idx))
+    unknown = F.size(F.array_except(F.map_keys(m), F.when(
+        cls.isin("AllBlocksOccurredRuleCondition", "AnyBlocksOccurredRuleCondition"), _keys("blockIndices"))
+        .otherwise(_keys("type", "conditions")))) > 0
+    return (F.when(unknown, _rop("bad"))
+            .when(cls == "AllBlocksOccurredRuleCondition", _rop("all", idx=idx))
             .when(cls == "AnyBlocksOccurredRuleCondition", _rop("any", idx=idx))
             .when(cls == "SequenceRuleCondition", _rop(
                 "seq", idx=F.transform(entries, lambda e: e["blockIndex"]),

@@ -88,7 +88,8 @@ def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int) -> DataFrame:
     """
     w = rule_windows(blocks)
     g = _outputs(w)
-    conds = F.broadcast(rules.select("rule_id", "rule_version", "rule_program"))
+    conds = F.broadcast(rules.select("rule_id", "rule_version", "rule_program")
+                        .dropDuplicates(["rule_id", "rule_version"]))
     g = g.join(conds, (g["rule_id"] == conds["rule_id"]) & (g["head"]["rule_version"] == conds["rule_version"]),
                "inner").drop(conds["rule_id"]).drop(conds["rule_version"])
     if max_seq_len > 0:

@@ -50,7 +50,8 @@ def _block(b: Column, i: Column, cond: Column) -> Column:
 
 def parse_rules(df: DataFrame, id_col: str = "rule_id", version_col: str = "rule_version",
                 content_col: str = "content") -> DataFrame:
-    """Decode rule content.  ``df`` has one row per rule version to load.
+    """Decode rule content.  ``df`` has one row per rule version to load;
+    its other columns (e.g. validity bounds) are carried through.
 
     Condition trees are flattened once per distinct rule text; the programs
     are joined back by that text.
@@ -68,10 +69,12 @@ def parse_rules(df: DataFrame, id_col: str = "rule_id", version_col: str = "rule
     rprog = flatten_trees(dec.select("content", F.col("_r.ruleCondition").alias("js")),
                           ["content"], "js", "rule", "rule_program").drop("js")
     parsed = dec.join(rprog, "content", "left").join(blocks, "content", "left")
+    keep = [c for c in df.columns if c not in (id_col, version_col, content_col)
+            and c not in ("rule_id", "rule_version", "content")]
     out = df.select(
         F.col(id_col).cast("string").alias("rule_id"),
         F.col(version_col).cast("int").alias("rule_version"),
-        F.col(content_col).alias("content"))
+        F.col(content_col).alias("content"), *keep)
     out = out.join(parsed, "content", "left")
     rr = F.col("_r")
     return out.select(
@@ -84,7 +87,7 @@ def parse_rules(df: DataFrame, id_col: str = "rule_id", version_col: str = "rule
         F.when(F.size(rr["blocks"]) > 1, F.lit(RULE_TYPE_COMPLEX)).otherwise(F.lit(RULE_TYPE_SIMPLE)).alias("rule_type"),
         "rule_program",
         F.coalesce("blocks", F.array().cast(blocks.schema["blocks"].dataType)).alias("blocks"),
-        "content")
+        "content", *keep)
 
 
 def rules_from_json(spark: SparkSession, rules: Iterable[tuple[str, int, str]]) -> DataFrame:
