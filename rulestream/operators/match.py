@@ -144,14 +144,29 @@ def match_compiled(events: DataFrame, blocks: list[dict]) -> DataFrame:
     if not entries:
         return events.sparkSession.createDataFrame([], _matched_schema(events))
     any_match = reduce(lambda a, c: a | c, conds)
-    # The matches array is built in a projection (not inside the generator)
-    # so Catalyst folds fields[...] lookups into the source columns and the
-    # scan reads only the columns the rules touch.
-    m = (events.where(any_match)
-         .select("customer", "event_ms", "arrival_seq", "content",
-                 F.filter(F.array(*entries), lambda x: x.isNotNull()).alias("ms"))
-         .select("customer", "event_ms", "arrival_seq", "content", F.explode("ms").alias("m")))
-    return m.select("m.*", "customer", "event_ms", "arrival_seq", "content").select(*MATCHED_COLUMNS)
+    keep = ["customer", "event_ms", "arrival_seq", "content"] + _passthrough(events)
+    matches = F.filter(F.array(*entries), lambda x: x.isNotNull())
+    if events.isStreaming:
+        # On a stream every event must reach the watermark: non-matching
+        # events still advance event time.  Any filter here would be pushed
+        # below the watermark node, so explode_outer keeps all rows and the
+        # non-matches are dropped above the generator.
+        m = (events.select(*keep, matches.alias("ms"))
+             .select(*keep, F.explode_outer("ms").alias("m")).where(F.col("m").isNotNull()))
+    else:
+        # The matches array is built in a projection (not inside the
+        # generator) so Catalyst folds fields[...] lookups into the source
+        # columns and the scan reads only the columns the rules touch; the
+        # OR of all conditions filters first and reaches the parquet scan.
+        m = (events.where(any_match).select(*keep, matches.alias("ms"))
+             .select(*keep, F.explode("ms").alias("m")))
+    return m.select("m.*", *keep).select(*MATCHED_COLUMNS, *_passthrough(events))
+
+
+def _passthrough(events: DataFrame) -> list[str]:
+    """Columns carried through matching (the event-time column of a stream
+    keeps its watermark)."""
+    return [c for c in ("event_ts",) if c in events.columns]
 
 
 def _matched_schema(events: DataFrame) -> str:
@@ -170,7 +185,12 @@ def match_joined(events: DataFrame, rules: DataFrame, n_blocks: int | None = Non
     beyond ``chunk`` rows the rule side is cut into bounded broadcast chunks
     by a hash of the rule id, each joined separately and unioned.
     """
-    rb = rule_blocks(rules)
+    return match_joined_blocks(events, rule_blocks(rules), n_blocks, chunk)
+
+
+def match_joined_blocks(events: DataFrame, rb: DataFrame, n_blocks: int | None = None,
+                        chunk: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
+    """``match_joined`` over a flat rule-blocks frame (see ``rules.rule_blocks``)."""
     if n_blocks is None:
         n_blocks = rb.count()
     n_chunks = max(1, -(-n_blocks // chunk))
@@ -201,7 +221,7 @@ def _join_chunk(events: DataFrame, rb: DataFrame) -> DataFrame:
          .otherwise(_agg_key(fields, F.col("r.agg_fields"))).alias("agg_key"),
         F.when(uf.isNull(), F.lit(None).cast("string")).otherwise(_fv(fields, uf)).alias("unique_value"),
         F.col("e.event_ms").alias("event_ms"), F.col("e.arrival_seq").alias("arrival_seq"),
-        F.col("e.content").alias("content"))
+        F.col("e.content").alias("content"), *[F.col(f"e.{c}") for c in _passthrough(events)])
 
 
 def match(events: DataFrame, rules: DataFrame, mode: str = "auto") -> DataFrame:

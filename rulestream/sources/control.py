@@ -18,7 +18,8 @@ def parse_control(df: DataFrame, value_col: str = "value", seq_col: str | None =
     c = F.from_json(F.col(value_col), CONTROL_JSON)
     out = df.select(c.alias("c"), *([F.col(seq_col).cast("bigint").alias("seq")] if seq_col else []))
     if not seq_col:
-        out = out.withColumn("seq", F.monotonically_increasing_id())
+        out = out.withColumn("seq", F.xxhash64(F.col("c").cast("string")) if df.isStreaming
+                             else F.monotonically_increasing_id())
     out = out.where(F.col("c").isNotNull() & F.col("c.type").isin(*CONTROL_TYPES))
     return out.select(
         "seq", F.col("c.timestamp").alias("timestamp"), F.col("c.type").alias("type"),

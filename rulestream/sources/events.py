@@ -52,7 +52,10 @@ def parse_events(df: DataFrame, content_col: str = "content", seq_col: str | Non
                     *( [F.col(seq_col).cast("bigint").alias("arrival_seq")] if seq_col else []))
     out = out.where(F.col("fields").isNotNull())
     if not seq_col:
-        out = out.withColumn("arrival_seq", F.monotonically_increasing_id())
+        # batch: position in the input; stream: a content hash breaks ties
+        # between equal event times deterministically (ids are not allowed)
+        seq = F.xxhash64("content") if df.isStreaming else F.monotonically_increasing_id()
+        out = out.withColumn("arrival_seq", seq)
     out = out.withColumn("event_ms", event_time_ms(F.col("fields"), on_bad_ts))
     if on_bad_ts == "drop":
         out = out.where(F.col("event_ms").isNotNull())
