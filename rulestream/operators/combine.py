@@ -14,6 +14,7 @@ an equi-join on (window, block index) plus a range condition, then a min.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +75,9 @@ def _sequence_results(w: DataFrame, g: DataFrame, max_len: int) -> DataFrame:
             *GKEY, "node", "idx", "neg",
             F.when(step & F.col("found").isNotNull(), F.col("found")).otherwise(F.col("pos")).alias("pos"),
             F.when(step, F.col("found").isNotNull() != F.col("absent")).otherwise(F.col("ok")).alias("ok"))
+        # each step reads the previous state twice: keep it instead of
+        # re-deriving the whole chain (the plan would double per step)
+        state = state.persist(StorageLevel.MEMORY_AND_DISK)
     return state.groupBy(*GKEY).agg(
         F.map_from_entries(F.collect_list(F.struct("node", "ok"))).alias("seq_ok"))
 
@@ -86,13 +90,16 @@ def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int) -> DataFrame:
     has bounded its size.  ``max_seq_len`` is the longest sequence condition
     in the rule set (the number of as-of join steps).
     """
-    w = rule_windows(blocks)
+    # the rule-window frame feeds the summary and every sequence step, the
+    # summary feeds the condition and the sequence nodes: computed once
+    w = rule_windows(blocks).persist(StorageLevel.MEMORY_AND_DISK)
     g = _outputs(w)
     conds = F.broadcast(rules.select("rule_id", "rule_version", "rule_program")
                         .dropDuplicates(["rule_id", "rule_version"]))
     g = g.join(conds, (g["rule_id"] == conds["rule_id"]) & (g["head"]["rule_version"] == conds["rule_version"]),
                "inner").drop(conds["rule_id"]).drop(conds["rule_version"])
     if max_seq_len > 0:
+        g = g.persist(StorageLevel.MEMORY_AND_DISK)
         seq = _sequence_results(w, g, max_seq_len)
         g = join_ns(g, seq, GKEY, "left")
     else:

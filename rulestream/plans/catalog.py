@@ -127,8 +127,40 @@ RULES = {
                                      block("SINGLE_EVENT", eq("type", "view"))],
                                     group_by="user", size=6 * HOUR, slide=3 * HOUR,
                                     condition=all_blocks(0, 1, 2), severity=3))],
+    "composite": [("comp", 1, rule([block("SINGLE_EVENT", eq("type", "error")),
+                                    block("SINGLE_EVENT", eq("type", "purchase")),
+                                    block("SINGLE_EVENT", eq("type", "signup")),
+                                    block("SINGLE_EVENT", eq("type", "click"))],
+                                   group_by="user", size=6 * HOUR, slide=3 * HOUR,
+                                   condition=composite_rule("OR", all_blocks(0, 1), all_blocks(2, 3)),
+                                   severity=4))],
+    "any_blocks": [("any2", 1, rule([block("SINGLE_EVENT", eq("type", "error")),
+                                     block("SINGLE_EVENT", eq("type", "purchase"))],
+                                    group_by="user", size=12 * HOUR, slide=12 * HOUR,
+                                    condition=any_blocks(0, 1), severity=1))],
+    "sequence_absent": [("seqnp", 1, rule([block("SINGLE_EVENT", eq("type", "error")),
+                                           block("SINGLE_EVENT", eq("type", "purchase")),
+                                           block("SINGLE_EVENT", eq("type", "click"))],
+                                          group_by="user", size=DAY, slide=DAY // 2,
+                                          condition=seq_cond((0, False), (1, False), (2, True)), severity=6))],
+    "threshold_then_single": [("thrseq", 1, rule([
+        block("THRESHOLD", eq("type", "error"), 6 * HOUR, 6 * HOUR, ["type"], THRESHOLD=2),
+        block("SINGLE_EVENT", eq("type", "purchase"))],
+        group_by="user", size=12 * HOUR, slide=12 * HOUR, condition=seq_cond((0, False), (1, False)),
+        severity=9))],
+    "feedback": [("fb", 1, rule([block("SINGLE_EVENT", all_of(eq("source", "rulestream"),
+                                                              eq("matchedRuleId", "err")))]))],
 }
 
+# A control log for the effective-dated replay query: version 1 watches
+# errors from 1 January, version 2 watches purchases from 15 January.
+HISTORY_LOG = [
+    json.dumps({"timestamp": "2024-01-01T00:00:00.000Z", "type": "ADD_RULE", "ruleId": "hist", "ruleVersion": 1,
+                "controlSchemaVersion": 1, "content": rule([block("SINGLE_EVENT", eq("type", "error"))])}),
+    json.dumps({"timestamp": "2024-01-15T00:00:00.000Z", "type": "ADD_RULE", "ruleId": "hist", "ruleVersion": 2,
+                "controlSchemaVersion": 1, "content": rule([block("SINGLE_EVENT", eq("type", "purchase"))])}),
+]
+
 
 def _spark_rules(spark: SparkSession, name: str) -> DataFrame:
     return rules_from_json(spark, RULES[name])
@@ -192,6 +224,40 @@ def q_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n").alias("event_count"))
 
 
+def q_alert_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + S5: alerts serialised to JSON are events again; a rule on the
+    alert fields (source, matchedRuleId) matches every fed-back alert."""
+    from rulestream.operators.alerts import alerts_to_json
+    from rulestream.sources.events import alerts_as_events
+    first = run_rules(read_events_table(spark, sf_dir), rule_set(spark, "single_event"))
+    back = alerts_as_events(alerts_to_json(first))
+    b = run_blocks(back, rule_set(spark, "feedback"))
+    return b.select("rule_id", "customer", "block_index", "phase", "event_count", "match_message")
+
+
+def q_history_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1/K6 + as-of matching: fold a control log into effective-dated rule
+    versions and match every event against the version in force at its time."""
+    key = (id(spark), "history")
+    if key not in _RULE_SETS:
+        from rulestream.operators.control import fold_control, rules_from_history
+        from rulestream.sources.control import control_from_messages
+        _, hist = fold_control(control_from_messages(spark, HISTORY_LOG))
+        _RULE_SETS[key] = RuleSet(rules_from_history(hist))
+    b = run_blocks(read_events_table(spark, sf_dir), _RULE_SETS[key])
+    return b.select("rule_id", "rule_version", "customer", F.col("match_ms").alias("event_ms"))
+
+
+def q_block_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: one row per (alert, block output) - last result per block index."""
+    a = run_rules(read_events_table(spark, sf_dir), rule_set(spark, "all_blocks"))
+    return a.select("rule_id", "customer", "group_by", "window_start_ms",
+                    F.explode("outputs").alias("block", "o")).select(
+        "rule_id", "customer", "group_by", "window_start_ms", "block",
+        F.col("o.match_ms").alias("block_match_ms"), F.col("o.match_message").alias("match_message"),
+        F.size("o.matching_events").cast("bigint").alias("n_keys"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "single_event": _blocks_query("single_event"),
@@ -204,6 +270,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drop_to_zero": _blocks_query("drop_to_zero"),
         "sequence_alerts": _alerts_query("sequence"),
         "all_blocks_alerts": _alerts_query("all_blocks"),
+        "composite_alerts": _alerts_query("composite"),
+        "any_blocks_alerts": _alerts_query("any_blocks"),
+        "sequence_absent_alerts": _alerts_query("sequence_absent"),
+        "threshold_then_single_alerts": _alerts_query("threshold_then_single"),
+        "alert_feedback": q_alert_feedback,
+        "history_replay": q_history_replay,
+        "block_outputs": q_block_outputs,
         "matched_joined": q_matched,
         "sliding_windows": q_sliding_windows,
         "window_counts": q_window_counts,
@@ -354,6 +427,91 @@ SELECT 'nested', 0, 'SINGLE_EVENT', 'SIMPLE', customer, NULL, NULL, NULL, event_
 WHERE (type = 'purchase' OR value::FLOAT::DOUBLE > 45.5) AND regexp_matches(k, '^[1-4]')"""
 
 
+def _multi_alerts_sql(rule_id: str, types: list[str], size: int, slide: int, sev: int, cond: str) -> str:
+    """Alerts of a multi-block rule of SINGLE_EVENT blocks (one per type) per
+    user; ``cond`` is a SQL predicate over has0..hasN of the window."""
+    size_ms, slide_ms = size * 1000, slide * 1000
+    case = " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(types))
+    has = ", ".join(f"bool_or(bi = {i}) AS has{i}" for i in range(len(types)))
+    tl = ", ".join(f"'{t}'" for t in types)
+    return f"""WITH {EV},
+b AS (SELECT customer, 'user=' || usr AS group_by, CASE type {case} END AS bi, ms, event_id
+      FROM ev WHERE type IN ({tl})),
+w AS ({_windows_sql('b', size_ms, slide_ms)}),
+g AS (SELECT customer, group_by, ws, max(ms) AS match_ms, {has},
+             string_agg(DISTINCT bi::VARCHAR, ',' ORDER BY bi::VARCHAR) AS blocks FROM w GROUP BY ALL)
+SELECT '{rule_id}' AS rule_id, customer, group_by, 1 AS rule_version, {sev} AS base_severity, match_ms,
+       ws AS window_start_ms, ws + {size_ms} AS window_end_ms, blocks
+FROM g WHERE {cond}"""
+
+
+def _sequence_absent_sql() -> str:
+    size_ms, slide_ms = DAY * 1000, DAY // 2 * 1000
+    return f"""WITH {EV},
+b AS (SELECT customer, 'user=' || usr AS group_by,
+             CASE type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END AS bi, ms, event_id
+      FROM ev WHERE type IN ('error', 'purchase', 'click')),
+w AS ({_windows_sql('b', size_ms, slide_ms)}),
+o AS (SELECT *, (ms::HUGEINT * 4 + bi) * 100000000 + event_id AS ord FROM w),
+p1 AS (SELECT customer, group_by, ws, min(ord) AS pos FROM o WHERE bi = 0 GROUP BY ALL),
+p2 AS (SELECT o.customer, o.group_by, o.ws, min(o.ord) AS pos FROM o JOIN p1
+       ON o.customer = p1.customer AND o.group_by = p1.group_by AND o.ws = p1.ws
+       WHERE o.bi = 1 AND o.ord >= p1.pos GROUP BY ALL),
+bad AS (SELECT DISTINCT o.customer, o.group_by, o.ws FROM o JOIN p2
+        ON o.customer = p2.customer AND o.group_by = p2.group_by AND o.ws = p2.ws
+        WHERE o.bi = 2 AND o.ord >= p2.pos),
+g AS (SELECT customer, group_by, ws, max(ms) AS match_ms,
+             string_agg(DISTINCT bi::VARCHAR, ',' ORDER BY bi::VARCHAR) AS blocks FROM o GROUP BY ALL)
+SELECT 'seqnp' AS rule_id, g.customer, g.group_by, 1 AS rule_version, 6 AS base_severity, g.match_ms,
+       g.ws AS window_start_ms, g.ws + {size_ms} AS window_end_ms, g.blocks
+FROM g JOIN p2 ON g.customer = p2.customer AND g.group_by = p2.group_by AND g.ws = p2.ws
+WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.customer = g.customer AND bad.group_by = g.group_by
+                  AND bad.ws = g.ws)"""
+
+
+def _threshold_then_single_sql() -> str:
+    t_ms, r_ms = 6 * HOUR * 1000, 12 * HOUR * 1000
+    return f"""WITH {EV},
+e AS (SELECT customer, 'user=' || usr AS group_by, ms, event_id FROM ev WHERE type = 'error'),
+tw AS (SELECT *, ms - (ms % {t_ms}) AS ws FROM e),
+tr AS (SELECT *, row_number() OVER (PARTITION BY customer, group_by, ws ORDER BY ms, event_id) AS rn,
+              count(*) OVER (PARTITION BY customer, group_by, ws) AS cnt FROM tw),
+thr AS (SELECT customer, group_by, max(ms) AS match_ms, ws + {t_ms} - 1 AS emit_ms, 0 AS bi, ws AS tb
+        FROM tr WHERE cnt >= 2 AND rn <= 2 GROUP BY customer, group_by, ws
+        UNION ALL
+        SELECT customer, group_by, max(ms), ws + {t_ms} - 1, 0, ws FROM tr WHERE cnt >= 2
+        GROUP BY customer, group_by, ws),
+single AS (SELECT customer, 'user=' || usr AS group_by, ms AS match_ms, ms AS emit_ms, 1 AS bi, event_id AS tb
+           FROM ev WHERE type = 'purchase'),
+blk AS (SELECT *, emit_ms - (emit_ms % {r_ms}) AS rws,
+               (((match_ms::HUGEINT * 4398046511104 + emit_ms) * 2 + bi) * 4398046511104) + tb AS ord
+        FROM (SELECT * FROM thr UNION ALL SELECT * FROM single)),
+p1 AS (SELECT customer, group_by, rws, min(ord) AS pos FROM blk WHERE bi = 0 GROUP BY ALL),
+p2 AS (SELECT blk.customer, blk.group_by, blk.rws FROM blk JOIN p1
+       ON blk.customer = p1.customer AND blk.group_by = p1.group_by AND blk.rws = p1.rws
+       WHERE blk.bi = 1 AND blk.ord >= p1.pos GROUP BY ALL),
+g AS (SELECT customer, group_by, rws, max(match_ms) AS match_ms,
+             string_agg(DISTINCT bi::VARCHAR, ',' ORDER BY bi::VARCHAR) AS blocks FROM blk GROUP BY ALL)
+SELECT 'thrseq' AS rule_id, g.customer, g.group_by, 1 AS rule_version, 9 AS base_severity, g.match_ms,
+       g.rws AS window_start_ms, g.rws + {r_ms} AS window_end_ms, g.blocks
+FROM g JOIN p2 ON g.customer = p2.customer AND g.group_by = p2.group_by AND g.rws = p2.rws"""
+
+
+def _block_outputs_sql() -> str:
+    size_ms, slide_ms = 6 * HOUR * 1000, 3 * HOUR * 1000
+    return f"""WITH {EV},
+b AS (SELECT customer, 'user=' || usr AS group_by,
+             CASE type WHEN 'error' THEN 0 WHEN 'signup' THEN 1 ELSE 2 END AS bi, ms, event_id
+      FROM ev WHERE type IN ('error', 'signup', 'view')),
+w AS ({_windows_sql('b', size_ms, slide_ms)}),
+ok AS (SELECT customer, group_by, ws FROM w GROUP BY ALL HAVING count(DISTINCT bi) = 3)
+SELECT 'all3' AS rule_id, w.customer, w.group_by, w.ws AS window_start_ms, w.bi::VARCHAR AS block,
+       max(w.ms) AS block_match_ms, 'An event matching the specified conditions was observed.' AS match_message,
+       1::BIGINT AS n_keys
+FROM w JOIN ok ON w.customer = ok.customer AND w.group_by = ok.group_by AND w.ws = ok.ws
+GROUP BY w.customer, w.group_by, w.ws, w.bi"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "single_event": _single_sql("err", "type = 'error'"),
@@ -367,6 +525,20 @@ def oracle_sql() -> dict[str, str]:
         "drop_to_zero": _drop_sql("drop2", "true", 2 * HOUR),
         "sequence_alerts": _sequence_sql(),
         "all_blocks_alerts": _all_blocks_sql(),
+        "composite_alerts": _multi_alerts_sql("comp", ["error", "purchase", "signup", "click"], 6 * HOUR,
+                                              3 * HOUR, 4, "(has0 AND has1) OR (has2 AND has3)"),
+        "any_blocks_alerts": _multi_alerts_sql("any2", ["error", "purchase"], 12 * HOUR, 12 * HOUR, 1,
+                                               "has0 OR has1"),
+        "sequence_absent_alerts": _sequence_absent_sql(),
+        "threshold_then_single_alerts": _threshold_then_single_sql(),
+        "alert_feedback": f"""WITH {EV}
+SELECT 'fb' AS rule_id, customer, 0 AS block_index, 'event' AS phase, 1::BIGINT AS event_count,
+       'An event matching the specified conditions was observed.' AS match_message FROM ev WHERE type = 'error'""",
+        "history_replay": f"""WITH {EV}
+SELECT 'hist' AS rule_id, CASE WHEN type = 'error' THEN 1 ELSE 2 END AS rule_version, customer, ms AS event_ms
+FROM ev WHERE (type = 'error' AND ms >= 1704067200000 AND ms < 1705276800000)
+   OR (type = 'purchase' AND ms >= 1705276800000)""",
+        "block_outputs": _block_outputs_sql(),
         "matched_joined": _matched_sql(),
         "sliding_windows": f"""WITH {EV}, s AS (SELECT event_id, ms FROM ev WHERE type = 'signup')
 SELECT event_id, ws AS window_start_ms FROM ({_windows_sql('s', 5400000, 3600000)})""",
