@@ -5,11 +5,23 @@ rule windows (rule size / slide) that contain its emit time; a window whose
 block results satisfy the rule condition produces one alert.
 
 Nothing here gathers a whole window into one row.  Per (window, block
-index) only the last output survives (the alert keeps one output per
-index), the set of indices seen is a bounded set, and sequences are solved
-by iterated as-of joins: step j finds, per window, the earliest block result
-with the j-th wanted index at or after the position matched by step j-1 -
-an equi-join on (window, block index) plus a range condition, then a min.
+index) only the last output and the first / last position survive (the
+alert keeps one output per index), so a window row holds one entry per
+block index of the rule - a bound set by the rule, not by the data.
+
+Sequences (R7) walk their entries greedily over the window's block results
+in time order.  Most steps only need the per-index span:
+
+* a first wanted entry lands on the earliest result of its index;
+* the last entry only has to exist at or after the current position (the
+  latest result of its index decides);
+* a ``notPresent`` entry is the same existence test, negated.
+
+These are evaluated in one projection over the window row.  Only a middle
+entry of a sequence of three or more, whose index has results both before
+and after the current position, needs the exact next position: those
+(window, sequence) pairs, and only those, go through an as-of step - an
+equi-join on (window, block index) with a range condition, then a ``min``.
 """
 
 from __future__ import annotations
@@ -24,6 +36,9 @@ from rulestream.functions.windows import sec_to_ms, sliding_starts
 
 GKEY = ["customer", "rule_id", "group_by", "rws", "rwe"]
 
+ORD_T = "struct<match_ms:bigint,emit_ms:bigint,block_index:int,order_tb:bigint>"
+SUMMARIES_T = "array<struct<key:string,sample:string,count:bigint>>"
+
 
 def order_col() -> Column:
     """Deterministic order of block results inside a rule window."""
@@ -36,50 +51,135 @@ def rule_windows(blocks: DataFrame) -> DataFrame:
     size, slide = sec_to_ms("rule_window_size"), sec_to_ms("rule_window_slide")
     c = c.where((size > 0) & (slide > 0))
     c = c.select("*", F.explode(sliding_starts(F.col("emit_ms"), size, slide)).alias("rws"))
-    return c.withColumn("rwe", F.col("rws") + size).withColumn("ord", order_col())
+    return c.withColumn("rwe", F.col("rws") + size).withColumn("ord", order_col().cast(ORD_T))
 
 
 def _outputs(w: DataFrame) -> DataFrame:
-    """O2 pieces: header from the first block, last output per index, max match time."""
+    """O2 pieces per window: header from the first block, last output per
+    index, max match time, indices seen, and each index's (first, last)
+    position for the sequence walk."""
     out = F.struct("match_ms", "match_message", F.coalesce(
-        "matching_events", F.array().cast("array<struct<key:string,sample:string,count:bigint>>")
-    ).alias("matching_events"))
+        "matching_events", F.array().cast(SUMMARIES_T)).alias("matching_events"))
     per_idx = w.groupBy(*GKEY, "block_index").agg(
         F.max_by(out, "ord").alias("out"),
         F.min_by(F.struct("rule_version", "base_severity"), "ord").alias("head"),
-        F.min("ord").alias("first_ord"), F.max("match_ms").alias("match_ms"))
+        F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"),
+        F.max("match_ms").alias("match_ms"))
     return per_idx.groupBy(*GKEY).agg(
         F.min_by("head", "first_ord").alias("head"),
         F.max("match_ms").alias("match_ms"),
         F.sort_array(F.collect_list("block_index")).alias("seen"),
-        F.map_from_entries(F.collect_list(F.struct(F.col("block_index").cast("string"), "out"))).alias("outputs"))
+        F.map_from_entries(F.collect_list(F.struct(F.col("block_index").cast("string"), "out"))).alias("outputs"),
+        F.map_from_entries(F.collect_list(F.struct(
+            "block_index", F.struct(F.col("first_ord").alias("lo"), F.col("last_ord").alias("hi"))))).alias("span"))
+
 
+def _advance(pos: Column, ok: Column, want: Column, absent: Column, sp: Column, is_last: Column,
+             found: Column | None = None) -> tuple[Column, Column, Column]:
+    """One greedy sequence step on (position, ok).
 
-def _sequence_results(w: DataFrame, g: DataFrame, max_len: int) -> DataFrame:
-    """R7 for every sequence node of every window: (GKEY, seq_ok MAP<node, bool>)."""
-    nodes = g.select(*GKEY, F.posexplode("rule_program").alias("node", "x")).where(F.col("x.op") == "seq")
-    state = nodes.select(*GKEY, "node", F.col("x.idx").alias("idx"), F.col("x.neg").alias("neg"),
-                         F.lit(None).cast(w.schema["ord"].dataType.simpleString()).alias("pos"),
-                         F.lit(True).alias("ok"))
+    ``sp`` is the (lo, hi) position span of the wanted index in the window
+    (NULL when absent), ``pos`` the position matched so far (NULL before the
+    first positive entry; matches are inclusive of it).  Returns the new
+    position, the new ok flag and ``need``: the step needs the exact next
+    position of the index at or after ``pos``, which the span cannot give.
+    ``found`` is that position when the caller has computed it.
+    """
+    lo, hi = sp["lo"], sp["hi"]
+    at_or_after = F.coalesce(hi >= pos, F.lit(False))
+    present = F.when(pos.isNull(), sp.isNotNull()).otherwise(at_or_after)
+    need = (~absent & pos.isNotNull() & ~is_last
+            & F.coalesce((lo < pos) & (hi >= pos), F.lit(False)))
+    skip = ~ok | want.isNull()
+    new_pos = (F.when(skip | absent, pos)
+               .when(pos.isNull(), lo)
+               .when(need, found if found is not None else pos)
+               .when(~is_last & F.coalesce(lo >= pos, F.lit(False)), lo)
+               .otherwise(pos))
+    new_ok = (F.when(skip, ok)
+              .when(absent, ~present)
+              .when(pos.isNull(), lo.isNotNull())
+              .otherwise(at_or_after))
+    return new_pos, new_ok, (~skip & need)
+
+
+def _seq_walk(x: Column, span: Column) -> Column:
+    """Walk one sequence node over the window's spans: struct(pos, ok, pend),
+    ``pend`` = first 1-based entry that needs an as-of step (else NULL)."""
+    n = F.size(x["idx"])
+    steps = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    init = F.struct(F.lit(None).cast(ORD_T).alias("pos"), F.lit(True).alias("ok"),
+                    F.lit(None).cast("int").alias("pend"))
+
+    def step(st, j):
+        want = F.try_element_at(x["idx"], j)
+        absent = F.coalesce(F.try_element_at(x["neg"], j), F.lit(False))
+        sp = F.try_element_at(span, want)
+        pos, ok, need = _advance(st["pos"], st["ok"], want, absent, sp, j == n)
+        moved = F.struct(pos.alias("pos"), ok.alias("ok"), F.when(need, j).alias("pend"))
+        return F.when(st["pend"].isNotNull(), st).otherwise(moved)
+    return F.aggregate(steps, init, step)
+
+
+def _walk_all(g: DataFrame) -> DataFrame:
+    """Attach ``walks``: one entry per sequence node of the rule program."""
+    walks = F.filter(F.transform("rule_program", lambda x, i: F.when(
+        x["op"] == "seq", F.struct(i.alias("node"), _seq_walk(x, F.col("span")).alias("w")))),
+        lambda e: e.isNotNull())
+    return g.withColumn("walks", walks)
+
+
+def _resolved(walks: Column) -> Column:
+    """node -> ok for sequence nodes the span walk decided."""
+    done = F.filter(walks, lambda e: e["w"]["pend"].isNull())
+    return F.map_from_entries(F.transform(done, lambda e: F.struct(e["node"], e["w"]["ok"])))
+
+
+def _as_of_walks(w: DataFrame, g: DataFrame, max_len: int) -> DataFrame:
+    """Finish the walks the span could not decide: (GKEY, map node -> ok).
+
+    Only pending (window, node) pairs take part.  At step j each pending
+    pair needing an exact position joins the window's block results with
+    that index on (window, index), keeps those at or after its position and
+    takes the ``min`` - distributed, with map-side partial aggregation.
+    """
+    pend = g.select(*GKEY, "span", "rule_program", F.explode(F.filter(
+        "walks", lambda e: e["w"]["pend"].isNotNull())).alias("e"))
+    x = F.element_at(F.col("rule_program"), F.col("e.node") + 1)
+    state = pend.select(*GKEY, F.col("e.node").alias("node"), x["idx"].alias("idx"), x["neg"].alias("neg"),
+                        "span", F.col("e.w.pos").alias("pos"), F.lit(True).alias("ok"),
+                        F.col("e.w.pend").alias("start"))
     b = w.select(*GKEY, F.col("block_index").alias("bi"), "ord")
-    for j in range(max_len):
-        cur = state.withColumn("want", F.try_element_at("idx", F.lit(j + 1))) \
-                   .withColumn("absent", F.coalesce(F.try_element_at("neg", F.lit(j + 1)), F.lit(False)))
-        active = cur.where(F.col("ok") & F.col("want").isNotNull()).select(*GKEY, "node", "want", "pos")
-        cand = join_ns(active, b, GKEY, "inner").where(
-            (F.col("bi") == F.col("want")) & (F.col("pos").isNull() | (F.col("ord") >= F.col("pos"))))
-        found = cand.groupBy(*GKEY, "node").agg(F.min("ord").alias("found"))
-        nxt = join_ns(cur, found, GKEY + ["node"], "left")
-        step = F.col("ok") & F.col("want").isNotNull()
-        state = nxt.select(
-            *GKEY, "node", "idx", "neg",
-            F.when(step & F.col("found").isNotNull(), F.col("found")).otherwise(F.col("pos")).alias("pos"),
-            F.when(step, F.col("found").isNotNull() != F.col("absent")).otherwise(F.col("ok")).alias("ok"))
+    keep = GKEY + ["node", "idx", "neg", "span", "start"]
+    # entry j (1-based) can need an as-of step only when it has a positive
+    # entry before it and an entry after it: 2 <= j <= max_len - 1
+    for j in range(2, max_len + 1):
+        want = F.try_element_at("idx", F.lit(j))
+        cur = state.select(*keep, "pos", "ok", want.alias("want"),
+                           F.coalesce(F.try_element_at("neg", F.lit(j)), F.lit(False)).alias("absent"),
+                           (F.size("idx") == j).alias("is_last"))
+        cur = cur.withColumn("sp", F.try_element_at("span", F.col("want")))
+        in_range = F.col("start") <= F.lit(j)
+        _, _, need = _advance(F.col("pos"), F.col("ok") & in_range, F.col("want"), F.col("absent"),
+                              F.col("sp"), F.col("is_last"))
+        if j < max_len:
+            cur = cur.withColumn("need", need)
+            active = cur.where("need").select(*GKEY, "node", "want", "pos")
+            cand = join_ns(active, b, GKEY, "inner").where(
+                (F.col("bi") == F.col("want")) & (F.col("ord") >= F.col("pos")))
+            found = cand.groupBy(*GKEY, "node").agg(F.min("ord").alias("found"))
+            cur = join_ns(cur, found, GKEY + ["node"], "left")
+        else:
+            cur = cur.withColumn("found", F.lit(None).cast(ORD_T))
+        pos, ok, _ = _advance(F.col("pos"), F.col("ok") & in_range, F.col("want"), F.col("absent"),
+                              F.col("sp"), F.col("is_last"), F.col("found"))
+        state = cur.select(*keep, F.when(in_range, pos).otherwise(F.col("pos")).alias("pos"),
+                           F.when(in_range, ok).otherwise(F.col("ok")).alias("ok"))
         # each step reads the previous state twice: keep it instead of
-        # re-deriving the whole chain (the plan would double per step)
+        # re-deriving the chain (the plan would double per step)
         state = state.persist(StorageLevel.MEMORY_AND_DISK)
     return state.groupBy(*GKEY).agg(
-        F.map_from_entries(F.collect_list(F.struct("node", "ok"))).alias("seq_ok"))
+        F.map_from_entries(F.collect_list(F.struct("node", "ok"))).alias("seq_late"))
 
 
 def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int) -> DataFrame:
@@ -88,23 +188,29 @@ def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int) -> DataFrame:
     ``rules`` supplies the rule condition of the version carried by each
     window's first block; it is configuration, broadcast after the caller
     has bounded its size.  ``max_seq_len`` is the longest sequence condition
-    in the rule set (the number of as-of join steps).
+    in the rule set; as-of steps are planned only when it is three or more.
     """
-    # the rule-window frame feeds the summary and every sequence step, the
-    # summary feeds the condition and the sequence nodes: computed once
-    w = rule_windows(blocks).persist(StorageLevel.MEMORY_AND_DISK)
+    as_of = max_seq_len >= 3
+    w = rule_windows(blocks)
+    if as_of:
+        # the rule-window frame feeds the summary and the as-of steps
+        w = w.persist(StorageLevel.MEMORY_AND_DISK)
     g = _outputs(w)
     conds = F.broadcast(rules.select("rule_id", "rule_version", "rule_program")
                         .dropDuplicates(["rule_id", "rule_version"]))
     g = g.join(conds, (g["rule_id"] == conds["rule_id"]) & (g["head"]["rule_version"] == conds["rule_version"]),
                "inner").drop(conds["rule_id"]).drop(conds["rule_version"])
     if max_seq_len > 0:
-        g = g.persist(StorageLevel.MEMORY_AND_DISK)
-        seq = _sequence_results(w, g, max_seq_len)
-        g = join_ns(g, seq, GKEY, "left")
+        g = _walk_all(g)
+        seq_ok = _resolved(F.col("walks"))
+        if as_of:
+            g = g.persist(StorageLevel.MEMORY_AND_DISK)
+            late = _as_of_walks(w, g, max_seq_len)
+            g = join_ns(g, late, GKEY, "left")
+            seq_ok = F.map_concat(seq_ok, F.coalesce("seq_late", F.create_map().cast("map<int,boolean>")))
     else:
-        g = g.withColumn("seq_ok", F.lit(None).cast("map<int,boolean>"))
-    hit = g.where(eval_rule_condition(F.col("rule_program"), F.col("seen"), F.col("seq_ok")))
+        seq_ok = F.lit(None).cast("map<int,boolean>")
+    hit = g.where(eval_rule_condition(F.col("rule_program"), F.col("seen"), seq_ok))
     return hit.select(
         "customer", "rule_id", F.col("head.rule_version").alias("rule_version"),
         F.col("head.base_severity").alias("base_severity"), "group_by", "match_ms",

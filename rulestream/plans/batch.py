@@ -63,7 +63,8 @@ def _facts_from_rows(rows: list[dict]) -> dict:
                 seq = max(seq, len(x.get("idx") or []))
     return {"n_rules": len(rows), "n_blocks": sum(len(r.get("blocks") or []) for r in rows),
             "max_threshold": thr, "max_seq": seq, "types": types,
-            "any_complex": any(r.get("rule_type") == "COMPLEX" for r in rows)}
+            "any_complex": any(r.get("rule_type") == "COMPLEX" for r in rows),
+            "any_simple": any(r.get("rule_type") != "COMPLEX" for r in rows)}
 
 
 def rule_set_facts(rules: DataFrame) -> dict:
@@ -78,10 +79,12 @@ def rule_set_facts(rules: DataFrame) -> dict:
                           F.lit(0), lambda a, x: F.greatest(a, x))).alias("max_seq"),
         F.array_distinct(F.flatten(F.collect_list(F.transform("blocks", lambda b: b["block_type"])))).alias("types"),
         F.max(F.when(F.col("rule_type") == "COMPLEX", 1).otherwise(0)).alias("any_complex"),
+        F.max(F.when(F.col("rule_type") == "COMPLEX", 0).otherwise(1)).alias("any_simple"),
     ).first()
     return {"n_rules": r["n_rules"] or 0, "n_blocks": r["n_blocks"] or 0,
             "max_threshold": r["max_threshold"] or 0, "max_seq": r["max_seq"] or 0,
-            "types": [t for t in (r["types"] or []) if t], "any_complex": bool(r["any_complex"])}
+            "types": [t for t in (r["types"] or []) if t], "any_complex": bool(r["any_complex"]),
+            "any_simple": bool(r["any_simple"])}
 
 
 def block_results(matched: DataFrame, types: list[str], max_threshold: int) -> DataFrame:
@@ -115,11 +118,13 @@ def run_rules(events: DataFrame, rules, mode: str = "auto", materialize: bool =
     blocks = run_blocks(events, rs, mode)
     if not facts["any_complex"]:
         return simple_alerts(blocks)
-    if materialize:
-        # block results feed simple alerts, rule windows and every sequence
-        # step: write them once to the shared checkpoint folder (reliable,
-        # lineage cut) instead of recomputing the event pipeline per use.
-        blocks = blocks.checkpoint(eager=True)
     if facts["n_rules"] > MAX_BROADCAST_BLOCKS:
         raise ValueError("too many rules for a broadcast rule-condition side")
+    if not facts["any_simple"]:
+        return combine(blocks, rs.frame, facts["max_seq"])
+    if materialize:
+        # block results feed both simple alerts and rule windows: write them
+        # once to the shared checkpoint folder (reliable, lineage cut)
+        # instead of recomputing the event pipeline per use.
+        blocks = blocks.checkpoint(eager=True)
     return simple_alerts(blocks).unionByName(combine(blocks, rs.frame, facts["max_seq"]))
