@@ -137,14 +137,6 @@ def _exploded_events(df: DataFrame) -> DataFrame:
 WKEY = KEY + ["ws", "we"]
 
 
-def _windowed_result(s: DataFrame, block_type: str, phase: str, message: Column) -> DataFrame:
-    return _result(
-        s, F.col("meta"), block_type=F.lit(block_type), match_ms=F.col("latest"),
-        emit_ms=F.col("we") - 1, match_message=message, matching_events=F.col("summaries"),
-        phase=F.lit(phase), window_start_ms=F.col("ws"), window_end_ms=F.col("we"),
-        event_count=F.col("total"), order_tb=F.col("ws"))
-
-
 def _threshold_msg() -> Column:
     return F.format_string(MSG_THRESHOLD, F.col("total"),
                            (F.col("meta")["rule_window_size"] / 60).cast("int"))
@@ -166,10 +158,26 @@ def threshold(matched: DataFrame, max_threshold: int) -> DataFrame:
     fire_rn = F.min(F.when(F.col("rn") == F.col("threshold"), F.col("rn"))).over(Window.partitionBy(*WKEY))
     first_n = top.withColumn("fire_rn", fire_rn).where(F.col("rn") <= F.col("fire_rn"))
     initial = _summarise(_event_rows(first_n), WKEY)
-    fired = initial.select(*WKEY)
-    final = join_ns(_summarise(_pane_windows(t), WKEY), fired, WKEY, "left_semi")
-    return _windowed_result(initial, "THRESHOLD", "initial", _threshold_msg()).unionByName(
-        _windowed_result(final, "THRESHOLD", "final", _threshold_msg()))
+    final = _summarise(_pane_windows(t), WKEY)
+    return _initial_and_final(initial, final, "THRESHOLD", _threshold_msg())
+
+
+def _initial_and_final(initial: DataFrame, final: DataFrame, block_type: str, message: Column) -> DataFrame:
+    """Both firings of the windows that fired initially: the final summary
+    of a window is kept only where an initial firing exists (B3 / B7), and
+    each joined window row yields its initial and its final result."""
+    cols = ["total", "latest", "meta", "summaries"]
+    fin = final.select(*WKEY, *[F.col(c).alias(f"f_{c}") for c in cols])
+    both = join_ns(initial, fin, WKEY, "inner")
+    rows = F.array(
+        F.struct(F.lit("initial").alias("phase"), *[F.col(c).alias(c) for c in cols]),
+        F.struct(F.lit("final").alias("phase"), *[F.col(f"f_{c}").alias(c) for c in cols]))
+    out = both.select(*WKEY, F.explode(rows).alias("r")).select(*WKEY, "r.*")
+    return _result(
+        out, F.col("meta"), block_type=F.lit(block_type), match_ms=F.col("latest"),
+        emit_ms=F.col("we") - 1, match_message=message, matching_events=F.col("summaries"),
+        phase=F.col("phase"), window_start_ms=F.col("ws"), window_end_ms=F.col("we"),
+        event_count=F.col("total"), order_tb=F.col("ws"))
 
 
 # ---------------------------------------------------------------------------
@@ -190,10 +198,8 @@ def unique_threshold(matched: DataFrame, max_threshold: int) -> DataFrame:
     fire = top.where(F.col("rn") == F.col("threshold")).groupBy(*WKEY).agg(F.min("first_at").alias("fire_at"))
     upto = join_ns(ev, fire, WKEY, "inner").where(_arrival() <= F.col("fire_at"))
     initial = _summarise(_event_rows(upto), WKEY)
-    final = join_ns(_summarise(_pane_windows(u), WKEY), fire.select(*WKEY), WKEY, "left_semi")
-    msg = F.lit(MSG_UNIQUE)
-    return _windowed_result(initial, "UNIQUE_THRESHOLD", "initial", msg).unionByName(
-        _windowed_result(final, "UNIQUE_THRESHOLD", "final", msg))
+    final = _summarise(_pane_windows(u), WKEY)
+    return _initial_and_final(initial, final, "UNIQUE_THRESHOLD", F.lit(MSG_UNIQUE))
 
 
 # ---------------------------------------------------------------------------

@@ -123,7 +123,7 @@ def match_compiled(events: DataFrame, blocks: list[dict]) -> DataFrame:
             cond = cond & v
         conds.append(cond)
         uf = b.get("unique_field")
-        entries.append(F.when(cond, F.struct(
+        entries.append(F.array_repeat(F.struct(
             F.lit(b["rule_id"]).cast("string").alias("rule_id"),
             F.lit(b["rule_version"]).cast("int").alias("rule_version"),
             F.lit(b["base_severity"]).cast("int").alias("base_severity"),
@@ -140,12 +140,14 @@ def match_compiled(events: DataFrame, blocks: list[dict]) -> DataFrame:
             _group_by(fields, b["group_by_field"]).alias("group_by"),
             _agg_key(fields, b["agg_fields"]).alias("agg_key"),
             (_fv(fields, uf) if uf else F.lit(None).cast("string")).alias("unique_value"),
-        )))
+        ), F.when(cond, F.lit(1)).otherwise(F.lit(0))))
     if not entries:
         return events.sparkSession.createDataFrame([], _matched_schema(events))
     any_match = reduce(lambda a, c: a | c, conds)
     keep = ["customer", "event_ms", "arrival_seq", "content"] + _passthrough(events)
-    matches = F.filter(F.array(*entries), lambda x: x.isNotNull())
+    # one 0/1-element array per block, concatenated: plain expressions that
+    # stay inside whole-stage codegen (no lambda over the array)
+    matches = F.flatten(F.array(*entries))
     if events.isStreaming:
         # On a stream every event must reach the watermark: non-matching
         # events still advance event time.  Any filter here would be pushed
