@@ -23,6 +23,7 @@ event_ms, arrival_seq, content.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,10 @@ MATCHED_COLUMNS = [
 # Bounds that keep the rule side small enough to inline or broadcast.
 MAX_COMPILED_BLOCKS = 2000
 MAX_BROADCAST_BLOCKS = 20000
+# Up to this many blocks the conditions are generated into one projection;
+# beyond it generated code outgrows what the JVM compiles, and a collected
+# rule set is matched through the guard index instead (``match_indexed``).
+MAX_INLINE_BLOCKS = 32
 
 
 def _fv(fields: Column, key) -> Column:
@@ -203,11 +208,85 @@ def match_joined_blocks(events: DataFrame, rb: DataFrame, n_blocks: int | None =
     return reduce(lambda a, b: a.unionByName(b), outs)
 
 
-def _join_chunk(events: DataFrame, rb: DataFrame) -> DataFrame:
+def _guards(program) -> list[tuple[str, frozenset]]:
+    """Necessary equalities of a condition program: alternatives
+    ``(field, values)`` such that the condition can only be true when the
+    field's text is one of the values.  AND keeps every child's
+    alternatives; OR keeps a field all children constrain, with the union
+    of their values; other leaves give none."""
+    stack: list[list[tuple[str, frozenset]]] = []
+    for ins in program:
+        g = ins.asDict() if hasattr(ins, "asDict") else dict(ins)
+        op = g["op"]
+        if op == "eq" and g.get("key"):
+            v = g.get("val")
+            stack.append([(g["key"], frozenset() if v is None else frozenset([v]))])
+        elif op in ("and", "or"):
+            n = int(g.get("n") or 0)
+            kids = stack[len(stack) - n:] if n else []
+            del stack[len(stack) - n:]
+            if op == "and":
+                stack.append([a for k in kids for a in k])
+            elif kids:
+                common = set.intersection(*[{a[0] for a in k} for k in kids])
+                stack.append([(key, frozenset().union(*[min((a[1] for a in k if a[0] == key), key=len)
+                                                         for k in kids])) for key in sorted(common)])
+            else:
+                stack.append([])
+        else:
+            stack.append([])
+    return stack[-1] if stack else []
+
+
+def match_indexed(events: DataFrame, rules: DataFrame, blocks: list[dict]) -> DataFrame:
+    """J1-J4 for a collected rule set of any size, through a guard index.
+
+    Each block gets one necessary equality ``field in values`` from its
+    condition (the field with the most distinct guard values in the rule set
+    wins: it splits the rules finest).  Events are exploded over the few
+    guard fields and equi-joined with the broadcast (field, value) -> block
+    index, so an event meets only the blocks its values can satisfy; the
+    full condition is evaluated on those candidate pairs.  Blocks without a
+    guard go through the nested-loop broadcast join.  The index holds one
+    row per (block, guard value): configuration, checked before broadcast.
+    """
+    alts = [_guards(b.get("cond") or []) for b in blocks]
+    values = defaultdict(set)
+    for al in alts:
+        for k, vs in al:
+            values[k] |= vs
+    rb = rule_blocks(rules).withColumn("block_no", F.lit(None).cast("int"))
+    spark = events.sparkSession
+    rows, free, index = [], [], []
+    for i, (b, al) in enumerate(zip(blocks, alts)):
+        rows.append({**{c: b.get(c) for c in rb.columns}, "block_no": i})
+        if al:
+            k, vs = max(al, key=lambda a: (len(values[a[0]]), -len(a[1])))
+            index.extend((i, k, v) for v in sorted(vs))
+        else:
+            free.append(i)
+    if len(index) > MAX_BROADCAST_BLOCKS:
+        return match_joined(events, rules, len(blocks))
+    side = spark.createDataFrame(rows, rb.schema)
+    parts = []
+    if index:
+        idx = spark.createDataFrame(index, "block_no int, gk string, gv string")
+        keys = sorted({k for _, k, _ in index})
+        ev = events.select("*", F.explode(F.array(*[
+            F.struct(F.lit(k).alias("gk"), _fv(F.col("fields"), k).alias("gv")) for k in keys])).alias("g"))
+        parts.append(_join_chunk(ev, idx.join(side, "block_no"), guard=True))
+    if free:
+        parts.append(_join_chunk(events, side.where(F.col("block_no").isin(free))))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _join_chunk(events: DataFrame, rb: DataFrame, guard: bool = False) -> DataFrame:
     e = events.alias("e")
     r = F.broadcast(rb).alias("r")
     fields = F.col("e.fields")
     cond = eval_condition(F.col("r.cond"), lambda k: _fv(fields, k))
+    if guard:
+        cond = (F.col("e.g.gk") == F.col("r.gk")) & (F.col("e.g.gv") == F.col("r.gv")) & cond
     cond = cond & _group_ok(fields, F.col("r.group_by_field"))
     if "valid_from_ms" in rb.columns:
         cond = cond & (F.col("r.valid_from_ms").isNull() | (F.col("e.event_ms") >= F.col("r.valid_from_ms")))
@@ -231,6 +310,8 @@ def match(events: DataFrame, rules: DataFrame, mode: str = "auto") -> DataFrame:
     if mode in ("auto", "compiled"):
         blocks = collect_rule_blocks(rules)
         if blocks is not None:
+            if len(blocks) > MAX_INLINE_BLOCKS and mode == "auto" and not events.isStreaming:
+                return match_indexed(events, rules, blocks)
             return match_compiled(events, blocks)
         if mode == "compiled":
             raise ValueError(f"more than {MAX_COMPILED_BLOCKS} rule blocks; use mode='joined'")

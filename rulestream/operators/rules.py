@@ -98,7 +98,8 @@ def rules_from_json(spark: SparkSession, rules: Iterable[tuple[str, int, str]])
 
 def rule_blocks(rules: DataFrame) -> DataFrame:
     """One row per (rule version, block): the rule side of the match join."""
+    validity = [c for c in ("valid_from_ms", "valid_to_ms") if c in rules.columns]
     return rules.select(
         "rule_id", "rule_version", "base_severity", "group_by_field", "rule_window_size",
-        "rule_window_slide", "n_blocks", "rule_type", F.explode("blocks").alias("b")
+        "rule_window_slide", "n_blocks", "rule_type", *validity, F.explode("blocks").alias("b")
     ).select("*", "b.*").drop("b")

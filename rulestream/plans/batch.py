@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from rulestream.operators import blocks as B
 from rulestream.operators.alerts import simple_alerts
 from rulestream.operators.combine import combine
-from rulestream.operators.match import MAX_BROADCAST_BLOCKS, MAX_COMPILED_BLOCKS, match_compiled, match_joined
+from rulestream.operators.match import (MAX_BROADCAST_BLOCKS, MAX_COMPILED_BLOCKS, MAX_INLINE_BLOCKS,
+                                        match_compiled, match_indexed, match_joined)
 
 
 class RuleSet:
@@ -99,7 +100,9 @@ def run_blocks(events: DataFrame, rules, mode: str = "auto", cache_matched: bool
     """Events + rules (frame or RuleSet) -> block results."""
     rs = rules if isinstance(rules, RuleSet) else RuleSet(rules)
     facts = rs.facts
-    if rs.compiled and mode in ("auto", "compiled"):
+    if rs.compiled and mode == "auto" and len(rs.blocks) > MAX_INLINE_BLOCKS and not events.isStreaming:
+        matched = match_indexed(events, rs.frame, rs.blocks)
+    elif rs.compiled and mode in ("auto", "compiled"):
         matched = match_compiled(events, rs.blocks)
     else:
         matched = match_joined(events, rs.frame, facts["n_blocks"])

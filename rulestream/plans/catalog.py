@@ -152,6 +152,28 @@ RULES = {
                                                               eq("matchedRuleId", "err")))]))],
 }
 
+# The five event types of the driver's events table.
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _generated_rule(i: int) -> tuple[str, int, str]:
+    """Rule i of the 100-rule set: it watches events whose k is i, with one
+    of four condition shapes (equality, float comparison, regex, OR of ANDs)."""
+    k = eq("k", str(i))
+    form = i % 4
+    if form == 0:
+        c = all_of(eq("type", EVENT_TYPES[i % 5]), k)
+    elif form == 1:
+        c = all_of(k, cmp("value", "GREATER_THAN", 50))
+    elif form == 2:
+        c = all_of(k, regex("type", "^(click|view)$"))
+    else:
+        c = any_of(all_of(k, eq("type", "error")), all_of(k, cmp("value", "LESS_THAN", 5)))
+    return (f"r{i:03d}", 1, rule([block("SINGLE_EVENT", c)]))
+
+
+RULES["single_event_100"] = [_generated_rule(i) for i in range(100)]
+
 # A control log for the effective-dated replay query: version 1 watches
 # errors from 1 January, version 2 watches purchases from 15 January.
 HISTORY_LOG = [
@@ -261,6 +283,7 @@ def q_block_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "single_event": _blocks_query("single_event"),
+        "single_event_100": _blocks_query("single_event_100"),
         "nested_condition": _blocks_query("nested_condition"),
         "threshold": _blocks_query("threshold"),
         "threshold_small": _blocks_query("threshold_small"),
@@ -382,6 +405,20 @@ SELECT '{rule_id}' AS rule_id, customer, CAST(NULL AS VARCHAR) AS group_by, 0 AS
 FROM ev WHERE {where}"""
 
 
+def _generated_rules_sql() -> str:
+    types = ", ".join(f"'{t}'" for t in EVENT_TYPES)
+    return f"""WITH {EV}, e AS (SELECT *, TRY_CAST(k AS INTEGER) AS ki FROM ev)
+SELECT 'r' || lpad(ki::VARCHAR, 3, '0') AS rule_id, customer, CAST(NULL AS VARCHAR) AS group_by, 0 AS block_index,
+       'event' AS phase, CAST(NULL AS BIGINT) AS window_start_ms, CAST(NULL AS BIGINT) AS window_end_ms,
+       ms AS match_ms, 1::BIGINT AS event_count, 1::BIGINT AS n_keys,
+       'An event matching the specified conditions was observed.' AS match_message
+FROM e WHERE ki BETWEEN 0 AND 99 AND k = ki::VARCHAR AND (
+   (ki % 4 = 0 AND type = list_extract([{types}], ki % 5 + 1))
+   OR (ki % 4 = 1 AND value::FLOAT::DOUBLE > 50)
+   OR (ki % 4 = 2 AND regexp_matches(type, '^(click|view)$'))
+   OR (ki % 4 = 3 AND (type = 'error' OR value::FLOAT::DOUBLE < 5)))"""
+
+
 def _sequence_sql() -> str:
     size_ms, slide_ms = DAY * 1000, DAY // 2 * 1000
     return f"""WITH {EV},
@@ -515,6 +552,7 @@ GROUP BY w.customer, w.group_by, w.ws, w.bi"""
 def oracle_sql() -> dict[str, str]:
     return {
         "single_event": _single_sql("err", "type = 'error'"),
+        "single_event_100": _generated_rules_sql(),
         "nested_condition": _single_sql(
             "nested", "(type = 'purchase' OR value::FLOAT::DOUBLE > 45.5) AND regexp_matches(k, '^[1-4]')"),
         "threshold": _threshold_sql("thr24", DAY, DAY // 2, 5),
