@@ -20,13 +20,17 @@ def sliding_starts(ms: Column, size_ms: Column, slide_ms: Column) -> Column:
     """All starts s = floor(ms/slide)*slide - i*slide with s > ms - size.
 
     slide > size is legal (gaps: an event can fall in no window); a slide
-    that does not divide the size is legal too.
+    that does not divide the size is legal too.  The starts form one
+    arithmetic run, so they are a plain ``sequence`` (no lambda: the
+    expression stays inside whole-stage codegen).  With r = ms mod slide,
+    start i is valid while i * slide < size - r: ceil((size - r) / slide)
+    starts, none when the event falls in a gap.
     """
     last = ms - F.pmod(ms, slide_ms)
-    n = F.ceil(size_ms / slide_ms).cast("bigint")
-    starts = F.transform(F.sequence(F.lit(0).cast("bigint"), F.greatest(n, F.lit(1).cast("bigint"))),
-                         lambda i: last - i * slide_ms)
-    return F.filter(starts, lambda s: s > ms - size_ms)
+    room = size_ms - (ms - last)
+    count = F.floor((room + slide_ms - 1) / slide_ms).cast("bigint")
+    run = F.sequence(last, last - (count - 1) * slide_ms, -slide_ms)
+    return F.when((slide_ms > 0) & (room > 0), run).otherwise(F.array().cast("array<bigint>"))
 
 
 def tumbling_start(ms: Column, size_ms: Column) -> Column:

@@ -61,3 +61,19 @@ def test_group_by_with_equals_sign_skips_field(spark):
     docs = [json.loads(x["value"]) for x in alerts_to_json(run_rules(ev, rules_from_json(spark, [("r", 1, r)])))
             .collect()]
     assert docs and all("k" not in d for d in docs)          # Q14: 'k=a=b' does not split in two
+
+
+def test_sliding_starts_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(400):
+        size = rnd.choice([1, 2, 3, 5, 7, 10, 60]) * 1000
+        slide = rnd.choice([1, 2, 3, 4, 7, 10, 90]) * 1000
+        rows.append((rnd.randrange(0, 10 ** 7), size, slide))
+    df = spark.createDataFrame(rows, "ms bigint, size bigint, slide bigint")
+    got = {(r["ms"], r["size"], r["slide"]): sorted(r["s"]) for r in df.select(
+        "ms", "size", "slide", sliding_starts(F.col("ms"), F.col("size"), F.col("slide")).alias("s")).collect()}
+    for ms, size, slide in rows:
+        want = sorted(s for s in range(ms - ms % slide - 70 * slide, ms + 1, slide) if ms - size < s <= ms)
+        assert got[(ms, size, slide)] == want, (ms, size, slide)
