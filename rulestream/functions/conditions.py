@@ -170,27 +170,49 @@ def float_value(v: Column) -> Column:
     return v.try_cast("float").cast("double")
 
 
+def _eval_leaf(i: Column, field: Callable[[Column], Column]) -> Column:
+    """One leaf instruction -> nullable boolean (NULL = error / never)."""
+    v = field(i["key"])
+    fv = float_value(v)
+    empty = v == F.lit("")
+    return (F.when(i["op"] == "eq", v == i["val"])
+            .when(i["op"] == "regex", F.regexp(v, i["val"]))
+            .when(i["op"] == "gt", F.when(empty, F.lit(False)).otherwise(fv > i["num"]))
+            .when(i["op"] == "ge", F.when(empty, F.lit(False)).otherwise(fv >= i["num"]))
+            .when(i["op"] == "lt", F.when(empty, F.lit(False)).otherwise(fv < i["num"]))
+            .when(i["op"] == "le", F.when(empty, F.lit(False)).otherwise(fv <= i["num"]))
+            .otherwise(F.lit(None).cast("boolean")))
+
+
 def eval_condition(prog: Column, field: Callable[[Column], Column]) -> Column:
-    """Evaluate a postfix condition program per row; ``field(key)`` gives text ('' if missing)."""
+    """Evaluate a postfix condition program per row; ``field(key)`` gives text ('' if missing).
+
+    The two commonest shapes - one leaf, and AND/OR of two leaves - are
+    evaluated directly; other programs fold a boolean stack with
+    ``aggregate``.  All paths share C5's ordered error rule.
+    """
     def step(st, i):
-        v = field(i["key"])
-        fv = float_value(v)
-        empty = v == F.lit("")
-        leaf = (F.when(i["op"] == "eq", v == i["val"])
-                .when(i["op"] == "regex", F.regexp(v, i["val"]))
-                .when(i["op"] == "gt", F.when(empty, F.lit(False)).otherwise(fv > i["num"]))
-                .when(i["op"] == "ge", F.when(empty, F.lit(False)).otherwise(fv >= i["num"]))
-                .when(i["op"] == "lt", F.when(empty, F.lit(False)).otherwise(fv < i["num"]))
-                .when(i["op"] == "le", F.when(empty, F.lit(False)).otherwise(fv <= i["num"]))
-                .otherwise(F.lit(None).cast("boolean")))
+        leaf = _eval_leaf(i, field)
         n = F.coalesce(i["n"], F.lit(0))
         tail = F.slice(st, F.greatest(F.size(st) - n + 1, F.lit(1)), n)
         head = F.slice(st, F.lit(1), F.greatest(F.size(st) - n, F.lit(0)))
         folded = F.when(i["op"] == "or", _fold_or(tail)).otherwise(_fold_and(tail))
         return F.when(i["op"].isin("and", "or"), F.concat(head, F.array(folded))) \
             .otherwise(F.concat(st, F.array(leaf)))
-    out = F.aggregate(prog, F.array().cast("array<boolean>"), step)
-    return F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(False))
+    general = F.try_element_at(F.aggregate(prog, F.array().cast("array<boolean>"), step), F.lit(-1))
+
+    size = F.size(prog)
+    first, second, third = (F.try_element_at(prog, F.lit(k)) for k in (1, 2, 3))
+    composite = ("and", "or")
+    one_leaf = (size == 1) & ~first["op"].isin(*composite)
+    two_leaves = ((size == 3) & third["op"].isin(*composite) & (F.coalesce(third["n"], F.lit(0)) == 2)
+                  & ~first["op"].isin(*composite) & ~second["op"].isin(*composite))
+    x, y = _eval_leaf(first, field), _eval_leaf(second, field)
+    pair = (F.when(x.isNull(), F.lit(None).cast("boolean"))
+            .when(third["op"] == "or", F.when(x, F.lit(True)).otherwise(y))
+            .otherwise(F.when(x, y).otherwise(F.lit(False))))
+    out = F.when(one_leaf, _eval_leaf(first, field)).when(two_leaves, pair).otherwise(general)
+    return F.coalesce(out, F.lit(False))
 
 
 def eval_rule_condition(prog: Column, seen: Column, seq_ok: Column) -> Column:
