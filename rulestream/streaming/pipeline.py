@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rulestream.operators import blocks as B
 from rulestream.operators.alerts import simple_alerts
-from rulestream.operators.match import match_compiled, match_joined_blocks
+from rulestream.operators.match import MAX_INLINE_BLOCKS, match_compiled, match_indexed, match_joined_blocks
 from rulestream.operators.rules import rule_blocks
 from rulestream.schemas import WATERMARK_DELAY
 from rulestream.streaming.processors import (ALERT_OUT_SCHEMA, BLOCK_OUT_SCHEMA, BlockStateProcessor,
@@ -45,13 +45,22 @@ def with_event_time(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataFram
     return events.withColumn("event_ts", F.timestamp_millis("event_ms")).withWatermark("event_ts", delay)
 
 
-def stream_block_results(matched: DataFrame) -> DataFrame:
-    """Matched stream (with ``event_ts`` watermark) -> block-result stream."""
+def stream_block_results(matched: DataFrame, types: list[str] | None = None) -> DataFrame:
+    """Matched stream (with ``event_ts`` watermark) -> block-result stream.
+
+    ``types`` are the block types of a fixed rule set: the stateful branch
+    (a shuffle and a state-store commit per micro-batch) is planned only
+    when windowed blocks exist.  With rules as data (``None``) both are.
+    """
     single = B.single_event(matched).withColumn("emit_ts", F.timestamp_millis("emit_ms"))
+    if types is not None and not any(t in WINDOWED for t in types):
+        return single
     windowed = (matched.where(F.col("block_type").isin(*WINDOWED))
                 .groupBy(*KEY)
                 .transformWithState(BlockStateProcessor(), BLOCK_OUT_SCHEMA, "Append", "EventTime",
                                     eventTimeColumnName="emit_ts"))
+    if types is not None and "SINGLE_EVENT" not in types:
+        return windowed
     return single.unionByName(windowed)
 
 
@@ -66,14 +75,19 @@ def stream_alerts(events: DataFrame, rule_set=None, rule_side: DataFrame | None
     """
     ev = with_event_time(events, delay)
     if rule_set is not None:
-        matched = match_compiled(ev, rule_set.blocks)
+        if len(rule_set.blocks) > MAX_INLINE_BLOCKS:
+            # stream-static broadcast join with the guard index; the
+            # watermark node sits below it, so every event advances time
+            matched = match_indexed(ev, rule_set.frame, rule_set.blocks)
+        else:
+            matched = match_compiled(ev, rule_set.blocks)
         if programs is None:
             programs = {(r["rule_id"], r["rule_version"]): r["rule_program"]
                         for r in rule_set.frame.select("rule_id", "rule_version", "rule_program").collect()
                         if r["rule_program"] is not None}
     else:
         matched = match_joined_blocks(ev, rule_side, n_blocks=1)
-    blocks = stream_block_results(matched)
+    blocks = stream_block_results(matched, rule_set.facts["types"] if rule_set is not None else None)
     alerts = simple_alerts(blocks)
     if programs:
         complex_alerts = (blocks.where(F.col("rule_type") == "COMPLEX")

@@ -52,3 +52,21 @@ def test_indexed_equals_compiled(spark):
     b = sorted(tuple(r) for r in match_compiled(ev, rs.blocks).select(*cols).collect())
     assert a == b
     assert len(a) > 100
+
+
+def test_indexed_stream_equals_batch(spark):
+    from test_streaming import _lines, run_stream
+
+    from rulestream.plans.batch import run_blocks
+    from rulestream.sources.events import parse_events
+    rnd = random.Random(3)
+    n = MAX_INLINE_BLOCKS + 4
+    rs = RuleSet(rules_from_json(spark, [(f"r{i}", 1, rule([block("SINGLE_EVENT", _conditions(i))]))
+                                         for i in range(n)]))
+    specs = [(t, {"type": rnd.choice(["a", "b", "c"]), "k": str(rnd.randrange(8)), "v": str(rnd.randrange(12))})
+             for t in range(60)]
+    lines = _lines(specs)
+    got = sorted((a["rule_id"], a["match_ms"]) for a in run_stream(spark, [lines[:30], lines[30:]], rule_set=rs))
+    batch = parse_events(spark.createDataFrame([(x,) for x in lines], "content string"), on_bad_ts="drop")
+    want = sorted((r["rule_id"], r["match_ms"]) for r in run_blocks(batch, rs).collect())
+    assert got == want and len(got) > 20
