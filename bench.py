@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from rulestream.plans import catalog  # noqa: E402
 from rulestream.session import local_session  # noqa: E402
 
-HEADLINE = ["single_event", "single_event_100", "nested_condition", "threshold", "threshold_small", "unique_threshold",
+HEADLINE = ["single_event", "single_event_100", "nested_condition", "threshold", "threshold_small", "threshold_fine", "unique_threshold",
             "anomaly_1h", "drop_to_zero", "sequence_alerts", "all_blocks_alerts", "matched_joined"]
 
 

@@ -146,15 +146,38 @@ def _threshold_msg() -> Column:
 # B2-B4 THRESHOLD
 # ---------------------------------------------------------------------------
 
-def threshold(matched: DataFrame, max_threshold: int) -> DataFrame:
+# Above this many sliding windows per event, first-N selection is done per
+# pane before the explosion (one more shuffle, of at most N rows per pane).
+PANE_LIMIT_FAN = 4
+
+
+def _pane_heads(t: DataFrame, k: int) -> DataFrame:
+    """Each pane's first ``k`` events, assigned to the sliding windows that
+    contain the pane.  Panes tile windows exactly, so a window's first k
+    events are among its panes' first k: the explosion multiplies at most k
+    rows per pane instead of every event."""
+    size, slide = sec_to_ms("window_size"), sec_to_ms("window_slide")
+    d = t.withColumn("size_ms", size).withColumn("slide_ms", slide)
+    d = d.withColumn("pane", tumbling_start(F.col("event_ms"), pane_ms(F.col("size_ms"), F.col("slide_ms"))))
+    prn = F.row_number().over(Window.partitionBy(*KEY, "size_ms", "slide_ms", "pane")
+                              .orderBy("event_ms", "arrival_seq"))
+    heads = d.withColumn("prn", prn).where(F.col("prn") <= F.lit(k)).drop("prn")
+    w = heads.select("*", F.explode(sliding_starts(F.col("pane"), F.col("size_ms"), F.col("slide_ms"))).alias("ws"))
+    return w.withColumn("we", F.col("ws") + F.col("size_ms"))
+
+
+def threshold(matched: DataFrame, max_threshold: int, max_fan: int | None = None) -> DataFrame:
     """Initial firing when the running count of a window reaches THRESHOLD
     (content: the first N events in arrival order) and a final firing at
     window end with every event of the window.  ``max_threshold`` is the
-    largest THRESHOLD of the rule set (a plan literal for the group limit)."""
+    largest THRESHOLD of the rule set (a plan literal for the group limit);
+    ``max_fan`` the largest number of sliding windows per event (None:
+    unknown, treated as large)."""
     t = matched.where((F.col("block_type") == "THRESHOLD") & (F.col("threshold") > 0))
-    ev = _exploded_events(t)
+    k = int(max(1, max_threshold))
+    ev = _exploded_events(t) if max_fan is not None and max_fan <= PANE_LIMIT_FAN else _pane_heads(t, k)
     rn = F.row_number().over(Window.partitionBy(*WKEY).orderBy("event_ms", "arrival_seq"))
-    top = ev.withColumn("rn", rn).where(F.col("rn") <= F.lit(int(max(1, max_threshold))))
+    top = ev.withColumn("rn", rn).where(F.col("rn") <= F.lit(k))
     fire_rn = F.min(F.when(F.col("rn") == F.col("threshold"), F.col("rn"))).over(Window.partitionBy(*WKEY))
     first_n = top.withColumn("fire_rn", fire_rn).where(F.col("rn") <= F.col("fire_rn"))
     initial = _summarise(_event_rows(first_n), WKEY)
@@ -256,12 +279,12 @@ def drop_to_zero(matched: DataFrame) -> DataFrame:
 # B13 processor registry
 # ---------------------------------------------------------------------------
 
-def processors(max_threshold: int = 1) -> dict:
+def processors(max_threshold: int = 1, max_fan: int | None = None) -> dict:
     """block type -> function(matched) -> block results.  Extend by adding
     entries (the reference's plug-in surface)."""
     return {
         "SINGLE_EVENT": single_event,
-        "THRESHOLD": lambda m: threshold(m, max_threshold),
+        "THRESHOLD": lambda m: threshold(m, max_threshold, max_fan),
         "UNIQUE_THRESHOLD": lambda m: unique_threshold(m, max_threshold),
         "SIMPLE_ANOMALY": simple_anomaly,
         "DROP_TO_ZERO": drop_to_zero,

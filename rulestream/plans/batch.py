@@ -53,17 +53,20 @@ class RuleSet:
 
 
 def _facts_from_rows(rows: list[dict]) -> dict:
-    types, thr, seq = [], 0, 0
+    types, thr, seq, fan = [], 0, 0, 0
     for r in rows:
         for b in r.get("blocks") or []:
             if b.get("block_type") and b["block_type"] not in types:
                 types.append(b["block_type"])
             thr = max(thr, b.get("threshold") or 0)
+            size, slide = b.get("window_size") or 0, b.get("window_slide") or 0
+            if size > 0 and slide > 0:
+                fan = max(fan, -(-size // slide))
         for x in r.get("rule_program") or []:
             if x.get("op") == "seq":
                 seq = max(seq, len(x.get("idx") or []))
     return {"n_rules": len(rows), "n_blocks": sum(len(r.get("blocks") or []) for r in rows),
-            "max_threshold": thr, "max_seq": seq, "types": types,
+            "max_threshold": thr, "max_seq": seq, "types": types, "max_fan": fan,
             "any_complex": any(r.get("rule_type") == "COMPLEX" for r in rows),
             "any_simple": any(r.get("rule_type") != "COMPLEX" for r in rows)}
 
@@ -88,8 +91,9 @@ def rule_set_facts(rules: DataFrame) -> dict:
             "any_simple": bool(r["any_simple"])}
 
 
-def block_results(matched: DataFrame, types: list[str], max_threshold: int) -> DataFrame:
-    procs = B.processors(max_threshold)
+def block_results(matched: DataFrame, types: list[str], max_threshold: int,
+                  max_fan: int | None = None) -> DataFrame:
+    procs = B.processors(max_threshold, max_fan)
     parts = [procs[t](matched) for t in types if t in procs]
     if not parts:
         return B.single_event(matched.where(F.lit(False)))
@@ -111,7 +115,7 @@ def run_blocks(events: DataFrame, rules, mode: str = "auto", cache_matched: bool
     if cache_matched and consumers > 1:
         # several block processors read the matches: scan and match once
         matched = matched.persist(StorageLevel.MEMORY_AND_DISK)
-    return block_results(matched, types, facts["max_threshold"])
+    return block_results(matched, types, facts["max_threshold"], facts.get("max_fan"))
 
 
 def run_rules(events: DataFrame, rules, mode: str = "auto", materialize: bool = True) -> DataFrame:

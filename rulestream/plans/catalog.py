@@ -110,6 +110,8 @@ RULES = {
                                             THRESHOLD=5)], group_by="customer"))],
     "threshold_small": [("thr6", 1, rule([block("THRESHOLD", eq("type", "error"), 6 * HOUR, 2 * HOUR, ["user"],
                                                 THRESHOLD=3)], group_by="customer"))],
+    "threshold_fine": [("thrfine", 1, rule([block("THRESHOLD", eq("type", "error"), 6 * HOUR, HOUR // 2, ["user"],
+                                                 THRESHOLD=4)], group_by="customer"))],
     "unique_threshold": [("uniq", 1, rule([block("UNIQUE_THRESHOLD", eq("type", "error"), DAY, DAY // 2, ["user"],
                                                  THRESHOLD=3, UNIQUE_FIELD="user")], group_by="customer"))],
     "anomaly_6h": [("anom6", 1, rule([block("SIMPLE_ANOMALY", eq("customer", "0"), 6 * HOUR, 0,
@@ -287,6 +289,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nested_condition": _blocks_query("nested_condition"),
         "threshold": _blocks_query("threshold"),
         "threshold_small": _blocks_query("threshold_small"),
+        "threshold_fine": _blocks_query("threshold_fine"),
         "unique_threshold": _blocks_query("unique_threshold"),
         "anomaly_6h": _blocks_query("anomaly_6h"),
         "anomaly_1h": _blocks_query("anomaly_1h"),
@@ -557,6 +560,7 @@ def oracle_sql() -> dict[str, str]:
             "nested", "(type = 'purchase' OR value::FLOAT::DOUBLE > 45.5) AND regexp_matches(k, '^[1-4]')"),
         "threshold": _threshold_sql("thr24", DAY, DAY // 2, 5),
         "threshold_small": _threshold_sql("thr6", 6 * HOUR, 2 * HOUR, 3),
+        "threshold_fine": _threshold_sql("thrfine", 6 * HOUR, HOUR // 2, 4),
         "unique_threshold": _unique_sql("uniq", DAY, DAY // 2, 3),
         "anomaly_6h": _anomaly_sql("anom6", "customer = '0'", 6 * HOUR, 2),
         "anomaly_1h": _anomaly_sql("anom1", "true", HOUR, 2),
