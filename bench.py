@@ -30,7 +30,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="rulestream-bench")
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="rulestream-bench",
+                          extra={"spark.ui.showConsoleProgress": "false"})
     qs = catalog.queries()
     times, rows = {}, {}
     for name in names:
