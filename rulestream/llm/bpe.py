@@ -32,6 +32,7 @@ from rulestream.llm.common import batches
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD_END = "</w>"
+_TRAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # signs of which a run is one piece
 _SPLIT = re.compile(f"[{_SPACES}]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 NEVER = 1 << 30
@@ -92,7 +93,8 @@ class WordBpe:
         parts = [(texts.get(i, "") + " ").encode() for i in range(max(texts) + 1)]
         self.blob = np.frombuffer(b"".join(parts), np.uint8)
         self.offset = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        self.pairs: dict[int, bool] = {}
+        self.pairs: list[dict[int, bool]] = [{} for _ in range(len(self.symbols) + 1)]  # by left token; the last row (-1) is a word's start
+        self.n_pairs = 0
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -141,41 +143,46 @@ class WordBpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether tokens a, b may stand side by side; a = -1: b, merged from its symbols, is itself."""
-        key = (a + 1) << 20 | b
-        got = self.pairs.get(key)
+        row = self.pairs[a]
+        got = row.get(b)
         if got is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            got = self.pairs[key] = self._merge(self.symbols[b]) == [b] if a < 0 else self._check(a, b)
+            self.n_pairs += 1
+            if self.n_pairs > PAIRS:
+                self.n_pairs = 0
+                for r in self.pairs:
+                    r.clear()
+            got = row[b] = self._merge(self.symbols[b]) == [b] if a < 0 else self._check(a, b)
         return got
 
     def _backtrack(self, word: str) -> list[int]:
         """Longest tokens first, stepping back where no token fits; each position is given up at most once."""
-        size, known, shorter = self.size, self.pairs, self.shorter
+        size, shorter, pairs = self.size, self.shorter, self.pairs
         longest = [-1] * len(word)
         for end, token in self.automaton.iter(word):
             longest[end + 1 - size[token]] = token
         out: list[int] = []
         dead: set[int] = set()
-        pos, token, n = 0, longest[0], len(word)
+        pos, token, n, before = 0, longest[0], len(word), -1
         while True:
-            before = out[-1] if out else -1
+            row = pairs[before]
             while token >= 0:
-                if pos + size[token] not in dead:
-                    fits = known.get((before + 1) << 20 | token)
-                    if fits or fits is None and self.compatible(before, token):
-                        break
+                fits = row.get(token)
+                if fits is None:
+                    fits = self.compatible(before, token)
+                if fits and not (dead and pos + size[token] in dead):
+                    break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
                 pos += size[token]
                 if pos == n:
                     return out
-                token = longest[pos]
+                before, token = token, longest[pos]
             else:
                 dead.add(pos)
                 token = out.pop()
                 pos -= size[token]
+                before = out[-1] if out else -1
                 token = shorter[token]
 
     def _piece(self, piece: str) -> bytes:
@@ -185,17 +192,22 @@ class WordBpe:
         ids = [token] if token is not None and self.compatible(-1, token) else self._backtrack(word)
         got = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
-            if len(self.pieces) >= CACHE:
+            if len(self.pieces) >= 2 * CACHE:
                 self.pieces.clear()
             self.pieces[piece] = got
         return got
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run without white space, from its words' ids."""
-        if chunk.isalpha():
-            got = self.pieces.get(chunk) or self._piece(chunk)
+        pieces = self.pieces
+        word = chunk.rstrip(_TRAIL)
+        if word.isalpha():
+            got = pieces.get(word) or self._piece(word)
+            if len(word) < len(chunk):  # the signs after a word are one piece
+                tail = chunk[len(word):]
+                got += pieces.get(tail) or self._piece(tail)
         else:
-            got = b"".join([self.pieces.get(p) or self._piece(p) for p in self.find(chunk)])
+            got = b"".join([pieces.get(p) or self._piece(p) for p in self.find(chunk)])
         if len(chunk) <= 64:
             if len(self.chunks) >= CACHE:
                 self.chunks.clear()
