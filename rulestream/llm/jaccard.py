@@ -3,7 +3,8 @@
 A document is its set of distinct 5-word shingles (64-bit hashes).  Shingles are hashed into ``GROUPS`` groups, and a
 document's group counts are a point.  The overlap of two sets is at most the sum over groups of the smaller count, and
 over a box of points at most that sum against the box's upper corner: an R-tree over the points finds all documents
-whose bound reaches the overlap that the threshold needs; those are verified on the sets themselves.
+whose bound reaches the overlap that the threshold needs.  Larger sets have more groups; the tree holds the vectors folded to
+``GROUPS``, its results are bounded once more by the unfolded ones, and verified on the sets themselves.
 
 Distribution without loss: linked sets share one of the first ``n - ceil(t n) + 1`` shingles of any fixed order, so each
 of these is a bucket.  The order puts frequent shingles last (frequencies from a sketch of 2**16 counters over all
@@ -15,7 +16,8 @@ the rest, of which buckets with the same members count once, is dealt to tasks a
 points.  A task builds the R-tree of one block, searches it for the points of the other, and returns surviving pairs
 of different components, which are verified too.  So no link between different components is lost.
 
-A set travels to verification once per partner; the partner's set is sent once per ``SALT_ROWS`` of them.
+Only documents of pairs that pass the bounds are read again, by a bitmap of fixed size over their ids and an exact
+join behind it.  A set travels to verification once per partner; the partner's set is sent once per ``SALT_ROWS`` of them.
 
 Null or wordless texts are empty sets and linked with nothing; null ids are kept and linked with nothing; rows that
 share an id are one document for linking, each with its own set size.  Other columns are not carried.
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,6 +41,7 @@ SKETCH_BITS = 16
 BLOCK_ROWS = 2048
 SALT_ROWS = 256
 LEAF = 32
+FILTER_BITS = 20
 PERCENT = 80
 
 
@@ -72,6 +76,30 @@ def set_id(s: np.ndarray) -> int:
     return int(mix64(np.array([x], np.uint64)).view(np.int64)[0])
 
 
+def count_vector(s: np.ndarray) -> np.ndarray:
+    """Counts by group; ``GROUPS`` of them or the power of two over a quarter of the set's size, so few fall into one."""
+    groups = max(GROUPS, 1 << max(0, (len(s) // 4).bit_length()))
+    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype("<u4" if len(s) > 60000 else "<u2")
+
+
+def _vector(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u4" if n > 60000 else "<u2").astype(np.int64)
+
+
+def fold(v: np.ndarray, groups: int) -> np.ndarray:
+    """The coarser vector: groups that are equal modulo ``groups`` are one."""
+    return v.reshape(-1, groups).sum(0)
+
+
+def may_link(v: np.ndarray, n: int, w: np.ndarray, m: int, percent: int = PERCENT) -> bool:
+    """Whether the sum of coordinate minima reaches the overlap that sets of sizes n and m need."""
+    if n * 100 < m * percent or m * 100 < n * percent:
+        return False
+    groups = min(len(v), len(w))
+    bound = int(np.minimum(v if len(v) == groups else fold(v, groups), w if len(w) == groups else fold(w, groups)).sum())
+    return bound * (100 + percent) >= percent * (n + m)
+
+
 def prefix(s: np.ndarray, levels: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The first n - ceil(t n) + 1 shingles in the order (level, hash)."""
     n = len(s)
@@ -89,8 +117,8 @@ def _features(levels: np.ndarray, percent: int):
                     n.append(len(s))
                     sid.append(set_id(s) if len(s) else None)
                     keys.append(prefix(s, levels, percent).view(np.int64) if len(s) else None)
-                    counts.append(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32) if len(s) else None)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))], names=["id", "n", "sid", "keys", "counts"])
+                    counts.append(count_vector(s).tobytes() if len(s) else None)
+            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.binary())], names=["id", "n", "sid", "keys", "counts"])
 
     return run
 
@@ -158,8 +186,14 @@ def _search_blocks(percent: int):
     def task(home, other):
         if not home:
             return
-        sid, comp, n, points = (np.concatenate(c) for c in zip(*home))
-        ysid, ycomp, yn, ypoints = (np.concatenate(c) for c in zip(*other)) if other else (sid, comp, n, points)
+        sid, comp, n = (np.array(c) for c in list(zip(*home))[:3])
+        fine = [_vector(r[3], r[2]) for r in home]
+        points = np.array([fold(v, GROUPS) for v in fine])
+        ysid, ycomp, yn, yfine, ypoints = sid, comp, n, fine, points
+        if other:
+            ysid, ycomp, yn = (np.array(c) for c in list(zip(*other))[:3])
+            yfine = [_vector(r[3], r[2]) for r in other]
+            ypoints = np.array([fold(v, GROUPS) for v in yfine])
         tree = RTree(ypoints, yn)
         for lo in range(0, len(sid), 256):
             q, p = tree.search(points[lo:lo + 256], n[lo:lo + 256], percent)
@@ -167,42 +201,60 @@ def _search_blocks(percent: int):
             keep = comp[q] != ycomp[p]
             if not other:
                 keep &= sid[q] < ysid[p]
-            if keep.any():
-                yield pa.record_batch([pa.array(np.maximum(sid[q[keep]], ysid[p[keep]])), pa.array(np.minimum(sid[q[keep]], ysid[p[keep]]))], schema=schema)
+            q, p = q[keep], p[keep]
+            fits = np.array([may_link(fine[i], n[i], yfine[j], yn[j], percent) for i, j in zip(q.tolist(), p.tolist())], bool)
+            if fits.any():
+                x, y = sid[q[fits]], ysid[p[fits]]
+                yield pa.record_batch([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], schema=schema)
 
     def run(it):
         now, home, other = None, [], []
         for batch in it:
-            key, i, j, side = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            change = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0) | (np.diff(side) != 0)) + 1
-            for a, b in zip([0, *change], [*change, len(key)]):
-                if now != (key[a], i[a], j[a]):
+            for key, i, j, side, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != (key, i, j):
                     if now is not None:
                         yield from task(home, other)
-                    now, home, other = (key[a], i[a], j[a]), [], []
-                part = batch.slice(a, b - a)
-                points = part.column(7).flatten().to_numpy().reshape(-1, GROUPS).astype(np.int64)
-                (other if side[a] else home).append((part.column(4).to_numpy(), part.column(5).to_numpy(), part.column(6).to_numpy(), points))
+                    now, home, other = (key, i, j), [], []
+                (other if side else home).append(row)
         if now is not None:
             yield from task(home, other)
 
     return run
 
 
-def _sets(it):
-    """Per document needed for verification: its set, for every partner it is sent to and every salt it receives partners in."""
-    for batch in it:
-        sid, firsts, spread = (batch.column(k).to_pylist() for k in (1, 2, 3))
-        for a, b, w in words_of(batch.column(0)):
-            out = []
-            for r, s in zip(range(a, b), shingles(w)):
-                if not len(s) or set_id(s) != sid[r]:
-                    continue  # another text under the same id
-                raw = s.tobytes()
-                out += [(sid[r], salt, 0, sid[r], raw) for salt in range(spread[r] or 0)]
-                out += [(f["b"], f["salt"], 1, sid[r], raw) for f in firsts[r] or ()]
-            for k in range(0, len(out), 512):
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out[k:k + 512]), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=["b", "salt", "side", "a", "s"])
+def _bit(ids: np.ndarray) -> np.ndarray:
+    return (mix64(ids.view(np.uint64)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size (2**FILTER_BITS bits) in which every id's bit is set; others' are set by chance."""
+
+    def run(it):
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in it:
+            bits[_bit(batch.column(0).to_numpy())] = True
+        yield pa.record_batch([pa.array([np.packbits(bits).tobytes()])], names=["bits"])
+
+    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    for r in ids.repartition(8).mapInArrow(run, "bits binary").collect():
+        out |= np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def _sets(bitmap: np.ndarray):
+    """(sid, set) of the documents whose id may be wanted."""
+
+    def run(it):
+        wanted = np.unpackbits(bitmap).astype(bool)
+        for batch in it:
+            some = pc.fill_null(batch.column(1).filter(pa.array(wanted[_bit(batch.column(0).to_numpy())])), "")
+            for _, _, w in words_of(some):
+                sets = [s for s in shingles(w) if len(s)]
+                for k in range(0, len(sets), 512):
+                    part = sets[k:k + 512]
+                    yield pa.record_batch([pa.array([set_id(s) for s in part], pa.int64()), pa.array([s.tobytes() for s in part], pa.binary())], names=["sid", "s"])
+
+    return run
 
 
 def _verify(percent: int):
@@ -229,27 +281,37 @@ def _verify(percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of set ids whose sets are similar."""
+    """The pairs (a, b) of set ids whose sets are similar.  Equal sets under several ids are sent once per id at most."""
     spread = pairs.groupBy("b").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("spread"))
-    firsts = pairs.join(spread, "b").select("a", F.struct("b", F.pmod(F.xxhash64("a"), F.col("spread")).cast("int").alias("salt")).alias("f")).groupBy("a").agg(F.collect_list("f").alias("firsts"))
-    roles = firsts.withColumnRenamed("a", "sid").join(spread.withColumnRenamed("b", "sid"), "sid", "full").join(sets.select("sid", "id"), "sid")
-    rows = docs.join(roles, "id").select("text", "sid", "firsts", "spread")
-    dealt = rows.mapInArrow(_sets, "b bigint, salt int, side int, a bigint, s binary").repartition("b", "salt").sortWithinPartitions("b", "salt", "side")
+    to = pairs.join(spread, "b").select(F.col("a").alias("sid"), "b", F.pmod(F.xxhash64("a"), F.col("spread")).cast("int").alias("salt"), F.lit(1).alias("side"))
+    own = spread.select(F.col("b").alias("sid"), "b", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("salt"), F.lit(0).alias("side"))
+    roles = to.unionByName(own)
+    ids = roles.select("sid").distinct().join(sets.select("sid", "id"), "sid").select("id")
+    found = docs.where("id is not null").mapInArrow(_sets(_id_filter(ids)), "sid bigint, s binary")
+    dealt = found.join(roles, "sid").select("b", "salt", "side", F.col("sid").alias("a"), "s").repartition("b", "salt").sortWithinPartitions("b", "salt", "side")
     return dealt.mapInArrow(_verify(percent), "a bigint, b bigint")
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and summed coordinate minima allow the threshold."""
-    p = pairs.join(sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca")), "a").join(sets.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb")), "b")
-    bound = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return p.where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)).where(bound * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+
+    def run(it):
+        for batch in it:
+            a, b, n, m, v, w = (c.to_pylist() for c in batch.columns)
+            keep = [may_link(_vector(x, i), i, _vector(y, j), j, percent) for i, j, x, y in zip(n, m, v, w)]
+            yield pa.record_batch([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+
+    p = pairs.join(sets.select(F.col("sid").alias("a"), F.col("n").alias("na")), "a").join(sets.select(F.col("sid").alias("b"), F.col("n").alias("nb")), "b")
+    p = p.where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent))
+    p = p.join(sets.select(F.col("sid").alias("a"), F.col("counts").alias("ca")), "a").join(sets.select(F.col("sid").alias("b"), F.col("counts").alias("cb")), "b")
+    return p.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a bigint, b bigint")
 
 
 def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, n_shingles, component_id), one row per input row."""
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     levels = _levels(_sketch(docs))
-    feats = cut(docs.mapInArrow(_features(levels, percent), "id bigint, n bigint, sid bigint, keys array<bigint>, counts array<int>"))
+    feats = cut(docs.mapInArrow(_features(levels, percent), "id bigint, n bigint, sid bigint, keys array<bigint>, counts binary"))
     own = feats.where("id is not null and sid is not null")
     sets = cut(own.groupBy("sid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts")))
     keys = own.select("sid", F.explode("keys").alias("key"))

@@ -21,7 +21,7 @@ _BYTE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.random.default_rng(20240502).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHINGLE = 5
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 @dataclass
