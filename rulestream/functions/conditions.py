@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.schemas import COMPARISON_TYPES
+from rulestream.session import ensure_checkpoint_dir
 
 
 def _cls(m: Column) -> Column:
@@ -63,7 +64,7 @@ def _regex_ok(rx: Column) -> Column:
 def _cond_node(m: Column, cls: Column, nkids: Column) -> Column:
     """One block-condition node -> program instruction."""
     key = m["key"]
-    cmp_case = F.upper(m["type"])
+    cmp_case = m["type"]
     cmp_op = F.when(m["type"].isNull(), F.lit("err"))
     for jtype, op in COMPARISON_TYPES.items():
         cmp_op = cmp_op.when(cmp_case == jtype, F.lit(op))
@@ -71,7 +72,7 @@ def _cond_node(m: Column, cls: Column, nkids: Column) -> Column:
     regex = m["regex"]
     regex_op = F.when(regex.isNull(), F.lit("err")).when(_regex_ok(regex), F.lit("regex")).otherwise(F.lit("err"))
     num = F.coalesce(m["thresholdValue"].try_cast("double"), F.lit(0.0))
-    ctype = F.upper(m["type"])
+    ctype = m["type"]
     comp_kind = (F.when(m["type"].isNull() | (ctype == "AND"), F.lit("and"))
                  .when(ctype == "OR", F.lit("or")).otherwise(F.lit("bad")))
     unknown = F.size(F.array_except(F.map_keys(m), F.when(cls == "EqualCondition", _keys("key", "value"))
@@ -90,7 +91,7 @@ def _rule_node(m: Column, cls: Column, nkids: Column) -> Column:
     """One rule-condition node -> program instruction."""
     idx = F.from_json(m["blockIndices"], "array<int>")
     entries = F.from_json(m["conditions"], "array<struct<blockIndex:int,notPresent:boolean>>")
-    ctype = F.upper(m["type"])
+    ctype = m["type"]
     comp_kind = (F.when(m["type"].isNull() | (ctype == "AND"), F.lit("and"))
                  .when(ctype == "OR", F.lit("or")).otherwise(F.lit("bad")))
     unknown = F.size(F.array_except(F.map_keys(m), F.when(
@@ -106,17 +107,20 @@ def _rule_node(m: Column, cls: Column, nkids: Column) -> Column:
             .otherwise(_rop("bad")))
 
 
+PLAIN_LEVELS = 4
 _COMPOSITES = {"cond": "CompositeCondition", "rule": "CompositeRuleCondition"}
 
 
 def flatten_trees(df: DataFrame, id_cols: list[str], js_col: str, kind: str,
-                  out_col: str, max_depth: int = 64) -> DataFrame:
+                  out_col: str) -> DataFrame:
     """JSON condition trees -> postfix programs, one tree level per step.
 
     Each step parses the current level's nodes and explodes the children of
     composite nodes with their path; the loop ends when a level has no
     composite nodes (a small action on the rules frame, which is
-    configuration-sized).  Nodes are then ordered post-order by a path key
+    configuration-sized), however deep the trees are.  From level
+    ``PLAIN_LEVELS`` on every level is checkpointed, so a deep tree costs one
+    pass per level.  Nodes are then ordered post-order by their path
     (children before parents, siblings in order) and collected per tree.
     Rows whose tree is NULL get a NULL program.
     """
@@ -125,7 +129,10 @@ def flatten_trees(df: DataFrame, id_cols: list[str], js_col: str, kind: str,
     frontier = df.select(*id_cols, F.array().cast("array<int>").alias("path"), F.col(js_col).alias("js")) \
                  .where(F.col("js").isNotNull())
     levels = []
-    for _ in range(max_depth):
+    while True:
+        if len(levels) >= PLAIN_LEVELS:
+            ensure_checkpoint_dir(df.sparkSession)
+            frontier = frontier.checkpoint(eager=True)
         m = F.from_json("js", "map<string,string>")
         lvl = frontier.select(*id_cols, "path", m.alias("m")).select(
             *id_cols, "path", "m", _cls(F.col("m")).alias("cls"))
@@ -141,10 +148,9 @@ def flatten_trees(df: DataFrame, id_cols: list[str], js_col: str, kind: str,
     nodes = levels[0]
     for lv in levels[1:]:
         nodes = nodes.unionByName(lv)
-    # '000001.000000.~' sorts before '000001.~' (child before parent) and
-    # before '000002.~' (siblings in order); the root's key is '~'.
-    key = F.concat(F.array_join(F.transform("path", lambda i: F.concat(F.lpad(i.cast("string"), 6, "0"),
-                                                                         F.lit("."))), ""), F.lit("~"))
+    # paths end in the largest int: [1, 0, max] sorts before [1, max] (child
+    # before parent) and before [2, max] (siblings in order).
+    key = F.concat("path", F.array(F.lit(2**31 - 1)))
     progs = nodes.groupBy(*id_cols).agg(
         F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col("ins").alias("ins")))).alias("p")
     ).select(*id_cols, F.transform("p", lambda x: x["ins"]).alias(out_col))
@@ -187,6 +193,8 @@ def _eval_leaf(i: Column, field: Callable[[Column], Column]) -> Column:
 def eval_condition(prog: Column, field: Callable[[Column], Column]) -> Column:
     """Evaluate a postfix condition program per row; ``field(key)`` gives text ('' if missing).
 
+    A composite without all its operands never matches.
+
     The two commonest shapes - one leaf, and AND/OR of two leaves - are
     evaluated directly; other programs fold a boolean stack with
     ``aggregate``.  All paths share C5's ordered error rule.
@@ -196,7 +204,8 @@ def eval_condition(prog: Column, field: Callable[[Column], Column]) -> Column:
         n = F.coalesce(i["n"], F.lit(0))
         tail = F.slice(st, F.greatest(F.size(st) - n + 1, F.lit(1)), n)
         head = F.slice(st, F.lit(1), F.greatest(F.size(st) - n, F.lit(0)))
-        folded = F.when(i["op"] == "or", _fold_or(tail)).otherwise(_fold_and(tail))
+        folded = F.when((n < 1) | (F.size(st) < n), F.lit(None).cast("boolean")) \
+            .when(i["op"] == "or", _fold_or(tail)).otherwise(_fold_and(tail))
         return F.when(i["op"].isin("and", "or"), F.concat(head, F.array(folded))) \
             .otherwise(F.concat(st, F.array(leaf)))
     general = F.try_element_at(F.aggregate(prog, F.array().cast("array<boolean>"), step), F.lit(-1))
@@ -229,7 +238,8 @@ def eval_rule_condition(prog: Column, seen: Column, seq_ok: Column) -> Column:
         n = F.coalesce(x["n"], F.lit(0))
         tail = F.slice(st, F.greatest(F.size(st) - n + 1, F.lit(1)), n)
         head = F.slice(st, F.lit(1), F.greatest(F.size(st) - n, F.lit(0)))
-        folded = F.when(x["op"] == "or", F.exists(tail, lambda b: b)).otherwise(F.forall(tail, lambda b: b))
+        folded = F.when((n < 1) | (F.size(st) < n), F.lit(False)) \
+            .when(x["op"] == "or", F.exists(tail, lambda b: b)).otherwise(F.forall(tail, lambda b: b))
         return F.when(x["op"].isin("and", "or"), F.concat(head, F.array(folded))) \
             .otherwise(F.concat(st, F.array(F.coalesce(leaf, F.lit(False)))))
     out = F.aggregate(indexed, F.array().cast("array<boolean>"), step)
@@ -278,7 +288,10 @@ def compile_condition(program: Sequence, field: Callable[[str], Column]) -> Colu
             stack.append(_Node(F.when(raw == F.lit(""), F.lit(False)).otherwise(cmp), True))
         elif op in ("and", "or"):
             n = int(g.get("n") or 0)
-            kids = stack[len(stack) - n:] if n else []
+            if not 1 <= n <= len(stack):  # operands are missing: never matches
+                stack.append(_Node(F.lit(None).cast("boolean"), True))
+                continue
+            kids = stack[len(stack) - n:]
             del stack[len(stack) - n:]
             stack.append(_fold_nodes(op, kids))
         else:  # err / bad: never matches
@@ -290,8 +303,6 @@ def compile_condition(program: Sequence, field: Callable[[str], Column]) -> Colu
 
 
 def _fold_nodes(op: str, kids: list[_Node]) -> _Node:
-    if not kids:
-        return _Node(F.lit(op == "and"), False)
     if not any(k.nullable for k in kids):
         col = kids[0].col
         for k in kids[1:]:

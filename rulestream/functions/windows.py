@@ -38,17 +38,24 @@ def tumbling_start(ms: Column, size_ms: Column) -> Column:
     return ms - F.pmod(ms, size_ms)
 
 
+_STEPS = 92
+
+
 def pane_ms(size_ms: Column, slide_ms: Column) -> Column:
     """Width of panes that tile every sliding window exactly.
 
     Windows start at multiples of ``slide`` and end at start + ``size``, so a
-    pane of width gcd(size, slide) never straddles a window edge.  Sizes are
-    whole seconds, so one second always works; the common cases (slide
-    divides size, or size divides slide) use the larger exact pane.
+    pane of width gcd(size, slide) never straddles a window edge;
+    the common cases (slide divides size, or size divides slide) need no
+    division; else Euclid's steps run, at most ``_STEPS`` of them for longs.
     """
+    pair = F.struct(size_ms.cast("bigint").alias("a"), slide_ms.cast("bigint").alias("b"))
+    steps = F.sequence(F.lit(1), F.lit(_STEPS))
+    gcd = F.aggregate(steps, pair, lambda p, _: F.when(p["b"] == 0, p).otherwise(
+        F.struct(p["b"].alias("a"), F.pmod(p["a"], F.greatest(p["b"], F.lit(1))).alias("b"))), lambda p: p["a"])
     return (F.when(F.pmod(size_ms, slide_ms) == 0, slide_ms)
             .when(F.pmod(slide_ms, size_ms) == 0, size_ms)
-            .otherwise(F.lit(1000).cast("bigint")))
+            .otherwise(gcd))
 
 
 def ms_to_text(ms: Column) -> Column:

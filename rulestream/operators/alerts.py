@@ -33,27 +33,55 @@ def simple_alerts(blocks: DataFrame) -> DataFrame:
         F.create_map(F.col("block_index").cast("string"), out).alias("outputs"))
 
 
+def _json_text(text):
+    """A string as a JSON string."""
+    one = F.to_json(F.array(text))
+    return F.substr(one, F.lit(2), F.length(one) - 2)
+
+
+def _open(obj):
+    """A JSON object without its closing brace."""
+    return F.substr(obj, F.lit(1), F.length(obj) - 1)
+
+
+def _member(name: str, text):
+    """``,"name":"text"``, or nothing for null."""
+    return F.coalesce(F.concat(F.lit(f',"{name}":'), _json_text(text)), F.lit(""))
+
+
+def _block_outputs_json(outputs):
+    """The map of block outputs as one JSON object."""
+    def event(e):
+        sample = F.coalesce(F.when(F.try_parse_json(e["sample"]).isNotNull(), e["sample"]).otherwise(_json_text(e["sample"])), F.lit("null"))
+        key = F.coalesce(F.concat(F.lit('"key":'), _json_text(e["key"]), F.lit(",")), F.lit(""))
+        return F.concat(F.lit("{"), key, F.lit('"sampleEventContent":'), sample, F.lit(',"count":'),
+                        e["count"].cast("int").cast("string"), F.lit("}"))
+
+    def entry(o):
+        v = o["value"]
+        events = F.array_join(F.transform(v["matching_events"], event), ",")
+        return F.concat(_json_text(o["key"]), F.lit(':{"matchTime":'), _json_text(ms_to_text(v["match_ms"])),
+                        _member("matchMessage", v["match_message"]), F.lit(',"matchingEvents":['), events, F.lit("]}"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(outputs), entry), ","), F.lit("}"))
+
+
 def alerts_to_json(alerts: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     """Alert rows -> one JSON text per alert (column ``value``).
 
-    Sample events are spliced in as JSON objects (they are stored as text);
+    Sample events are spliced in as they are stored, so their numbers and key
+    order survive; a sample that is not strict JSON is emitted as a string.
     the group-by value becomes an extra top-level field when it splits into
     exactly two parts on '=' (trailing empty parts dropped, as Java's split).
     """
     now = F.date_format(F.current_timestamp(), OUTPUT_TIME_FORMAT)
-    block_output = F.transform_values("outputs", lambda k, v: F.struct(
-        ms_to_text(v["match_ms"]).alias("matchTime"),
-        v["match_message"].alias("matchMessage"),
-        F.transform(v["matching_events"], lambda e: F.struct(
-            e["key"].alias("key"),
-            F.parse_json(e["sample"]).alias("sampleEventContent"),
-            e["count"].cast("int").alias("count"))).alias("matchingEvents")))
-    body = F.to_json(F.struct(
-        now.alias("@timestamp"), ms_to_text(F.col("match_ms")).alias("matchTime"),
-        F.lit(source).alias("source"), F.col("rule_id").alias("matchedRuleId"),
-        F.col("rule_version").alias("matchedRuleVersion"), F.col("customer"),
-        F.col("base_severity").alias("baseSeverity"), block_output.alias("blockOutput"),
-        F.col("group_by").alias("groupBy")))
+    body = F.concat(
+        _open(F.to_json(F.struct(
+            now.alias("@timestamp"), ms_to_text(F.col("match_ms")).alias("matchTime"),
+            F.lit(source).alias("source"), F.col("rule_id").alias("matchedRuleId"),
+            F.col("rule_version").alias("matchedRuleVersion"), F.col("customer"),
+            F.col("base_severity").alias("baseSeverity")))),
+        F.lit(',"blockOutput":'), _block_outputs_json(F.col("outputs")),
+        _member("groupBy", F.col("group_by")), F.lit("}"))
     parts = F.split(F.regexp_replace(F.coalesce("group_by", F.lit("")), "=+$", ""), "=", -1)
     extra = F.to_json(F.create_map(parts[0], parts[1]))
     with_extra = F.concat(F.expr("substring(__b, 1, length(__b) - 1)"), F.lit(","),

@@ -182,12 +182,12 @@ def _as_of_walks(w: DataFrame, g: DataFrame, max_len: int) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("node", "ok"))).alias("seq_late"))
 
 
-def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int) -> DataFrame:
+def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int, small_rules: bool = False) -> DataFrame:
     """R1-R7 + O2: complex block results -> alert rows (rule windows that match).
 
     ``rules`` supplies the rule condition of the version carried by each
-    window's first block; it is configuration, broadcast after the caller
-    has bounded its size.  ``max_seq_len`` is the longest sequence condition
+    window's first block; it is configuration, broadcast only where the
+    caller has checked its size (``small_rules``), else joined by shuffle.  ``max_seq_len`` is the longest sequence condition
     in the rule set; as-of steps are planned only when it is three or more.
     """
     as_of = max_seq_len >= 3
@@ -196,8 +196,8 @@ def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int) -> DataFrame:
         # the rule-window frame feeds the summary and the as-of steps
         w = w.persist(StorageLevel.MEMORY_AND_DISK)
     g = _outputs(w)
-    conds = F.broadcast(rules.select("rule_id", "rule_version", "rule_program")
-                        .dropDuplicates(["rule_id", "rule_version"]))
+    conds = rules.select("rule_id", "rule_version", "rule_program").dropDuplicates(["rule_id", "rule_version"])
+    conds = F.broadcast(conds) if small_rules else conds
     g = g.join(conds, (g["rule_id"] == conds["rule_id"]) & (g["head"]["rule_version"] == conds["rule_version"]),
                "inner").drop(conds["rule_id"]).drop(conds["rule_version"])
     if max_seq_len > 0:

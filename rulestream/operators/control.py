@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from rulestream.operators.validate import control_errors
 from rulestream.schemas import MSG_VALIDATION_PREFIX, OUTPUT_TIME_FORMAT
 
+STATUS_SPANS = 256
 ENGINE_VERSION = "rulestream-0.1"
-MAX_STATUS_QUERIES = 10000
 
 _STEP = ("struct<seq:bigint,status:string,ack_version:int,message:string,"
          "applied:boolean,cur:int,cur_content:string>")
@@ -50,7 +50,7 @@ def _step_fold(msgs):
                   .otherwise(F.lit("ERROR")))
         message = (F.when(invalid, F.concat(F.lit(MSG_VALIDATION_PREFIX), F.array_join(m["errors"], " ")))
                    .when(~is_add & ~rm_ok, F.format_string(
-                       "Rule version %d is not the latest version of rule %s.  Latest version: %d",
+                       "Cannot remove version %d of rule %s: version %d is active",
                        m["rule_version"], m["rule_id"], cur)))
         ack_version = F.when(~invalid & is_add & ~add_applies, cur).otherwise(m["rule_version"])
         new_cur = (F.when(invalid, cur)
@@ -126,15 +126,18 @@ def active_at(history: DataFrame, seq: int | None = None) -> DataFrame:
 def status_acks(queries: DataFrame, history: DataFrame) -> DataFrame:
     """K3: each QUERY_STATUS -> JSON list of the rules active at that point.
 
-    An as-of range join (valid_from_seq < q.seq < valid_to_seq); the query
-    side is broadcast after its row count is checked.
+    The log between the first and the last query is cut into ``STATUS_SPANS``
+    spans; queries and history meet in an equi-join on the span with the
+    validity as its filter.  No side is broadcast, and the number of queries
+    is not bounded.
     """
-    n = queries.count()
-    if n > MAX_STATUS_QUERIES:
-        raise ValueError(f"{n} status queries exceed the broadcast bound {MAX_STATUS_QUERIES}")
-    q = F.broadcast(queries.select("seq", "timestamp", "type", "errors")).alias("q")
-    h = history.alias("h")
-    cond = (F.col("h.valid_from_seq") < F.col("q.seq")) & \
+    ends = queries.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+    span = lambda c: F.floor((c - F.col("lo")) / F.ceil((F.col("hi") - F.col("lo") + 1) / STATUS_SPANS))
+    q = queries.join(ends).select("seq", "timestamp", "type", "errors", span(F.col("seq")).alias("span")).alias("q")
+    h = history.join(ends).where((F.col("valid_from_seq") < F.col("hi")) & (F.coalesce("valid_to_seq", "hi") >= F.col("lo")))
+    first, last = F.greatest("valid_from_seq", "lo"), F.least(F.coalesce("valid_to_seq", "hi"), "hi")
+    h = h.select("*", F.explode(F.sequence(span(first), span(last))).alias("span")).alias("h")
+    cond = (F.col("h.span") == F.col("q.span")) & (F.col("h.valid_from_seq") < F.col("q.seq")) & \
         (F.col("h.valid_to_seq").isNull() | (F.col("h.valid_to_seq") > F.col("q.seq")))
     j = q.join(h, cond, "left")
     lists = j.groupBy("q.seq", "q.timestamp", "q.type", "q.errors").agg(

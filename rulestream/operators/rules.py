@@ -27,6 +27,11 @@ def _int(c: Column) -> Column:
     return c.try_cast("int")
 
 
+def _seconds(c: Column) -> Column:
+    """Absent: 0; not a whole number: -1, which no block type accepts."""
+    return F.when(c.isNull(), F.lit(0).cast("bigint")).otherwise(F.coalesce(c.try_cast("bigint"), F.lit(-1).cast("bigint")))
+
+
 def decode_rule(content: Column) -> Column:
     """Rule JSON text -> struct of decoded fields (NULL if not JSON)."""
     return F.from_json(content, RULE_JSON)
@@ -36,10 +41,10 @@ def _block(b: Column, i: Column, cond: Column) -> Column:
     params = b["parameters"]
     return F.struct(
         i.cast("int").alias("block_index"),
-        F.upper(b["type"]).alias("block_type"),
+        b["type"].alias("block_type"),
         cond.alias("cond"),
-        F.coalesce(b["windowSize"].try_cast("bigint"), F.lit(0).cast("bigint")).alias("window_size"),
-        F.coalesce(b["windowSlide"].try_cast("bigint"), F.lit(0).cast("bigint")).alias("window_slide"),
+        _seconds(b["windowSize"]).alias("window_size"),
+        _seconds(b["windowSlide"]).alias("window_slide"),
         b["aggregationGroupingFields"].alias("agg_fields"),
         params.alias("params"),
         _int(params[F.lit(PARAM_THRESHOLD)]).alias("threshold"),

@@ -125,13 +125,12 @@ def run_rules(events: DataFrame, rules, mode: str = "auto", materialize: bool =
     blocks = run_blocks(events, rs, mode)
     if not facts["any_complex"]:
         return simple_alerts(blocks)
-    if facts["n_rules"] > MAX_BROADCAST_BLOCKS:
-        raise ValueError("too many rules for a broadcast rule-condition side")
+    small = facts["n_rules"] <= MAX_BROADCAST_BLOCKS
     if not facts["any_simple"]:
-        return combine(blocks, rs.frame, facts["max_seq"])
+        return combine(blocks, rs.frame, facts["max_seq"], small)
     if materialize:
         # block results feed both simple alerts and rule windows: write them
         # once to the shared checkpoint folder (reliable, lineage cut)
         # instead of recomputing the event pipeline per use.
         blocks = blocks.checkpoint(eager=True)
-    return simple_alerts(blocks).unionByName(combine(blocks, rs.frame, facts["max_seq"]))
+    return simple_alerts(blocks).unionByName(combine(blocks, rs.frame, facts["max_seq"], small))

@@ -114,7 +114,7 @@ RULES = {
                                                  THRESHOLD=4)], group_by="customer"))],
     "unique_threshold": [("uniq", 1, rule([block("UNIQUE_THRESHOLD", eq("type", "error"), DAY, DAY // 2, ["user"],
                                                  THRESHOLD=3, UNIQUE_FIELD="user")], group_by="customer"))],
-    "anomaly_6h": [("anom6", 1, rule([block("SIMPLE_ANOMALY", eq("customer", "0"), 6 * HOUR, 0,
+    "anomaly_6h": [("anom6", 1, rule([block("SIMPLE_ANOMALY", regex("type", ".*"), 6 * HOUR, 0,
                                             SIMPLE_ANOMALY_THRESHOLD=2)], group_by="type"))],
     "anomaly_1h": [("anom1", 1, rule([block("SIMPLE_ANOMALY", regex("type", ".*"), HOUR, 0,
                                             SIMPLE_ANOMALY_THRESHOLD=2)], group_by="type"))],
@@ -233,7 +233,7 @@ def q_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 with a slide that does not divide the size (1 h 30 min / 1 h)."""
-    ev = read_events_table(spark, sf_dir).where(F.col("fields")["type"] == "signup")
+    ev = read_events_table(spark, sf_dir)
     size, slide = F.lit(5400000).cast("bigint"), F.lit(3600000).cast("bigint")
     return ev.select(F.col("arrival_seq").alias("event_id"),
                      F.explode(sliding_starts(F.col("event_ms"), size, slide)).alias("window_start_ms"))
@@ -562,7 +562,7 @@ def oracle_sql() -> dict[str, str]:
         "threshold_small": _threshold_sql("thr6", 6 * HOUR, 2 * HOUR, 3),
         "threshold_fine": _threshold_sql("thrfine", 6 * HOUR, HOUR // 2, 4),
         "unique_threshold": _unique_sql("uniq", DAY, DAY // 2, 3),
-        "anomaly_6h": _anomaly_sql("anom6", "customer = '0'", 6 * HOUR, 2),
+        "anomaly_6h": _anomaly_sql("anom6", "true", 6 * HOUR, 2),
         "anomaly_1h": _anomaly_sql("anom1", "true", HOUR, 2),
         "drop_to_zero": _drop_sql("drop2", "true", 2 * HOUR),
         "sequence_alerts": _sequence_sql(),
@@ -582,7 +582,7 @@ FROM ev WHERE (type = 'error' AND ms >= 1704067200000 AND ms < 1705276800000)
    OR (type = 'purchase' AND ms >= 1705276800000)""",
         "block_outputs": _block_outputs_sql(),
         "matched_joined": _matched_sql(),
-        "sliding_windows": f"""WITH {EV}, s AS (SELECT event_id, ms FROM ev WHERE type = 'signup')
+        "sliding_windows": f"""WITH {EV}, s AS (SELECT event_id, ms FROM ev)
 SELECT event_id, ws AS window_start_ms FROM ({_windows_sql('s', 5400000, 3600000)})""",
         "window_counts": f"""WITH {EV}
 SELECT customer, 'type=' || type AS group_by, ms - (ms % 3600000) AS window_start_ms, count(*) AS event_count

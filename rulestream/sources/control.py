@@ -10,16 +10,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rulestream.schemas import CONTROL_JSON, CONTROL_TYPES
 
 
 def parse_control(df: DataFrame, value_col: str = "value", seq_col: str | None = None) -> DataFrame:
+    """Without ``seq_col`` a batch is numbered in reading order; a stream keeps
+    its ``src`` (place in the source), and ``number_batch`` numbers each
+    micro-batch by it."""
     c = F.from_json(F.col(value_col), CONTROL_JSON)
-    out = df.select(c.alias("c"), *([F.col(seq_col).cast("bigint").alias("seq")] if seq_col else []))
+    out = df.select(c.alias("c"), *([F.col(seq_col).cast("bigint").alias("seq")] if seq_col else []),
+                    *(["src"] if df.isStreaming and not seq_col else []))
     if not seq_col:
-        out = out.withColumn("seq", F.xxhash64(F.col("c").cast("string")) if df.isStreaming
-                             else F.monotonically_increasing_id())
+        out = out.withColumnRenamed("src", "seq") if df.isStreaming else out.withColumn("seq", F.monotonically_increasing_id())
     out = out.where(F.col("c").isNotNull() & F.col("c.type").isin(*CONTROL_TYPES))
     return out.select(
         "seq", F.col("c.timestamp").alias("timestamp"), F.col("c.type").alias("type"),
@@ -29,6 +33,18 @@ def parse_control(df: DataFrame, value_col: str = "value", seq_col: str | None =
         F.col("c.content").alias("content"))
 
 
+def number_batch(batch: DataFrame, after: int) -> DataFrame:
+    """A micro-batch of parsed messages with ``seq`` = after + 1, after + 2, ... in arrival order.
+
+    Order: place in the source (file time and name, or partition and offset),
+    then the line within the file.  One ordered pass over one batch of control
+    messages, which are configuration.
+    """
+    lines = batch.withColumn("_line", F.monotonically_increasing_id())
+    number = F.row_number().over(Window.orderBy("seq", "_line"))
+    return lines.withColumn("seq", F.lit(after).cast("bigint") + number).drop("_line")
+
+
 def control_from_messages(spark: SparkSession, messages: list[str]) -> DataFrame:
     """Control messages (JSON text) in arrival order, e.g. from a log file."""
     df = spark.createDataFrame([(i, m) for i, m in enumerate(messages)], "seq bigint, value string")
@@ -41,4 +57,9 @@ def read_control_stream(spark: SparkSession, path: str, fmt: str = "text", optio
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     raw = reader.load(path) if path else reader.load()
-    return parse_control(raw.select(F.col("value").cast("string").alias("value")))
+    if fmt == "kafka":
+        src = F.struct(F.col("partition").cast("bigint").alias("a"), F.lit("").alias("b"), F.col("offset").alias("c"))
+    else:
+        src = F.struct(F.unix_micros("_metadata.file_modification_time").alias("a"), F.col("_metadata.file_path").alias("b"),
+                       F.col("_metadata.file_block_start").alias("c"))
+    return parse_control(raw.select(F.col("value").cast("string").alias("value"), src.alias("src")))

@@ -7,9 +7,9 @@
 
 The control side re-folds the whole control log each micro-batch: the log
 is configuration-sized, and folding from the log makes the rule store
-reproducible after a restart or a lost executor.  Each batch appends its
-messages to the log table first, so a replayed batch (same batch id) is
-skipped rather than applied twice.
+reproducible after a restart or a lost executor.  Each batch numbers
+its messages in arrival order and overwrites its own folder of the log, so
+a replayed batch (same batch id) is in the log once.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulestream.operators.control import fold_control, rules_from_history
-from rulestream.sources.control import read_control_stream
+from rulestream.sources.control import number_batch, read_control_stream
 from rulestream.sources.events import read_event_stream
 from rulestream.sources.sinks import stream_json, write_acks
 from rulestream.streaming.pipeline import (rule_programs, snapshot_rule_side, stream_alerts,
@@ -43,23 +43,29 @@ class JobOptions:
     alert_source: str | None = None
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def _control_batch(spark: SparkSession, opts: JobOptions):
     log_path = os.path.join(opts.state_dir, "control-log")
     snap_dir = os.path.join(opts.state_dir, "snapshots")
     os.makedirs(snap_dir, exist_ok=True)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        seen = os.path.join(opts.state_dir, "batches", str(batch_id))
-        if os.path.exists(seen):
-            return                                              # replayed batch: already applied
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(log_path)
-        log = spark.read.parquet(log_path)
+        # the batch's own folder is overwritten, so a replayed batch is in the log once
+        after = -1
+        if _exists(spark, log_path):
+            before = spark.read.parquet(log_path).where(F.col("batch_id") < batch_id)
+            after = before.agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0]
+        own = f"{log_path}/batch_id={batch_id}"
+        number_batch(batch, after).write.mode("overwrite").parquet(own)
+        log = spark.read.option("basePath", log_path).parquet(log_path).where(F.col("batch_id") <= batch_id)
         acks, hist = fold_control(log.drop("batch_id"))
-        new_seqs = batch.select("seq")
-        write_acks(acks.join(new_seqs, "seq", "left_semi"), opts.control_output_path)
+        write_acks(acks.where(F.col("seq") > after), opts.control_output_path)
         from rulestream.operators.control import active_at
         write_rule_snapshot(rules_from_history(active_at(hist)), snap_dir)
-        os.makedirs(seen, exist_ok=True)
     return handle
 
 

@@ -68,3 +68,34 @@ def test_deep_nesting(spark):
         .select(F.from_json("j", "map<string,string>").alias("fields"))
     got = [r["m"] for r in ev.select(compile_condition(prog, lambda k: F.col("fields")[k]).alias("m")).collect()]
     assert got == [True, False]
+
+
+def _deep(depth):
+    tree = '{"@class":"EqualCondition","key":"a","value":"1"}'
+    for k in range(depth):
+        tree = '{"@class":"CompositeCondition","type":"%s","conditions":[%s,{"@class":"EqualCondition","key":"b","value":"%d"}]}' % ("OR" if k % 2 else "AND", tree, k % 3)
+    return tree
+
+
+def test_deep_tree_is_whole(spark):
+    depth = 70
+    df = spark.createDataFrame([("t", _deep(depth))], "k string, js string")
+    prog = flatten_trees(df, ["k"], "js", "cond", "p").first()["p"]
+    assert len(prog) == 2 * depth + 1
+
+    def want(a, b):
+        v = a == "1"
+        for k in range(depth):
+            v = (v or b == str(k % 3)) if k % 2 else (v and b == str(k % 3))
+        return v
+    rows = [(a, b) for a in ("0", "1") for b in ("0", "1", "2", "9")]
+    ev = spark.createDataFrame(rows, "a string, b string")
+    got = {(r.a, r.b): r.m for r in ev.select("a", "b", compile_condition(prog, lambda n: F.col(n)).alias("m")).collect()}
+    assert got == {r: want(*r) for r in rows}
+
+
+def test_composite_without_operands_never_matches(spark):
+    lone = [{"op": "and", "n": 1}]
+    none = [{"op": "and", "n": 0}]
+    df = spark.range(1)
+    assert [df.select(compile_condition(p, lambda n: F.lit("x")).alias("m")).first().m for p in (lone, none)] == [False, False]

@@ -40,7 +40,7 @@ def test_control_log_fixture(spark):
                    ("RULE_ACTIVE", 1), ("ERROR", 3)]
     status = json.loads(acks[4]["content"])
     assert [(r["ruleId"], r["ruleVersion"]) for r in status] == [("r", 2)]
-    assert "not the latest version" in acks[3]["content"]
+    assert "is active" in acks[3]["content"]
     assert acks[8]["content"].startswith("Control Input failed validation: ")
     h = sorted((r["rule_version"], r["valid_from_seq"], r["valid_to_seq"]) for r in hist.collect())
     assert h == [(1, 0, 1), (1, 7, None), (2, 1, 5)]
