@@ -12,8 +12,9 @@ documents), so passages and lines that very many documents share make no buckets
 
 Large buckets never make all pairs.  First every set of a bucket meets the bucket's smallest set only; pairs that pass
 the count bound are verified, and components are formed.  Buckets whose other members then lie in one component need no more;
-the rest, of which buckets with the same members count once, is dealt to tasks as pairs of blocks of ``BLOCK_ROWS``
-points.  A task builds the R-tree of one block, searches it for the points of the other, and returns surviving pairs
+the rest, of which buckets with the same members count once, meets one more member each, drawn by a hash so that
+buckets of one group try different ones, in the same way.  What still lies in several components is dealt to tasks as
+pairs of blocks of ``BLOCK_ROWS`` points.  A task builds the R-tree of one block, searches it for the points of the other, and returns surviving pairs
 of different components, which are verified too.  So no link between different components is lost.
 
 Only documents of pairs that pass the bounds are read again, by a bitmap of fixed size over their ids and an exact
@@ -76,19 +77,24 @@ def set_id(s: np.ndarray) -> int:
     return int(mix64(np.array([x], np.uint64)).view(np.int64)[0])
 
 
+def _groups(n: int) -> int:
+    """Groups of a set of n shingles: ``GROUPS``, or the power of two over n, so that about one falls into each."""
+    return max(GROUPS, 1 << n.bit_length())
+
+
 def count_vector(s: np.ndarray) -> np.ndarray:
-    """Counts by group; ``GROUPS`` of them or the power of two over a quarter of the set's size, so few fall into one."""
-    groups = max(GROUPS, 1 << max(0, (len(s) // 4).bit_length()))
-    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype("<u4" if len(s) > 60000 else "<u2")
+    """Counts by group, in the narrowest type that holds them."""
+    v = np.bincount((s & np.uint64(_groups(len(s)) - 1)).astype(np.int64), minlength=_groups(len(s)))
+    return v.astype("u1" if v.max() < 1 << 8 else "<u2" if v.max() < 1 << 16 else "<u4")
 
 
 def _vector(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, "<u4" if n > 60000 else "<u2").astype(np.int64)
+    return np.frombuffer(raw, f"<u{len(raw) // _groups(n)}")
 
 
 def fold(v: np.ndarray, groups: int) -> np.ndarray:
     """The coarser vector: groups that are equal modulo ``groups`` are one."""
-    return v.reshape(-1, groups).sum(0)
+    return v.reshape(-1, groups).sum(0, dtype=np.int64)
 
 
 def may_link(v: np.ndarray, n: int, w: np.ndarray, m: int, percent: int = PERCENT) -> bool:
@@ -100,6 +106,22 @@ def may_link(v: np.ndarray, n: int, w: np.ndarray, m: int, percent: int = PERCEN
     return bound * (100 + percent) >= percent * (n + m)
 
 
+def minima(vs: list[np.ndarray], q: np.ndarray, ws: list[np.ndarray], p: np.ndarray) -> np.ndarray:
+    """The sum of coordinate minima of vs[q] and ws[p] for pairs (q, p), each at the coarser one's groups."""
+    groups = np.minimum(np.array([len(v) for v in vs])[q], np.array([len(w) for w in ws])[p]) if len(q) else q
+    out = np.zeros(len(q), np.int64)
+    for g in np.unique(groups).tolist():
+        at = np.flatnonzero(groups == g)
+        step = max(1, (1 << 20) // g)
+        for k in range(0, len(at), step):
+            some = at[k:k + step]
+            x, xi = np.unique(q[some], return_inverse=True)
+            y, yi = np.unique(p[some], return_inverse=True)
+            a, b = np.array([fold(vs[i], g) for i in x]), np.array([fold(ws[j], g) for j in y])
+            out[some] = np.minimum(a[xi], b[yi]).sum(1)
+    return out
+
+
 def prefix(s: np.ndarray, levels: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The first n - ceil(t n) + 1 shingles in the order (level, hash)."""
     n = len(s)
@@ -202,7 +224,7 @@ def _search_blocks(percent: int):
             if not other:
                 keep &= sid[q] < ysid[p]
             q, p = q[keep], p[keep]
-            fits = np.array([may_link(fine[i], n[i], yfine[j], yn[j], percent) for i, j in zip(q.tolist(), p.tolist())], bool)
+            fits = minima(fine, q, yfine, p) * (100 + percent) >= percent * (n[q] + yn[p])
             if fits.any():
                 x, y = sid[q[fits]], ysid[p[fits]]
                 yield pa.record_batch([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], schema=schema)
@@ -307,6 +329,14 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return p.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _open(shared: DataFrame, comp: DataFrame, block_rows: int) -> DataFrame:
+    """Members (key, sid, comp, block, blocks) of buckets over several components; of equal buckets, one."""
+    member = shared.select("key", "sid").join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("component_id", "sid").alias("comp"))
+    open_ = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("sig")).where("lo != hi")
+    open_ = open_.groupBy("m", "sig", "lo", "hi").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("m") / block_rows).cast("int").alias("blocks"))
+    return member.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+
+
 def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, n_shingles, component_id), one row per input row."""
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -322,10 +352,14 @@ def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str
     same_id = own.groupBy("id").agg(F.min("sid").alias("a"), F.max("sid").alias("b"), F.collect_set("sid").alias("all")).where("a < b").select(F.explode("all").alias("a"), "b").where("a != b")
     links = links.unionByName(same_id)
     comp = cut(components(links))
-    member = shared.join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("component_id", "sid").alias("comp"))
-    open_ = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("sig")).where("lo != hi")
-    open_ = open_.groupBy("m", "sig", "lo", "hi").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("m") / block_rows).cast("int").alias("blocks"))
-    rest = cut(member.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")))
+    rest = cut(_open(shared, comp, block_rows))
+    if not rest.isEmpty():
+        second = rest.groupBy("key").agg(F.min_by(F.struct("sid", "comp"), F.xxhash64("sid", "key")).alias("h")).select("key", F.col("h.sid").alias("hub"), F.col("h.comp").alias("hub_comp"))
+        met = cut(rest.select("key", "sid", "comp").join(second, "key").where("sid != hub"))
+        again = cut(_bounded(met.where("comp != hub_comp").select(F.col("sid").alias("a"), F.col("hub").alias("b")).distinct(), sets, percent))
+        links = cut(links.unionByName(_verified(again, sets, docs, percent)))
+        comp = cut(components(links))
+        rest = cut(_open(met, comp, block_rows))
     if not rest.isEmpty():
         points = rest.join(sets.select("sid", "n", "counts"), "sid")
         ahead = points.withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).select("key", F.col("block").alias("i"), "j", F.lit(0).alias("side"), "sid", "comp", "n", "counts")
