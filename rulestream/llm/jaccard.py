@@ -329,6 +329,11 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return p.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _stars(comp: DataFrame) -> DataFrame:
+    """Components as links (a, b) again, each member with its smallest."""
+    return comp.where("id != component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+
+
 def _open(shared: DataFrame, comp: DataFrame, block_rows: int) -> DataFrame:
     """Members (key, sid, comp, block, blocks) of buckets over several components; of equal buckets, one."""
     member = shared.select("key", "sid").join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("component_id", "sid").alias("comp"))
@@ -357,8 +362,7 @@ def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str
         second = rest.groupBy("key").agg(F.min_by(F.struct("sid", "comp"), F.xxhash64("sid", "key")).alias("h")).select("key", F.col("h.sid").alias("hub"), F.col("h.comp").alias("hub_comp"))
         met = cut(rest.select("key", "sid", "comp").join(second, "key").where("sid != hub"))
         again = cut(_bounded(met.where("comp != hub_comp").select(F.col("sid").alias("a"), F.col("hub").alias("b")).distinct(), sets, percent))
-        links = cut(links.unionByName(_verified(again, sets, docs, percent)))
-        comp = cut(components(links))
+        comp = cut(components(_stars(comp).unionByName(_verified(again, sets, docs, percent))))
         rest = cut(_open(met, comp, block_rows))
     if not rest.isEmpty():
         points = rest.join(sets.select("sid", "n", "counts"), "sid")
@@ -366,8 +370,7 @@ def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str
         behind = points.where("block > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("block") - 1))).select("key", "i", F.col("block").alias("j"), F.lit(1).alias("side"), "sid", "comp", "n", "counts")
         tasks = ahead.unionByName(behind).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
         more = cut(tasks.mapInArrow(_search_blocks(percent), "a bigint, b bigint").distinct())
-        links = links.unionByName(cut(_verified(more, sets, docs, percent)))
-        comp = cut(components(links))
+        comp = cut(components(_stars(comp).unionByName(_verified(more, sets, docs, percent))))
     least = comp.join(sets.select(F.col("sid").alias("id"), F.col("id").alias("doc")), "id").groupBy("component_id").agg(F.min("doc").alias("doc"))
     of_set = sets.select("sid", "id").join(comp.select(F.col("id").alias("sid"), "component_id"), "sid", "left").join(least, "component_id", "left").select("sid", F.coalesce("doc", "id").alias("component_id"))
     out = feats.select("id", "n", "sid").join(of_set, "sid", "left")
