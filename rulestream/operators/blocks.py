@@ -66,7 +66,8 @@ def _result(df: DataFrame, meta: Column, **cols) -> DataFrame:
         "group_by": F.col("group_by"),
     }
     base.update(cols)
-    return df.select(*[base[c].alias(c) for c in BLOCK_COLUMNS])
+    carried = [c for c in ("program",) if c in df.columns]
+    return df.select(*[base[c].alias(c) for c in BLOCK_COLUMNS], *carried)
 
 
 # ---------------------------------------------------------------------------

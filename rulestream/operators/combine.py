@@ -36,13 +36,15 @@ from rulestream.functions.windows import sec_to_ms, sliding_starts
 
 GKEY = ["customer", "rule_id", "group_by", "rws", "rwe"]
 
-ORD_T = "struct<match_ms:bigint,emit_ms:bigint,block_index:int,order_tb:bigint>"
+ORD_T = "struct<match_ms:bigint,emit_ms:bigint,windowed:int,order_tb:bigint,block_index:int>"
 SUMMARIES_T = "array<struct<key:string,sample:string,count:bigint>>"
 
 
 def order_col() -> Column:
-    """Deterministic order of block results inside a rule window."""
-    return F.struct("match_ms", "emit_ms", "block_index", "order_tb")
+    """Order of block results inside a rule window: match time, emit time, arrival
+    (a window's result arrives after the events of its last instant), block index."""
+    windowed = (F.col("block_type") != "SINGLE_EVENT").cast("int")
+    return F.struct("match_ms", "emit_ms", windowed.alias("windowed"), "order_tb", "block_index")
 
 
 def rule_windows(blocks: DataFrame) -> DataFrame:

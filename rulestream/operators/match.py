@@ -302,7 +302,8 @@ def _join_chunk(events: DataFrame, rb: DataFrame, guard: bool = False) -> DataFr
          .otherwise(_agg_key(fields, F.col("r.agg_fields"))).alias("agg_key"),
         F.when(uf.isNull(), F.lit(None).cast("string")).otherwise(_fv(fields, uf)).alias("unique_value"),
         F.col("e.event_ms").alias("event_ms"), F.col("e.arrival_seq").alias("arrival_seq"),
-        F.col("e.content").alias("content"), *[F.col(f"e.{c}") for c in _passthrough(events)])
+        F.col("e.content").alias("content"), *[F.col(f"e.{c}") for c in _passthrough(events)],
+        *(["r.program"] if "program" in rb.columns else []))
 
 
 def match(events: DataFrame, rules: DataFrame, mode: str = "auto") -> DataFrame:

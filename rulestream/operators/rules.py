@@ -101,9 +101,12 @@ def rules_from_json(spark: SparkSession, rules: Iterable[tuple[str, int, str]])
     return parse_rules(df)
 
 
-def rule_blocks(rules: DataFrame) -> DataFrame:
-    """One row per (rule version, block): the rule side of the match join."""
+def rule_blocks(rules: DataFrame, program: bool = False) -> DataFrame:
+    """One row per (rule version, block): the rule side of the match join; with
+    the rule-condition program as JSON text (``program``) where asked for."""
     validity = [c for c in ("valid_from_ms", "valid_to_ms") if c in rules.columns]
+    if program:
+        validity.append(F.to_json("rule_program").alias("program"))
     return rules.select(
         "rule_id", "rule_version", "base_severity", "group_by_field", "rule_window_size",
         "rule_window_slide", "n_blocks", "rule_type", *validity, F.explode("blocks").alias("b")

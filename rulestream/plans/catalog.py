@@ -428,7 +428,7 @@ def _sequence_sql() -> str:
 b AS (SELECT customer, 'user=' || usr AS group_by, CASE WHEN type = 'error' THEN 0 ELSE 1 END AS bi, ms, event_id
       FROM ev WHERE type IN ('error', 'purchase')),
 w AS ({_windows_sql('b', size_ms, slide_ms)}),
-o AS (SELECT *, (ms::HUGEINT * 2 + bi) * 100000000 + event_id AS ord FROM w),
+o AS (SELECT *, ms::HUGEINT * 100000000 + event_id AS ord FROM w),
 p1 AS (SELECT customer, group_by, ws, min(ord) AS pos FROM o WHERE bi = 0 GROUP BY ALL),
 p2 AS (SELECT o.customer, o.group_by, o.ws, min(o.ord) AS pos FROM o JOIN p1
        ON o.customer = p1.customer AND o.group_by = p1.group_by AND o.ws = p1.ws
@@ -492,7 +492,7 @@ b AS (SELECT customer, 'user=' || usr AS group_by,
              CASE type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END AS bi, ms, event_id
       FROM ev WHERE type IN ('error', 'purchase', 'click')),
 w AS ({_windows_sql('b', size_ms, slide_ms)}),
-o AS (SELECT *, (ms::HUGEINT * 4 + bi) * 100000000 + event_id AS ord FROM w),
+o AS (SELECT *, ms::HUGEINT * 100000000 + event_id AS ord FROM w),
 p1 AS (SELECT customer, group_by, ws, min(ord) AS pos FROM o WHERE bi = 0 GROUP BY ALL),
 p2 AS (SELECT o.customer, o.group_by, o.ws, min(o.ord) AS pos FROM o JOIN p1
        ON o.customer = p1.customer AND o.group_by = p1.group_by AND o.ws = p1.ws
@@ -524,7 +524,7 @@ thr AS (SELECT customer, group_by, max(ms) AS match_ms, ws + {t_ms} - 1 AS emit_
 single AS (SELECT customer, 'user=' || usr AS group_by, ms AS match_ms, ms AS emit_ms, 1 AS bi, event_id AS tb
            FROM ev WHERE type = 'purchase'),
 blk AS (SELECT *, emit_ms - (emit_ms % {r_ms}) AS rws,
-               (((match_ms::HUGEINT * 4398046511104 + emit_ms) * 2 + bi) * 4398046511104) + tb AS ord
+               (((match_ms::HUGEINT * 4398046511104 + emit_ms) * 2 + 1 - bi) * 4398046511104) + tb AS ord
         FROM (SELECT * FROM thr UNION ALL SELECT * FROM single)),
 p1 AS (SELECT customer, group_by, rws, min(ord) AS pos FROM blk WHERE bi = 0 GROUP BY ALL),
 p2 AS (SELECT blk.customer, blk.group_by, blk.rws FROM blk JOIN p1

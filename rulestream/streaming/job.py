@@ -24,8 +24,7 @@ from rulestream.operators.control import fold_control, rules_from_history
 from rulestream.sources.control import number_batch, read_control_stream
 from rulestream.sources.events import read_event_stream
 from rulestream.sources.sinks import stream_json, write_acks
-from rulestream.streaming.pipeline import (rule_programs, snapshot_rule_side, stream_alerts,
-                                           write_rule_snapshot)
+from rulestream.streaming.pipeline import snapshot_rule_side, stream_alerts, write_rule_snapshot
 from rulestream.operators.alerts import alerts_to_json
 
 
@@ -78,18 +77,7 @@ def start(spark: SparkSession, opts: JobOptions):
     events = read_event_stream(spark, opts.input_path, opts.source_format, opts.source_options)
     snap_dir = os.path.join(opts.state_dir, "snapshots")
     side = snapshot_rule_side(spark, snap_dir)
-    programs = {}
-    if os.path.exists(os.path.join(snap_dir, "CURRENT")):
-        programs = rule_programs_from_snapshot(spark, snap_dir)
-    alerts = stream_alerts(events, rule_side=side, programs=programs, delay=opts.watermark_delay)
+    alerts = stream_alerts(events, rule_side=side, delay=opts.watermark_delay)
     values = alerts_to_json(alerts) if opts.alert_source is None else alerts_to_json(alerts, opts.alert_source)
     alert_q = stream_json(values, opts.output_path, os.path.join(ck, "alerts"))
     return control_q, alert_q
-
-
-def rule_programs_from_snapshot(spark: SparkSession, snap_dir: str) -> dict:
-    """Rule-condition programs of the multi-block rules in the current state."""
-    log = spark.read.parquet(os.path.join(os.path.dirname(snap_dir), "control-log"))
-    from rulestream.operators.control import active_at
-    _, hist = fold_control(log.drop("batch_id"))
-    return rule_programs(rules_from_history(active_at(hist)))

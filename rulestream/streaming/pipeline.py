@@ -37,7 +37,8 @@ WINDOWED = ["THRESHOLD", "UNIQUE_THRESHOLD", "SIMPLE_ANOMALY", "DROP_TO_ZERO"]
 _SNAP_SCHEMA = ("rule_id string, rule_version int, base_severity int, group_by_field string, "
                 "rule_window_size bigint, rule_window_slide bigint, n_blocks int, rule_type string, "
                 "block_index int, block_type string, cond_json string, window_size bigint, "
-                "window_slide bigint, agg_json string, threshold int, unique_field string, anomaly_threshold int")
+                "window_slide bigint, agg_json string, threshold int, unique_field string, anomaly_threshold int, "
+                "program string")
 
 
 def with_event_time(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -52,6 +53,8 @@ def stream_block_results(matched: DataFrame, types: list[str] | None = None) ->
     (a shuffle and a state-store commit per micro-batch) is planned only
     when windowed blocks exist.  With rules as data (``None``) both are.
     """
+    if "program" not in matched.columns:
+        matched = matched.withColumn("program", F.lit(None).cast("string"))
     single = B.single_event(matched).withColumn("emit_ts", F.timestamp_millis("emit_ms"))
     if types is not None and not any(t in WINDOWED for t in types):
         return single
@@ -70,8 +73,10 @@ def stream_alerts(events: DataFrame, rule_set=None, rule_side: DataFrame | None
 
     Give either ``rule_set`` (a ``plans.batch.RuleSet``: compiled matching)
     or ``rule_side`` (e.g. ``snapshot_rule_side``: rules as data, re-read
-    every micro-batch) with ``programs`` = {(rule_id, version): program}
-    for multi-block rules.
+    every micro-batch).  A snapshot's rows carry their rule's condition
+    program through matching and state, so multi-block rules may be added or
+    replaced while the query runs.  ``programs`` = {(rule_id, version): program}
+    serves fixed rule sets.
     """
     ev = with_event_time(events, delay)
     if rule_set is not None:
@@ -89,10 +94,10 @@ def stream_alerts(events: DataFrame, rule_set=None, rule_side: DataFrame | None
         matched = match_joined_blocks(ev, rule_side, n_blocks=1)
     blocks = stream_block_results(matched, rule_set.facts["types"] if rule_set is not None else None)
     alerts = simple_alerts(blocks)
-    if programs:
+    if programs or rule_set is None:
         complex_alerts = (blocks.where(F.col("rule_type") == "COMPLEX")
                           .groupBy("customer", "rule_id", "group_by")
-                          .transformWithState(RuleWindowProcessor(dict(programs)), ALERT_OUT_SCHEMA,
+                          .transformWithState(RuleWindowProcessor(dict(programs or {})), ALERT_OUT_SCHEMA,
                                               "Append", "EventTime"))
         alerts = alerts.unionByName(complex_alerts)
     return alerts
@@ -110,11 +115,11 @@ def write_rule_snapshot(rules: DataFrame, snapshot_dir: str) -> str:
     """
     name = f"snap-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     path = os.path.join(snapshot_dir, name)
-    rb = rule_blocks(rules).select(
+    rb = rule_blocks(rules, program=True).select(
         "rule_id", "rule_version", "base_severity", "group_by_field", "rule_window_size", "rule_window_slide",
         "n_blocks", "rule_type", "block_index", "block_type", F.to_json("cond").alias("cond_json"),
         "window_size", "window_slide", F.to_json("agg_fields").alias("agg_json"), "threshold",
-        "unique_field", "anomaly_threshold")
+        "unique_field", "anomaly_threshold", "program")
     rb.coalesce(1).write.mode("errorifexists").parquet(path)
     tmp = os.path.join(snapshot_dir, f".CURRENT.{uuid.uuid4().hex}")
     with open(tmp, "w") as f:

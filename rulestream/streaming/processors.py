@@ -3,8 +3,8 @@
 ``BlockStateProcessor`` - keyed by (customer, rule_id, group_by,
 block_index), one per matched-event stream:
 
-* THRESHOLD / UNIQUE_THRESHOLD: map state per sliding window (window end ->
-  count, fired flag, distinct values, per-aggregation-key summaries).  The
+* THRESHOLD / UNIQUE_THRESHOLD: map state per sliding window (window end and
+  start, so that versions of a rule with other sizes keep apart -> count, fired flag, distinct values, per-aggregation-key summaries).  The
   initial result is emitted the moment the count (or distinct count) reaches
   THRESHOLD; an event-time timer at the window end emits the final result if
   the initial one fired, then deletes the window's state.
@@ -37,7 +37,7 @@ BLOCK_OUT_SCHEMA = (
     "rule_window_size bigint, rule_window_slide bigint, block_index int, block_type string, group_by string, "
     "match_ms bigint, emit_ms bigint, match_message string, "
     "matching_events array<struct<key:string,sample:string,count:bigint>>, phase string, "
-    "window_start_ms bigint, window_end_ms bigint, event_count bigint, order_tb bigint, emit_ts timestamp")
+    "window_start_ms bigint, window_end_ms bigint, event_count bigint, order_tb bigint, program string, emit_ts timestamp")
 
 # State values are kept as JSON text: one string column per entry.
 _JSON_VALUE = "data string"
@@ -62,7 +62,7 @@ def _starts(ms: int, size: int, slide: int) -> list[int]:
 
 def _meta(r) -> tuple:
     return (r.rule_version, r.base_severity, r.rule_type, r.rule_window_size, r.rule_window_slide,
-            r.window_size, r.threshold, r.anomaly_threshold, r.block_type)
+            r.window_size, r.threshold, r.anomaly_threshold, r.block_type, r.program)
 
 
 def _ts(ms):
@@ -74,13 +74,13 @@ def _block_row(key, meta, **kw) -> Row:
     customer, rule_id, group_by, block_index = key
     base = dict(customer=customer, rule_id=rule_id, rule_version=meta[0], base_severity=meta[1],
                 rule_type=meta[2], rule_window_size=meta[3], rule_window_slide=meta[4],
-                block_index=block_index, block_type=meta[8], group_by=group_by)
+                block_index=block_index, block_type=meta[8], group_by=group_by, program=meta[9])
     base.update(kw)
     base["emit_ts"] = _ts(base["emit_ms"])
     names = ["customer", "rule_id", "rule_version", "base_severity", "rule_type", "rule_window_size",
              "rule_window_slide", "block_index", "block_type", "group_by", "match_ms", "emit_ms",
              "match_message", "matching_events", "phase", "window_start_ms", "window_end_ms", "event_count",
-             "order_tb", "emit_ts"]
+             "order_tb", "program", "emit_ts"]
     return Row(**{n: base.get(n) for n in names})
 
 
@@ -90,7 +90,7 @@ class BlockStateProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.wins = handle.getMapState("wins", "we long", _JSON_VALUE)
-        self.cnts = handle.getMapState("cnts", "p long", _JSON_VALUE)
+        self.cnts = handle.getMapState("cnts", "p long, size long", _JSON_VALUE)
 
     # -- helpers -------------------------------------------------------
     def _summaries(self, sums):
@@ -130,9 +130,9 @@ class BlockStateProcessor(StatefulProcessor):
         out = []
         for ws in _starts(r.event_ms, size, slide):
             we = ws + size
-            if self.wins.containsKey((we,)):
-                v = _get(self.wins, (we,))
-            else:
+            same_end = _get(self.wins, (we,)) if self.wins.containsKey((we,)) else {}
+            v = same_end.get(str(ws))
+            if v is None:
                 v = [ws, 0, False, [], [], list(_meta(r))]
                 self.handle.registerTimer(we - 1)
             v[1] += 1
@@ -157,7 +157,8 @@ class BlockStateProcessor(StatefulProcessor):
             if fire and not v[2]:
                 v[2] = True
                 out.append(self._window_result(key, we, v, "initial"))
-            _put(self.wins, (we,), v)
+            same_end[str(ws)] = v
+            _put(self.wins, (we,), same_end)
         return out
 
     def _count(self, r):
@@ -165,11 +166,11 @@ class BlockStateProcessor(StatefulProcessor):
         if size <= 0:
             return
         p = r.event_ms - (r.event_ms % size)
-        if self.cnts.containsKey((p,)):
-            n, sz, meta = _get(self.cnts, (p,))
-            _put(self.cnts, (p,), [n + 1, sz, list(_meta(r))])  # sample: the last event
+        if self.cnts.containsKey((p, size)):
+            n, _ = _get(self.cnts, (p, size))
+            _put(self.cnts, (p, size), [n + 1, list(_meta(r))])  # sample: the last event
         else:
-            _put(self.cnts, (p,), [1, size, list(_meta(r))])
+            _put(self.cnts, (p, size), [1, list(_meta(r))])
             self.handle.registerTimer(p + size - 1)          # sub-window closes: anomaly test
             self.handle.registerTimer(p + 2 * size - 1)      # next one empty: drop test
 
@@ -179,25 +180,33 @@ class BlockStateProcessor(StatefulProcessor):
         out = []
         we = t + 1
         if self.wins.containsKey((we,)):
-            v = _get(self.wins, (we,))
-            if v[2]:
-                out.append(self._window_result(key, we, v, "final"))
+            for _, v in sorted(_get(self.wins, (we,)).items(), key=lambda x: int(x[0])):
+                if v[2]:
+                    out.append(self._window_result(key, we, v, "final"))
             self.wins.removeKey((we,))
         out.extend(self._count_timer(key, t + 1))
         return iter(out)
 
     def _count_timer(self, key, end):
-        counts = {k[0]: json.loads(v[0]) for k, v in self.cnts.iterator()}
+        by_size = {}
+        for (p, size), (data,) in self.cnts.iterator():
+            by_size.setdefault(size, {})[p] = json.loads(data)
+        out = []
+        for size, counts in sorted(by_size.items()):
+            out.extend(self._size_timer(key, end, size, counts))
+        return out
+
+    def _size_timer(self, key, end, size, counts):
+        """Tests and eviction among the sub-windows of one size."""
         out = []
-        for p, (n, size, meta) in sorted(counts.items()):
+        for p, (n, meta) in sorted(counts.items()):
             btype = meta[8]
             if btype == "SIMPLE_ANOMALY" and p + size == end:
-                frame = [q for q in counts if p - (COMPARISON_WINDOW_COUNT - 1) * size <= q <= p
-                         and counts[q][1] == size]
+                frame = [q for q in counts if p - (COMPARISON_WINDOW_COUNT - 1) * size <= q <= p]
                 if len(frame) >= COMPARISON_WINDOW_COUNT - 1:
                     prev = sum(counts[q][0] for q in frame) - n
                     avg = prev // (COMPARISON_WINDOW_COUNT - 1)
-                    first = counts[min(frame)][2]
+                    first = counts[min(frame)][1]
                     if n >= avg * (first[7] or 0):
                         msg = MSG_ANOMALY % (n, int((first[5] or 0) / 60), avg)
                         out.append(_block_row(key, first, match_ms=end, emit_ms=end - 1, match_message=msg,
@@ -205,18 +214,17 @@ class BlockStateProcessor(StatefulProcessor):
                                               window_start_ms=end - COMPARISON_WINDOW_COUNT * size,
                                               window_end_ms=end, event_count=n, order_tb=p))
             if btype == "DROP_TO_ZERO" and p + 2 * size == end and (p + size) not in counts:
-                frame = [q for q in counts if p - (COMPARISON_WINDOW_COUNT - 2) * size <= q <= p
-                         and counts[q][1] == size]
+                frame = [q for q in counts if p - (COMPARISON_WINDOW_COUNT - 2) * size <= q <= p]
                 if len(frame) == COMPARISON_WINDOW_COUNT - 1:
-                    first = counts[min(frame)][2]
+                    first = counts[min(frame)][1]
                     out.append(_block_row(key, first, match_ms=end, emit_ms=end - 1,
                                           match_message=MSG_DROP % (first[5] or 0), matching_events=None,
                                           phase="close", window_start_ms=end - COMPARISON_WINDOW_COUNT * size,
                                           window_end_ms=end, event_count=0, order_tb=p))
         # evict sub-windows that can no longer enter a comparison window
-        for p, (n, size, meta) in counts.items():
+        for p in counts:
             if p + (COMPARISON_WINDOW_COUNT + 1) * size <= end:
-                self.cnts.removeKey((p,))
+                self.cnts.removeKey((p, size))
         return out
 
     def close(self) -> None:
@@ -228,6 +236,7 @@ def eval_rule_program(prog, seq_blocks: list[int]) -> bool:
     seen = set(seq_blocks)
     st: list[bool] = []
     for x in prog or []:
+        x = {"idx": None, "neg": None, "n": None, **(x if isinstance(x, dict) else x.asDict())}
         op = x["op"]
         if op == "all":
             st.append(all(i in seen for i in (x["idx"] or [])))
@@ -266,7 +275,8 @@ ALERT_OUT_SCHEMA = (
 class RuleWindowProcessor(StatefulProcessor):
     """R3-R7 + O2 in streaming: block results -> rule windows -> alerts.
 
-    ``programs`` maps (rule_id, rule_version) -> rule-condition program.
+    Block results carry their rule's condition as JSON text; where they do not
+    (fixed rule sets), ``programs`` maps (rule_id, rule_version) to it.
     """
 
     def __init__(self, programs: dict):
@@ -274,44 +284,46 @@ class RuleWindowProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.wins = handle.getMapState("rwins", "rws long", _JSON_VALUE)
+        self.wins = handle.getMapState("rwins", "rws long, rwe long", _JSON_VALUE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for r in rows:
             size, slide = (r.rule_window_size or 0) * 1000, (r.rule_window_slide or 0) * 1000
             if size <= 0 or slide <= 0:
                 continue
-            item = (r.match_ms, r.emit_ms, r.block_index, r.order_tb, r.rule_version, r.base_severity,
-                    r.match_message, [[e["key"], e["sample"], e["count"]] for e in (r.matching_events or [])])
+            item = (r.match_ms, r.emit_ms, int(r.block_type != "SINGLE_EVENT"), r.order_tb, r.block_index,
+                    r.rule_version, r.base_severity, r.match_message, [[e["key"], e["sample"], e["count"]] for e in (r.matching_events or [])])
             for ws in _starts(r.emit_ms, size, slide):
-                if self.wins.containsKey((ws,)):
-                    rwe, items = _get(self.wins, (ws,))
-                    items.append(list(item))
+                win = (ws, ws + size)
+                if self.wins.containsKey(win):
+                    programs, items = _get(self.wins, win)
                 else:
-                    rwe, items = ws + size, [list(item)]
+                    programs, items = {}, []
                     self.handle.registerTimer(ws + size - 1)
-                _put(self.wins, (ws,), [rwe, items])
+                programs[str(r.rule_version)] = r.program
+                _put(self.wins, win, [programs, [*items, item]])
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         end = expiredTimerInfo.getExpiryTimeInMs() + 1
         out = []
-        for (ws,), (data,) in list(self.wins.iterator()):
-            rwe, items = json.loads(data)
+        for (ws, rwe), (data,) in list(self.wins.iterator()):
             if rwe != end:
                 continue
-            self.wins.removeKey((ws,))
-            items = sorted(items, key=lambda it: (it[0], it[1], it[2], it[3]))
+            programs, items = json.loads(data)
+            self.wins.removeKey((ws, rwe))
+            items = sorted(items, key=lambda it: tuple(it[:5]))
             head = items[0]
-            prog = self.programs.get((key[1], head[4]))
-            if prog is None or not eval_rule_program(prog, [it[2] for it in items]):
+            text = programs.get(str(head[5]))
+            prog = json.loads(text) if text else self.programs.get((key[1], head[5]))
+            if prog is None or not eval_rule_program(prog, [it[4] for it in items]):
                 continue
             outputs = {}
             for it in items:
-                outputs[str(it[2])] = (it[0], it[6], [tuple(e) for e in (it[7] or [])])
-            out.append(Row(customer=key[0], rule_id=key[1], rule_version=head[4], base_severity=head[5],
+                outputs[str(it[4])] = (it[0], it[7], [tuple(e) for e in (it[8] or [])])
+            out.append(Row(customer=key[0], rule_id=key[1], rule_version=head[5], base_severity=head[6],
                            group_by=key[2], match_ms=max(it[0] for it in items), window_start_ms=ws,
-                           window_end_ms=rwe, seen=sorted({it[2] for it in items}), outputs=outputs))
+                           window_end_ms=rwe, seen=sorted({it[4] for it in items}), outputs=outputs))
         return iter(out)
 
     def close(self) -> None:

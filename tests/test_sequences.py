@@ -78,3 +78,11 @@ def test_sequence_needs_exact_next_position(spark):
                              (4, {"g": "b", "check": "2"}), (5, {"g": "b", "check": "1"})])
     rf = rules_from_json(spark, [("r", 1, seq_rule([(0, False), (1, False), (2, False)]))])
     assert [a["group_by"] for a in run_rules(ev, rf).collect()] == ["g=a"]
+
+
+def test_same_millisecond_results_follow_arrival(spark):
+    # same match time: the event that arrived first counts first, whatever its block's index
+    ev = make_events(spark, [(1, {"g": "a", "check": "1"}), (1, {"g": "a", "check": "0"}),
+                             (1, {"g": "b", "check": "0"}), (1, {"g": "b", "check": "1"})])
+    rf = rules_from_json(spark, [("r", 1, seq_rule([(0, False), (1, False)]))])
+    assert [a["group_by"] for a in run_rules(ev, rf).collect()] == ["g=b"]

@@ -9,7 +9,7 @@ from conftest import START_MS, iso
 
 from rulestream.operators.rules import rules_from_json
 from rulestream.plans.batch import RuleSet
-from rulestream.plans.catalog import all_blocks, block, eq, rule
+from rulestream.plans.catalog import all_blocks, block, eq, rule, seq_cond
 from rulestream.sources.events import read_event_stream
 from rulestream.streaming.pipeline import (rule_programs, snapshot_rule_side, stream_alerts,
                                            write_rule_snapshot)
@@ -91,3 +91,39 @@ def test_stream_dynamic_rule_snapshot(spark):
     ev = _lines([(0, {"type": "error"}), (1, {"type": "ok"}), (2, {"type": "error"})])
     out = run_stream(spark, [ev], rule_side=snapshot_rule_side(spark, d), programs=rule_programs(rules))
     assert len(out) == 2
+
+
+def test_stream_multi_block_rule_added_and_resized_while_running(spark):
+    """A multi-block rule that is added after the start alerts without a restart; its second version, with
+    another window size, keeps its windows apart from the first's."""
+    d = tempfile.mkdtemp(prefix="rs-late-", dir="/tmp")
+    src, snap = os.path.join(d, "in"), os.path.join(d, "snap")
+    os.makedirs(src), os.makedirs(snap)
+
+    def put(n, specs):
+        with open(os.path.join(src, f"{n}.json"), "w") as f:
+            f.write("\n".join(_lines(specs)) + "\n")
+
+    def ordered(version, size):
+        r = rule([block("SINGLE_EVENT", eq("check", "a")), block("SINGLE_EVENT", eq("check", "b"))],
+                 size=size, slide=size, condition=seq_cond((0, False), (1, False)))
+        return rules_from_json(spark, [("late", version, r)])
+
+    events = read_event_stream(spark, src)
+    put(0, [(0, {"check": "a"}), (1, {"check": "b"})])
+    q = (stream_alerts(events, rule_side=snapshot_rule_side(spark, snap)).writeStream.format("memory")
+         .queryName("late_alerts").outputMode("append").option("checkpointLocation", os.path.join(d, "ck")).start())
+    try:
+        q.processAllAvailable()
+        write_rule_snapshot(ordered(1, 10), snap)
+        put(1, [(2, {"check": "a"}), (3, {"check": "b"})])
+        q.processAllAvailable()
+        write_rule_snapshot(ordered(2, 20), snap)
+        put(2, [(4, {"check": "b"}), (5, {"check": "a"})])
+        q.processAllAvailable()
+        put(3, [(100000, {"check": "-"})])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = spark.sql("select rule_version, window_end_ms - window_start_ms as size from late_alerts").collect()
+    assert [tuple(r) for r in out] == [(1, 10000)]
