@@ -7,9 +7,9 @@ wherever it stands in them.  A line is made rare by its context: its hash covers
 
 Every document is paired with the first holder (smallest id) of each rare line it shares, so a line of any number of
 documents makes as many pairs as it has holders, and never all of them.  Each pair is aligned by patience diff (lines
-that are unique in both, longest increasing run, recursion between them; what is left unaligned is tried again
-against the whole first document, for passages in another order).  Aligned runs of ``BLOCK_WORDS`` words or more are
-deleted from the later document; the first holder keeps them.
+that are unique in both, longest increasing run, recursion between them); stretches that it leaves, as of passages that
+stand in another order or more than once, are looked up in the whole first document by a suffix automaton of its lines.
+Runs of ``BLOCK_WORDS`` words or more are deleted from the later document; the first holder keeps them.
 
 Null ids and null texts are left as they are.  Rows that share an id are not compared with each other; each is
 compared with earlier ids.  Words are compared without regard to the case of A-Z and to white space.
@@ -130,28 +130,86 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _longest(a: list, b: list) -> list[int]:
+    """For each line of ``b`` the length of the longest run of lines that ends there and stands in ``a``: a suffix automaton of ``a``."""
+    go: list[dict] = [{}]
+    link, size, last = [-1], [0], 0
+    for v in a:
+        now, p = len(go), last
+        go.append({})
+        size.append(size[last] + 1)
+        link.append(0)
+        while p >= 0 and v not in go[p]:
+            go[p][v] = now
+            p = link[p]
+        if p >= 0:
+            q = go[p][v]
+            if size[q] == size[p] + 1:
+                link[now] = q
+            else:
+                twin = len(go)
+                go.append(dict(go[q]))
+                size.append(size[p] + 1)
+                link.append(link[q])
+                while p >= 0 and go[p].get(v) == q:
+                    go[p][v] = twin
+                    p = link[p]
+                link[q] = link[now] = twin
+        last = now
+    out, at, n = [], 0, 0
+    for v in b:
+        while at and v not in go[at]:
+            at = link[at]
+            n = size[at]
+        if v in go[at]:
+            at, n = go[at][v], n + 1
+        out.append(n)
+    return out
+
+
+def _stretches(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last + 1 of each stretch of true values."""
+    edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def common_blocks(a: np.ndarray, b: np.ndarray, words: np.ndarray, least: int = BLOCK_WORDS) -> list[tuple[int, int]]:
-    """Line ranges of ``b`` that stand in ``a`` as runs of ``least`` words or more."""
+    """Line ranges of ``b`` that stand in ``a`` as runs of ``least`` words or more: all of them, in whatever order and however often.
+
+    Patience diff aligns what it can; stretches of lines of ``a`` that it leaves are looked up in the whole of ``a``.
+    """
     if len(a) == len(b) and np.array_equal(a, b):
         return [(0, len(b))] if words.sum() >= least else []
-    x, y, w = a.tolist(), b.tolist(), words.tolist()
-    blocks: list[tuple[int, int]] = []
-    todo = [(0, len(y))]
-    while todo:
-        lo, hi = todo.pop()
-        pairs, found, k = patience(x, y[lo:hi]), [], 0
-        while k < len(pairs):
-            e = k + 1
-            while e < len(pairs) and pairs[e][0] == pairs[e - 1][0] + 1 and pairs[e][1] == pairs[e - 1][1] + 1:
-                e += 1
-            if sum(w[lo + pairs[k][1]:lo + pairs[e - 1][1] + 1]) >= least:
-                found.append((lo + pairs[k][1], lo + pairs[e - 1][1] + 1))
-            k = e
-        if found:
-            blocks += found
-            edges = [lo, *(p for f in found for p in f), hi]
-            todo += [(p, q) for p, q in zip(edges[::2], edges[1::2]) if sum(w[p:q]) >= least and (p, q) != (lo, hi)]
-    return sorted(blocks)
+    upto = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    low, high = _stretches(np.isin(b, a))
+    wide = upto[high] - upto[low] >= least
+    low, high = low[wide], high[wide]
+    if not len(low):
+        return []
+    gone = np.zeros(len(b), bool)
+    pairs = np.array(patience(a.tolist(), b.tolist()), np.int64).reshape(-1, 2)
+    cuts = np.flatnonzero((np.diff(pairs, axis=0) != 1).any(axis=1)) + 1
+    for run in np.split(pairs[:, 1], cuts):
+        if len(run) and upto[run[-1] + 1] - upto[run[0]] >= least:
+            gone[run[0]:run[-1] + 1] = True
+    left = [(p, q) for p, q in zip(low.tolist(), high.tolist()) if not gone[p:q].all()]
+    if left:
+        stretches = [b[p:q] for p, q in left]
+        held = np.isin(a, np.concatenate(stretches))
+        known, y = np.where(held, a.astype(np.int64), -1)[held | np.append(True, held[:-1])].tolist(), []
+        for v in stretches:
+            y += [*v.tolist(), -2]
+        longest, k = _longest(known, y), 0
+        for p, q in left:
+            end = np.arange(p, q) + 1
+            start = end - longest[k:k + q - p]
+            far = upto[end] - upto[start] >= least
+            step = np.zeros(len(b) + 1, np.int64)
+            np.add.at(step, start[far], 1)
+            np.add.at(step, end[far], -1)
+            gone |= np.cumsum(step[:-1]) > 0
+            k += q - p + 1
+    return [(int(p), int(q)) for p, q in zip(*_stretches(gone))]
 
 
 def _anchor_rows(it):

@@ -143,6 +143,39 @@ def test_patience_and_blocks():
     assert linededup.common_blocks(a, a, np.full(20, 1)) == []
 
 
+def test_blocks_that_stand_twice():
+    w = np.full(60, 4)
+    p, x, y, z = np.arange(10), np.arange(100, 120), np.arange(200, 220), np.arange(300, 310)
+    twice, once = np.concatenate([p, x, p]), np.concatenate([y, p, z])
+    assert linededup.common_blocks(twice, once, w[:40]) == [(20, 30)]  # twice in the earlier document
+    assert linededup.common_blocks(once, twice, w[:40]) == [(0, 10), (30, 40)]  # twice in the later one
+    assert linededup.common_blocks(np.concatenate([x, p, p]), np.concatenate([p, y, p]), w[:40]) == [(0, 10), (30, 40)]
+    song = np.array([1, 2, 1, 2, 3, 3, 1, 2, 1, 3])  # mostly repeated lines
+    assert linededup.common_blocks(np.concatenate([song, x, song[::-1], song]), np.concatenate([y, song, z]), w[:40]) == [(20, 30)]
+    assert linededup.common_blocks(np.concatenate([p[:5], x, p[5:]]), once, w[:40]) == []  # in two halves of 20 words
+
+
+def test_blocks_by_brute_force():
+    rng = random.Random(8)
+    for _ in range(400):
+        a, b = ([rng.randrange(4) for _ in range(rng.randint(1, 25))] for _ in range(2))
+        w = [rng.randint(1, 12) for _ in range(4)]
+        want = {k for i in range(len(b)) for j in range(i + 1, len(b) + 1) if sum(w[v] for v in b[i:j]) >= 32
+                and any(a[k:k + j - i] == b[i:j] for k in range(len(a))) for k in range(i, j)}
+        got = linededup.common_blocks(np.array(a, "<u4"), np.array(b, "<u4"), np.array([w[v] for v in b], "<u2"))
+        assert {k for p, q in got for k in range(p, q)} == want
+
+
+def test_passage_that_stands_twice(spark):
+    rng = random.Random(9)
+    make = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    p = make(60)
+    rows = [(1, f"{make(90)} {p} {make(40)} {p} {make(50)}"), (2, f"{make(70)} {p} {make(80)}"), (3, f"{make(30)} {p} {make(60)} {p}")]
+    got = {r.doc_id: r for r in linededup.dedup_lines(table(spark, rows)).collect()}
+    inner = " ".join(p.split()[20:40])
+    assert got[1].text == rows[0][1] and inner not in got[2].text and inner not in got[3].text and got[3].words_deleted > 60
+
+
 # ---- Jaccard join
 
 def shingle_set(text):
