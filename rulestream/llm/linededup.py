@@ -1,12 +1,14 @@
 """Line dedup by pairwise alignment (operator 1).
 
 A document is cut into short lines by its content alone: a line ends at a line break, at a sentence end, or after a
-word whose hash has ``LINE_BITS`` zero bits, so a passage that stands in two documents has the same lines in both,
-wherever it stands in them.  A line is made rare by its context: its hash covers the following lines up to
-``ANCHOR_WORDS`` words.  Of these hashes a window minimum is kept (in every ``WINNOW`` consecutive ones the smallest).
+word whose hash is smaller than those of the two words on either side, or around a word that is repeated at once, so a passage that stands in two documents has the same lines in both,
+wherever it stands in them; where none of these comes for ``LINE_WORDS`` words, the line ends after them.  A line is
+made rare by its context: its hash covers the following lines until ``BLOCK_WORDS`` words are reached.  Every such hash
+is kept, so what two documents share of it is just long enough to be deleted, and no shared block is without one.
 
 Every document is paired with the first holder (smallest id) of each rare line it shares, so a line of any number of
-documents makes as many pairs as it has holders, and never all of them.  Each pair is aligned by patience diff (lines
+documents makes as many pairs as it has holders, and never all of them; aligned with it, the later document loses the
+lines of that hash, so no other holder need be met.  Each pair is aligned by patience diff (lines
 that are unique in both, longest increasing run, recursion between them); stretches that it leaves, as of passages that
 stand in another order or more than once, are looked up in the whole first document by a suffix automaton of its lines.
 Runs of ``BLOCK_WORDS`` words or more are deleted from the later document; the first holder keeps them.
@@ -25,13 +27,12 @@ from pyspark.sql import functions as F
 from rulestream.llm.common import cut, mix64
 from rulestream.llm.words import Words, words_of
 
-LINE_BITS = 2
-ANCHOR_WORDS = 16
-WINNOW = 6
+LINE_WORDS = 8
 BLOCK_WORDS = 32
 SALT_ROWS = 512
-_PLACE = np.random.default_rng(20240503).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0xA24BAED4963EE407)
+_POWER = np.uint64(0xD1342543DE82EF95)
+_INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
 
 
 class Lines:
@@ -40,13 +41,23 @@ class Lines:
     def __init__(self, w: Words):
         n = len(w.hash)
         row = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-        stop = (mix64(w.hash) & np.uint64((1 << LINE_BITS) - 1)) == 0
+        stop = np.zeros(n, bool)
         if n:
+            same = row[:-1] == row[1:]
+            rank = mix64(w.hash)
+            stop[2:-2] = (row[:-4] == row[2:-2]) & (rank[2:-2] < np.minimum(rank[3:-1], rank[4:])) & (rank[2:-2] <= np.minimum(rank[1:-3], rank[:-4])) & (row[4:] == row[2:-2])
+            again = (rank[1:] == rank[:-1]) & same
+            stop[1:-1] |= again[:-1] & ~again[1:]  # the last of a repeated word
+            stop[:-2] |= again[1:] & ~again[:-1]  # the word before a repeated one
             stop |= np.isin(w.data[w.end - 1], np.frombuffer(b".!?", np.uint8))
             breaks = np.flatnonzero(w.data == 10)
             stop[:-1] |= np.searchsorted(breaks, w.end[:-1]) < np.searchsorted(breaks, w.start[1:])
-            stop[:-1] |= row[:-1] != row[1:]
+            stop[:-1] |= ~same
             stop[-1] = True
+            last = np.flatnonzero(stop)
+            head = np.concatenate([[0], last[:-1] + 1])
+            since = np.arange(n) - np.repeat(head, last - head + 1)
+            stop |= since % LINE_WORDS == LINE_WORDS - 1
         last = np.flatnonzero(stop)
         head = np.concatenate([[0], last[:-1] + 1]) if n else last
         self.words = (last - head + 1).astype(np.int64)
@@ -58,27 +69,22 @@ class Lines:
         self.hash = mix64(np.add.reduceat(w.hash * place[np.arange(n) - np.repeat(head, self.words)], head))
         self.start = w.start[head]
 
-    def anchors(self) -> list[np.ndarray]:
-        """Distinct window-minimum hashes of every row's lines in context."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, hash) of every run of lines that just reaches ``BLOCK_WORDS`` words, once a row."""
         n = len(self.hash)
         upto = np.concatenate([[0], np.cumsum(self.words)])
-        end = np.searchsorted(upto, upto[:-1] + ANCHOR_WORDS)
-        row_end = np.repeat(self.first[1:], np.diff(self.first))
-        h = np.zeros(n, np.uint64)
-        for k in range(ANCHOR_WORDS):
-            at = np.arange(k, n)
-            part = np.zeros(n, np.uint64)
-            part[:n - k] = self.hash[at] * _PLACE[k]
-            h += np.where(np.arange(n) + k < end, part, np.uint64(0))
-        h = mix64(h)
-        sound = end <= row_end
-        out = []
-        for a, b in zip(self.first[:-1], self.first[1:]):
-            v = h[a:b][sound[a:b]]
-            if len(v) > WINNOW:
-                v = np.lib.stride_tricks.sliding_window_view(v, WINNOW).min(axis=1)
-            out.append(np.unique(v).view(np.int64))
-        return out
+        end = np.searchsorted(upto, upto[:-1] + BLOCK_WORDS)
+        row = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        at = np.flatnonzero(end <= self.first[row + 1])
+        power = np.cumprod(np.full(n + 1, _POWER, np.uint64))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hash * power[:n], dtype=np.uint64)])
+        back = np.cumprod(np.full(n + 1, _INVERSE, np.uint64))
+        h, row = mix64(mix64((total[end[at]] - total[at]) * back[at]) + (end[at] - at).astype(np.uint64)).view(np.int64), row[at]
+        order = np.lexsort((h, row))
+        h, row = h[order], row[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+        return row[new], h[new]
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -214,8 +220,25 @@ def common_blocks(a: np.ndarray, b: np.ndarray, words: np.ndarray, least: int =
 
 def _anchor_rows(it):
     for batch in it:
-        rows = [a for _, _, w in words_of(batch.column(1)) for a in Lines(w).anchors()]
-        yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["id", "anchors"])
+        for a, _, w in words_of(batch.column(1)):
+            row, h = Lines(w).anchors()
+            yield pa.record_batch([batch.column(0).take(pa.array(row + a)), pa.array(h)], names=["id", "h"])
+
+
+def _meet_first(it):
+    """Rows by (h, id): each later holder of a hash with its first one."""
+    now, holder = None, None
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        ids, h = (c.to_numpy() for c in batch.columns)
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        new[0] = now is None or h[0] != now
+        first = np.append(ids[new], holder if holder is not None else 0)[np.cumsum(new) - 1]
+        now, holder = h[-1], first[-1]
+        later = ids > first
+        yield pa.record_batch([pa.array(ids[later]), pa.array(first[later])], names=["id", "first"])
 
 
 def _line_rows(it):
@@ -272,9 +295,9 @@ def line_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     ``fp`` is the hash of the row's text; it tells rows of one id apart.
     """
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    holders = docs.mapInArrow(_anchor_rows, "id bigint, anchors array<bigint>").select("id", F.explode("anchors").alias("h"))
-    first = holders.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("h", "first")
-    pairs = cut(holders.join(first, "h").where("id > first").select("id", "first").distinct())
+    # A document counts once for each of its many hashes, so no hash's rows outweigh a task's share of all hashes.
+    holders = docs.mapInArrow(_anchor_rows, "id bigint, h bigint").repartition("h").sortWithinPartitions("h", "id")
+    pairs = cut(holders.mapInArrow(_meet_first, "id bigint, first bigint").distinct())
     spread = pairs.groupBy("first").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("spread"))
     later = pairs.join(spread, "first").select("id", F.struct("first", F.pmod(F.xxhash64("id"), F.col("spread")).cast("int").alias("salt")).alias("f"))
     roles = later.groupBy("id").agg(F.collect_list("f").alias("firsts")).join(spread.select(F.col("first").alias("id"), "spread"), "id", "full")

@@ -7,10 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rulestream.llm import bpe, density, jaccard, linededup, ngram_lm, packing
+from rulestream.llm.words import words_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 DDL = "doc_id bigint, text string, id string, n int"  # extra columns whose names clash with internal ones
@@ -176,6 +178,51 @@ def test_passage_that_stands_twice(spark):
     assert got[1].text == rows[0][1] and inner not in got[2].text and inner not in got[3].text and got[3].words_deleted > 60
 
 
+def cut_lines(texts):
+    out = []
+    for text in texts:
+        (_, _, w), = words_of(pa.array([text]))
+        out.append(linededup.Lines(w))
+    return out
+
+
+def test_passages_of_51_to_60_words_are_paired_and_deleted():
+    rng = random.Random(10)
+    vocab = [f"w{i}" for i in range(2000)]
+    make = lambda n: [w for _ in range(n) for w in [rng.choice(vocab)] * (rng.randint(1, 30) if rng.random() < 0.02 else 1)][:n]
+    missed = 0
+    for _ in range(2500):
+        p = make(rng.randint(51, 60))
+        a, b = cut_lines(" ".join(make(rng.randint(0, 80)) + p + make(rng.randint(0, 80))) for _ in range(2))
+        paired = len(np.intersect1d(a.anchors()[1], b.anchors()[1])) > 0
+        assert paired == bool(linededup.common_blocks(a.hash.astype("<u4"), b.hash.astype("<u4"), b.words))
+        missed += not paired
+    assert missed <= 2  # 31 words or fewer in whole lines
+
+
+def test_anchors_of_a_row_do_not_depend_on_its_neighbours():
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice("a b c d. e f g\nh".split(" ")) for _ in range(rng.randint(0, 90))) for _ in range(60)]
+    (_, _, w), = words_of(pa.array(texts))
+    row, h = linededup.Lines(w).anchors()
+    for i, lines in enumerate(cut_lines(texts)):
+        assert sorted(h[row == i]) == sorted(lines.anchors()[1])
+
+
+def test_holder_of_a_part_does_not_protect_the_rest(spark):
+    rng = random.Random(12)
+    make = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows, inner = [], {}
+    for k in range(0, 600, 3):
+        p = make(60)
+        part = rng.randrange(24, 41)
+        at = rng.randint(0, 60 - part)
+        rows += [(k, " ".join(make(40) + p[at:at + part] + make(40))), (k + 1, " ".join(make(50) + p + make(30))), (k + 2, " ".join(make(30) + p + make(50)))]
+        inner[k + 2] = " ".join(p[20:40])
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(table(spark, rows)).collect()}
+    assert [k for k, x in inner.items() if x in got[k]] == []
+
+
 # ---- Jaccard join
 
 def shingle_set(text):
