@@ -299,6 +299,37 @@ def test_main_text():
     assert density.main_text("<div><div class=menu><a href=x>home</a><a>b</a></div><div><p>The long body of the page.</p><p>With a second paragraph of text.</p></div></div>") == "The long body of the page.\nWith a second paragraph of text."
 
 
+STORY = "".join(f"<p>Paragraph {i} of the story, with words enough to be read, and a second part of it.</p>" for i in range(6))
+LINKS = "".join(f"<li><a href=/{i}>Menu entry {i}</a>" for i in range(5))
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><meta charset=utf-8><body><div>{STORY}</div>",  # head without end
+    f"<head><title>T</title><div>{STORY}</div>",
+    f"<body><div><p class=ad>Buy now{STORY}</div>",
+    f"<body><ul><li class=share>Share it<li>other</ul><div>{STORY}</div>",
+    f"<body><div><nav><ul>{LINKS}</ul></div><div>{STORY}</div>",  # an ancestor's end tag ends the menu
+    f"<body><aside>Aside<article>{STORY}</article>",
+    f"<body><div class=ad>Buy now<div>{STORY}</div>",
+    f"<body><label>Name<div>{STORY}</div>",
+    f"<body><svg><path d=1><div>{STORY}</div>",
+    f"<body><form action=/><input name=x><div>{STORY}</div></form>",
+    f"<body><div class='layout has-sidebar'><nav><ul>{LINKS}</ul></nav><div>{STORY}</div></div>",
+    f"<body><div id='page-share'><main>{STORY}</main></div>",
+])
+def test_boilerplate_ends_and_wrappers(page):
+    text = density.main_text(page)
+    assert all(f"Paragraph {i} of the story" in text for i in range(6)), text
+    assert "Menu entry" not in text
+
+
+def test_boilerplate_is_still_left_out():
+    assert "Related work" in density.main_text(f"<body><article><h2 id='related-work'>Related work</h2>{STORY}</article>")
+    replies = "".join(f"<article class=comment-body><p>Reply {i}: {'and so on and on, ' * 20}</p></article>" for i in range(9))
+    text = density.main_text(f"<body><article>{STORY}</article><div class=comments>{replies}</div><aside class=related><article><p>Teaser text.</p></article></aside><p><button><div>Press</div></button>")
+    assert "Paragraph 5" in text and not any(x in text for x in ("Reply", "Teaser", "Press"))
+
+
 def test_extraction_frame(spark):
     pages = spark.createDataFrame([(1, "u", None, 1), (2, None, "<p>x</p>", 2), (None, "v", "<p>" + "y " * 100000, 3)], "page_id bigint, url string, html string, id int")
     got = {r.page_id: r.text for r in density.extract_main_text(pages).collect()}
