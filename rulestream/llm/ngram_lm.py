@@ -8,14 +8,15 @@ sequences, weights and probabilities are quantised to 256 values each, and all l
 successor is looked up relative to its context: its base plus the word's rank, by Elias-Fano successor search.
 
 Distribution: one pass counts words (partial counts per batch, then one aggregation) and gives N, V and a table of the most
-frequent words, at most ``TOP_WORDS`` of them whatever the input's size.  A second pass deals every token, with its
+frequent words, at most ``TOP_WORDS`` of them whatever the input's size.  The counts of the other words reach the shards
+that ask for them by a join of the distinct (shard, word) with all words' counts.  Another pass deals every token, with its
 successor, to the shard of its context; frequent contexts are split by successor into parts of about ``SPLIT_TOKENS``
 tokens, so no shard holds a frequent word alone.  A shard counts its n-grams from the training documents, builds the trie,
 scores all documents' tokens and returns sums per document, which are added up.  Counts of n-grams and words are over all
 training documents.
 
-The unigram that bigrams back off to is exact for the words of the table; the other words share their class's mass evenly.
-A split context's distinct successors are those of the part, times the number of parts.  ``base_score`` is exact.
+The unigram that bigrams back off to is exact for all words, by their full hashes.  A split context's distinct successors
+are counted over all its parts beforehand.  ``base_score`` is exact.
 
 Null texts are empty: one end token.  Repeated rows are scored as often as they occur (and learned from as often).  Rows with a null
 id are in the training part of no fold and are scored.  Without training documents every score is the uniform model's.
@@ -147,13 +148,11 @@ class Trie:
 class Unigrams:
     """Corpus totals, and exact counts of the most frequent words (sorted hashes)."""
 
-    def __init__(self, tokens: int, types: int, words: np.ndarray, counts: np.ndarray):
+    def __init__(self, tokens: int, types: int, words: np.ndarray, counts: np.ndarray, split_tokens: int = SPLIT_TOKENS):
         order = np.argsort(words)
         self.tokens, self.types, self.words, self.counts = tokens, types, words[order], counts[order]
-        self.split = np.maximum(1, self.counts // SPLIT_TOKENS)
-        short = self.words.astype(np.uint32)
-        order = np.argsort(short, kind="stable")
-        self.short, self.short_counts = short[order], self.counts[order]
+        self.split = np.maximum(1, self.counts // split_tokens)
+        self.kinds = np.zeros(len(self.words), np.int64)  # distinct successors, of split contexts
 
     def denominator(self) -> float:
         return self.tokens + ADD * (self.types + 1)
@@ -165,14 +164,14 @@ class Unigrams:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, self.split[at], 1)
 
-    def log_p(self, short: np.ndarray) -> np.ndarray:
-        """log10 unigram probability by the low 32 bits of the word's hash."""
-        rest = self.tokens - int(self.counts.sum()), self.types - len(self.words)
-        even = np.log10((rest[0] + ADD * (rest[1] + 1)) / (rest[1] + 1) / self.denominator())
-        if not len(self.short):
-            return np.full(len(short), even)
-        at = np.minimum(np.searchsorted(self.short, short), len(self.short) - 1)
-        return np.where(self.short[at] == short, np.log10((self.short_counts[at] + ADD) / self.denominator()), even)
+    def log_p(self, words: np.ndarray, rare: np.ndarray, rare_counts: np.ndarray) -> np.ndarray:
+        """log10 unigram probability; ``rare``: sorted words that are not in the table, with their counts."""
+        count = np.zeros(len(words), np.int64)
+        for known, counts in ((self.words, self.counts), (rare, rare_counts)):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                count = np.where(known[at] == words, counts[at], count)
+        return np.log10((count + ADD) / self.denominator())
 
 
 def _tokens(w) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,8 +194,25 @@ def _count_words(it):
             yield pa.record_batch([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["w", "c"])
 
 
-def unigrams(training: DataFrame, top: int = TOP_WORDS) -> Unigrams:
-    """Counts over all training texts; at most ``top`` words come to the driver."""
+def _hot_pairs(uni: Unigrams):
+    """Distinct (context, successor) of split contexts."""
+    def run(it):
+        for batch in it:
+            for _, _, w in words_of(batch.column(0)):
+                _, token, nxt = _tokens(w)
+                hot = uni.parts(token) > 1
+                token, nxt = token[hot], nxt[hot]
+                order = np.lexsort((nxt, token))
+                token, nxt = token[order], nxt[order]
+                new = np.ones(len(token), bool)
+                new[1:] = (token[1:] != token[:-1]) | (nxt[1:] != nxt[:-1])
+                yield pa.record_batch([pa.array(x[new].view(np.int64)) for x in (token, nxt)], names=["w", "next"])
+
+    return run
+
+
+def unigrams(training: DataFrame, top: int = TOP_WORDS, split_tokens: int = SPLIT_TOKENS) -> tuple[Unigrams, DataFrame]:
+    """Counts over all training texts, of which at most ``top`` words' come to the driver, and the frame (w, c) of all."""
     counts = cut(training.select("text").mapInArrow(_count_words, "w bigint, c bigint").groupBy("w").agg(F.sum("c").alias("c")).withColumn("level", F.floor(F.log2("c") * 8).cast("int")))
     levels = counts.groupBy("level").agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect()
     least, total = 1 << 30, 0
@@ -206,7 +222,47 @@ def unigrams(training: DataFrame, top: int = TOP_WORDS) -> Unigrams:
             break
         least = r.level
     table = counts.where(F.col("level") >= least).select("w", "c").toArrow()
-    return Unigrams(sum(r.c for r in levels), sum(r.n for r in levels), table.column(0).to_numpy().view(np.uint64).copy(), table.column(1).to_numpy().copy())
+    uni = Unigrams(sum(r.c for r in levels), sum(r.n for r in levels), table.column(0).to_numpy().view(np.uint64).copy(), table.column(1).to_numpy().copy(), split_tokens)
+    if (uni.split > 1).any():
+        kinds = training.select("text").mapInArrow(_hot_pairs(uni), "w bigint, next bigint").distinct().groupBy("w").agg(F.count("*").alias("n")).toArrow()
+        uni.kinds[np.searchsorted(uni.words, kinds.column(0).to_numpy().view(np.uint64))] = kinds.column(1).to_numpy()
+    return uni, counts.select("w", "c")
+
+
+def _place(uni: Unigrams, token: np.ndarray, nxt: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context key, its shard, number of parts of its word) of each token."""
+    parts = uni.parts(token)
+    part = np.where(parts > 1, mix64(nxt) % parts.astype(np.uint64), np.uint64(0))
+    context = mix64(token + part * _PART) if part.any() else mix64(token)
+    return context, (context >> np.uint64(20)) % np.uint64(shards), parts
+
+
+def _ask(uni: Unigrams, shards: int):
+    """Distinct (shard, successor) of successors that are not in the table."""
+    def run(it):
+        for batch in it:
+            for _, _, w in words_of(batch.column(0)):
+                _, token, nxt = _tokens(w)
+                rare = ~np.isin(nxt, uni.words)
+                token, nxt = token[rare], nxt[rare]
+                shard = _place(uni, token, nxt, shards)[1]
+                order = np.lexsort((nxt, shard))
+                shard, nxt = shard[order], nxt[order]
+                new = np.ones(len(nxt), bool)
+                new[1:] = (shard[1:] != shard[:-1]) | (nxt[1:] != nxt[:-1])
+                yield pa.record_batch([pa.array(shard[new].astype(np.int32)), pa.array(nxt[new].view(np.int64))], names=["shard", "w"])
+
+    return run
+
+
+def _answer(it):
+    """Rows (shard, word, count) by shard: records of chunk -1 with the words and their counts."""
+    for batch in it:
+        if batch.num_rows:
+            shard, words, counts = (c.to_numpy() for c in batch.columns)
+            at = np.flatnonzero(np.diff(shard, prepend=shard[0] - 1))
+            rows = [(shard[p], -1, 0, b"", b"", b"", words[p:q].tobytes(), b"", b"", counts[p:q].tobytes(), None) for p, q in zip(at, np.append(at[1:], len(shard)))]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 8))], names=_RECORD)
 
 
 def _deal(uni: Unigrams, shards: int):
@@ -221,20 +277,15 @@ def _deal(uni: Unigrams, shards: int):
                 ids = batch.column(0)
                 for a, b, w in words_of(batch.column(2)):
                     row, token, nxt = _tokens(w)
-                    parts = uni.parts(token)
-                    part = np.where(parts > 1, mix64(nxt) % parts.astype(np.uint64), np.uint64(0))
-                    context = mix64(token + part * _PART) if part.any() else mix64(token)
-                    split = parts > 1
-                    shard = (context >> np.uint64(20)) % np.uint64(shards)
-                    short = nxt.astype(np.uint32)
+                    context, shard, parts = _place(uni, token, nxt, shards)
                     mark = (row * 2 + learn[a:b][row]).astype(np.uint16)
-                    order = np.lexsort((mark, short, context, shard))
-                    shard, context, short, mark, token, parts = (x[order] for x in (shard, context, short, mark, token, parts))
+                    order = np.lexsort((mark, nxt, context, shard))
+                    shard, context, nxt, mark, token, parts = (x[order] for x in (shard, context, nxt, mark, token, parts))
                     new = np.ones(len(order), bool)
-                    new[1:] = (shard[1:] != shard[:-1]) | (context[1:] != context[:-1]) | (short[1:] != short[:-1]) | (mark[1:] != mark[:-1])
+                    new[1:] = (shard[1:] != shard[:-1]) | (context[1:] != context[:-1]) | (nxt[1:] != nxt[:-1]) | (mark[1:] != mark[:-1])
                     at = np.flatnonzero(new)
                     times = np.diff(np.append(at, len(order))).astype(np.uint32)
-                    shard, context, short, mark, token, parts = (x[at] for x in (shard, context, short, mark, token, parts))
+                    shard, context, nxt, mark, token, parts = (x[at] for x in (shard, context, nxt, mark, token, parts))
                     home = count % shards
                     edges = np.searchsorted(shard, np.arange(shards + 1).astype(np.uint64))
                     table = np.asarray(pc.fill_null(ids.slice(a, b - a), 0).to_numpy(zero_copy_only=False), "<i8").tobytes() + np.packbits(ids.slice(a, b - a).is_valid().to_numpy(zero_copy_only=False)).tobytes()
@@ -245,7 +296,7 @@ def _deal(uni: Unigrams, shards: int):
                             continue
                         head = np.flatnonzero(np.diff(context[p:q], prepend=context[p:p + 1] + np.uint64(1)))
                         many = np.flatnonzero(times[p:q] > 1)
-                        rows.append((s, count, b - a, np.ascontiguousarray(context[p:q][head]).tobytes(), token[p:q][head][parts[p:q][head] > 1].tobytes(), np.diff(np.append(head, q - p)).astype("<u4").tobytes(), short[p:q].tobytes(), mark[p:q].tobytes(),
+                        rows.append((s, count, b - a, np.ascontiguousarray(context[p:q][head]).tobytes(), token[p:q][head][parts[p:q][head] > 1].tobytes(), np.diff(np.append(head, q - p)).astype("<u4").tobytes(), nxt[p:q].tobytes(), mark[p:q].tobytes(),
                                      many.astype("<u4").tobytes(), times[p:q][many].tobytes(), table if s == home else None))
                     for k in range(0, len(rows), 64):
                         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 64]), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 8))], names=_RECORD)
@@ -260,16 +311,24 @@ _RECORD_DDL = "shard int, chunk bigint, rows int, contexts binary, hot binary, r
 
 def _score_shard(uni: Unigrams, records: list):
     """(chunk, rows, sums, ids) of each record batch of one shard: per row with tokens here its base and model log10 sums and counts."""
+    answers = [r for r in records if r[1] < 0]
+    records = [r for r in records if r[1] >= 0]
+    if not records:
+        return
+    rare = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r[6], np.uint64) for r in answers)])
+    rare_counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r[9], np.int64) for r in answers)])
+    order = np.argsort(rare)
+    rare, rare_counts = rare[order], rare_counts[order]
     context = np.concatenate([np.repeat(np.frombuffer(r[3], np.uint64), np.frombuffer(r[5], "<u4")) for r in records])
-    short = np.concatenate([np.frombuffer(r[6], np.uint32) for r in records])
+    nxt = np.concatenate([np.frombuffer(r[6], np.uint64) for r in records])
     mark = np.concatenate([np.frombuffer(r[7], np.uint16) for r in records])
     size = np.array([len(r[7]) // 2 for r in records])
     first = np.concatenate([[0], np.cumsum(size)])
     times = np.ones(len(mark), np.int64)
     for k, r in enumerate(records):
         times[first[k] + np.frombuffer(r[8], "<u4").astype(np.int64)] = np.frombuffer(r[9], np.uint32)
-    order = np.lexsort((short, context))
-    c, s = context[order], short[order]
+    order = np.lexsort((nxt, context))
+    c, s = context[order], nxt[order]
     new = np.ones(len(order), bool)
     new[1:] = (c[1:] != c[:-1]) | (s[1:] != s[:-1])
     kind_of = np.empty(len(order), np.int64)
@@ -282,14 +341,14 @@ def _score_shard(uni: Unigrams, records: list):
     keys = c[head]
     total, kinds = np.bincount(owner, n, len(keys)), np.bincount(owner, n > 0, len(keys))
     hot = np.unique(np.concatenate([np.frombuffer(r[4], np.uint64) for r in records]))
-    if len(hot):  # split contexts: their totals stand in the table, their successors are spread evenly over the parts
+    if len(hot):  # split contexts: their totals and distinct successors over all parts stand in the table
         place = np.searchsorted(uni.words, hot)
-        for word, count, parts in zip(hot, uni.counts[place], uni.split[place]):
+        for word, count, parts, distinct in zip(hot, uni.counts[place], uni.split[place], uni.kinds[place]):
             of = mix64(word + np.arange(parts, dtype=np.uint64) * _PART)
             k = np.searchsorted(keys, of)
             k = k[(k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] == of)]
-            total[k], kinds[k] = count, kinds[k] * parts
-    p_low = uni.log_p(s)
+            total[k], kinds[k] = count, distinct
+    p_low = uni.log_p(s, rare, rare_counts)
     seen = np.flatnonzero(n > 0)
     live = np.flatnonzero(total > 0)
     index = np.full(len(keys), -1)
@@ -355,14 +414,18 @@ def _add_up(it):
         yield out(n, sums, ids)
 
 
-def score_documents(documents: DataFrame, fold: int = 10, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def score_documents(documents: DataFrame, fold: int = 10, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS, top_words: int = TOP_WORDS, split_tokens: int = SPLIT_TOKENS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score); learned from ids whose crc32 mod ``fold`` is not ``held_out``."""
     rest = crc32_mod(F.col("id"), fold)
     docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     learn = F.col("id").isNotNull() & (rest != held_out)
-    uni = unigrams(docs.where(learn))
+    uni, counts = unigrams(docs.where(learn), top_words, split_tokens)
     shards = max(1, -(-uni.tokens // shard_tokens))
-    dealt = docs.select("id", learn.alias("learn"), "text").mapInArrow(_deal(uni, shards), _RECORD_DDL).repartition(shards, "shard").sortWithinPartitions("shard", "chunk")
+    dealt = docs.select("id", learn.alias("learn"), "text").mapInArrow(_deal(uni, shards), _RECORD_DDL)
+    if len(uni.words) < uni.types:
+        asked = docs.select("text").mapInArrow(_ask(uni, shards), "shard int, w bigint").distinct().join(counts, "w").select("shard", "w", "c")
+        dealt = dealt.union(asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_answer, _RECORD_DDL))
+    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "chunk")
     parts = dealt.mapInArrow(_score(uni), "chunk bigint, rows int, at binary, base binary, score binary, known binary, tokens binary, ids binary")
     sums = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_add_up, "id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     return sums.select(F.col("id").alias(id_col), (F.coalesce(rest, F.lit(-1)) == held_out).alias("held_out"), "n_tokens", "n_known", F.lit(uni.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -391,3 +391,16 @@ def test_lm_split_contexts(spark, monkeypatch):
     assert uni.parts(np.array([5, 9, 7], np.uint64)).tolist() == [4, 1, 1]
     got = sorted((r.doc_id, r.base_score) for r in ngram_lm.score_documents(table(spark, rows)).collect())
     assert all(abs(g[1] - w[4]) < 1e-9 for g, w in zip(got, want))
+
+
+@pytest.mark.parametrize("limits", [{}, {"top_words": 4}, {"top_words": 12, "split_tokens": 100}, {"top_words": 12, "split_tokens": 100, "shard_tokens": 700}])
+def test_lm_scores_do_not_depend_on_input_limits(spark, limits):
+    rng = random.Random(13)
+    vocab = [f"w{i}" for i in range(300)]
+    pick = rng.choices(range(300), [1 / (i + 1) for i in range(300)], k=20000)
+    rows = [(i, " ".join(vocab[v] for v in pick[i * 50:i * 50 + 50])) for i in range(400)]
+    got = sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in ngram_lm.score_documents(table(spark, rows), **limits).collect())
+    want = brute_scores(rows)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert all(abs(g[4] - w[4]) < 1e-8 for g, w in zip(got, want))
+    assert max(abs(g[5] - w[5]) / w[1] for g, w in zip(got, want)) < 0.01  # quantised
