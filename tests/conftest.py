@@ -1,4 +1,3 @@
-import json
 import os
 import sys
 
@@ -8,31 +7,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from rulestream.session import local_session  # noqa: E402
 
-START_MS = 1550754000000  # 2019-02-21T13:00:00.000Z
-
 
 @pytest.fixture(scope="session")
 def spark():
     s = local_session("*", shuffle_partitions=8, app="rulestream-tests")
     yield s
     s.stop()
-
-
-def iso(ms: int) -> str:
-    import datetime as dt
-    d = dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc)
-    return d.strftime("%Y-%m-%dT%H:%M:%S.") + f"{ms % 1000:03d}Z"
-
-
-def make_events(spark, specs, customer="CustomerOne"):
-    """specs: list of (t_seconds, {field: value}) in arrival order."""
-    rows = []
-    for i, (t, f) in enumerate(specs):
-        d = {"@timestamp": iso(START_MS + int(t * 1000))}
-        if customer is not None and "customer" not in f:
-            d["customer"] = customer
-        d.update(f)
-        rows.append((i, json.dumps(d)))
-    from rulestream.sources.events import parse_events
-    df = spark.createDataFrame(rows, "seq bigint, content string")
-    return parse_events(df, seq_col="seq", on_bad_ts="drop")

@@ -1,6 +1,6 @@
 """End-to-end rule runs on the reference's integration scenarios."""
 
-from conftest import START_MS, make_events
+from helpers import START_MS, make_events
 
 from rulestream.operators.rules import rules_from_json
 from rulestream.plans.batch import run_rules

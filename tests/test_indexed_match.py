@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import make_events
+from helpers import make_events
 
 from rulestream.operators.match import MAX_INLINE_BLOCKS, _guards, match_compiled, match_indexed
 from rulestream.operators.rules import rules_from_json

@@ -5,7 +5,7 @@ import json
 import os
 import tempfile
 
-from conftest import START_MS, iso
+from helpers import START_MS, iso
 
 from rulestream.plans.catalog import block, eq, rule
 from rulestream.streaming.job import JobOptions, start

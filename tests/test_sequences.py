@@ -10,7 +10,7 @@ present notPresent index.
 
 import random
 
-from conftest import make_events
+from helpers import make_events
 
 from rulestream.operators.rules import rules_from_json
 from rulestream.plans.batch import run_rules

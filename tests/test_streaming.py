@@ -5,7 +5,7 @@ import os
 import tempfile
 import time
 
-from conftest import START_MS, iso
+from helpers import START_MS, iso
 
 from rulestream.operators.rules import rules_from_json
 from rulestream.plans.batch import RuleSet

@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import make_events
+from helpers import make_events
 
 from pyspark.sql import functions as F
 

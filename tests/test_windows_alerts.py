@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import START_MS, make_events
+from helpers import START_MS, make_events
 from pyspark.sql import functions as F
 
 from rulestream.functions.windows import pane_ms, sliding_starts, tumbling_start
