@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulestream.llm import bpe, collisions, density, jaccard, kdtree, linededup, mil, ngram_lm, packing, semicrf
+from rulestream.llm import bpe, collisions, density, jaccard, kdtree, linededup, markov, mil, ngram_lm, packing, semicrf, sketches, strtree
 from rulestream.llm.common import crc32_mod, importable, read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,13 +69,30 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_<kind> counts the base spans, which base_sha256 covers; ``spans`` holds the method's too, of kind random."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = markov.find_secrets(docs, markov.learn(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == F.lit(kind))).cast("bigint").alias(f"n_{kind}") for kind in markov.KINDS[:3]]
+    return found.select("doc_id", *counts, F.sha2(markov.digest(base).cast("binary"), 256).alias("base_sha256"), markov.digest(F.col("spans")).alias("spans"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strtree.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_QUERIES = (op1_line_dedup, op2_packing, op3_jaccard_join, op4_quality, op5_personal_data, op6_near_vectors, op7_bpe, op8_main_text, op9_lm_score, op10_top_k, pipeline)
+_QUERIES = (op1_line_dedup, op2_packing, op3_jaccard_join, op4_quality, op5_personal_data, op6_near_vectors, op7_bpe, op8_main_text, op9_lm_score, op10_top_k, op11_secrets, op12_hard_negatives, op13_lexical_search, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -118,6 +135,30 @@ WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS q FROM e
 s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0),
 r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+r AS (SELECT p.anchor_id, p.positive_id, (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT * FROM r WHERE rank <= 10""",
+    "op13_lexical_search": """
+WITH terms AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+  FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT row_number() OVER () AS d, doc_id, w, len(w)::BIGINT AS n FROM terms WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS total FROM sized),
+tf AS (SELECT d, doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT d, doc_id, n, unnest(w) AS t FROM sized) GROUP BY ALL),
+asked AS (
+  SELECT item_id, unnest(list_distinct(list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda w: w <> ''))) AS t
+  FROM benchmark WHERE text IS NOT NULL),
+weights AS (SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS wt FROM tf, totals GROUP BY t),
+scores AS (
+  SELECT item_id, doc_id, sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // total)))))::BIGINT AS score
+  FROM asked JOIN tf USING (t) JOIN weights USING (t), totals GROUP BY item_id, d, doc_id),
+r AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50""",
 }
 
 
