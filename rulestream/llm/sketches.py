@@ -46,6 +46,7 @@ CHUNK_BYTES = 4 << 20
 SLICE = 1 << 20
 BLOCK_TERMS = 1 << 16
 STEP = 64
+OUT_ROWS = 1 << 16
 
 _TERM_BYTES = bytearray(b" " * 128) + bytearray(range(128, 256))
 for _c in b"0123456789abcdefghijklmnopqrstuvwxyz":
@@ -103,10 +104,10 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(it):
         for batch in it:
-            for row, item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch.column(2))):
-                t = sorted({x for part in _slices(text) for x in part.split()})
-                if t:
-                    yield pa.record_batch([pa.array([row] * len(t), pa.int64()), pa.array([item] * len(t), pa.int64()), pa.array(t, pa.binary())], names=["row", "item_id", "term"])
+            out = [(row, item, t) for row, item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch.column(2)))
+                   for t in sorted({x for part in _slices(text) for x in part.split()})]
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], names=["row", "item_id", "term"])
 
     return cut(rows.select("row", "item_id", "text").mapInArrow(run, "row bigint, item_id bigint, term binary"))
 
@@ -244,10 +245,9 @@ def _searcher(q: Queries, weights: np.ndarray, n_docs: int, total: int, limits:
             ids, texts = batch.column(0).to_pylist(), _texts(batch.column(1))
             for a, b in slices(len(ids), np.array([len(t) + CHUNK_BYTES // CHUNK_DOCS for t in texts]), CHUNK_BYTES):
                 search_chunk(Chunk(texts[a:b], q, weights, n_docs, total), ids[a:b], q, lookup, ranking)
-        for (row, item), best in zip(q.keys, ranking.best):
-            if best:
-                cols = [[row] * len(best), [item] * len(best), [None if null else i for _, null, i in best], [-s for s, _, _ in best]]
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], schema=schema)
+        found = [(row, item, None if null else i, -s) for (row, item), best in zip(q.keys, ranking.best) for s, null, i in best]
+        for a in range(0, len(found), OUT_ROWS):
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found[a:a + OUT_ROWS])], schema=schema)
 
     return run
 
