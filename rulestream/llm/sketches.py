@@ -127,6 +127,15 @@ def _ranges(it):
     yield pa.record_batch([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["first", "last"])
 
 
+def _blocks(terms: DataFrame) -> list[tuple[int, int]]:
+    """Ranges of query rows, one per block: two numbers per ``BLOCK_TERMS`` terms reach the driver."""
+    n, first, last = terms.agg(F.count("*"), F.min("row"), F.max("row")).first()
+    if n <= BLOCK_TERMS:
+        return [(first, last)] if n else []
+    sizes = terms.groupBy("row").count().repartitionByRange(n // BLOCK_TERMS, "row").sortWithinPartitions("row")
+    return [(r["first"], r["last"]) for r in sizes.mapInArrow(_ranges, "first bigint, last bigint").collect()]
+
+
 class Queries:
     """A block of queries: its vocabulary, and each query's terms, as numbers."""
 
@@ -261,13 +270,12 @@ def rank_documents(documents: DataFrame, queries: DataFrame, k: int = K, id_col:
     """item_id, rank, doc_id, score: the ``k`` best documents of every query, scores above 0 alone."""
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
     terms = query_terms(queries, query_id_col, query_text_col)
-    sizes = terms.groupBy("row").count()
-    blocks = sizes.repartitionByRange(max(1, terms.count() // BLOCK_TERMS), "row").sortWithinPartitions("row").mapInArrow(_ranges, "first bigint, last bigint").collect()
+    blocks = _blocks(terms)
     first_part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == 0
     schema = "row bigint, item_id bigint, doc_id bigint, score bigint"
     results = []
     for block in blocks:
-        q = Queries(terms.where(F.col("row").between(block["first"], block["last"])).collect())
+        q = Queries(terms.where(F.col("row").between(*block)).collect())
         n_docs, total, df = _statistics(docs, q)
         if not n_docs:
             break
