@@ -195,9 +195,9 @@ def eval_condition(prog: Column, field: Callable[[Column], Column]) -> Column:
 
     A composite without all its operands never matches.
 
-    The two commonest shapes - one leaf, and AND/OR of two leaves - are
-    evaluated directly; other programs fold a boolean stack with
-    ``aggregate``.  All paths share C5's ordered error rule.
+    The commonest shapes - one leaf, and AND/OR of leaves - are evaluated
+    directly; other programs fold a boolean stack with ``aggregate``.  All
+    paths share C5's ordered error rule.
     """
     def step(st, i):
         leaf = _eval_leaf(i, field)
@@ -220,7 +220,14 @@ def eval_condition(prog: Column, field: Callable[[Column], Column]) -> Column:
     pair = (F.when(x.isNull(), F.lit(None).cast("boolean"))
             .when(third["op"] == "or", F.when(x, F.lit(True)).otherwise(y))
             .otherwise(F.when(x, y).otherwise(F.lit(False))))
-    out = F.when(one_leaf, _eval_leaf(first, field)).when(two_leaves, pair).otherwise(general)
+    last = F.try_element_at(prog, F.lit(-1))
+    leaves = F.slice(prog, F.lit(1), F.greatest(size - 1, F.lit(0)))
+    flat = ((size > 3) & last["op"].isin(*composite) & (F.coalesce(last["n"], F.lit(0)) == size - 1)
+            & ~F.exists(leaves, lambda i: i["op"].isin(*composite)))
+    is_or = last["op"] == "or"
+    many = F.aggregate(leaves, ~is_or, lambda acc, i: F.when(acc.isNull(), F.lit(None).cast("boolean"))
+                       .when(acc == is_or, acc).otherwise(_eval_leaf(i, field)))
+    out = (F.when(one_leaf, _eval_leaf(first, field)).when(two_leaves, pair).when(flat, many).otherwise(general))
     return F.coalesce(out, F.lit(False))
 
 

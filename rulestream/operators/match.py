@@ -1,6 +1,6 @@
 """Rule matching (J1-J6): every event against every block of every active rule.
 
-Two physical forms with identical results:
+Physical forms with identical results:
 
 * ``match_compiled`` - the rule set is known when the plan is built (batch
   runs, streams with a fixed rule set).  Each block condition is compiled
@@ -8,11 +8,12 @@ Two physical forms with identical results:
   exploded.  No join at all: one codegen'd projection, and the OR of all
   conditions is a plain filter Catalyst pushes below the JSON/projection
   work (and to the parquet scan where the leaves are plain columns).
-* ``match_joined`` - rules are data (rules that change while a stream runs,
-  or rule sets too large to compile).  The rule side is broadcast - only
-  after checking its row count - and the postfix program is evaluated with
-  higher-order functions in the join condition.  Larger rule sets are split
-  into broadcast chunks of bounded size.
+* ``match_dynamic`` - rules are data (rules that change while a stream runs,
+  or rule sets too large to compile).  A guard index derived from the rules
+  (``operators.guards``) turns the theta join into an equi-join on (field,
+  value); the postfix program is evaluated with higher-order functions on
+  the pairs that meet.  The index is counted before it is broadcast; larger
+  ones are joined without a broadcast.
 
 Output ("matched" frame), one row per (event, rule, block) match:
 customer, rule_id, rule_version, base_severity, rule_type, rule_window_size,
@@ -30,7 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.functions.conditions import compile_condition, eval_condition
+from rulestream.operators.guards import guard_index, with_pairs
 from rulestream.operators.rules import rule_blocks
+from rulestream.session import ensure_checkpoint_dir
 
 MATCHED_COLUMNS = [
     "customer", "rule_id", "rule_version", "base_severity", "rule_type", "rule_window_size",
@@ -46,6 +49,10 @@ MAX_BROADCAST_BLOCKS = 20000
 # beyond it generated code outgrows what the JVM compiles, and a collected
 # rule set is matched through the guard index instead (``match_indexed``).
 MAX_INLINE_BLOCKS = 32
+# Up to this many guard fields are named in the plan, so that other fields make no pairs.
+MAX_GUARD_FIELDS = 200
+# Tasks over which one (field, value) pair is dealt where rules are not broadcast.
+SALTS = 16
 
 
 def _fv(fields: Column, key) -> Column:
@@ -184,28 +191,64 @@ def _matched_schema(events: DataFrame) -> str:
             "event_ms bigint, arrival_seq bigint, content string")
 
 
-def match_joined(events: DataFrame, rules: DataFrame, n_blocks: int | None = None,
-                 chunk: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
-    """J1-J4 with rules as data: broadcast rule side, HOF-evaluated condition.
+def match_joined(events: DataFrame, rules: DataFrame) -> DataFrame:
+    """J1-J4 with rules as data (see ``match_dynamic``)."""
+    return match_dynamic(events, GuardIndex(rule_blocks(rules)))
 
-    ``n_blocks`` (the rule side's row count) is checked before broadcasting;
-    beyond ``chunk`` rows the rule side is cut into bounded broadcast chunks
-    by a hash of the rule id, each joined separately and unioned.
-    """
-    return match_joined_blocks(events, rule_blocks(rules), n_blocks, chunk)
+
+class GuardIndex:
+    """A rule side's guard index, written once (configuration, shared checkpoint folder) and counted."""
+
+    def __init__(self, rb: DataFrame):
+        ensure_checkpoint_dir(rb.sparkSession)
+        self.frame = guard_index(rb).checkpoint(eager=True)
+        counts = self.frame.groupBy("gk").agg(F.count("*").alias("n"))
+        # the guard fields in use are named in the plan unless they are too many
+        total = counts.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("gk") == "", F.col("n"))).alias("free")).first()
+        rows = counts.where(F.col("gk") != "").select("gk").limit(MAX_GUARD_FIELDS + 1).collect()
+        self.n_free = total["free"] or 0
+        self.n_guarded = (total["n"] or 0) - self.n_free
+        self.keys = sorted(r["gk"] for r in rows) if len(rows) <= MAX_GUARD_FIELDS else None
 
 
-def match_joined_blocks(events: DataFrame, rb: DataFrame, n_blocks: int | None = None,
-                        chunk: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
-    """``match_joined`` over a flat rule-blocks frame (see ``rules.rule_blocks``)."""
-    if n_blocks is None:
-        n_blocks = rb.count()
-    n_chunks = max(1, -(-n_blocks // chunk))
-    outs = []
+def match_dynamic(events: DataFrame, index: GuardIndex, limit: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
+    """J1-J4 with a rule side of any size, through a guard index made as data.
+
+    Up to ``limit`` index rows are broadcast and one hash join on (field,
+    value) meets every block.  Beyond that nothing of unknown size is
+    broadcast: guarded blocks meet the events in an equi-join that AQE plans
+    from measured sizes (splitting skewed pairs), and blocks without a guard,
+    which meet every event, are broadcast in counted chunks of at most
+    ``limit`` rows.
+    """
+    n_free, n_guarded, idx = index.n_free, index.n_guarded, index.frame
+    if n_free + n_guarded <= limit:
+        return _join_chunk(with_pairs(events, n_free > 0, index.keys), idx, guard=True)
+    parts = []
+    if n_guarded:
+        parts.append(_join_chunk(with_pairs(events, False, index.keys), idx.where(F.col("gk") != ""),
+                                 guard=True, small=n_guarded <= limit))
+    n_chunks = -(-n_free // limit)
     for c in range(n_chunks):
-        side = rb if n_chunks == 1 else rb.where(F.pmod(F.xxhash64("rule_id", "block_index"), F.lit(n_chunks)) == c)
-        outs.append(_join_chunk(events, side))
-    return reduce(lambda a, b: a.unionByName(b), outs)
+        part = idx.where((F.col("gk") == "") & (F.pmod(F.xxhash64("rule_id", "block_index"), F.lit(n_chunks)) == c))
+        parts.append(_join_chunk(with_pairs(events, True, []), part, guard=True))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def match_streamed(events: DataFrame, index: DataFrame, broadcast: bool = True) -> DataFrame:
+    """J1-J4 for a stream whose rules change: ``index`` is a guard index re-read at every micro-batch.
+
+    One stream-static join on (field, value).  Whoever writes the index checks
+    its rows against the broadcast bound.  Without ``broadcast`` both sides are
+    shuffled, for rule sets of any size: a pair that many events carry is dealt
+    over ``SALTS`` tasks, and the index, which is configuration, once to each.
+    """
+    pairs = with_pairs(events)
+    if broadcast:
+        return _join_chunk(pairs, index, guard=True)
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("content", "arrival_seq"), F.lit(SALTS)))
+    salts = index.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
+    return _join_chunk(pairs, salts.hint("merge"), guard=True, small=False)
 
 
 def _guards(program) -> list[tuple[str, frozenset]]:
@@ -266,7 +309,7 @@ def match_indexed(events: DataFrame, rules: DataFrame, blocks: list[dict]) -> Da
         else:
             free.append(i)
     if len(index) > MAX_BROADCAST_BLOCKS:
-        return match_joined(events, rules, len(blocks))
+        return match_joined(events, rules)
     side = spark.createDataFrame(rows, rb.schema)
     parts = []
     if index:
@@ -280,13 +323,15 @@ def match_indexed(events: DataFrame, rules: DataFrame, blocks: list[dict]) -> Da
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _join_chunk(events: DataFrame, rb: DataFrame, guard: bool = False) -> DataFrame:
+def _join_chunk(events: DataFrame, rb: DataFrame, guard: bool = False, small: bool = True) -> DataFrame:
+    """``small``: the rule side's rows were counted and may be broadcast."""
     e = events.alias("e")
-    r = F.broadcast(rb).alias("r")
+    r = (F.broadcast(rb) if small else rb).alias("r")
     fields = F.col("e.fields")
     cond = eval_condition(F.col("r.cond"), lambda k: _fv(fields, k))
     if guard:
-        cond = (F.col("e.g.gk") == F.col("r.gk")) & (F.col("e.g.gv") == F.col("r.gv")) & cond
+        pair = (F.col("e.g.gk") == F.col("r.gk")) & (F.col("e.g.gv") == F.col("r.gv"))
+        cond = pair & (F.col("e.salt") == F.col("r.salt")) & cond if "salt" in rb.columns else pair & cond
     cond = cond & _group_ok(fields, F.col("r.group_by_field"))
     if "valid_from_ms" in rb.columns:
         cond = cond & (F.col("r.valid_from_ms").isNull() | (F.col("e.event_ms") >= F.col("r.valid_from_ms")))
@@ -307,13 +352,11 @@ def _join_chunk(events: DataFrame, rb: DataFrame, guard: bool = False) -> DataFr
 
 
 def match(events: DataFrame, rules: DataFrame, mode: str = "auto") -> DataFrame:
-    """Match events against rules; ``mode`` = auto | compiled | joined."""
+    """Match events against rules; ``mode`` = auto | compiled | joined.  Rule sets too large to compile are joined."""
     if mode in ("auto", "compiled"):
         blocks = collect_rule_blocks(rules)
         if blocks is not None:
             if len(blocks) > MAX_INLINE_BLOCKS and mode == "auto" and not events.isStreaming:
                 return match_indexed(events, rules, blocks)
             return match_compiled(events, blocks)
-        if mode == "compiled":
-            raise ValueError(f"more than {MAX_COMPILED_BLOCKS} rule blocks; use mode='joined'")
     return match_joined(events, rules)

@@ -11,7 +11,7 @@ and is size-checked before anything is brought to the driver.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from rulestream.operators import blocks as B
 from rulestream.operators.alerts import simple_alerts
 from rulestream.operators.combine import combine
-from rulestream.operators.match import (MAX_BROADCAST_BLOCKS, MAX_COMPILED_BLOCKS, MAX_INLINE_BLOCKS,
-                                        match_compiled, match_indexed, match_joined)
+from rulestream.operators.match import (MAX_BROADCAST_BLOCKS, MAX_COMPILED_BLOCKS, MAX_INLINE_BLOCKS, GuardIndex,
+                                        match_compiled, match_dynamic, match_indexed)
+from rulestream.operators.rules import rule_blocks
 
 
 class RuleSet:
@@ -51,6 +52,11 @@ class RuleSet:
             self.blocks = None
             self.facts = rule_set_facts(rules)
 
+    @cached_property
+    def index(self) -> GuardIndex:
+        """The guard index of the rule set, made on first use."""
+        return GuardIndex(rule_blocks(self.frame, program=True))
+
 
 def _facts_from_rows(rows: list[dict]) -> dict:
     types, thr, seq, fan = [], 0, 0, 0
@@ -109,7 +115,7 @@ def run_blocks(events: DataFrame, rules, mode: str = "auto", cache_matched: bool
     elif rs.compiled and mode in ("auto", "compiled"):
         matched = match_compiled(events, rs.blocks)
     else:
-        matched = match_joined(events, rs.frame, facts["n_blocks"])
+        matched = match_dynamic(events, rs.index).drop("program")
     types = facts["types"]
     consumers = sum({"THRESHOLD": 2, "UNIQUE_THRESHOLD": 3}.get(t, 1) for t in types)
     if cache_matched and consumers > 1:

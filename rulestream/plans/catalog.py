@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from rulestream.functions.windows import sec_to_ms, sliding_starts
 from rulestream.operators import blocks as B
 from rulestream.operators.alerts import flat_alerts
-from rulestream.operators.match import match_compiled, match_joined
-from rulestream.operators.rules import rules_from_json
+from rulestream.operators.match import match_compiled, match_dynamic, match_joined
+from rulestream.operators.rules import parse_rules, rules_from_json
 from rulestream.plans.batch import RuleSet, run_blocks, run_rules
+from rulestream.session import ensure_checkpoint_dir
 from rulestream.sources.events import read_events_table
 
 PKG = "rulestream.conditions."
@@ -226,11 +227,37 @@ def q_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     if "matched_joined" not in RULES:
         RULES["matched_joined"] = RULES["threshold"] + RULES["unique_threshold"] + RULES["nested_condition"]
     rs = rule_set(spark, "matched_joined")
-    m = match_joined(read_events_table(spark, sf_dir), rs.frame, rs.facts["n_blocks"])
+    m = match_dynamic(read_events_table(spark, sf_dir), rs.index)
     return m.select("rule_id", "block_index", "block_type", "rule_type", "customer", "group_by",
                     "agg_key", "unique_value", F.col("arrival_seq").alias("event_id"), "event_ms")
 
 
+def derived_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule set made from the data: one rule per (user, k) that occurs, for
+    values over half of the largest seen there.  Rule JSON, as a control
+    message would carry it, built and decoded by Spark."""
+    k = F.get_json_object("props", "$.k")
+    seen = (spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").cast("string").alias("user"), k.alias("k"), "value")
+            .where(F.col("user").isNotNull() & F.col("k").isNotNull() & F.col("value").isNotNull())
+            .groupBy("user", "k").agg((F.max("value") / 2).alias("over")))
+    leaf = lambda cls, **cols: F.struct(F.lit(PKG + cls).alias("@class"), *[c.alias(n) for n, c in cols.items()])
+    kids = F.concat_ws(
+        ",", F.to_json(leaf("EqualCondition", key=F.lit("user"), value=F.col("user"))),
+        F.to_json(leaf("EqualCondition", key=F.lit("k"), value=F.col("k"))),
+        F.to_json(leaf("ComparisonCondition", key=F.lit("value"), thresholdValue=F.col("over"), type=F.lit("GREATER_THAN"))))
+    content = F.format_string('{"blocks":[{"type":"SINGLE_EVENT","condition":{"@class":"%s","type":"AND","conditions":[%s]}}]}',
+                              F.lit(PKG + "CompositeCondition"), kids)
+    store = seen.select(F.format_string("u%s.k%s", "user", "k").alias("rule_id"), F.lit(1).alias("rule_version"), content.alias("content"))
+    ensure_checkpoint_dir(spark)
+    return parse_rules(store.checkpoint(eager=True))  # a rule store is written once; decoding reads it several times
+
+
+def q_dynamic_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules as data, as many as the data has (user, k) pairs, met through the guard index."""
+    m = match_joined(read_events_table(spark, sf_dir), derived_rules(spark, sf_dir))
+    return m.select("rule_id", "rule_version", "block_index", "block_type", "customer", F.col("arrival_seq").alias("event_id"), "event_ms")
+
+
 def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 with a slide that does not divide the size (1 h 30 min / 1 h)."""
     ev = read_events_table(spark, sf_dir)
@@ -304,6 +331,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "history_replay": q_history_replay,
         "block_outputs": q_block_outputs,
         "matched_joined": q_matched,
+        "dynamic_match": q_dynamic_match,
         "sliding_windows": q_sliding_windows,
         "window_counts": q_window_counts,
     }
@@ -582,6 +610,10 @@ FROM ev WHERE (type = 'error' AND ms >= 1704067200000 AND ms < 1705276800000)
    OR (type = 'purchase' AND ms >= 1705276800000)""",
         "block_outputs": _block_outputs_sql(),
         "matched_joined": _matched_sql(),
+        "dynamic_match": f"""WITH {EV},
+r AS (SELECT usr, k, max(value) / 2 AS over FROM ev WHERE usr IS NOT NULL AND k IS NOT NULL AND value IS NOT NULL GROUP BY usr, k)
+SELECT 'u' || usr || '.k' || k AS rule_id, 1 AS rule_version, 0 AS block_index, 'SINGLE_EVENT' AS block_type, customer, event_id, ms AS event_ms
+FROM ev JOIN r USING (usr, k) WHERE value::FLOAT::DOUBLE > over""",
         "sliding_windows": f"""WITH {EV}, s AS (SELECT event_id, ms FROM ev)
 SELECT event_id, ws AS window_start_ms FROM ({_windows_sql('s', 5400000, 3600000)})""",
         "window_counts": f"""WITH {EV}

@@ -70,3 +70,69 @@ def test_indexed_stream_equals_batch(spark):
     batch = parse_events(spark.createDataFrame([(x,) for x in lines], "content string"), on_bad_ts="drop")
     want = sorted((r["rule_id"], r["match_ms"]) for r in run_blocks(batch, rs).collect())
     assert got == want and len(got) > 20
+
+
+def _events_and_rules(spark, n, seed=11):
+    rnd = random.Random(seed)
+    rules = [(f"r{i}", 1, rule([block("SINGLE_EVENT", _conditions(i))], group_by="type" if i % 5 == 0 else None))
+             for i in range(n)]
+    rules.append(("deep", 1, rule([block("SINGLE_EVENT", any_of(
+        all_of(eq("k", "1"), any_of(eq("type", "a"), eq("type", "b"))), all_of(eq("type", "b"), cmp("v", "LESS_THAN", 4))))])))
+    specs = []
+    for t in range(150):
+        f = {"type": rnd.choice(["a", "b", "c", ""]), "k": str(rnd.randrange(8)), "v": rnd.choice([str(rnd.randrange(12)), "x"])}
+        if rnd.random() < 0.2:
+            del f[rnd.choice(["k", "type"])]
+        specs.append((t, f))
+    return make_events(spark, specs), RuleSet(rules_from_json(spark, rules))
+
+
+COLS = ["rule_id", "block_index", "group_by", "arrival_seq"]
+
+
+def test_guard_index_as_data_equals_compiled(spark):
+    from rulestream.operators.match import match_dynamic
+    ev, rs = _events_and_rules(spark, 46)
+    want = sorted(tuple(r) for r in match_compiled(ev, rs.blocks).select(*COLS).collect())
+    for limit in (20000, 10):  # one broadcast; a planned equi-join and chunks of blocks without a guard
+        m = match_dynamic(ev, rs.index, limit)
+        assert sorted(tuple(r) for r in m.select(*COLS).collect()) == want and len(want) > 100
+    plan = match_dynamic(ev, rs.index)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_guards_as_data_equal_guards_on_the_driver(spark):
+    from pyspark.sql import functions as F
+
+    from rulestream.operators.guards import guard_alternatives
+    from rulestream.operators.rules import rule_blocks
+    _, rs = _events_and_rules(spark, 30)
+    for r in rule_blocks(rs.frame).select("cond", guard_alternatives(F.col("cond")).alias("g")).collect():
+        got = {(a["key"], frozenset(a["vals"])) for a in r["g"]}
+        assert got == {(k, v) for k, v in _guards(r["cond"]) if "" not in v}, r["cond"]
+
+
+def test_streams_with_large_and_with_shuffled_rule_sets(spark, tmp_path):
+    from test_streaming import _lines, run_stream
+
+    from rulestream.plans.batch import run_blocks
+    from rulestream.sources.events import parse_events
+    from rulestream.streaming.pipeline import snapshot_rule_side, write_rule_snapshot
+    rnd = random.Random(5)
+    rules = rules_from_json(spark, [(f"r{i}", 1, rule([block("SINGLE_EVENT", _conditions(i))])) for i in range(12)])
+    lines = _lines([(t, {"type": rnd.choice(["a", "b", "c"]), "k": str(rnd.randrange(8)), "v": str(rnd.randrange(12))}) for t in range(40)])
+    batch = parse_events(spark.createDataFrame([(x,) for x in lines], "content string"), on_bad_ts="drop")
+    want = sorted((r["rule_id"], r["match_ms"]) for r in run_blocks(batch, rules).collect())
+    large = RuleSet(rules, limit=3)  # stands for a rule set that is too large to compile
+    assert large.blocks is None
+    got = sorted((a["rule_id"], a["match_ms"]) for a in run_stream(spark, [lines], rule_set=large))
+    assert got == want and len(got) > 20
+    snap = str(tmp_path)
+    try:
+        write_rule_snapshot(rules, snap, limit=3)
+        raise AssertionError("published more rows than the bound")
+    except ValueError:
+        pass
+    write_rule_snapshot(rules, snap, limit=None)
+    got = run_stream(spark, [lines], rule_side=snapshot_rule_side(spark, snap), broadcast_rules=False)
+    assert sorted((a["rule_id"], a["match_ms"]) for a in got) == want
