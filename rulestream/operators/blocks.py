@@ -118,14 +118,11 @@ def _event_rows(df: DataFrame) -> DataFrame:
 def _pane_windows(df: DataFrame) -> DataFrame:
     """Fold events into panes per (key, agg_key), then assign panes to the
     sliding windows that contain them (pane-level explosion)."""
-    size, slide = sec_to_ms("window_size"), sec_to_ms("window_slide")
-    d = df.withColumn("size_ms", size).withColumn("slide_ms", slide)
-    d = d.withColumn("pane", tumbling_start(F.col("event_ms"), pane_ms(F.col("size_ms"), F.col("slide_ms"))))
+    d = _with_panes(df)
     panes = d.groupBy(*KEY, "size_ms", "slide_ms", "pane", "agg_key").agg(
         F.count(F.lit(1)).alias("n"), F.min_by(_meta(), _arrival()).alias("first"),
         F.min(_arrival()).alias("first_at"), F.max("event_ms").alias("latest"))
-    w = panes.select("*", F.explode(sliding_starts(F.col("pane"), F.col("size_ms"), F.col("slide_ms"))).alias("ws"))
-    return w.withColumn("we", F.col("ws") + F.col("size_ms"))
+    return _to_windows(panes)
 
 
 def _exploded_events(df: DataFrame) -> DataFrame:
@@ -167,15 +164,26 @@ def _pane_heads(t: DataFrame, k: int) -> DataFrame:
     return w.withColumn("we", F.col("ws") + F.col("size_ms"))
 
 
+# row_number() <= K is limited before the shuffle up to this K; a larger
+# THRESHOLD finds its Nth event by counts instead.
+HEAD_LIMIT = 1000
+# Time buckets that a pane's events are counted in to find the Nth.
+BUCKETS = 64
+
+
 def threshold(matched: DataFrame, max_threshold: int, max_fan: int | None = None) -> DataFrame:
     """Initial firing when the running count of a window reaches THRESHOLD
     (content: the first N events in arrival order) and a final firing at
     window end with every event of the window.  ``max_threshold`` is the
     largest THRESHOLD of the rule set (a plan literal for the group limit);
     ``max_fan`` the largest number of sliding windows per event (None:
-    unknown, treated as large)."""
+    unknown, treated as large).  Blocks with a THRESHOLD above ``HEAD_LIMIT``
+    are fired by counts, without touching the limit of the others."""
     t = matched.where((F.col("block_type") == "THRESHOLD") & (F.col("threshold") > 0))
     k = int(max(1, max_threshold))
+    if k > HEAD_LIMIT:
+        few = threshold(t.where(F.col("threshold") <= HEAD_LIMIT), HEAD_LIMIT, max_fan)
+        return few.unionByName(_threshold_by_counts(t.where(F.col("threshold") > HEAD_LIMIT)))
     ev = _exploded_events(t) if max_fan is not None and max_fan <= PANE_LIMIT_FAN else _pane_heads(t, k)
     rn = F.row_number().over(Window.partitionBy(*WKEY).orderBy("event_ms", "arrival_seq"))
     top = ev.withColumn("rn", rn).where(F.col("rn") <= F.lit(k))
@@ -186,6 +194,74 @@ def threshold(matched: DataFrame, max_threshold: int, max_fan: int | None = None
     return _initial_and_final(initial, final, "THRESHOLD", _threshold_msg())
 
 
+def _with_panes(df: DataFrame) -> DataFrame:
+    """Window sizes in ms, and the pane that holds each event."""
+    d = df.withColumn("size_ms", sec_to_ms("window_size")).withColumn("slide_ms", sec_to_ms("window_slide"))
+    d = d.withColumn("width", pane_ms(F.col("size_ms"), F.col("slide_ms")))
+    return d.withColumn("pane", tumbling_start(F.col("event_ms"), F.col("width")))
+
+
+def _to_windows(panes: DataFrame) -> DataFrame:
+    """Rows of panes -> rows of the sliding windows that contain the pane."""
+    w = panes.select("*", F.explode(sliding_starts(F.col("pane"), F.col("size_ms"), F.col("slide_ms"))).alias("ws"))
+    return w.withColumn("we", F.col("ws") + F.col("size_ms"))
+
+
+def _fired(panes_in_windows: DataFrame, fire: DataFrame, events: DataFrame, block_type: str, message: Column) -> DataFrame:
+    """Both firings of windows whose place of firing is known.
+
+    ``fire``: per window, the pane it fired in (``fire_pane``) and the arrival
+    (``fire_at``) of the event that fired it.  The initial content is the
+    summaries of the panes before that one, and its own events up to the
+    firing one, read once per distinct place of firing; every other event is
+    met only as part of its pane.
+    """
+    points = fire.select(*KEY, "size_ms", "slide_ms", F.col("fire_pane").alias("pane"), "fire_at").distinct()
+    pane_key = KEY + ["size_ms", "slide_ms", "pane"]
+    part = join_ns(events, points, pane_key, "inner").where(_arrival() <= F.col("fire_at"))
+    part = part.groupBy(*pane_key, "fire_at", "agg_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by(_meta(), _arrival()).alias("first"),
+        F.min(_arrival()).alias("first_at"), F.max("event_ms").alias("latest"))
+    at = join_ns(fire.select(*WKEY, "size_ms", "slide_ms", F.col("fire_pane").alias("pane"), "fire_at"), part,
+                 pane_key + ["fire_at"], "inner")
+    cols = [*WKEY, "agg_key", "n", "first", "first_at", "latest"]
+    inside = join_ns(panes_in_windows, fire.select(*WKEY, "fire_pane"), WKEY, "inner")
+    initial = _summarise(inside.where(F.col("pane") < F.col("fire_pane")).select(*cols).unionByName(at.select(*cols)), WKEY)
+    final = _summarise(inside.select(*cols), WKEY)
+    return _initial_and_final(initial, final, block_type, message)
+
+
+def _threshold_by_counts(t: DataFrame) -> DataFrame:
+    """THRESHOLD firing for any N: counts lead to the Nth event.
+
+    Events are counted per pane and time bucket (map-side first); running
+    counts of a window name the pane, then the bucket, in which the Nth event
+    falls.  Only that bucket's events are ranked, so a key that holds a third
+    of all events is never sorted, or shipped, whole.
+    """
+    d = _with_panes(t)
+    d = d.withColumn("bucket", F.floor((F.col("event_ms") - F.col("pane")) * BUCKETS / F.col("width")).cast("int"))
+    pane_key = KEY + ["size_ms", "slide_ms", "pane"]
+    counts = d.groupBy(*pane_key, "bucket").agg(F.count(F.lit(1)).alias("n"), F.max("threshold").alias("threshold"))
+    per_pane = counts.groupBy(*pane_key).agg(F.sum("n").alias("n"), F.max("threshold").alias("threshold"))
+    w = Window.partitionBy(*WKEY).orderBy("pane")
+    run = _to_windows(per_pane).withColumn("upto", F.sum("n").over(w))
+    hit = run.where((F.col("upto") >= F.col("threshold")) & (F.col("upto") - F.col("n") < F.col("threshold")))
+    hit = hit.select(*WKEY, "size_ms", "slide_ms", "pane", (F.col("threshold") - F.col("upto") + F.col("n")).alias("need"))
+    wanted = hit.select(*pane_key, "need").distinct()
+    b = Window.partitionBy(*pane_key, "need").orderBy("bucket")
+    in_pane = join_ns(counts.drop("threshold"), wanted, pane_key, "inner").withColumn("upto", F.sum("n").over(b))
+    in_pane = in_pane.where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
+    place = in_pane.select(*pane_key, "bucket", "need", (F.col("need") - F.col("upto") + F.col("n")).alias("nth"))
+    slim = d.select(*pane_key, "bucket", "event_ms", "arrival_seq")
+    ranked = join_ns(slim, place.select(*pane_key, "bucket").distinct(), pane_key + ["bucket"], "left_semi").withColumn(
+        "rn", F.row_number().over(Window.partitionBy(*pane_key, "bucket").orderBy("event_ms", "arrival_seq")))
+    nth = ranked.withColumnRenamed("rn", "nth").withColumn("fire_at", _arrival()).drop("event_ms", "arrival_seq")
+    points = join_ns(place, nth, pane_key + ["bucket", "nth"], "inner").select(*pane_key, "need", "fire_at")
+    fire = join_ns(hit, points, pane_key + ["need"], "inner").withColumnRenamed("pane", "fire_pane")
+    return _fired(_pane_windows(t), fire, d, "THRESHOLD", _threshold_msg())
+
+
 def _initial_and_final(initial: DataFrame, final: DataFrame, block_type: str, message: Column) -> DataFrame:
     """Both firings of the windows that fired initially: the final summary
     of a window is kept only where an initial firing exists (B3 / B7), and
@@ -211,19 +287,29 @@ def _initial_and_final(initial: DataFrame, final: DataFrame, block_type: str, me
 def unique_threshold(matched: DataFrame, max_threshold: int) -> DataFrame:
     """Initial firing when the number of distinct UNIQUE_FIELD values of a
     window first reaches THRESHOLD (content: all events up to that one),
-    final firing at window end.  Events without the field are ignored."""
+    final firing at window end.  Events without the field are ignored.
+
+    Panes are the unit: a pane keeps the first arrival of each of its first
+    K values.  A window's first N <= K values are among those of its panes
+    (a value that is new to the window is new to its pane, and the values
+    before it in the pane are before it in the window), so windows are fired
+    from pane rows, and no event is exploded into windows.
+    """
     u = matched.where((F.col("block_type") == "UNIQUE_THRESHOLD") & (F.col("threshold") > 0)
                       & (F.col("unique_value") != ""))
-    ev = _exploded_events(u)
-    firsts = ev.groupBy(*WKEY, "unique_value").agg(
-        F.min(_arrival()).alias("first_at"), F.min_by("threshold", _arrival()).alias("threshold"))
-    rn = F.row_number().over(Window.partitionBy(*WKEY).orderBy("first_at"))
-    top = firsts.withColumn("rn", rn).where(F.col("rn") <= F.lit(int(max(1, max_threshold))))
-    fire = top.where(F.col("rn") == F.col("threshold")).groupBy(*WKEY).agg(F.min("first_at").alias("fire_at"))
-    upto = join_ns(ev, fire, WKEY, "inner").where(_arrival() <= F.col("fire_at"))
-    initial = _summarise(_event_rows(upto), WKEY)
-    final = _summarise(_pane_windows(u), WKEY)
-    return _initial_and_final(initial, final, "UNIQUE_THRESHOLD", F.lit(MSG_UNIQUE))
+    k = int(max(1, max_threshold))
+    d = _with_panes(u)
+    pane_key = KEY + ["size_ms", "slide_ms", "pane"]
+    values = d.groupBy(*pane_key, "unique_value").agg(F.min(_arrival()).alias("first_at"), F.max("threshold").alias("threshold"))
+    if k <= HEAD_LIMIT:
+        vn = F.row_number().over(Window.partitionBy(*pane_key).orderBy("first_at"))
+        values = values.withColumn("vn", vn).where(F.col("vn") <= F.lit(k)).drop("vn")
+    firsts = _to_windows(values).groupBy(*WKEY, "size_ms", "slide_ms", "unique_value").agg(
+        F.min(F.struct("first_at", "pane")).alias("at"), F.max("threshold").alias("threshold"))
+    rn = F.row_number().over(Window.partitionBy(*WKEY, "size_ms", "slide_ms").orderBy("at"))
+    fire = firsts.withColumn("rn", rn).where((F.col("rn") <= F.lit(k)) & (F.col("rn") == F.col("threshold")))
+    fire = fire.select(*WKEY, "size_ms", "slide_ms", F.col("at.pane").alias("fire_pane"), F.col("at.first_at").alias("fire_at"))
+    return _fired(_pane_windows(u), fire, d, "UNIQUE_THRESHOLD", F.lit(MSG_UNIQUE))
 
 
 # ---------------------------------------------------------------------------

@@ -115,6 +115,13 @@ RULES = {
                                                  THRESHOLD=4)], group_by="customer"))],
     "unique_threshold": [("uniq", 1, rule([block("UNIQUE_THRESHOLD", eq("type", "error"), DAY, DAY // 2, ["user"],
                                                  THRESHOLD=3, UNIQUE_FIELD="user")], group_by="customer"))],
+    "unique_threshold_fine": [("uniqfine", 1, rule([block("UNIQUE_THRESHOLD", eq("type", "error"), 6 * HOUR, HOUR // 2, ["user"],
+                                                         THRESHOLD=4, UNIQUE_FIELD="user")], group_by="customer"))],
+    # a THRESHOLD beyond the head limit over keys that hold a fifth of all events each, beside a small one
+    "threshold_large": [("thrlarge", 1, rule([block("THRESHOLD", regex("type", ".*"), 20 * DAY, 5 * DAY, ["type"],
+                                                    THRESHOLD=1200)], group_by="customer")),
+                        ("thr24", 1, rule([block("THRESHOLD", eq("type", "error"), DAY, DAY // 2, ["user"],
+                                                 THRESHOLD=5)], group_by="customer"))],
     "anomaly_6h": [("anom6", 1, rule([block("SIMPLE_ANOMALY", regex("type", ".*"), 6 * HOUR, 0,
                                             SIMPLE_ANOMALY_THRESHOLD=2)], group_by="type"))],
     "anomaly_1h": [("anom1", 1, rule([block("SIMPLE_ANOMALY", regex("type", ".*"), HOUR, 0,
@@ -317,7 +324,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "threshold": _blocks_query("threshold"),
         "threshold_small": _blocks_query("threshold_small"),
         "threshold_fine": _blocks_query("threshold_fine"),
+        "threshold_large": _blocks_query("threshold_large"),
         "unique_threshold": _blocks_query("unique_threshold"),
+        "unique_threshold_fine": _blocks_query("unique_threshold_fine"),
         "anomaly_6h": _blocks_query("anomaly_6h"),
         "anomaly_1h": _blocks_query("anomaly_1h"),
         "drop_to_zero": _blocks_query("drop_to_zero"),
@@ -355,11 +364,11 @@ def _windows_sql(src: str, size_ms: int, slide_ms: int) -> str:
             f"range(0, {n + 1}) r(i) WHERE s.ms - (s.ms % {slide_ms}) - r.i * {slide_ms} > s.ms - {size_ms}")
 
 
-def _threshold_sql(rule_id: str, size: int, slide: int, n: int) -> str:
+def _threshold_sql(rule_id: str, size: int, slide: int, n: int, where: str = "type = 'error'", agg: str = "'user=' || usr") -> str:
     size_ms, slide_ms = size * 1000, slide * 1000
     return f"""WITH {EV},
-m AS (SELECT customer, 'customer=' || customer AS group_by, 'user=' || usr AS agg_key, ms, event_id
-      FROM ev WHERE type = 'error'),
+m AS (SELECT customer, 'customer=' || customer AS group_by, {agg} AS agg_key, ms, event_id
+      FROM ev WHERE {where}),
 w AS ({_windows_sql('m', size_ms, slide_ms)}),
 r AS (SELECT *, row_number() OVER (PARTITION BY customer, ws ORDER BY ms, event_id) AS rn,
              count(*) OVER (PARTITION BY customer, ws) AS cnt FROM w),
@@ -589,7 +598,10 @@ def oracle_sql() -> dict[str, str]:
         "threshold": _threshold_sql("thr24", DAY, DAY // 2, 5),
         "threshold_small": _threshold_sql("thr6", 6 * HOUR, 2 * HOUR, 3),
         "threshold_fine": _threshold_sql("thrfine", 6 * HOUR, HOUR // 2, 4),
+        "threshold_large": "SELECT * FROM (" + _threshold_sql("thrlarge", 20 * DAY, 5 * DAY, 1200, "true", "'type=' || type")
+                           + ") UNION ALL SELECT * FROM (" + _threshold_sql("thr24", DAY, DAY // 2, 5) + ")",
         "unique_threshold": _unique_sql("uniq", DAY, DAY // 2, 3),
+        "unique_threshold_fine": _unique_sql("uniqfine", 6 * HOUR, HOUR // 2, 4),
         "anomaly_6h": _anomaly_sql("anom6", "true", 6 * HOUR, 2),
         "anomaly_1h": _anomaly_sql("anom1", "true", HOUR, 2),
         "drop_to_zero": _drop_sql("drop2", "true", 2 * HOUR),

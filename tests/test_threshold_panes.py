@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rulestream.operators import blocks as B
 from rulestream.operators.match import match_compiled
 from rulestream.operators.rules import rules_from_json
-from rulestream.plans.batch import RuleSet
+from rulestream.plans.batch import RuleSet, run_blocks
 from rulestream.plans.catalog import block, eq, rule
 
 
@@ -33,3 +33,50 @@ def test_pane_heads_equal_direct_explosion(spark):
     direct, panes = rows(1), rows(None)
     assert direct == panes
     assert len({r[2] for r in direct}) == 2 and len(direct) > 50
+
+
+def _random_events(spark, n=160):
+    rnd = random.Random(21)
+    specs = [(rnd.choice([0, 0.5, 3]) + i // 3, {"type": "e", "h": rnd.choice("ab"), "u": rnd.choice(["", "x", "y", "z", "w"]), "g": rnd.choice("pq")})
+             for i in range(n)]
+    return make_events(spark, specs)
+
+
+def _blocks_of(ev, rules):
+    cols = ["rule_id", "customer", "group_by", "phase", "window_start_ms", "match_ms", "event_count", "match_message"]
+    rows = run_blocks(ev, rules).select(*cols, "matching_events").collect()
+    return sorted((tuple(r)[:-1] + (tuple((m["key"], m["sample"], m["count"]) for m in r["matching_events"]),) for r in rows), key=str)
+
+
+def test_threshold_by_counts_equals_first_n(spark, monkeypatch):
+    ev = _random_events(spark)
+    rules = RuleSet(rules_from_json(spark, [
+        ("t", 1, rule([block("THRESHOLD", eq("type", "e"), 12, 4, ["h"], THRESHOLD=7)], group_by="g")),
+        ("s", 1, rule([block("THRESHOLD", eq("type", "e"), 10, 4, ["u"], THRESHOLD=2)], group_by="g"))]))
+    want = _blocks_of(ev, rules)
+    monkeypatch.setattr(B, "HEAD_LIMIT", 3)
+    monkeypatch.setattr(B, "BUCKETS", 3)
+    assert _blocks_of(ev, rules) == want and len({w[0] for w in want}) == 2
+
+
+def test_unique_threshold_panes_equal_full_windows(spark):
+    """Against windows read event by event: ties in time, empty values, panes cut by gcd."""
+    ev = _random_events(spark)
+    n, size, slide = 3, 10, 4
+    rules = RuleSet(rules_from_json(spark, [("u", 1, rule([block("UNIQUE_THRESHOLD", eq("type", "e"), size, slide, ["h"],
+                                                                  THRESHOLD=n, UNIQUE_FIELD="u")], group_by="g"))]))
+    rows = sorted((r["event_ms"], r["arrival_seq"], r["fields"]) for r in ev.collect())
+    want = set()
+    for g in "pq":
+        mine = [(ms, f) for ms, _, f in rows if f["g"] == g and f["u"]]
+        first = (mine[0][0] - size * 1000) // (slide * 1000) * slide * 1000
+        for ws in range(first, mine[-1][0] + 1, slide * 1000):
+            inside = [(ms, f) for ms, f in mine if ws <= ms < ws + size * 1000]
+            seen = []
+            for at, (_, f) in enumerate(inside):
+                seen += [f["u"]] if f["u"] not in seen else []
+                if len(seen) == n:
+                    want |= {("initial", f"g={g}", ws, inside[at][0], at + 1), ("final", f"g={g}", ws, inside[-1][0], len(inside))}
+                    break
+    got = {(r[3], r[2], r[4], r[5], r[6]) for r in _blocks_of(ev, rules)}
+    assert got == want and len(want) > 10
