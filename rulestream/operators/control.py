@@ -10,17 +10,22 @@ the state is the active version (or none) and its content.
 * A message failing validation is an ERROR ack and changes nothing.
 * QUERY_STATUS acknowledges with the list of rules active at that point.
 
-Batch form: ``groupBy(rule_id)`` + ``aggregate`` over that rule's messages in
-order (the list per rule is the rule's own change log - configuration, not
-events), ``inline`` back to one ack per message.  The effective-dated history
-(``valid_from_seq``/``valid_to_seq``, and the control timestamps as
-``valid_from_ms``/``valid_to_ms``) comes from ``lead`` over the applied
-changes, and status queries are an as-of range join against it.
+The fold is incremental: ``fold_messages`` takes the messages of a batch and
+the rules active before it, and yields acks, the effective-dated history
+that the batch touches, and with it (``active_at``) the rules active after
+it.  A whole log is the case of no rules before (``fold_control``).  Messages
+are dealt by rule id and sorted; one pass with a rule's current version as
+its only state answers them, so neither a rule's log nor the rule store is
+ever held in a row.  The history (``valid_from_seq``/``valid_to_seq``, and the
+control timestamps as ``valid_from_ms``/``valid_to_ms``) comes from ``lead``
+over the applied changes, and status queries are an as-of range join
+against it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulestream.operators.validate import control_errors
@@ -29,65 +34,71 @@ from rulestream.schemas import MSG_VALIDATION_PREFIX, OUTPUT_TIME_FORMAT
 STATUS_SPANS = 256
 ENGINE_VERSION = "rulestream-0.1"
 
-_STEP = ("struct<seq:bigint,status:string,ack_version:int,message:string,"
-         "applied:boolean,cur:int,cur_content:string>")
-
-
-def _step_fold(msgs):
-    """Fold one rule's ordered messages -> array of per-message results."""
-    init = F.struct(F.lit(None).cast("int").alias("cur"), F.lit(None).cast("string").alias("content"),
-                    F.array().cast(f"array<{_STEP}>").alias("out"))
-
-    def step(acc, m):
-        cur = acc["cur"]
-        invalid = F.size(m["errors"]) > 0
-        is_add = m["type"] == "ADD_RULE"
-        add_applies = cur.isNull() | (m["rule_version"] > cur)
-        rm_ok = cur.isNull() | (cur == m["rule_version"])
-        status = (F.when(invalid, F.lit("ERROR"))
-                  .when(is_add, F.lit("RULE_ACTIVE"))
-                  .when(rm_ok, F.lit("RULE_DEACTIVATED"))
-                  .otherwise(F.lit("ERROR")))
-        message = (F.when(invalid, F.concat(F.lit(MSG_VALIDATION_PREFIX), F.array_join(m["errors"], " ")))
-                   .when(~is_add & ~rm_ok, F.format_string(
-                       "Cannot remove version %d of rule %s: version %d is active",
-                       m["rule_version"], m["rule_id"], cur)))
-        ack_version = F.when(~invalid & is_add & ~add_applies, cur).otherwise(m["rule_version"])
-        new_cur = (F.when(invalid, cur)
-                   .when(is_add, F.when(add_applies, m["rule_version"]).otherwise(cur))
-                   .when(rm_ok, F.lit(None).cast("int")).otherwise(cur))
-        new_content = (F.when(invalid, acc["content"])
-                       .when(is_add, F.when(add_applies, m["content"]).otherwise(acc["content"]))
-                       .when(rm_ok, F.lit(None).cast("string")).otherwise(acc["content"]))
-        applied = ~invalid & ((is_add & add_applies) | (~is_add & rm_ok & cur.isNotNull()))
-        rec = F.struct(m["seq"].alias("seq"), status.alias("status"), ack_version.cast("int").alias("ack_version"),
-                       message.alias("message"), applied.alias("applied"), new_cur.alias("cur"),
-                       new_content.alias("cur_content"))
-        return F.struct(new_cur.alias("cur"), new_content.alias("content"),
-                        F.concat(acc["out"], F.array(rec)).alias("out"))
-    return F.aggregate(msgs, init, step)["out"]
-
-
-def fold_control(ctrl: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Control frame -> (acks, history).
+_STEPS = ("rk string, seq bigint, status string, ack_version int, message string, applied boolean, cur int, "
+          "cur_content string")
+ACTIVE = "rule_id string, rule_version int, content string, valid_from_seq bigint, valid_from_ms bigint"
+
+
+def _answer(kind: str, rule_id: str, version: int, errors: str | None, cur: int | None):
+    """One message against the rule's current version: status, acknowledged version, message, applied, new version."""
+    if errors is not None:
+        return "ERROR", version, MSG_VALIDATION_PREFIX + errors, False, cur
+    if kind == "ADD_RULE":
+        if cur is None or version > cur:
+            return "RULE_ACTIVE", version, None, True, version
+        return "RULE_ACTIVE", cur, None, False, cur
+    if cur is None or cur == version:
+        return "RULE_DEACTIVATED", version, None, cur is not None, None
+    return "ERROR", version, f"Cannot remove version {version} of rule {rule_id}: version {cur} is active", False, cur
+
+
+def _run_steps(it):
+    """Rows by rule id, the state before its messages, messages in order -> one answer per message."""
+    rule, cur = None, None
+    for batch in it:
+        out = []
+        for rk, seq, kind, version, content, errors in zip(*(c.to_pylist() for c in batch.columns)):
+            if rk != rule:
+                rule, cur = rk, None
+            if kind == "STATE":
+                cur = version
+                continue
+            status, ack_version, message, applied, cur = _answer(kind, rk, version, errors, cur)
+            out.append((rk, seq, status, ack_version, message, applied, cur, content if applied and kind == "ADD_RULE" else None))
+        if out:
+            types = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.string())
+            names = [c.split()[0] for c in _STEPS.split(", ")]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+
+def fold_messages(ctrl: DataFrame, active: DataFrame | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(messages, rules active before) -> (acks, history).
 
     acks: one row per message - version, timestamp, inputTimestamp, action,
     status, ruleId, ruleVersion, controlSchemaVersion, content (+ seq).
     history: rule_id, rule_version, content, valid_from_seq, valid_to_seq,
-    valid_from_ms, valid_to_ms.
+    valid_from_ms, valid_to_ms - every version that is active before, during
+    or after the batch.
     """
+    if active is None:
+        active = ctrl.sparkSession.createDataFrame([], ACTIVE)
     c = control_errors(ctrl, strict)
-    changes = c.where(F.col("type").isin("ADD_RULE", "REMOVE_RULE"))
-    per_rule = changes.groupBy(F.coalesce("rule_id", F.lit("")).alias("rk")).agg(
-        F.array_sort(F.collect_list(F.struct("seq", "type", "rule_id", "rule_version", "content", "errors")))
-        .alias("msgs"))
-    steps = per_rule.select("rk", F.inline(_step_fold(F.col("msgs"))))
+    changes = c.where(F.col("type").isin("ADD_RULE", "REMOVE_RULE")).select(
+        F.coalesce("rule_id", F.lit("")).alias("rk"), "seq", F.col("type").alias("kind"), "rule_version", "content",
+        F.when(F.size("errors") > 0, F.array_join("errors", " ")).alias("errors"))
+    before = active.join(changes.select(F.col("rk").alias("rule_id")).distinct(), "rule_id", "left_semi").select(
+        F.col("rule_id").alias("rk"), F.lit(-1).cast("bigint").alias("seq"), F.lit("STATE").alias("kind"), "rule_version",
+        F.lit(None).cast("string").alias("content"), F.lit(None).cast("string").alias("errors"))
+    rows = before.unionByName(changes).repartition("rk").sortWithinPartitions("rk", "seq")
+    steps = rows.mapInArrow(_run_steps, _STEPS)
     base = c.select("seq", "timestamp", "type", "rule_id", "rule_version", "errors")
     change_acks = steps.join(base, "seq").select(
         "seq", "timestamp", "type", "rule_id", F.col("ack_version").alias("rule_version"), "status",
         F.col("message").alias("content"))
-
-    hist = history_from_steps(steps.join(base.select("seq", "timestamp"), "seq"))
+    applied = steps.where("applied").join(base.select("seq", "timestamp"), "seq").select(
+        F.col("rk").alias("rule_id"), F.col("cur").alias("rule_version"), F.col("cur_content").alias("content"),
+        F.col("seq").alias("valid_from_seq"), _ts_ms(F.col("timestamp")).alias("valid_from_ms"))
+    hist = history_of(applied.unionByName(active.select(*applied.columns)))
     queries = c.where(F.col("type") == "QUERY_STATUS")
     status = status_acks(queries, hist)
     acks = change_acks.unionByName(status)
@@ -99,20 +110,21 @@ def fold_control(ctrl: DataFrame, strict: bool = False) -> tuple[DataFrame, Data
     return acks, hist
 
 
+def fold_control(ctrl: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A whole control log -> (acks, history), see ``fold_messages``."""
+    return fold_messages(ctrl, None, strict)
+
+
 def _ts_ms(ts):
     return F.unix_millis(F.try_to_timestamp(ts))
 
 
-def history_from_steps(steps: DataFrame) -> DataFrame:
-    """K6: applied changes -> effective-dated rule versions."""
-    from pyspark.sql import Window
-    applied = steps.where(F.col("applied")).select("rk", "seq", "timestamp", "cur", "cur_content")
-    w = Window.partitionBy("rk").orderBy("seq")
-    h = applied.select("*", F.lead("seq").over(w).alias("next_seq"), F.lead("timestamp").over(w).alias("next_ts"))
-    return h.where(F.col("cur").isNotNull()).select(
-        F.col("rk").alias("rule_id"), F.col("cur").alias("rule_version"), F.col("cur_content").alias("content"),
-        F.col("seq").alias("valid_from_seq"), F.col("next_seq").alias("valid_to_seq"),
-        _ts_ms(F.col("timestamp")).alias("valid_from_ms"), _ts_ms(F.col("next_ts")).alias("valid_to_ms"))
+def history_of(applied: DataFrame) -> DataFrame:
+    """K6: applied changes (rule_version NULL: removed) -> effective-dated rule versions."""
+    w = Window.partitionBy("rule_id").orderBy("valid_from_seq")
+    h = applied.select("*", F.lead("valid_from_seq").over(w).alias("valid_to_seq"), F.lead("valid_from_ms").over(w).alias("valid_to_ms"))
+    return h.where(F.col("rule_version").isNotNull()).select(
+        "rule_id", "rule_version", "content", "valid_from_seq", "valid_to_seq", "valid_from_ms", "valid_to_ms")
 
 
 def active_at(history: DataFrame, seq: int | None = None) -> DataFrame:
@@ -123,6 +135,13 @@ def active_at(history: DataFrame, seq: int | None = None) -> DataFrame:
     return h.where((F.col("valid_from_seq") <= seq) & (F.col("valid_to_seq").isNull() | (F.col("valid_to_seq") > seq)))
 
 
+def stored_rule(content: Column, rule_id: Column, version: Column) -> Column:
+    """Rule JSON with its id and version set, as the store keeps it."""
+    own = F.map_filter(F.from_json(content, "map<string,variant>"), lambda k, _: ~k.isin("id", "version"))
+    ids = F.create_map(F.lit("id"), rule_id.cast("variant"), F.lit("version"), version.cast("variant"))
+    return F.coalesce(F.to_json(F.map_concat(ids, own)), content)
+
+
 def status_acks(queries: DataFrame, history: DataFrame) -> DataFrame:
     """K3: each QUERY_STATUS -> JSON list of the rules active at that point.
 
@@ -143,7 +162,7 @@ def status_acks(queries: DataFrame, history: DataFrame) -> DataFrame:
     lists = j.groupBy("q.seq", "q.timestamp", "q.type", "q.errors").agg(
         F.sort_array(F.collect_list(F.when(F.col("h.rule_id").isNotNull(), F.struct(
             F.col("h.rule_id").alias("ruleId"), F.col("h.rule_version").alias("ruleVersion"),
-            F.col("h.content").alias("content"))))).alias("rules"))
+            stored_rule(F.col("h.content"), F.col("h.rule_id"), F.col("h.rule_version")).alias("content"))))).alias("rules"))
     invalid = F.size("errors") > 0
     return lists.select(
         "seq", "timestamp", "type", F.lit(None).cast("string").alias("rule_id"),

@@ -306,6 +306,39 @@ def q_history_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("rule_id", "rule_version", "customer", F.col("match_ms").alias("event_ms"))
 
 
+def control_log_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A control log made from all events: errors remove the user's rule, the
+    other types add it, a signup with k = 7 asks for the status; the version
+    is k mod 4 (0 is invalid).  Messages are JSON text."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k = F.get_json_object("props", "$.k").cast("int")
+    kind = F.when(F.col("event_type") == "error", "REMOVE_RULE").when((F.col("event_type") == "signup") & (k == 7), "QUERY_STATUS") \
+        .otherwise("ADD_RULE")
+    user = F.col("user_id").cast("string")
+    content = F.format_string('{"blocks":[{"type":"SINGLE_EVENT","condition":{"@class":"%sEqualCondition","key":"user","value":"%s"}}]}',
+                              F.lit(PKG), user)
+    message = F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"), kind.alias("type"), F.concat(F.lit("u"), user).alias("ruleId"),
+        (k % 4).alias("ruleVersion"), F.lit(1).alias("controlSchemaVersion"), F.when(kind == "ADD_RULE", content).alias("content")))
+    return ev.select(F.col("event_id").alias("seq"), message.alias("value"))
+
+
+def q_control_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1-K5: every event as a control message; the log is folded in two
+    batches, the second from the rules active after the first."""
+    from rulestream.operators.control import active_at, fold_messages
+    from rulestream.sources.control import parse_control
+    ctrl = parse_control(control_log_of_events(spark, sf_dir), seq_col="seq")
+    middle = ctrl.agg(F.floor(F.avg("seq"))).first()[0]
+    acks, hist = fold_messages(ctrl.where(F.col("seq") <= middle))
+    more, _ = fold_messages(ctrl.where(F.col("seq") > middle), active_at(hist))
+    listed = F.from_json("content", "array<struct<ruleId:string,ruleVersion:int,content:string>>")
+    entry = lambda r: F.concat_ws(":", r["ruleId"], r["ruleVersion"].cast("string"), F.get_json_object(r["content"], "$.version"))
+    return acks.unionByName(more).select(
+        "seq", "action", "status", "ruleId", "ruleVersion",
+        F.when(F.col("status") == "STATUS_UPDATE", F.array_join(F.array_sort(F.transform(listed, entry)), " ")).otherwise(F.col("content")).alias("content"))
+
+
 def q_block_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: one row per (alert, block output) - last result per block index."""
     a = run_rules(read_events_table(spark, sf_dir), rule_set(spark, "all_blocks"))
@@ -338,6 +371,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "threshold_then_single_alerts": _alerts_query("threshold_then_single"),
         "alert_feedback": q_alert_feedback,
         "history_replay": q_history_replay,
+        "control_acks": q_control_acks,
         "block_outputs": q_block_outputs,
         "matched_joined": q_matched,
         "dynamic_match": q_dynamic_match,
@@ -589,6 +623,33 @@ FROM w JOIN ok ON w.customer = ok.customer AND w.group_by = ok.group_by AND w.ws
 GROUP BY w.customer, w.group_by, w.ws, w.bi"""
 
 
+def _control_sql() -> str:
+    return f"""WITH RECURSIVE {EV},
+m AS (SELECT event_id AS seq, 'u' || usr AS rid, k::INTEGER % 4 AS v,
+             CASE WHEN type = 'error' THEN 'REMOVE_RULE' WHEN type = 'signup' AND k = '7' THEN 'QUERY_STATUS' ELSE 'ADD_RULE' END AS kind FROM ev),
+c AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY seq) AS n FROM m WHERE kind <> 'QUERY_STATUS'),
+f AS (SELECT rid, 0::BIGINT AS n, NULL::BIGINT AS seq, NULL::VARCHAR AS kind, NULL::INTEGER AS v, NULL::INTEGER AS before, NULL::INTEGER AS cur
+      FROM (SELECT DISTINCT rid FROM c)
+      UNION ALL
+      SELECT c.rid, c.n, c.seq, c.kind, c.v, f.cur,
+             CASE WHEN c.v = 0 THEN f.cur WHEN c.kind = 'ADD_RULE' THEN greatest(coalesce(f.cur, c.v), c.v)
+                  WHEN f.cur = c.v THEN NULL ELSE f.cur END
+      FROM f JOIN c ON c.rid = f.rid AND c.n = f.n + 1),
+ch AS (SELECT seq, kind AS action,
+              CASE WHEN v = 0 THEN 'ERROR' WHEN kind = 'ADD_RULE' THEN 'RULE_ACTIVE'
+                   WHEN before IS NULL OR before = v THEN 'RULE_DEACTIVATED' ELSE 'ERROR' END AS status,
+              rid AS "ruleId", CASE WHEN v > 0 AND kind = 'ADD_RULE' THEN cur ELSE v END AS "ruleVersion",
+              CASE WHEN v = 0 THEN 'Control Input failed validation: Rule version is invalid: 0'
+                   WHEN kind = 'REMOVE_RULE' AND before <> v THEN 'Cannot remove version ' || v || ' of rule ' || rid || ': version ' || before || ' is active' END AS content
+       FROM f WHERE n > 0),
+spans AS (SELECT rid, cur, seq, lead(seq) OVER (PARTITION BY rid ORDER BY n) AS nxt FROM f WHERE n > 0),
+q AS (SELECT m.seq, 'QUERY_STATUS' AS action, 'STATUS_UPDATE' AS status, NULL::VARCHAR AS "ruleId", 0 AS "ruleVersion",
+             coalesce(string_agg(s.rid || ':' || s.cur || ':' || s.cur, ' ' ORDER BY s.rid || ':' || s.cur || ':' || s.cur), '') AS content
+      FROM m LEFT JOIN spans s ON s.seq < m.seq AND (s.nxt IS NULL OR s.nxt > m.seq) AND s.cur IS NOT NULL
+      WHERE m.kind = 'QUERY_STATUS' GROUP BY m.seq)
+SELECT * FROM ch UNION ALL SELECT * FROM q"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "single_event": _single_sql("err", "type = 'error'"),
@@ -620,6 +681,7 @@ SELECT 'fb' AS rule_id, customer, 0 AS block_index, 'event' AS phase, 1::BIGINT
 SELECT 'hist' AS rule_id, CASE WHEN type = 'error' THEN 1 ELSE 2 END AS rule_version, customer, ms AS event_ms
 FROM ev WHERE (type = 'error' AND ms >= 1704067200000 AND ms < 1705276800000)
    OR (type = 'purchase' AND ms >= 1705276800000)""",
+        "control_acks": _control_sql(),
         "block_outputs": _block_outputs_sql(),
         "matched_joined": _matched_sql(),
         "dynamic_match": f"""WITH {EV},

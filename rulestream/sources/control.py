@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rulestream.session import ensure_checkpoint_dir
 from rulestream.schemas import CONTROL_JSON, CONTROL_TYPES
 
 
@@ -33,16 +34,27 @@ def parse_control(df: DataFrame, value_col: str = "value", seq_col: str | None =
         F.col("c.content").alias("content"))
 
 
-def number_batch(batch: DataFrame, after: int) -> DataFrame:
-    """A micro-batch of parsed messages with ``seq`` = after + 1, after + 2, ... in arrival order.
+BATCH_BITS = 32
+
+
+def number_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+    """A micro-batch of parsed messages with ``seq`` = batch_id * 2^32, + 1, ... in arrival order.
 
     Order: place in the source (file time and name, or partition and offset),
-    then the line within the file.  One ordered pass over one batch of control
-    messages, which are configuration.
+    then the line within the file.  Messages are range-partitioned by it;
+    each partition's first number is the count of the messages before it, so
+    no task holds more than its partition.
     """
-    lines = batch.withColumn("_line", F.monotonically_increasing_id())
-    number = F.row_number().over(Window.orderBy("seq", "_line"))
-    return lines.withColumn("seq", F.lit(after).cast("bigint") + number).drop("_line")
+    ensure_checkpoint_dir(batch.sparkSession)
+    lines = batch.withColumn("_line", F.monotonically_increasing_id()).orderBy("seq", "_line")
+    lines = lines.drop("seq", "_line").withColumn("_at", F.monotonically_increasing_id()).checkpoint(eager=True)
+    part = F.shiftright("_at", 33)
+    sizes = lines.groupBy(part.alias("_p")).agg(F.count("*").alias("n")).withColumn(
+        "_before", F.coalesce(F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    first = F.lit(batch_id << BATCH_BITS).cast("bigint") + F.col("_before")
+    number = first + F.col("_at").bitwiseAND((1 << 33) - 1)
+    numbered = lines.withColumn("_p", part).join(sizes.select("_p", "_before"), "_p")  # one row per partition
+    return numbered.select(number.alias("seq"), *[c for c in batch.columns if c != "seq"])
 
 
 def control_from_messages(spark: SparkSession, messages: list[str]) -> DataFrame:

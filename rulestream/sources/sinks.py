@@ -32,6 +32,11 @@ def write_acks(acks: DataFrame, path: str, fmt: str = "text", **kw) -> None:
     write_json_batch(acks_to_json(acks), path, fmt, **kw)
 
 
+def write_batch_acks(acks: DataFrame, path: str, batch_id: int, fmt: str = "text") -> None:
+    """S4 (stream): the acks of a micro-batch in the batch's own folder, so that a replayed batch writes them once."""
+    write_json_batch(acks_to_json(acks), f"{path}/batch_id={batch_id}", fmt, mode="overwrite")
+
+
 def stream_json(values: DataFrame, path: str | None, checkpoint: str, fmt: str = "text",
                 options: dict | None = None, trigger: dict | None = None):
     """Start a streaming JSON sink (exactly-once for file sinks via the checkpoint)."""
