@@ -15,6 +15,7 @@ Columns besides the id and the text are not carried.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -253,6 +254,12 @@ def load(path: str) -> WordBpe:
     return _loaded[path]
 
 
+def release(path: str) -> None:
+    """Drop this worker's encoder of a file with its caches; the next ``load`` builds it anew."""
+    _loaded.pop(path, None)
+    gc.collect()
+
+
 def bpe_encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, n_tokens): every whole text's ids as binary, little-endian unsigned 32-bit.  No shuffle."""
 

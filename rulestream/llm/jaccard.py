@@ -21,7 +21,9 @@ Only documents of pairs that pass the bounds are read again, by a bitmap of fixe
 join behind it.  A set travels to verification once per partner; the partner's set is sent once per ``SALT_ROWS`` of them.
 
 Null or wordless texts are empty sets and linked with nothing; null ids are kept and linked with nothing; rows that
-share an id are one document for linking, each with its own set size.  Other columns are not carried.
+share an id are one document for linking, each with its own set size (``keep_one`` takes them one by one).  Texts are
+read whole, however long; an empty table gives no rows.  Other columns are not carried, whatever their names;
+``keep_one`` keeps them all.
 """
 
 from __future__ import annotations
@@ -342,9 +344,8 @@ def _open(shared: DataFrame, comp: DataFrame, block_rows: int) -> DataFrame:
     return member.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
 
 
-def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, n_shingles, component_id), one row per input row."""
-    docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+def _joined(docs: DataFrame, percent: int, block_rows: int, link_ids: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(features of the rows, distinct sets, components of sets); with ``link_ids`` the sets of one id are linked too."""
     levels = _levels(_sketch(docs))
     feats = cut(docs.mapInArrow(_features(levels, percent), "id bigint, n bigint, sid bigint, keys array<bigint>, counts binary"))
     own = feats.where("id is not null and sid is not null")
@@ -355,8 +356,7 @@ def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str
     first = cut(_bounded(shared.select(F.col("sid").alias("a"), F.col("hub").alias("b")).distinct(), sets, percent))
     links = cut(_verified(first, sets, docs, percent))
     same_id = own.groupBy("id").agg(F.min("sid").alias("a"), F.max("sid").alias("b"), F.collect_set("sid").alias("all")).where("a < b").select(F.explode("all").alias("a"), "b").where("a != b")
-    links = links.unionByName(same_id)
-    comp = cut(components(links))
+    comp = cut(components(links.unionByName(same_id) if link_ids else links))
     rest = cut(_open(shared, comp, block_rows))
     if not rest.isEmpty():
         second = rest.groupBy("key").agg(F.min_by(F.struct("sid", "comp"), F.xxhash64("sid", "key")).alias("h")).select("key", F.col("h.sid").alias("hub"), F.col("h.comp").alias("hub_comp"))
@@ -371,16 +371,60 @@ def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str
         tasks = ahead.unionByName(behind).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
         more = cut(tasks.mapInArrow(_search_blocks(percent), "a bigint, b bigint").distinct())
         comp = cut(components(_stars(comp).unionByName(_verified(more, sets, docs, percent))))
+    return feats, sets, comp
+
+
+def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, n_shingles, component_id), one row per input row."""
+    docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    feats, sets, comp = _joined(docs, percent, block_rows, True)
     least = comp.join(sets.select(F.col("sid").alias("id"), F.col("id").alias("doc")), "id").groupBy("component_id").agg(F.min("doc").alias("doc"))
     of_set = sets.select("sid", "id").join(comp.select(F.col("id").alias("sid"), "component_id"), "sid", "left").join(least, "component_id", "left").select("sid", F.coalesce("doc", "id").alias("component_id"))
     out = feats.select("id", "n", "sid").join(of_set, "sid", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
-def keep_one(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows whose id is its component's smallest, with their columns; one row of each repeated id; null ids stay."""
-    found = similar_documents(documents, percent).where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_j_id")).distinct()
-    left = documents.join(found, F.col("doc_id").cast("bigint") == F.col("_j_id"), "left_anti")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text"))
-    once = left.where("doc_id is not null").withColumn("_j_n", number).where("_j_n = 1").drop("_j_n")
-    return once.unionByName(left.where("doc_id is null"))
+def _fresh(names: list[str], stem: str) -> str:
+    """A column name that is not taken."""
+    while stem in names:
+        stem += "_"
+    return stem
+
+
+def _with_set_ids(documents: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """All columns, and the id of the row's shingle set (null: empty)."""
+    at = documents.columns.index(text_col)
+
+    def run(it):
+        for batch in it:
+            sid = [set_id(s) if len(s) else None for _, _, w in words_of(batch.column(at)) for s in shingles(w)]
+            yield pa.record_batch([*batch.columns, pa.array(sid, pa.int64())], names=[*batch.schema.names, name])
+
+    return documents.mapInArrow(run, documents.select("*", F.lit(None).cast("bigint").alias(name)).schema)
+
+
+def keep_one(documents: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of similar rows the row of the smallest id (of that id's rows the longest text), with its columns.
+
+    Only similarity makes groups: rows that share an id but hold different texts are kept or dropped each by its own
+    text.  Rows without words go only if their id has another such row; null ids stay.
+    """
+    names = documents.columns
+    sid, comp_, first_, n_, id_ = (_fresh(names, x) for x in ("sid", "comp", "first", "number", "own_id"))
+    docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    feats, sets, comp = _joined(docs, percent, BLOCK_ROWS, False)
+    of_set = sets.select("sid").join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("sid", F.coalesce("component_id", "sid").alias("comp"))
+    rows = feats.where("id is not null").select("id", "sid")
+    placed = rows.where("sid is not null").distinct().join(of_set, "sid")
+    gone = placed.join(placed.groupBy("comp").agg(F.min("id").alias("least")), "comp").where("id != least")
+    gone = cut(gone.select(F.col("id").alias(id_), F.col("sid").alias(sid)))
+    repeated = cut(rows.groupBy("id").count().where("count > 1").select(F.col("id").alias(id_)))
+    own = F.col(id_col).cast("bigint") == F.col(id_)
+    if repeated.isEmpty():
+        return documents.join(gone.select(id_).distinct(), own, "left_anti")
+    single = documents.join(repeated, own, "left_anti").join(gone.select(id_).distinct(), own, "left_anti")
+    several = _with_set_ids(documents.join(repeated, own, "left_semi"), id_col, text_col, sid)
+    left = several.join(gone.withColumnRenamed(sid, first_), own & (F.col(sid) == F.col(first_)), "left_anti")
+    left = left.join(of_set.select(F.col("sid").alias(first_), F.col("comp").alias(comp_)), F.col(sid) == F.col(first_), "left")
+    number = F.row_number().over(Window.partitionBy(F.col(id_col).cast("bigint"), comp_).orderBy(F.length(text_col).desc_nulls_last(), text_col))
+    return single.unionByName(left.withColumn(n_, number).where(F.col(n_) == 1).select(names))

@@ -125,10 +125,11 @@ def pack_group(sizes: list[int], capacity: int, slack: float = SLACK) -> list[li
     return out
 
 
-def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP) -> DataFrame:
+def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP, hold_encoder: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
 
-    ``capacity`` is a power of two.
+    ``capacity`` is a power of two.  ``hold_encoder=False`` frees the encoder and its caches at the end of every task, for
+    jobs whose other stages need the workers' memory.
     """
     end = struct.pack("<I", end_id)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
@@ -175,5 +176,8 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 yield batch_of(rows)
         if rest:
             yield batch_of(flush())
+        if not hold_encoder:
+            del bpe
+            _bpe.release(tokenizer)
 
     return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, _PIECE)

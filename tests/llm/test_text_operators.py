@@ -274,10 +274,24 @@ def test_jaccard_odd_rows(spark):
     of = {r.doc_id: r.component_id for r in got}
     assert of[1] == 1 and of[2] == 2 and of[3] == 3 and of[5] == 4 and of[6] == 4 and of[None] is None
     kept = sorted((r.doc_id for r in jaccard.keep_one(table(spark, ODD)).collect() if r.doc_id is not None))
-    assert kept == [1, 2, 3, 4, 7, 8]
+    assert kept == [1, 2, 3, 4, 5, 7, 8]  # row 5 with the text of row 6 stays, that with the text of row 4 goes
     assert jaccard.similar_documents(table(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_are_kept_by_their_own_texts(spark):
+    """Different texts under one id stay, and do not chain the groups of their other copies."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, b), (3, a), (3, b), (3, c), (4, c), (5, c + " more"), (6, b), (7, "own words " + c[:60]), (7, "own words " + c[:60]), (8, ""), (8, None), (None, a), (9, a), (9, "quite another text of seven words")]
+    names = ["doc_id", "text", "sid", "COMP", "number"]  # names that the operator uses itself
+    docs = spark.createDataFrame([(i, t, "s", 1, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, sid string, COMP int, number int")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == names
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert [x for x in got if x[0] != 8] == sorted([(1, a), (2, b), (3, c), (7, "own words " + c[:60]), (None, a), (9, "quite another text of seven words")], key=str)
+    assert len([x for x in got if x[0] == 8]) == 1
+    assert jaccard.keep_one(docs.limit(0)).count() == 0
+
+
 def test_rtree_finds_every_pair_within_the_bound():
     rng = np.random.default_rng(1)
     points = rng.poisson(2, (300, jaccard.GROUPS)).astype(np.int64)
