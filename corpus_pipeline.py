@@ -35,7 +35,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of similar documents."""
+    """Keeps the document of the smallest id of each group of similar documents; texts decide, also among rows of one id."""
     importable(spark)
     return jaccard.keep_one(docs).select(docs.columns)
 
@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their ids."""
     importable(spark)
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), hold_encoder=False)
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("packing", pack)]
