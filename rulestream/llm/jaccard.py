@@ -385,8 +385,8 @@ def similar_documents(documents: DataFrame, percent: int = PERCENT, id_col: str
 
 
 def _fresh(names: list[str], stem: str) -> str:
-    """A column name that is not taken."""
-    while stem in names:
+    """A column name that is not taken, in any case."""
+    while stem in {n.lower() for n in names}:
         stem += "_"
     return stem
 
