@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.operators.rules import parse_rules
-from rulestream.schemas import BLOCK_KEYS, BLOCK_TYPES, RULE_KEYS
+from rulestream.schemas import BLOCK_KEYS, BLOCK_TYPES, RULE_KEYS, RULE_NUMBERS
 
 _ISO_INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?Z$"
 
@@ -39,34 +39,34 @@ def _positive_int(params: Column, name: str) -> Column:
 def _condition_errors(prog: Column) -> Column:
     """V10 over a postfix condition program."""
     return F.flatten(F.transform(prog, lambda i: _errs(
-        (i["op"] == "bad", F.concat(_lit("Condition could not be decoded: "), F.coalesce(i["val"], _lit("")))),
+        (i["op"] == "bad", F.concat(_lit("undecodable condition: "), F.coalesce(i["val"], _lit("")))),
         (i["op"].isin("eq", "regex", "err", "gt", "ge", "lt", "le") & (F.coalesce(i["key"], _lit("")) == ""),
-         _lit("Condition key is empty.")),
-        ((i["op"] == "eq") & (F.coalesce(i["val"], _lit("")) == ""), _lit("EqualCondition value is empty.")),
+         _lit("a condition names no field")),
+        ((i["op"] == "eq") & (F.coalesce(i["val"], _lit("")) == ""), _lit("an equality has no value to compare with")),
         (i["op"].isin("regex", "err") & (F.coalesce(i["val"], _lit("")) == "") & i["num"].isNull(),
-         _lit("RegexCondition regex is empty.")),
+         _lit("a regex condition has no pattern")),
         (i["op"].isin("and", "or") & (F.coalesce(i["n"], F.lit(0)) == 0),
-         _lit("CompositeCondition has no conditions.")),
+         _lit("a composite condition is empty")),
     )))
 
 
 def _rule_condition_errors(prog: Column) -> Column:
     """V11 over a postfix rule-condition program."""
     return F.flatten(F.transform(prog, lambda i: _errs(
-        (i["op"] == "bad", _lit("Rule condition could not be decoded.")),
+        (i["op"] == "bad", _lit("undecodable rule condition")),
         (i["op"].isin("all", "any") & (F.coalesce(F.size(i["idx"]), F.lit(0)) <= 0),
-         _lit("No block indices specified for rule condition.")),
+         _lit("a rule condition lists no blocks")),
         (i["op"].isin("all", "any") & F.exists(F.coalesce(i["idx"], F.array().cast("array<int>")),
                                                 lambda b: b.isNull() | (b < 0)),
-         _lit("Invalid block index in rule condition.")),
+         _lit("a rule condition lists a missing or negative block index")),
         (i["op"].isin("all", "any") & (F.size(F.array_distinct(i["idx"])) != F.size(i["idx"])),
-         _lit("Duplicate block index in rule condition.")),
+         _lit("a rule condition lists a block twice")),
         ((i["op"] == "seq") & (F.coalesce(F.size(i["idx"]), F.lit(0)) <= 0),
-         _lit("No conditions specified for SequenceRuleCondition.")),
+         _lit("a sequence is empty")),
         ((i["op"] == "seq") & F.exists(F.coalesce(i["idx"], F.array().cast("array<int>")), lambda b: b.isNull()),
-         _lit("Null condition specified for SequenceRuleCondition.")),
+         _lit("a sequence has an entry without a block")),
         (i["op"].isin("and", "or") & (F.coalesce(i["n"], F.lit(0)) == 0),
-         _lit("CompositeRuleCondition has no conditions.")),
+         _lit("a composite rule condition is empty")),
     )))
 
 
@@ -78,27 +78,27 @@ def _block_errors(b: Column) -> Column:
     windowed = t.isin("THRESHOLD", "UNIQUE_THRESHOLD")
     counted = t.isin("SIMPLE_ANOMALY", "DROP_TO_ZERO")
     base = _errs(
-        (b["cond"].isNull(), _lit("No condition specified for Block.")),
-        (t.isNull(), _lit("Block type is missing.")),
-        (t.isNotNull() & ~t.isin(*BLOCK_TYPES), F.concat(_lit("Unknown block type "), F.coalesce(t, _lit("")), _lit("."))),
+        (b["cond"].isNull(), _lit("a block has no condition")),
+        (t.isNull(), _lit("a block has no type")),
+        (t.isNotNull() & ~t.isin(*BLOCK_TYPES), F.concat(_lit("there is no block type "), F.coalesce(t, _lit("")), _lit("."))),
         # SINGLE_EVENT
-        ((t == "SINGLE_EVENT") & (b["window_size"] != 0), _lit("WindowSize is not supported for Single Event blocks.")),
-        ((t == "SINGLE_EVENT") & (b["window_slide"] != 0), _lit("WindowSlide is not supported for Single Event blocks.")),
+        ((t == "SINGLE_EVENT") & (b["window_size"] != 0), _lit("a SINGLE_EVENT block takes no windowSize")),
+        ((t == "SINGLE_EVENT") & (b["window_slide"] != 0), _lit("a SINGLE_EVENT block takes no windowSlide")),
         ((t == "SINGLE_EVENT") & agg.isNotNull() & (F.size(agg) > 0),
-         _lit("AggregationGroupingFields are not supported for Single Event blocks.")),
+         _lit("a SINGLE_EVENT block takes no aggregationGroupingFields")),
         # windowed blocks
-        ((windowed | counted) & (b["window_size"] <= 0), _lit("WindowSize was not set for Block.")),
-        (windowed & (b["window_slide"] <= 0), _lit("WindowSlide was not set for Block.")),
-        (counted & (b["window_slide"] > 0), _lit("WindowSlide is not supported for this block type.")),
-        (windowed & (agg.isNull() | (F.size(agg) == 0)), _lit("No aggregationGroupingFields supplied for Block.")),
+        ((windowed | counted) & (b["window_size"] <= 0), _lit("a windowed block needs a windowSize above 0")),
+        (windowed & (b["window_slide"] <= 0), _lit("a sliding block needs a windowSlide above 0")),
+        (counted & (b["window_slide"] > 0), _lit("a counting block takes no windowSlide")),
+        (windowed & (agg.isNull() | (F.size(agg) == 0)), _lit("a threshold block needs aggregationGroupingFields")),
         (windowed & agg.isNotNull() & F.exists(F.coalesce(agg, F.array().cast("array<string>")),
                                                 lambda f: f.isNull() | (f == "")),
-         _lit("Null or empty aggregationGroupingField supplied for Block.")),
-        (windowed & ~_positive_int(p, "THRESHOLD"), _lit("Invalid threshold supplied for Block.")),
+         _lit("an entry of aggregationGroupingFields is empty")),
+        (windowed & ~_positive_int(p, "THRESHOLD"), _lit("THRESHOLD must be a whole number above 0")),
         ((t == "UNIQUE_THRESHOLD") & (F.coalesce(p[F.lit("UNIQUE_FIELD")], _lit("")) == ""),
-         _lit("UniqueField was not set for Unique Threshold Block.")),
+         _lit("a UNIQUE_THRESHOLD block needs UNIQUE_FIELD")),
         ((t == "SIMPLE_ANOMALY") & ~_positive_int(p, "SIMPLE_ANOMALY_THRESHOLD"),
-         _lit("Invalid anomaly threshold supplied for Simple Anomaly Block.")),
+         _lit("SIMPLE_ANOMALY_THRESHOLD must be a whole number above 0")),
     )
     return F.concat(base, F.coalesce(_condition_errors(b["cond"]), F.array().cast("array<string>")))
 
@@ -113,23 +113,27 @@ def rule_errors(rules: DataFrame, strict: bool = False) -> DataFrame:
     unknown_block_keys = F.flatten(F.transform(
         F.coalesce(raw_blocks, F.array().cast("array<map<string,string>>")),
         lambda m: F.array_except(F.map_keys(m), F.array(*[F.lit(k) for k in BLOCK_KEYS]))))
+    # numbers may come as text, but must be numbers
+    bad_numbers = F.filter(F.array(*[F.lit(k) for k in RULE_NUMBERS]),
+                           lambda k: raw[k].isNotNull() & raw[k].try_cast("int").isNull())
     single_event_only = (nb == 1) & (blocks[0]["block_type"] == "SINGLE_EVENT")
     rule_level = _errs(
-        (F.col("content").isNull() | (F.col("content") == ""), _lit("Rule content is empty.")),
-        (F.col("content").isNotNull() & raw.isNull(), _lit("Failed to deserialise rule.")),
-        (F.size(unknown_rule_keys) > 0, F.concat(_lit("Unrecognized rule field(s): "),
+        (F.col("content").isNull() | (F.col("content") == ""), _lit("there is no rule")),
+        (F.col("content").isNotNull() & raw.isNull(), _lit("the rule is not a JSON object")),
+        (F.size(unknown_rule_keys) > 0, F.concat(_lit("unknown rule property: "),
                                                  F.array_join(unknown_rule_keys, ","))),
-        (F.size(unknown_block_keys) > 0, F.concat(_lit("Unrecognized block field(s): "),
+        (F.size(unknown_block_keys) > 0, F.concat(_lit("unknown block property: "),
                                                   F.array_join(unknown_block_keys, ","))),
-        (raw.isNotNull() & (nb == 0), _lit("Rule did not contain any Blocks.")),
-        ((nb > 1) & F.col("rule_program").isNull(), _lit("Rule with multiple blocks must include a rule condition.")),
-        ((nb > 1) & (F.col("rule_window_size") <= 0), _lit("Rule with multiple blocks must include a window size.")),
-        ((nb > 1) & (F.col("rule_window_slide") <= 0), _lit("Rule with multiple blocks must include a window slide.")),
-        ((nb == 1) & F.col("rule_program").isNotNull(), _lit("Rule with single block must not include a rule condition.")),
-        ((nb == 1) & (F.col("rule_window_size") > 0), _lit("Rule with single blocks must not include a window size.")),
-        ((nb == 1) & (F.col("rule_window_slide") > 0), _lit("Rule with single blocks must not include a window slide.")),
+        (F.size(bad_numbers) > 0, F.concat(_lit("not a whole number: "), F.array_join(bad_numbers, ","))),
+        (raw.isNotNull() & (nb == 0), _lit("the rule has no blocks")),
+        ((nb > 1) & F.col("rule_program").isNull(), _lit("several blocks need a ruleCondition")),
+        ((nb > 1) & (F.col("rule_window_size") <= 0), _lit("several blocks need a rule windowSize")),
+        ((nb > 1) & (F.col("rule_window_slide") <= 0), _lit("several blocks need a rule windowSlide")),
+        ((nb == 1) & F.col("rule_program").isNotNull(), _lit("one block takes no ruleCondition")),
+        ((nb == 1) & (F.col("rule_window_size") > 0), _lit("one block takes no rule windowSize")),
+        ((nb == 1) & (F.col("rule_window_slide") > 0), _lit("one block takes no rule windowSlide")),
         ((nb >= 1) & ~single_event_only & (F.coalesce(F.col("group_by_field"), _lit("")) == ""),
-         _lit("GroupByField was not set for rule.")),
+         _lit("all rules but those of one SINGLE_EVENT block need a groupByField")),
     )
     extra = []
     if strict:
@@ -164,17 +168,17 @@ def control_errors(ctrl: DataFrame, strict: bool = False) -> DataFrame:
     content_id = dec["id"]
     content_version = F.coalesce(dec["version"].try_cast("int"), F.lit(0))
     v1 = _errs(
-        (F.col("schema_version") != 1, F.format_string("Schema version %d is not supported", F.col("schema_version"))),
-        (F.col("timestamp").isNull(), _lit("Timestamp is null.")),
+        (F.col("schema_version") != 1, F.format_string("control schema %d is unknown, this engine reads 1", F.col("schema_version"))),
+        (F.col("timestamp").isNull(), _lit("the message has no timestamp")),
         (F.col("timestamp").isNotNull() & ~F.col("timestamp").rlike(_ISO_INSTANT),
-         F.concat(_lit("Timestamp is invalid: "), F.coalesce(F.col("timestamp"), _lit("")))),
-        ((is_add | is_remove) & bad_id, F.concat(_lit("Rule ID is invalid: "), F.coalesce(F.col("rule_id"), _lit("null")))),
-        ((is_add | is_remove) & bad_version, F.format_string("Rule version is invalid: %d", F.col("rule_version"))),
+         F.concat(_lit("not an ISO instant: "), F.coalesce(F.col("timestamp"), _lit("")))),
+        ((is_add | is_remove) & bad_id, F.concat(_lit("unusable rule id: "), F.coalesce(F.col("rule_id"), _lit("null")))),
+        ((is_add | is_remove) & bad_version, F.format_string("rule versions start at 1, not %d", F.col("rule_version"))),
         (is_add & content_id.isNotNull() & (content_id != F.coalesce(F.col("rule_id"), _lit(""))),
-         F.format_string("Rule ID specified in content (%s) did not match the ID in the control event (%s).",
+         F.format_string("the rule calls itself %s, the message calls it %s",
                          content_id, F.col("rule_id"))),
         (is_add & (content_version != 0) & (content_version != F.col("rule_version")),
-         F.format_string("Rule version specified in content (%d) did not match the version in the control event (%d).",
+         F.format_string("the rule is of version %d, the message of version %d",
                          content_version, F.col("rule_version"))),
     )
     return c.withColumn("errors", F.concat(

@@ -639,7 +639,7 @@ ch AS (SELECT seq, kind AS action,
               CASE WHEN v = 0 THEN 'ERROR' WHEN kind = 'ADD_RULE' THEN 'RULE_ACTIVE'
                    WHEN before IS NULL OR before = v THEN 'RULE_DEACTIVATED' ELSE 'ERROR' END AS status,
               rid AS "ruleId", CASE WHEN v > 0 AND kind = 'ADD_RULE' THEN cur ELSE v END AS "ruleVersion",
-              CASE WHEN v = 0 THEN 'Control Input failed validation: Rule version is invalid: 0'
+              CASE WHEN v = 0 THEN 'Control Input failed validation: rule versions start at 1, not 0'
                    WHEN kind = 'REMOVE_RULE' AND before <> v THEN 'Cannot remove version ' || v || ' of rule ' || rid || ': version ' || before || ' is active' END AS content
        FROM f WHERE n > 0),
 spans AS (SELECT rid, cur, seq, lead(seq) OVER (PARTITION BY rid ORDER BY n) AS nxt FROM f WHERE n > 0),

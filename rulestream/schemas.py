@@ -44,6 +44,7 @@ OUTPUT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 # Allowed JSON property names per object kind (unknown property = undecodable).
 RULE_KEYS = ["id", "version", "baseSeverity", "blocks", "ruleCondition", "groupByField",
              "windowSize", "windowSlide"]
+RULE_NUMBERS = ["version", "baseSeverity", "windowSize", "windowSlide"]
 BLOCK_KEYS = ["type", "condition", "windowSize", "windowSlide", "aggregationGroupingFields",
               "parameters"]
 

@@ -102,3 +102,13 @@ def test_strict_schema_checks(spark):
     r = rules_from_json(spark, [("r", 1, c)])
     assert rule_errors(r).first()["errors"] == []
     assert len(rule_errors(r, strict=True).first()["errors"]) == 1
+
+
+def test_rule_numbers_are_strict(spark):
+    """Numbers may come as text; what is no whole number is an error, not 0."""
+    one = {"blocks": [{"type": "SINGLE_EVENT", "condition": eq("a", "b")}]}
+    for bad in ({"baseSeverity": "x"}, {"windowSize": "abc"}, {"windowSlide": 1.5}, {"version": "two"}, {"baseSeverity": [1]}):
+        got = errors_of(spark, json.dumps(one | bad))
+        assert len(got) == 1 and got[0].endswith(next(iter(bad))), (bad, got)
+    for good in ({"baseSeverity": "7"}, {"baseSeverity": 7}, {"windowSize": "0"}, {"baseSeverity": None}):
+        assert errors_of(spark, json.dumps(one | good)) == [], good
