@@ -4,7 +4,7 @@
 (V2-V12, plus the property-name check of V13 that decoding needs);
 ``control_errors(ctrl)`` adds the control-message checks (V1) and, for
 ADD_RULE rows, the errors of the decoded rule.  An empty array means valid.
-``strict=True`` adds the extra constraints of the declarative rule schema.
+``strict=True`` adds the violations of the declarative rule schema (``ruleschema``).
 
 Every check is a Column expression: ``when(bad, message)`` entries collected
 into an array and filtered for NULLs - no Python per rule.
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.operators.rules import parse_rules
+from rulestream.operators.ruleschema import schema_violations
 from rulestream.schemas import BLOCK_KEYS, BLOCK_TYPES, RULE_KEYS, RULE_NUMBERS
 
 _ISO_INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?Z$"
@@ -135,22 +136,17 @@ def rule_errors(rules: DataFrame, strict: bool = False) -> DataFrame:
         ((nb >= 1) & ~single_event_only & (F.coalesce(F.col("group_by_field"), _lit("")) == ""),
          _lit("all rules but those of one SINGLE_EVENT block need a groupByField")),
     )
-    extra = []
-    if strict:
-        extra.append(_errs(
-            (single_event_only & (F.coalesce(F.col("group_by_field"), _lit("")) != ""),
-             _lit("Schema: groupByField is not allowed on a single SINGLE_EVENT rule.")),
-            (F.exists(F.flatten(F.transform(blocks, lambda b: F.coalesce(b["cond"], F.array().cast(
-                rules.schema["blocks"].dataType.elementType["cond"].dataType)))),
-                lambda i: i["op"].isin("and", "or") & (i["n"] < 2)),
-             _lit("Schema: a composite condition needs at least two conditions.")),
-        ))
     all_errs = F.concat(
         rule_level,
         F.flatten(F.transform(blocks, _block_errors)),
-        F.coalesce(F.when(nb > 1, _rule_condition_errors(F.col("rule_program"))), F.array().cast("array<string>")),
-        *extra)
-    return rules.withColumn("errors", all_errs)
+        F.coalesce(F.when(nb > 1, _rule_condition_errors(F.col("rule_program"))), F.array().cast("array<string>")))
+    checked = rules.withColumn("errors", all_errs)
+    if not strict:
+        return checked
+    found = schema_violations(rules).groupBy(F.col("content").alias("_text")).agg(F.array_sort(F.collect_list(
+        F.concat_ws(" ", F.lit("schema:"), "path", "problem"))).alias("_found"))
+    joined = checked.join(found, F.col("content") == F.col("_text"), "left")
+    return joined.withColumn("errors", F.concat("errors", F.coalesce("_found", F.array().cast("array<string>")))).drop("_text", "_found")
 
 
 def control_errors(ctrl: DataFrame, strict: bool = False) -> DataFrame:

@@ -339,6 +339,61 @@ def q_control_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("status") == "STATUS_UPDATE", F.array_join(F.array_sort(F.transform(listed, entry)), " ")).otherwise(F.col("content")).alias("content"))
 
 
+def rules_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule submitted by every event, right or wrong as the event's numbers
+    have it: block type by event type (none for every 13th event), sizes and
+    thresholds from k, groupings and the number of blocks from the user."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k, user = F.coalesce(F.get_json_object("props", "$.k").cast("int"), F.lit(0)), F.coalesce("user_id", F.lit(0))
+    ev = ev.select("event_id", "event_type", k.alias("k"), user.alias("user"))
+    k, user = F.col("k"), F.col("user")
+    kind = F.when(F.col("event_id") % 13 == 0, "NOPE")
+    for event_type, block_type in SUBMITTED.items():
+        kind = kind.when(F.col("event_type") == event_type, block_type)
+    ev = ev.withColumn("kind", kind.otherwise("DROP_TO_ZERO"))
+    kind = F.col("kind")
+    sliding = kind.isin("THRESHOLD", "UNIQUE_THRESHOLD")
+    leaf = F.struct(F.lit(PKG + "EqualCondition").alias("@class"), F.when(k % 7 == 0, "").otherwise("type").alias("key"),
+                    F.col("event_type").alias("value"))
+    both = F.to_json(F.struct(F.lit(PKG + "CompositeCondition").alias("@class"), F.lit("AND").alias("type"), F.array(leaf).alias("conditions")))
+    block_json = F.to_json(F.struct(
+        kind.alias("type"), F.when((kind != "SINGLE_EVENT") | (user % 5 == 0), k - 10).alias("windowSize"),
+        F.when(sliding | (user % 5 == 1), k % 3).alias("windowSlide"),
+        F.when(sliding & (user % 4 > 0), F.array(F.when(user % 4 == 1, "").otherwise("user"))).alias("aggregationGroupingFields"),
+        F.when(sliding, F.struct((k % 5).cast("string").alias("THRESHOLD"), F.when(kind == "UNIQUE_THRESHOLD", F.when(user % 2 == 0, "").otherwise("user")).alias("UNIQUE_FIELD"))).alias("parameters"),
+        F.when(k % 11 == 0, "red").alias("colour")))
+    # parameters of another type stand beside those above under the one name
+    anomaly = F.when(kind == "SIMPLE_ANOMALY", F.concat(F.lit(',"parameters":'), F.to_json(F.struct(
+        F.when(k % 5 == 4, "x").otherwise((k % 5).cast("string")).alias("SIMPLE_ANOMALY_THRESHOLD")))))
+    condition = F.when(k % 9 == 4, both).otherwise(F.to_json(leaf))
+    one = F.concat(F.expr("substring(__b, 1, length(__b) - 1)"), F.coalesce(F.col("__a"), F.lit("")), F.lit(',"condition":'), F.col("__c"), F.lit("}"))
+    ev = ev.select("*", block_json.alias("__b"), anomaly.alias("__a"), condition.alias("__c")).withColumn("__one", one)
+    several = user % 7 == 0
+    head = F.to_json(F.struct(
+        F.when(user % 3 != 0, "user").alias("groupByField"), F.when(k % 17 != 0, k % 10).alias("baseSeverity"),
+        F.when(several, 60).alias("windowSize"), F.when(several & (user % 2 == 1), 30).alias("windowSlide"),
+        F.when(several, F.struct(F.lit("rulestream.rules.AllBlocksOccurredRuleCondition").alias("@class"), F.array(F.lit(0), k % 2).alias("blockIndices"))).alias("ruleCondition"),
+        F.lit(1).alias("blocks")))
+    blocks = F.concat(F.lit('"blocks":['), F.when(several, F.concat_ws(",", "__one", "__one")).otherwise(F.col("__one")), F.lit("]"))
+    severity = F.when(k % 17 == 0, '{"baseSeverity":"high",').otherwise("{")
+    content = F.concat(severity, F.substr(F.replace(head, F.lit('"blocks":1'), blocks), F.lit(2)))
+    return ev.select("event_id", content.alias("content"))
+
+
+# Block types of the submitted rules, by event type (any other: DROP_TO_ZERO).
+SUBMITTED = {"click": "SINGLE_EVENT", "error": "THRESHOLD", "purchase": "UNIQUE_THRESHOLD", "signup": "SIMPLE_ANOMALY"}
+
+
+def q_rule_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that is wrong with the rule of each event, by the checks and by the schema."""
+    from rulestream.operators.validate import rule_errors
+    ensure_checkpoint_dir(spark)
+    rules = rules_of_events(spark, sf_dir).checkpoint(eager=True)  # a rule store, as in derived_rules
+    checked = rule_errors(parse_rules(rules.select("content", F.lit("r").alias("rule_id"), F.lit(1).alias("rule_version")).distinct()), strict=True)
+    return rules.join(checked.select("content", "errors"), "content").select("event_id", F.explode("errors").alias("error")).groupBy(
+        "event_id", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_block_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: one row per (alert, block output) - last result per block index."""
     a = run_rules(read_events_table(spark, sf_dir), rule_set(spark, "all_blocks"))
@@ -372,6 +427,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "alert_feedback": q_alert_feedback,
         "history_replay": q_history_replay,
         "control_acks": q_control_acks,
+        "rule_errors": q_rule_errors,
         "block_outputs": q_block_outputs,
         "matched_joined": q_matched,
         "dynamic_match": q_dynamic_match,
@@ -416,6 +472,60 @@ SELECT '{rule_id}' AS rule_id, customer, group_by, 0 AS block_index, phase, ws A
 FROM (SELECT * FROM fin UNION ALL SELECT * FROM ini)"""
 
 
+def _rule_errors_sql() -> str:
+    """Which errors the rule of an event must have, from the event's numbers alone."""
+    sliding, counting = "kind IN ('THRESHOLD', 'UNIQUE_THRESHOLD')", "kind IN ('SIMPLE_ANOMALY', 'DROP_TO_ZERO')"
+    known, at = "kind <> 'NOPE'", "'schema: $.blocks[' || i || ']"
+    per_block = [
+        ("kind = 'NOPE'", "'there is no block type NOPE.'"),
+        ("kind = 'SINGLE_EVENT' AND usr % 5 = 0 AND k <> 10", "'a SINGLE_EVENT block takes no windowSize'"),
+        ("kind = 'SINGLE_EVENT' AND usr % 5 = 1 AND k % 3 <> 0", "'a SINGLE_EVENT block takes no windowSlide'"),
+        (f"({sliding} OR {counting}) AND k <= 10", "'a windowed block needs a windowSize above 0'"),
+        (f"{sliding} AND k % 3 = 0", "'a sliding block needs a windowSlide above 0'"),
+        (f"{counting} AND usr % 5 = 1 AND k % 3 > 0", "'a counting block takes no windowSlide'"),
+        (f"{sliding} AND usr % 4 = 0", "'a threshold block needs aggregationGroupingFields'"),
+        (f"{sliding} AND usr % 4 = 1", "'an entry of aggregationGroupingFields is empty'"),
+        (f"{sliding} AND k % 5 = 0", "'THRESHOLD must be a whole number above 0'"),
+        ("kind = 'UNIQUE_THRESHOLD' AND usr % 2 = 0", "'a UNIQUE_THRESHOLD block needs UNIQUE_FIELD'"),
+        ("kind = 'SIMPLE_ANOMALY' AND k % 5 IN (0, 4)", "'SIMPLE_ANOMALY_THRESHOLD must be a whole number above 0'"),
+        ("k % 7 = 0", "'a condition names no field'"),
+        ("kind = 'NOPE'", f"{at} is no known block'"),
+        (f"{known} AND k % 11 = 0", f"{at} colour is not allowed'"),
+        ("kind = 'SINGLE_EVENT' AND usr % 5 = 0", f"{at} windowSize is not allowed'"),
+        (f"(kind = 'SINGLE_EVENT' OR {counting}) AND usr % 5 = 1", f"{at} windowSlide is not allowed'"),
+        (f"({sliding} OR {counting}) AND k <= 10", f"{at} windowSize is too small'"),
+        (f"{sliding} AND k % 3 = 0", f"{at} windowSlide is too small'"),
+        (f"{sliding} AND usr % 4 = 0", f"{at} aggregationGroupingFields is missing'"),
+        (f"{sliding} AND usr % 4 = 1", f"{at} aggregationGroupingFields has an entry that is too short'"),
+        ("kind = 'UNIQUE_THRESHOLD' AND usr % 2 = 0", f"{at}.parameters UNIQUE_FIELD is too short'"),
+        ("kind = 'SIMPLE_ANOMALY' AND k % 5 = 4", f"{at}.parameters SIMPLE_ANOMALY_THRESHOLD has a wrong form'"),
+        (f"{known} AND k % 7 = 0 AND k % 9 <> 4", f"{at}.condition key is too short'"),
+        (f"{known} AND k % 7 = 0 AND k % 9 = 4", f"{at}.condition.conditions[0] key is too short'"),
+        (f"{known} AND k % 9 = 4", f"{at}.condition conditions has too few entries'"),
+    ]
+    per_rule = [
+        ("k % 11 = 0", "'unknown block property: colour' || CASE WHEN nb = 2 THEN ',colour' ELSE '' END"),
+        ("k % 17 = 0", "'not a whole number: baseSeverity'"),
+        ("nb = 2 AND usr % 2 = 0", "'several blocks need a rule windowSlide'"),
+        ("nb = 2 AND k % 2 = 0", "'a rule condition lists a block twice'"),
+        ("usr % 3 = 0 AND NOT (nb = 1 AND kind = 'SINGLE_EVENT')", "'all rules but those of one SINGLE_EVENT block need a groupByField'"),
+        ("nb = 1 AND kind = 'SINGLE_EVENT' AND usr % 3 <> 0", "'schema: $ groupByField is not allowed'"),
+        ("nb = 2 AND usr % 3 = 0", "'schema: $ groupByField is missing'"),
+        ("nb = 2 AND usr % 2 = 0", "'schema: $ windowSlide is missing'"),
+        ("k % 17 = 0", "'schema: $ baseSeverity is not of type integer'"),
+        ("nb = 2 AND k % 2 = 0", "'schema: $.ruleCondition blockIndices has an entry twice'"),
+    ]
+    kinds = " ".join(f"WHEN event_type = '{e}' THEN '{b}'" for e, b in SUBMITTED.items())
+    lists = [f"SELECT event_id, {what} AS error FROM {src} WHERE {where}" for src, cases in (("b", per_block), ("r", per_rule)) for where, what in cases]
+    return f"""WITH r AS (
+  SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS INT), 0) AS k, coalesce(user_id, 0) AS usr,
+         CASE WHEN event_id % 13 = 0 THEN 'NOPE' {kinds} ELSE 'DROP_TO_ZERO' END AS kind,
+         CASE WHEN coalesce(user_id, 0) % 7 = 0 THEN 2 ELSE 1 END AS nb
+  FROM events),
+b AS (SELECT r.*, t.i FROM r, range(0, 2) t(i) WHERE t.i < r.nb)
+SELECT event_id, error, count(*) AS n FROM ({' UNION ALL '.join(lists)}) GROUP BY ALL"""
+
+
 def _unique_sql(rule_id: str, size: int, slide: int, n: int) -> str:
     size_ms, slide_ms = size * 1000, slide * 1000
     return f"""WITH {EV},
@@ -682,6 +792,7 @@ SELECT 'hist' AS rule_id, CASE WHEN type = 'error' THEN 1 ELSE 2 END AS rule_ver
 FROM ev WHERE (type = 'error' AND ms >= 1704067200000 AND ms < 1705276800000)
    OR (type = 'purchase' AND ms >= 1705276800000)""",
         "control_acks": _control_sql(),
+        "rule_errors": _rule_errors_sql(),
         "block_outputs": _block_outputs_sql(),
         "matched_joined": _matched_sql(),
         "dynamic_match": f"""WITH {EV},
