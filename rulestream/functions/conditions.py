@@ -264,8 +264,9 @@ class _Node:
         self.col, self.nullable = col, nullable
 
 
-def compile_condition(program: Sequence, field: Callable[[str], Column]) -> Column:
-    """Compile a collected postfix program (list of Rows/dicts) to one Column.
+def compile_condition(program: Sequence, field: Callable[[str], Column], errors: bool = False) -> Column:
+    """Compile a collected postfix program (list of Rows/dicts) to one Column;
+    with ``errors`` it is NULL where the condition cannot be evaluated.
 
     ``field(name)`` returns the raw (nullable) text of a field.  Sub-trees
     that cannot produce an error compile to plain AND/OR so Catalyst can
@@ -306,6 +307,8 @@ def compile_condition(program: Sequence, field: Callable[[str], Column]) -> Colu
     if not stack:
         return F.lit(False)
     top = stack[-1]
+    if errors:
+        return top.col
     return F.coalesce(top.col, F.lit(False)) if top.nullable else top.col
 
 

@@ -97,6 +97,13 @@ def _validity(ev_ms: Column, r: dict) -> Column | None:
     return reduce(lambda a, b: a & b, preds) if preds else None
 
 
+def event_takes_part(block: dict) -> Column:
+    """J2 and validity: whether an event is put to the block's condition at all."""
+    ok = _group_ok(F.col("fields"), block["group_by_field"])
+    valid = _validity(F.col("event_ms"), block)
+    return ok if valid is None else ok & valid
+
+
 def collect_rule_blocks(rules: DataFrame, limit: int = MAX_COMPILED_BLOCKS) -> list[dict] | None:
     """Bring the (small) rule side to the driver for compilation.
 

@@ -158,6 +158,13 @@ RULES = {
         block("SINGLE_EVENT", eq("type", "purchase"))],
         group_by="user", size=12 * HOUR, slide=12 * HOUR, condition=seq_cond((0, False), (1, False)),
         severity=9))],
+    # samples in alert JSON: the rule's group-by field is one that events also have
+    "samples": [("thruser", 1, rule([block("THRESHOLD", regex("type", ".*"), DAY, DAY // 2, ["type"], THRESHOLD=3)],
+                                    group_by="user"))],
+    # conditions that some records break: before and after an entry that decides
+    "breakable": [("ordered", 1, rule([block("SINGLE_EVENT", all_of(eq("type", "error"), cmp("value", "GREATER_THAN", 1)))])),
+                  ("poisoned", 1, rule([block("SINGLE_EVENT", any_of(cmp("value", "GREATER_THAN", 1), eq("type", "click")))],
+                                       group_by="user"))],
     "feedback": [("fb", 1, rule([block("SINGLE_EVENT", all_of(eq("source", "rulestream"),
                                                               eq("matchedRuleId", "err")))]))],
 }
@@ -194,6 +201,21 @@ HISTORY_LOG = [
 ]
 
 
+# A windowed rule that is resized, and a multi-block rule that changes its blocks and windows, on 15 January.
+HISTORY_DATES = ("2024-01-01", "2024-01-15")
+HISTORY_VERSIONS = {
+    "histthr": [rule([block("THRESHOLD", eq("type", "error"), DAY, DAY // 2, ["user"], THRESHOLD=5)], group_by="customer"),
+                rule([block("THRESHOLD", eq("type", "purchase"), 6 * HOUR, 3 * HOUR, ["user"], THRESHOLD=3)], group_by="customer")],
+    "histall": [rule([block("SINGLE_EVENT", eq("type", "error")), block("SINGLE_EVENT", eq("type", "signup"))],
+                     group_by="user", size=6 * HOUR, slide=3 * HOUR, condition=all_blocks(0, 1), severity=2),
+                rule([block("SINGLE_EVENT", eq("type", "view")), block("SINGLE_EVENT", eq("type", "click"))],
+                     group_by="user", size=8 * HOUR, slide=8 * HOUR, condition=all_blocks(0, 1), severity=7)],
+}
+HISTORY_WINDOWS_LOG = [
+    json.dumps({"timestamp": f"{HISTORY_DATES[v]}T00:00:00.000Z", "type": "ADD_RULE", "ruleId": rule_id, "ruleVersion": v + 1,
+                "controlSchemaVersion": 1, "content": versions[v]}) for v in (0, 1) for rule_id, versions in HISTORY_VERSIONS.items()]
+
+
 def _spark_rules(spark: SparkSession, name: str) -> DataFrame:
     return rules_from_json(spark, RULES[name])
 
@@ -306,6 +328,53 @@ def q_history_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("rule_id", "rule_version", "customer", F.col("match_ms").alias("event_ms"))
 
 
+def q_history_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed and multi-block rules change in the middle; every event goes to the windows of the version in force."""
+    key = (id(spark), "history_windows")
+    if key not in _RULE_SETS:
+        from rulestream.operators.control import fold_control, rules_from_history
+        from rulestream.sources.control import control_from_messages
+        _, hist = fold_control(control_from_messages(spark, HISTORY_WINDOWS_LOG))
+        _RULE_SETS[key] = RuleSet(rules_from_history(hist))
+    return flat_alerts(run_rules(read_events_table(spark, sf_dir), _RULE_SETS[key]))
+
+
+def q_alert_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert JSON read back: one row per alert and key, with its sample event and the group-by field."""
+    from rulestream.operators.alerts import alerts_to_json
+    alert = F.from_json("value", "matchTime string, matchedRuleId string, customer string, groupBy string, user string, blockOutput map<string,struct<"
+                        "matchMessage:string,matchingEvents:array<struct<key:string,sampleEventContent:struct<event_id:bigint,type:string,value:double>,count:bigint>>>>")
+    js = alerts_to_json(run_rules(read_events_table(spark, sf_dir), rule_set(spark, "samples")))
+    a = js.select(alert.alias("a")).select("a.*", F.explode(F.col("a.blockOutput")["0"]["matchingEvents"]).alias("e"))
+    return a.select(F.col("matchedRuleId").alias("rule_id"), "customer", F.col("groupBy").alias("group_by"), F.col("user").alias("user_field"),
+                    F.col("matchTime").alias("match_time"), F.col("blockOutput")["0"]["matchMessage"].alias("match_message"), F.col("e.key").alias("agg_key"),
+                    F.col("e.sampleEventContent.event_id").alias("sample_event_id"), F.col("e.sampleEventContent.value").alias("sample_value"), F.col("e.count").alias("n"))
+
+
+def damaged_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All events as records (seq, content), and as control messages (seq, value), damaged as the event's k has it."""
+    ev = read_events_table(spark, sf_dir).select(F.col("arrival_seq").alias("seq"), "content", (F.col("fields")["k"].cast("int") % 10).alias("d"))
+    d, text = F.col("d"), F.col("content")
+    records = ev.select("seq", F.when(d == 0, F.expr("substring(content, 1, length(content) - 1)"))
+                        .when(d == 1, F.replace(text, F.lit('"@timestamp":"'), F.lit('"@timestamp":"on '))).when(d == 2, F.lit(None).cast("string")).when(d == 3, "[]")
+                        .when(d == 5, F.regexp_replace(text, '"value":[^,]*', '"value":"n/a"')).otherwise(text).alias("content"))
+    log = control_log_of_events(spark, sf_dir).join(ev.select("seq", "d"), "seq")
+    messages = log.select("seq", F.when(d == 6, F.regexp_replace("value", '"type":"[A-Z]+_[A-Z]+","ruleId"', '"type":"RESET","ruleId"'))
+                          .when(d == 7, "not json").when(d == 8, F.lit(None).cast("string")).otherwise(F.col("value")).alias("value"))
+    return records, messages
+
+
+def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record, message and (event, block) pair that is set aside, with the reason."""
+    from rulestream.operators.rejects import control_rejects, event_rejects, match_rejects
+    from rulestream.sources.events import parse_events
+    records, messages = damaged_records(spark, sf_dir)
+    events = parse_events(records, seq_col="seq", on_bad_ts="drop")
+    out = event_rejects(records, on_bad_ts="drop").unionByName(control_rejects(messages)).unionByName(
+        match_rejects(events, rule_set(spark, "breakable").blocks))
+    return out.select("place", F.col("seq").alias("event_id"), "rule_id", "rule_version", "block_index", "reason")
+
+
 def control_log_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A control log made from all events: errors remove the user's rule, the
     other types add it, a signup with k = 7 asks for the status; the version
@@ -428,6 +497,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "history_replay": q_history_replay,
         "control_acks": q_control_acks,
         "rule_errors": q_rule_errors,
+        "history_windows": q_history_windows,
+        "alert_samples": q_alert_samples,
+        "rejects": q_rejects,
         "block_outputs": q_block_outputs,
         "matched_joined": q_matched,
         "dynamic_match": q_dynamic_match,
@@ -648,16 +720,16 @@ SELECT 'nested', 0, 'SINGLE_EVENT', 'SIMPLE', customer, NULL, NULL, NULL, event_
 WHERE (type = 'purchase' OR value::FLOAT::DOUBLE > 45.5) AND regexp_matches(k, '^[1-4]')"""
 
 
-def _multi_alerts_sql(rule_id: str, types: list[str], size: int, slide: int, sev: int, cond: str) -> str:
+def _multi_alerts_sql(rule_id: str, types: list[str], size: int, slide: int, sev: int, cond: str, also: str = "") -> str:
     """Alerts of a multi-block rule of SINGLE_EVENT blocks (one per type) per
-    user; ``cond`` is a SQL predicate over has0..hasN of the window."""
+    user; ``cond`` is a SQL predicate over has0..hasN of the window, ``also`` one over the events."""
     size_ms, slide_ms = size * 1000, slide * 1000
     case = " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(types))
     has = ", ".join(f"bool_or(bi = {i}) AS has{i}" for i in range(len(types)))
     tl = ", ".join(f"'{t}'" for t in types)
     return f"""WITH {EV},
 b AS (SELECT customer, 'user=' || usr AS group_by, CASE type {case} END AS bi, ms, event_id
-      FROM ev WHERE type IN ({tl})),
+      FROM ev WHERE type IN ({tl}) {also}),
 w AS ({_windows_sql('b', size_ms, slide_ms)}),
 g AS (SELECT customer, group_by, ws, max(ms) AS match_ms, {has},
              string_agg(DISTINCT bi::VARCHAR, ',' ORDER BY bi::VARCHAR) AS blocks FROM w GROUP BY ALL)
@@ -666,6 +738,46 @@ SELECT '{rule_id}' AS rule_id, customer, group_by, 1 AS rule_version, {sev} AS b
 FROM g WHERE {cond}"""
 
 
+def _history_windows_sql() -> str:
+    """Per version: its own query over the events of its time."""
+    cut = "1705276800000"  # 2024-01-15
+    spans = (f"ms >= 1704067200000 AND ms < {cut}", f"ms >= {cut}")
+    thr = [_threshold_sql("histthr", DAY, DAY // 2, 5, f"type = 'error' AND {spans[0]}"),
+           _threshold_sql("histthr", 6 * HOUR, 3 * HOUR, 3, f"type = 'purchase' AND {spans[1]}")]
+    both = [_multi_alerts_sql("histall", ["error", "signup"], 6 * HOUR, 3 * HOUR, 2, "has0 AND has1", f"AND {spans[0]}"),
+            _multi_alerts_sql("histall", ["view", "click"], 8 * HOUR, 8 * HOUR, 7, "has0 AND has1", f"AND {spans[1]}")]
+    flat = [f"SELECT rule_id, customer, group_by, {v + 1} AS rule_version, 0 AS base_severity, match_ms, window_start_ms, window_end_ms, '0' AS blocks FROM ({q})"
+            for v, q in enumerate(thr)]
+    flat += [f"SELECT * REPLACE ({v + 1} AS rule_version) FROM ({q})" for v, q in enumerate(both)]
+    return " UNION ALL ".join(flat)
+
+
+def _alert_samples_sql() -> str:
+    size, slide, n = DAY * 1000, DAY // 2 * 1000, 3
+    return f"""WITH {EV},
+m AS (SELECT customer, usr, 'type=' || type AS agg_key, value, ms, event_id FROM ev WHERE usr IS NOT NULL AND usr <> '' AND regexp_matches(coalesce(type, ''), '')),
+w AS ({_windows_sql('m', size, slide)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY customer, usr, ws ORDER BY ms, event_id) AS rn, count(*) OVER (PARTITION BY customer, usr, ws) AS cnt FROM w),
+f AS (SELECT 'initial' AS phase, * FROM r WHERE cnt >= {n} AND rn <= {n} UNION ALL SELECT 'final' AS phase, * FROM r WHERE cnt >= {n}),
+a AS (SELECT phase, customer, usr, ws, max(ms) AS match_ms, count(*) AS total FROM f GROUP BY ALL),
+g AS (SELECT phase, customer, usr, ws, agg_key, count(*) AS n, arg_min(event_id, rn) AS sample_event_id, arg_min(value, rn) AS sample_value FROM f GROUP BY ALL)
+SELECT 'thruser' AS rule_id, customer, 'user=' || usr AS group_by, usr AS user_field, strftime(make_timestamp(match_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS match_time,
+       'Threshold exceeded. ' || total || ' events were observed in the last 0 minutes.' AS match_message, agg_key, sample_event_id, sample_value, n
+FROM g JOIN a USING (phase, customer, usr, ws)"""
+
+
+def _rejects_sql() -> str:
+    row = "SELECT '{}' AS place, event_id, {} AS rule_id, {} AS rule_version, {} AS block_index, {} AS reason FROM d WHERE {}"
+    none = ("NULL::VARCHAR", "NULL::INT", "NULL::INT")
+    broken = "'the condition cannot be evaluated'"
+    parts = [row.format("event", *none, "'not a JSON object'", "d IN (0, 3)"), row.format("event", *none, "'no usable @timestamp'", "d = 1"),
+             row.format("event", *none, "'no text'", "d = 2"), row.format("control", *none, "'there is no control type RESET'", "d = 6"),
+             row.format("control", *none, "'not a JSON object'", "d = 7"), row.format("control", *none, "'no text'", "d = 8"),
+             row.format("match", "'ordered'", 1, 0, broken, "d = 5 AND value IS NOT NULL AND type = 'error'"),
+             row.format("match", "'poisoned'", 1, 0, broken, "d = 5 AND value IS NOT NULL")]
+    return f"WITH {EV}, d AS (SELECT *, k::INT % 10 AS d FROM ev) " + " UNION ALL ".join(parts)
+
+
 def _sequence_absent_sql() -> str:
     size_ms, slide_ms = DAY * 1000, DAY // 2 * 1000
     return f"""WITH {EV},
@@ -793,6 +905,9 @@ FROM ev WHERE (type = 'error' AND ms >= 1704067200000 AND ms < 1705276800000)
    OR (type = 'purchase' AND ms >= 1705276800000)""",
         "control_acks": _control_sql(),
         "rule_errors": _rule_errors_sql(),
+        "history_windows": _history_windows_sql(),
+        "alert_samples": _alert_samples_sql(),
+        "rejects": _rejects_sql(),
         "block_outputs": _block_outputs_sql(),
         "matched_joined": _matched_sql(),
         "dynamic_match": f"""WITH {EV},
