@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from rulestream.functions.conditions import eval_rule_condition
 from rulestream.functions.frames import join_ns
-from rulestream.functions.windows import sec_to_ms, sliding_starts
+from rulestream.functions.windows import pane_ms, sec_to_ms, sliding_starts, tumbling_start
+from rulestream.session import ensure_checkpoint_dir
 
 GKEY = ["customer", "rule_id", "group_by", "rws", "rwe"]
 
@@ -76,6 +77,54 @@ def _outputs(w: DataFrame) -> DataFrame:
             "block_index", F.struct(F.col("first_ord").alias("lo"), F.col("last_ord").alias("hi"))))).alias("span"))
 
 
+# Above this many sliding windows per block result, results are folded into panes before windows.
+PANE_LIMIT_FAN = 4
+PKEY = ["customer", "rule_id", "group_by", "size", "slide", "block_index"]
+
+
+def _pane_outputs(blocks: DataFrame) -> DataFrame:
+    """Block results folded per (pane, block index): the last output, and what a window needs of the others.
+
+    Panes tile rule windows exactly, so a window's last output of an index is
+    the last one of its panes' last outputs.
+    """
+    size, slide = sec_to_ms("rule_window_size"), sec_to_ms("rule_window_slide")
+    c = blocks.where((F.col("rule_type") == "COMPLEX") & (size > 0) & (slide > 0))
+    c = c.withColumn("size", size).withColumn("slide", slide).withColumn("ord", order_col().cast(ORD_T))
+    c = c.withColumn("pane", tumbling_start(F.col("emit_ms"), pane_ms(F.col("size"), F.col("slide"))))
+    out = F.struct("match_ms", "match_message", F.coalesce(
+        "matching_events", F.array().cast(SUMMARIES_T)).alias("matching_events"))
+    return c.groupBy(*PKEY, "pane").agg(
+        F.max_by(out, "ord").alias("out"), F.min_by(F.struct("rule_version", "base_severity"), "ord").alias("head"),
+        F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), F.max("match_ms").alias("match_ms"))
+
+
+def _pane_windows(panes: DataFrame) -> DataFrame:
+    """Windows from panes, as ``_outputs`` but without the outputs: ``last`` names the place of each index's last one,
+    so the explosion into windows copies positions, never sample events."""
+    w = panes.select(*PKEY, "head", "first_ord", "last_ord", "match_ms",
+                     F.explode(sliding_starts(F.col("pane"), F.col("size"), F.col("slide"))).alias("rws"))
+    w = w.withColumn("rwe", F.col("rws") + F.col("size"))
+    per_idx = w.groupBy(*GKEY, "block_index").agg(
+        F.min_by("head", "first_ord").alias("head"), F.min("first_ord").alias("first_ord"),
+        F.max(F.struct("last_ord", "size", "slide")).alias("at"), F.max("match_ms").alias("match_ms"))
+    return per_idx.groupBy(*GKEY).agg(
+        F.min_by("head", "first_ord").alias("head"), F.max("match_ms").alias("match_ms"),
+        F.sort_array(F.collect_list("block_index")).alias("seen"),
+        F.collect_list(F.struct("block_index", "at.*")).alias("last"),
+        F.map_from_entries(F.collect_list(F.struct(
+            "block_index", F.struct(F.col("first_ord").alias("lo"), F.col("at.last_ord").alias("hi"))))).alias("span"))
+
+
+def _with_outputs(hit: DataFrame, panes: DataFrame) -> DataFrame:
+    """The outputs of the windows that matched, fetched by their places."""
+    wanted = hit.select(*GKEY, F.struct("head", "match_ms", "seen").alias("facts"), F.explode("last").alias("l")).select(*GKEY, "facts", "l.*")
+    got = join_ns(wanted, panes.select(*PKEY, "last_ord", "out"), PKEY + ["last_ord"], "inner")
+    return got.groupBy(*GKEY).agg(
+        F.first("facts").alias("facts"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("block_index").cast("string"), "out"))).alias("outputs")).select(*GKEY, "facts.*", "outputs")
+
+
 def _advance(pos: Column, ok: Column, want: Column, absent: Column, sp: Column, is_last: Column,
              found: Column | None = None) -> tuple[Column, Column, Column]:
     """One greedy sequence step on (position, ok).
@@ -184,20 +233,30 @@ def _as_of_walks(w: DataFrame, g: DataFrame, max_len: int) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("node", "ok"))).alias("seq_late"))
 
 
-def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int, small_rules: bool = False) -> DataFrame:
+def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int, small_rules: bool = False,
+            max_fan: int | None = None) -> DataFrame:
     """R1-R7 + O2: complex block results -> alert rows (rule windows that match).
 
     ``rules`` supplies the rule condition of the version carried by each
     window's first block; it is configuration, broadcast only where the
     caller has checked its size (``small_rules``), else joined by shuffle.  ``max_seq_len`` is the longest sequence condition
     in the rule set; as-of steps are planned only when it is three or more.
+    ``max_fan``: the largest number of rule windows per block result (None:
+    unknown); above ``PANE_LIMIT_FAN`` windows are made from panes, and only
+    windows that match fetch their outputs.
     """
     as_of = max_seq_len >= 3
+    by_panes = max_fan is None or max_fan > PANE_LIMIT_FAN
     w = rule_windows(blocks)
+    if by_panes:
+        w = w.select(*GKEY, "block_index", "ord")
     if as_of:
         # the rule-window frame feeds the summary and the as-of steps
         w = w.persist(StorageLevel.MEMORY_AND_DISK)
-    g = _outputs(w)
+    if by_panes:
+        ensure_checkpoint_dir(blocks.sparkSession)
+        panes = _pane_outputs(blocks).checkpoint(eager=True)  # read for the windows, and again for the outputs
+    g = _pane_windows(panes) if by_panes else _outputs(w)
     conds = rules.select("rule_id", "rule_version", "rule_program").dropDuplicates(["rule_id", "rule_version"])
     conds = F.broadcast(conds) if small_rules else conds
     g = g.join(conds, (g["rule_id"] == conds["rule_id"]) & (g["head"]["rule_version"] == conds["rule_version"]),
@@ -213,6 +272,8 @@ def combine(blocks: DataFrame, rules: DataFrame, max_seq_len: int, small_rules:
     else:
         seq_ok = F.lit(None).cast("map<int,boolean>")
     hit = g.where(eval_rule_condition(F.col("rule_program"), F.col("seen"), seq_ok))
+    if by_panes:
+        hit = _with_outputs(hit, panes)
     return hit.select(
         "customer", "rule_id", F.col("head.rule_version").alias("rule_version"),
         F.col("head.base_severity").alias("base_severity"), "group_by", "match_ms",

@@ -59,8 +59,11 @@ class RuleSet:
 
 
 def _facts_from_rows(rows: list[dict]) -> dict:
-    types, thr, seq, fan = [], 0, 0, 0
+    types, thr, seq, fan, rule_fan = [], 0, 0, 0, 0
     for r in rows:
+        size, slide = r.get("rule_window_size") or 0, r.get("rule_window_slide") or 0
+        if size > 0 and slide > 0:
+            rule_fan = max(rule_fan, -(-size // slide))
         for b in r.get("blocks") or []:
             if b.get("block_type") and b["block_type"] not in types:
                 types.append(b["block_type"])
@@ -72,7 +75,7 @@ def _facts_from_rows(rows: list[dict]) -> dict:
             if x.get("op") == "seq":
                 seq = max(seq, len(x.get("idx") or []))
     return {"n_rules": len(rows), "n_blocks": sum(len(r.get("blocks") or []) for r in rows),
-            "max_threshold": thr, "max_seq": seq, "types": types, "max_fan": fan,
+            "max_threshold": thr, "max_seq": seq, "types": types, "max_fan": fan, "rule_fan": rule_fan,
             "any_complex": any(r.get("rule_type") == "COMPLEX" for r in rows),
             "any_simple": any(r.get("rule_type") != "COMPLEX" for r in rows)}
 
@@ -133,10 +136,10 @@ def run_rules(events: DataFrame, rules, mode: str = "auto", materialize: bool =
         return simple_alerts(blocks)
     small = facts["n_rules"] <= MAX_BROADCAST_BLOCKS
     if not facts["any_simple"]:
-        return combine(blocks, rs.frame, facts["max_seq"], small)
+        return combine(blocks, rs.frame, facts["max_seq"], small, facts.get("rule_fan"))
     if materialize:
         # block results feed both simple alerts and rule windows: write them
         # once to the shared checkpoint folder (reliable, lineage cut)
         # instead of recomputing the event pipeline per use.
         blocks = blocks.checkpoint(eager=True)
-    return simple_alerts(blocks).unionByName(combine(blocks, rs.frame, facts["max_seq"], small))
+    return simple_alerts(blocks).unionByName(combine(blocks, rs.frame, facts["max_seq"], small, facts.get("rule_fan")))

@@ -137,6 +137,12 @@ RULES = {
                                      block("SINGLE_EVENT", eq("type", "view"))],
                                     group_by="user", size=6 * HOUR, slide=3 * HOUR,
                                     condition=all_blocks(0, 1, 2), severity=3))],
+    # 72 rule windows per block result
+    "rule_windows_fine": [("fine72", 1, rule([block("SINGLE_EVENT", eq("type", "error")),
+                                              block("SINGLE_EVENT", eq("type", "signup")),
+                                              block("SINGLE_EVENT", eq("type", "view"))],
+                                             group_by="user", size=6 * HOUR, slide=HOUR // 12,
+                                             condition=all_blocks(0, 1, 2), severity=3))],
     "composite": [("comp", 1, rule([block("SINGLE_EVENT", eq("type", "error")),
                                     block("SINGLE_EVENT", eq("type", "purchase")),
                                     block("SINGLE_EVENT", eq("type", "signup")),
@@ -463,6 +469,14 @@ def q_rule_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_rule_windows_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many rule windows per block result, from panes; one row per (alert, block) with its sample event."""
+    a = run_rules(read_events_table(spark, sf_dir), rule_set(spark, "rule_windows_fine"))
+    return a.select("rule_id", "customer", "group_by", "window_start_ms", "window_end_ms", "match_ms", F.explode("outputs").alias("block", "o")).select(
+        "rule_id", "customer", "group_by", "window_start_ms", "window_end_ms", "match_ms", "block", F.col("o.match_ms").alias("block_match_ms"),
+        F.get_json_object(F.col("o.matching_events")[0]["sample"], "$.event_id").cast("bigint").alias("sample_event_id"))
+
+
 def q_block_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: one row per (alert, block output) - last result per block index."""
     a = run_rules(read_events_table(spark, sf_dir), rule_set(spark, "all_blocks"))
@@ -501,6 +515,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "alert_samples": q_alert_samples,
         "rejects": q_rejects,
         "block_outputs": q_block_outputs,
+        "rule_windows_fine": q_rule_windows_fine,
         "matched_joined": q_matched,
         "dynamic_match": q_dynamic_match,
         "sliding_windows": q_sliding_windows,
@@ -738,6 +753,18 @@ SELECT '{rule_id}' AS rule_id, customer, group_by, 1 AS rule_version, {sev} AS b
 FROM g WHERE {cond}"""
 
 
+def _rule_windows_fine_sql() -> str:
+    size, slide = 6 * HOUR * 1000, HOUR // 12 * 1000
+    return f"""WITH {EV},
+b AS (SELECT customer, 'user=' || usr AS group_by, CASE type WHEN 'error' THEN 0 WHEN 'signup' THEN 1 ELSE 2 END AS bi, ms, event_id
+      FROM ev WHERE type IN ('error', 'signup', 'view')),
+w AS ({_windows_sql('b', size, slide)}),
+i AS (SELECT customer, group_by, ws, bi, max(ms) AS block_match_ms, arg_max(event_id, (ms, event_id)) AS sample_event_id FROM w GROUP BY ALL),
+g AS (SELECT *, max(block_match_ms) OVER k AS match_ms, count(*) OVER k AS n FROM i WINDOW k AS (PARTITION BY customer, group_by, ws))
+SELECT 'fine72' AS rule_id, customer, group_by, ws AS window_start_ms, ws + {size} AS window_end_ms, match_ms, bi::VARCHAR AS block, block_match_ms,
+       sample_event_id FROM g WHERE n = 3"""
+
+
 def _history_windows_sql() -> str:
     """Per version: its own query over the events of its time."""
     cut = "1705276800000"  # 2024-01-15
@@ -905,6 +932,7 @@ FROM ev WHERE (type = 'error' AND ms >= 1704067200000 AND ms < 1705276800000)
    OR (type = 'purchase' AND ms >= 1705276800000)""",
         "control_acks": _control_sql(),
         "rule_errors": _rule_errors_sql(),
+        "rule_windows_fine": _rule_windows_fine_sql(),
         "history_windows": _history_windows_sql(),
         "alert_samples": _alert_samples_sql(),
         "rejects": _rejects_sql(),
