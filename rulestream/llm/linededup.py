@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from rulestream.llm.common import cut, mix64
 from rulestream.llm.words import Words, words_of
@@ -241,12 +242,14 @@ def _meet_first(it):
         yield pa.record_batch([pa.array(ids[later]), pa.array(first[later])], names=["id", "first"])
 
 
-def _line_rows(it):
-    """Per row: (first, salt) of every alignment it takes part in, its side there, and its lines."""
+def _line_rows(it, text_at: int):
+    """Per row: (first, salt) of every alignment it takes part in, its side there, and its lines.
+
+    Column ``text_at`` is the text; the last four are its id and hash, the row's first holders and its number of salts.
+    """
     for batch in it:
-        firsts, spread = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-        ids, fps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b, w in words_of(batch.column(2)):
+        ids, fps, firsts, spread = (c.to_pylist() for c in batch.columns[-4:])
+        for a, b, w in words_of(batch.column(text_at)):
             lines = Lines(w)
             out = []
             for r in range(a, b):
@@ -289,36 +292,60 @@ def _without(text: str, lines: Lines, row: int, at: int, low: list[int], high: l
     return keep.decode("utf-8", "surrogatepass"), int(gone.sum()), int(lines.words[p:q][gone].sum())
 
 
-def line_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, low, high, firsts): for each document that loses lines, their ranges and the earlier documents that hold them.
+def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The columns with the text as a string, and _d_id, _d_fp: the id and the hash of the row's text."""
+    rows = documents if documents.schema[text_col].dataType == StringType() else documents.withColumn(text_col, F.col(text_col).cast("string"))
+    return rows.select("*", F.col(id_col).cast("bigint").alias("_d_id"), F.xxhash64(text_col).alias("_d_fp"))
 
-    ``fp`` is the hash of the row's text; it tells rows of one id apart.
+
+def _duplicates(known: DataFrame, text_col: str) -> DataFrame:
+    """``line_duplicates`` of keyed rows.
+
+    The texts are joined with their roles by (id, fp) with all their columns, which is how ``dedup_lines`` joins them
+    with the result: the two joins read one exchange of the texts.
     """
-    docs = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
+    docs = known.select(F.col("_d_id").alias("id"), F.col(text_col).alias("text"))
     # A document counts once for each of its many hashes, so no hash's rows outweigh a task's share of all hashes.
     holders = docs.mapInArrow(_anchor_rows, "id bigint, h bigint").repartition("h").sortWithinPartitions("h", "id")
     pairs = cut(holders.mapInArrow(_meet_first, "id bigint, first bigint").distinct())
     spread = pairs.groupBy("first").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("spread"))
     later = pairs.join(spread, "first").select("id", F.struct("first", F.pmod(F.xxhash64("id"), F.col("spread")).cast("int").alias("salt")).alias("f"))
     roles = later.groupBy("id").agg(F.collect_list("f").alias("firsts")).join(spread.select(F.col("first").alias("id"), "spread"), "id", "full")
-    rows = docs.withColumn("fp", F.xxhash64("text")).join(roles, "id").select("id", "fp", "text", "firsts", "spread")
-    dealt = rows.mapInArrow(_line_rows, "first bigint, salt int, side int, id bigint, fp bigint, h binary, n binary")
+    texts = known.select(F.col("_d_id").alias("id"), F.col("_d_fp").alias("fp")).distinct()
+    roles = roles.join(texts, "id").select(F.col("id").alias("_d_rid"), F.col("fp").alias("_d_rfp"), "firsts", "spread")
+    rows = known.join(roles, (F.col("_d_id") == F.col("_d_rid")) & (F.col("_d_fp") == F.col("_d_rfp"))).drop("_d_rid", "_d_rfp")
+    text_at = known.columns.index(text_col)
+    dealt = rows.mapInArrow(lambda it: _line_rows(it, text_at), "first bigint, salt int, side int, id bigint, fp bigint, h binary, n binary")
     dealt = dealt.repartition("first", "salt").sortWithinPartitions("first", "salt", "side")
     found = dealt.mapInArrow(_align, "id bigint, fp bigint, low array<int>, high array<int>, first bigint")
     return found.groupBy("id", "fp").agg(F.flatten(F.collect_list("low")).alias("low"), F.flatten(F.collect_list("high")).alias("high"), F.array_sort(F.collect_set("first")).alias("firsts"))
 
 
+def line_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp, low, high, firsts): for each document that loses lines, their ranges and the earlier documents that hold them.
+
+    ``fp`` is the hash of the row's text; it tells rows of one id apart.
+    """
+    keyed = _keyed(documents.select(id_col, text_col), id_col, text_col)
+    return _duplicates(keyed.where(keyed["_d_id"].isNotNull() & keyed[text_col].isNotNull()), text_col)
+
+
 def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns, with duplicated blocks deleted from the text, and lines_deleted, words_deleted, deleted_for (earlier ids).
 
     Names of the input that clash with the added columns, or begin with ``_d_``, are not supported as extra columns: the
-    input's columns of the three added names are replaced.
+    input's columns of the three added names are replaced.  Rows without id or text pass as they are; an empty table
+    gives an empty one.
     """
-    found = line_duplicates(documents, id_col, text_col).select(F.col("id").alias("_d_id"), F.col("fp").alias("_d_fp"), F.struct("low", "high", "firsts").alias("_d_cut"))
     base = documents.drop("lines_deleted", "words_deleted", "deleted_for")
-    text = F.col(text_col).cast("string")
-    rows = base.withColumn("_d_k", F.xxhash64(text)).join(found, (F.col(id_col).cast("bigint") == F.col("_d_id")) & (F.col("_d_k") == F.col("_d_fp")), "left")
-    rows = rows.select(*[F.col(c) for c in base.columns if c != text_col], text.alias(text_col), F.col("_d_cut.low").alias("_d_low"), F.col("_d_cut.high").alias("_d_high"), F.coalesce("_d_cut.firsts", F.array().cast("array<bigint>")).alias("deleted_for"))
+    keyed = _keyed(base, id_col, text_col)
+    compared = keyed["_d_id"].isNotNull() & keyed[text_col].isNotNull()
+    known = keyed.where(compared)
+    found = _duplicates(known, text_col).select(F.col("id").alias("_d_cid"), F.col("fp").alias("_d_cfp"), F.struct("low", "high", "firsts").alias("_d_cut"))
+    rows = known.join(found, (F.col("_d_id") == F.col("_d_cid")) & (F.col("_d_fp") == F.col("_d_cfp")), "left").drop("_d_cid", "_d_cfp")
+    rest = keyed.where(~compared).withColumn("_d_cut", F.lit(None).cast(found.schema["_d_cut"].dataType))
+    rows = rows.unionByName(rest)
+    rows = rows.select(*base.columns, F.col("_d_cut.low").alias("_d_low"), F.col("_d_cut.high").alias("_d_high"), F.coalesce("_d_cut.firsts", F.array().cast("array<bigint>")).alias("deleted_for"))
     names = rows.columns
     schema = rows.drop("_d_low", "_d_high").schema.add("lines_deleted", "long").add("words_deleted", "long")
 
