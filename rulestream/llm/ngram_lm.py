@@ -265,6 +265,24 @@ def _answer(it):
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 8))], names=_RECORD)
 
 
+def _pack_words(uni: Unigrams, words: np.ndarray) -> bytes:
+    """Words as places in the table, low and high halves apart, then the hashes of those that it lacks."""
+    none = len(uni.words)
+    place = np.searchsorted(uni.words, words)
+    if none:
+        place[uni.words[np.minimum(place, none - 1)] != words] = none
+    return (place & 0xFFFF).astype("<u2").tobytes() + (place >> 16).astype("<u2").tobytes() + words[place == none].tobytes()
+
+
+def _unpack_words(uni: Unigrams, raw: bytes, n: int) -> np.ndarray:
+    """The ``n`` words of ``_pack_words``."""
+    place = np.frombuffer(raw, "<u2", n).astype(np.int64) | np.frombuffer(raw, "<u2", n, 2 * n).astype(np.int64) << 16
+    words, rare = np.empty(n, np.uint64), place == len(uni.words)
+    words[~rare] = uni.words[place[~rare]]
+    words[rare] = np.frombuffer(raw[4 * n:], np.uint64)
+    return words
+
+
 def _deal(uni: Unigrams, shards: int):
     """Records of a chunk of rows by shard: contexts with run lengths, successors, (row, training) marks, multiplicities."""
 
@@ -296,7 +314,7 @@ def _deal(uni: Unigrams, shards: int):
                             continue
                         head = np.flatnonzero(np.diff(context[p:q], prepend=context[p:p + 1] + np.uint64(1)))
                         many = np.flatnonzero(times[p:q] > 1)
-                        rows.append((s, count, b - a, np.ascontiguousarray(context[p:q][head]).tobytes(), token[p:q][head][parts[p:q][head] > 1].tobytes(), np.diff(np.append(head, q - p)).astype("<u4").tobytes(), nxt[p:q].tobytes(), mark[p:q].tobytes(),
+                        rows.append((s, count, b - a, np.ascontiguousarray(context[p:q][head]).tobytes(), token[p:q][head][parts[p:q][head] > 1].tobytes(), np.diff(np.append(head, q - p)).astype("<u4").tobytes(), _pack_words(uni, nxt[p:q]), mark[p:q].tobytes(),
                                      many.astype("<u4").tobytes(), times[p:q][many].tobytes(), table if s == home else None))
                     for k in range(0, len(rows), 64):
                         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 64]), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 8))], names=_RECORD)
@@ -320,7 +338,7 @@ def _score_shard(uni: Unigrams, records: list):
     order = np.argsort(rare)
     rare, rare_counts = rare[order], rare_counts[order]
     context = np.concatenate([np.repeat(np.frombuffer(r[3], np.uint64), np.frombuffer(r[5], "<u4")) for r in records])
-    nxt = np.concatenate([np.frombuffer(r[6], np.uint64) for r in records])
+    nxt = np.concatenate([_unpack_words(uni, r[6], len(r[7]) // 2) for r in records])
     mark = np.concatenate([np.frombuffer(r[7], np.uint16) for r in records])
     size = np.array([len(r[7]) // 2 for r in records])
     first = np.concatenate([[0], np.cumsum(size)])
