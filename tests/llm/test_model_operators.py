@@ -85,6 +85,54 @@ def test_personal_data(spark):
     assert digest == "phone:5:19"
 
 
+def test_decoding_equals_all_segmentations():
+    rng = random.Random(8)
+    w = np.random.default_rng(8).normal(0, 1.5, (semicrf.N_FEATURES, len(semicrf.KINDS)))
+    found = 0
+    for _ in range(150):
+        t = "".join(rng.choice(["a ", "555-", "3824", "743", ".", " ", "@", "b.cd", "10.", "2"]) for _ in range(rng.randint(3, 9)))
+        first, last, cands = semicrf.segments(t, 0, len(t))
+        cands = list(cands)
+        score = semicrf._scored(t, first, last, cands, w).max(1) if cands else []
+
+        def best(at):
+            return max([0.0] + [score[k] + best(j) for k, (i, j, _) in enumerate(cands) if i >= at])
+
+        got = semicrf.decode(t, 0, len(t), w)
+        assert abs(sum(s for *_, s in got) - best(0)) < 1e-9
+        assert all(x[2] <= y[0] for x, y in zip(got, got[1:])) and all(semicrf._kind_check(k, t[a:b]) for a, k, b, _ in got)
+        found += len(got)
+    assert found > 20
+
+
+def test_personal_data_in_other_notations_and_long_runs():
+    rng = random.Random(9)
+    digits = lambda n: "".join(rng.choice("23456789") for _ in range(n))
+    text = lambda x: " ".join("word%s" % rng.choice("abcdefgh") for _ in range(12)) + f" {x} " + " ".join("word%s" % rng.choice("abcdefgh") for _ in range(12))
+
+    def card():
+        while not semicrf.luhn(d := digits(16)):
+            pass
+        return d
+
+    known = [lambda: f"+1 ({digits(3)}) 555-{digits(4)}", lambda: ".".join(str(rng.randrange(256)) for _ in range(4)), card, lambda: f"u{digits(2)}@mail.example.com", lambda: "plain"]
+    w = semicrf.train([p for _ in range(400) for p in semicrf.pieces(text(rng.choice(known)()))])
+    new = [(3, lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"), (3, lambda: f"{digits(3)}-{digits(3)}-{digits(4)}"), (3, lambda: f"{digits(3)}.{digits(3)}.{digits(4)}"),
+           (2, lambda: "/".join(re.findall("....", card()))), (1, lambda: "[.]".join(str(rng.randrange(256)) for _ in range(4)))]
+    hits = extra = 0
+    for _ in range(300):
+        kind, make = rng.choice(new)
+        x = make()
+        t = text(x)
+        got = [s[:3] for s in semicrf.all_spans(t, w) if not s[3]]
+        hits += (t.index(x), kind, t.index(x) + len(x)) in got
+        extra += len(got)
+    assert hits >= 0.95 * 300 and hits >= 0.95 * extra, (hits, extra)
+    for t in ("1" * 200_000, "1.2." * 20_000, "7 " * 20_000, "x" * 100_000 + "@" + "y" * 500 + ".com"):
+        assert [s[:3] for s in semicrf.all_spans(t, w) if s[3]] == semicrf.base_spans(t)
+        assert "".join(semicrf.pieces(t)).replace(" ", "") in t.replace(" ", "") and max(map(len, semicrf.pieces(t))) <= semicrf.PIECE
+
+
 def vectors(spark, n=400, dim=16):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((n, dim))
