@@ -15,7 +15,9 @@ the count bound are verified, and components are formed.  Buckets whose other me
 the rest, of which buckets with the same members count once, meets one more member each, drawn by a hash so that
 buckets of one group try different ones, in the same way.  What still lies in several components is dealt to tasks as
 pairs of blocks of ``BLOCK_ROWS`` points.  A task builds the R-tree of one block, searches it for the points of the other, and returns surviving pairs
-of different components, which are verified too.  So no link between different components is lost.
+of different components, which are verified too.  So no link between different components is lost.  A pair that meets in
+several buckets is returned by the smallest one: each point knows its ``OTHERS`` smallest buckets, and a bucket leaves a pair
+to a smaller one that both points know (pairs whose common buckets lie beyond those come several times, and count once).
 
 Only documents of pairs that pass the bounds are read again, by a bitmap of fixed size over their ids and an exact
 join behind it.  A set travels to verification once per partner; the partner's set is sent once per ``SALT_ROWS`` of them.
@@ -44,6 +46,7 @@ SKETCH_BITS = 16
 BLOCK_ROWS = 2048
 SALT_ROWS = 256
 LEAF = 32
+OTHERS = 64
 FILTER_BITS = 20
 PERCENT = 80
 
@@ -207,9 +210,11 @@ class RTree:
 def _search_blocks(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def task(home, other):
+    def task(key, home, other):
         if not home:
             return
+        before = [{k for k in r[4] if k < key} for r in home]
+        ybefore = [{k for k in r[4] if k < key} for r in other] if other else before
         sid, comp, n = (np.array(c) for c in list(zip(*home))[:3])
         fine = [_vector(r[3], r[2]) for r in home]
         points = np.array([fold(v, GROUPS) for v in fine])
@@ -226,6 +231,8 @@ def _search_blocks(percent: int):
             if not other:
                 keep &= sid[q] < ysid[p]
             q, p = q[keep], p[keep]
+            here = np.fromiter((before[x].isdisjoint(ybefore[y]) for x, y in zip(q.tolist(), p.tolist())), bool, len(q))
+            q, p = q[here], p[here]
             fits = minima(fine, q, yfine, p) * (100 + percent) >= percent * (n[q] + yn[p])
             if fits.any():
                 x, y = sid[q[fits]], ysid[p[fits]]
@@ -237,11 +244,11 @@ def _search_blocks(percent: int):
             for key, i, j, side, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if now != (key, i, j):
                     if now is not None:
-                        yield from task(home, other)
+                        yield from task(now[0], home, other)
                     now, home, other = (key, i, j), [], []
                 (other if side else home).append(row)
         if now is not None:
-            yield from task(home, other)
+            yield from task(now[0], home, other)
 
     return run
 
@@ -365,9 +372,10 @@ def _joined(docs: DataFrame, percent: int, block_rows: int, link_ids: bool) -> t
         comp = cut(components(_stars(comp).unionByName(_verified(again, sets, docs, percent))))
         rest = cut(_open(met, comp, block_rows))
     if not rest.isEmpty():
-        points = rest.join(sets.select("sid", "n", "counts"), "sid")
-        ahead = points.withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).select("key", F.col("block").alias("i"), "j", F.lit(0).alias("side"), "sid", "comp", "n", "counts")
-        behind = points.where("block > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("block") - 1))).select("key", "i", F.col("block").alias("j"), F.lit(1).alias("side"), "sid", "comp", "n", "counts")
+        others = rest.groupBy("sid").agg(F.slice(F.sort_array(F.collect_list("key")), 1, OTHERS).alias("others"))
+        points = rest.join(sets.select("sid", "n", "counts"), "sid").join(others, "sid")
+        ahead = points.withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).select("key", F.col("block").alias("i"), "j", F.lit(0).alias("side"), "sid", "comp", "n", "counts", "others")
+        behind = points.where("block > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("block") - 1))).select("key", "i", F.col("block").alias("j"), F.lit(1).alias("side"), "sid", "comp", "n", "counts", "others")
         tasks = ahead.unionByName(behind).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
         more = cut(tasks.mapInArrow(_search_blocks(percent), "a bigint, b bigint").distinct())
         comp = cut(components(_stars(comp).unionByName(_verified(more, sets, docs, percent))))
