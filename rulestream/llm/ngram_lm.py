@@ -195,18 +195,26 @@ def _count_words(it):
 
 
 def _hot_pairs(uni: Unigrams):
-    """Distinct (context, successor) of split contexts."""
+    """Successors of split contexts: (2 * context's place + 1, block of 64 frequency ranks, mask) of words in the table, (2 * place, hash, 1) of others."""
+    rank = np.empty(len(uni.words), np.int64)
+    rank[np.argsort(-uni.counts, kind="stable")] = np.arange(len(uni.words))
+
     def run(it):
         for batch in it:
             for _, _, w in words_of(batch.column(0)):
                 _, token, nxt = _tokens(w)
                 hot = uni.parts(token) > 1
-                token, nxt = token[hot], nxt[hot]
-                order = np.lexsort((nxt, token))
-                token, nxt = token[order], nxt[order]
-                new = np.ones(len(token), bool)
-                new[1:] = (token[1:] != token[:-1]) | (nxt[1:] != nxt[:-1])
-                yield pa.record_batch([pa.array(x[new].view(np.int64)) for x in (token, nxt)], names=["w", "next"])
+                token, nxt = np.searchsorted(uni.words, token[hot]), nxt[hot]
+                place = np.minimum(np.searchsorted(uni.words, nxt), len(rank) - 1)
+                known = uni.words[place] == nxt
+                key = token * 2 + known
+                value = np.where(known, rank[place] >> 6, nxt.view(np.int64))
+                mask = np.where(known, np.uint64(1) << (rank[place] & 63).astype(np.uint64), np.uint64(1))
+                order = np.lexsort((value, key))
+                key, value, mask = key[order], value[order], mask[order]
+                at = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), (key[1:] != key[:-1]) | (value[1:] != value[:-1])]))
+                masks = np.bitwise_or.reduceat(mask, at) if len(at) else mask
+                yield pa.record_batch([pa.array(key[at].astype(np.int32)), pa.array(value[at]), pa.array(masks.view(np.int64))], names=["w", "next", "mask"])
 
     return run
 
@@ -224,8 +232,9 @@ def unigrams(training: DataFrame, top: int = TOP_WORDS, split_tokens: int = SPLI
     table = counts.where(F.col("level") >= least).select("w", "c").toArrow()
     uni = Unigrams(sum(r.c for r in levels), sum(r.n for r in levels), table.column(0).to_numpy().view(np.uint64).copy(), table.column(1).to_numpy().copy(), split_tokens)
     if (uni.split > 1).any():
-        kinds = training.select("text").mapInArrow(_hot_pairs(uni), "w bigint, next bigint").distinct().groupBy("w").agg(F.count("*").alias("n")).toArrow()
-        uni.kinds[np.searchsorted(uni.words, kinds.column(0).to_numpy().view(np.uint64))] = kinds.column(1).to_numpy()
+        pairs = training.select("text").mapInArrow(_hot_pairs(uni), "w int, next bigint, mask bigint").groupBy("w", "next").agg(F.bit_or("mask").alias("mask"))
+        kinds = pairs.groupBy(F.shiftright("w", 1).alias("place")).agg(F.sum(F.bit_count("mask")).cast("bigint").alias("n")).toArrow()
+        uni.kinds[kinds.column(0).to_numpy()] = kinds.column(1).to_numpy()
     return uni, counts.select("w", "c")
 
 
