@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from rulestream.llm.common import crc32_mod, cut, mix64
 from rulestream.llm.words import words_of
 
-TOP_WORDS = 1 << 17
+TOP_WORDS = 1 << 18
 SHARD_TOKENS = 1_500_000
 SPLIT_TOKENS = 200_000
 DISCOUNT = 0.75
