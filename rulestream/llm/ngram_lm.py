@@ -252,7 +252,8 @@ def _ask(uni: Unigrams, shards: int):
         for batch in it:
             for _, _, w in words_of(batch.column(0)):
                 _, token, nxt = _tokens(w)
-                rare = ~np.isin(nxt, uni.words)
+                place = np.minimum(np.searchsorted(uni.words, nxt), len(uni.words) - 1)
+                rare = uni.words[place] != nxt if len(uni.words) else np.ones(len(nxt), bool)
                 token, nxt = token[rare], nxt[rare]
                 shard = _place(uni, token, nxt, shards)[1]
                 order = np.lexsort((nxt, shard))
