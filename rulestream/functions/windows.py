@@ -33,6 +33,19 @@ def sliding_starts(ms: Column, size_ms: Column, slide_ms: Column) -> Column:
     return F.when((slide_ms > 0) & (room > 0), run).otherwise(F.array().cast("array<bigint>"))
 
 
+def start_bounds(ms: Column, size_ms: Column, slide_ms: Column) -> tuple[Column, Column]:
+    """The smallest and the largest of ``sliding_starts`` (NULL where there are none)."""
+    last = ms - F.pmod(ms, slide_ms)
+    room = size_ms - (ms - last)
+    some = (slide_ms > 0) & (room > 0)
+    return F.when(some, last - (F.ceil(room / slide_ms).cast("bigint") - 1) * slide_ms), F.when(some, last)
+
+
+def next_start(ms: Column, slide_ms: Column) -> Column:
+    """The first window start at or after ``ms``."""
+    return ms + F.pmod(-ms, slide_ms)
+
+
 def tumbling_start(ms: Column, size_ms: Column) -> Column:
     """Start of the tumbling window of ``size_ms`` holding ``ms``."""
     return ms - F.pmod(ms, size_ms)

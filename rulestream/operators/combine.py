@@ -27,12 +27,12 @@ equi-join on (window, block index) with a range condition, then a ``min``.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulestream.functions.conditions import eval_rule_condition
 from rulestream.functions.frames import join_ns
-from rulestream.functions.windows import pane_ms, sec_to_ms, sliding_starts, tumbling_start
+from rulestream.functions.windows import next_start, pane_ms, sec_to_ms, sliding_starts, start_bounds, tumbling_start
 from rulestream.session import ensure_checkpoint_dir
 
 GKEY = ["customer", "rule_id", "group_by", "rws", "rwe"]
@@ -79,7 +79,8 @@ def _outputs(w: DataFrame) -> DataFrame:
 
 # Above this many sliding windows per block result, results are folded into panes before windows.
 PANE_LIMIT_FAN = 4
-PKEY = ["customer", "rule_id", "group_by", "size", "slide", "block_index"]
+RKEY = ["customer", "rule_id", "group_by", "size", "slide"]
+PKEY = RKEY + ["block_index"]
 
 
 def _pane_outputs(blocks: DataFrame) -> DataFrame:
@@ -99,16 +100,73 @@ def _pane_outputs(blocks: DataFrame) -> DataFrame:
         F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), F.max("match_ms").alias("match_ms"))
 
 
+def _runs(panes: DataFrame) -> DataFrame:
+    """Runs of windows that hold the same panes: first and last start, and the chunk they start in.
+
+    Along the starts of a group the panes in a window change only where one
+    enters and where one leaves.  Runs end at chunks (multiples of the size)
+    too, so a chunk's runs are found without the rest of its group.
+    """
+    first, last = start_bounds(F.col("pane"), F.col("size"), F.col("slide"))
+    e = panes.select(*RKEY, first.alias("first"), last.alias("last")).where(F.col("last").isNotNull())
+    cut = next_start(tumbling_start(F.col("last"), F.col("size")), F.col("slide"))
+    e = e.select(*RKEY, F.explode(F.array("first", F.greatest("first", F.least(cut, "last")), F.col("last") + F.col("slide"))).alias("rws"))
+    e = e.withColumn("chunk", tumbling_start(F.col("rws"), F.col("size"))).repartition(*RKEY, "chunk").distinct()
+    following = F.lead("rws").over(Window.partitionBy(*RKEY, "chunk").orderBy("rws"))
+    ends = F.coalesce(following, next_start(F.col("chunk") + F.col("size"), F.col("slide")))
+    return e.withColumn("last_rws", ends - F.col("slide"))
+
+
+def _run_rows(panes: DataFrame) -> DataFrame:
+    """What a run of windows holds per block index, as one or two rows.
+
+    A window reaches from its start to the end of its chunk, and from there
+    into the next chunk up to its own end.  Running values over a chunk's
+    panes, from its end back and from its start on, give both parts, so no
+    pane is copied into the windows that hold it.
+    """
+    runs = _runs(panes)
+    end = F.col("rws") + F.col("size")
+    asked = runs.select(*RKEY, "rws", "last_rws", F.explode(F.array(
+        F.struct("chunk", F.col("rws").alias("at"), F.lit("from").alias("part")),
+        F.struct((F.col("chunk") + F.col("size")).alias("chunk"), end.alias("at"), F.lit("upto").alias("part")))).alias("a"))
+    asked = asked.select(*RKEY, "rws", "last_rws", "a.*")
+    held = panes.select(*PKEY, tumbling_start(F.col("pane"), F.col("size")).alias("chunk"), F.col("pane").alias("at"),
+                        F.struct("first_ord", "head").alias("first"), "last_ord", "match_ms")
+    asked = join_ns(asked, held.select(*PKEY, "chunk").distinct(), RKEY + ["chunk"], "inner")
+    rows = held.unionByName(asked, allowMissingColumns=True).withColumn("held", F.col("part").isNull())
+    per = Window.partitionBy(*PKEY, "chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = per.orderBy(F.desc("at"), F.desc("held"))  # a pane that begins where the window does is inside
+    on = per.orderBy("at", "held")  # one that begins where the window ends is not
+    values = [F.when(F.col("part") == "from", agg.over(back)).otherwise(agg.over(on)).alias(name) for name, agg in (
+        ("first", F.min("first")), ("last_ord", F.max("last_ord")), ("match_ms", F.max("match_ms")))]
+    got = rows.select(*PKEY, "rws", "last_rws", "part", *values).where(F.col("part").isNotNull() & F.col("last_ord").isNotNull())
+    return got.select(*PKEY, F.col("first.head").alias("head"), F.col("first.first_ord").alias("first_ord"), "last_ord", "match_ms",
+                      "rws", "last_rws", F.col("slide").alias("step"))
+
+
 def _pane_windows(panes: DataFrame) -> DataFrame:
-    """Windows from panes, as ``_outputs`` but without the outputs: ``last`` names the place of each index's last one,
-    so the explosion into windows copies positions, never sample events."""
-    w = panes.select(*PKEY, "head", "first_ord", "last_ord", "match_ms",
-                     F.explode(sliding_starts(F.col("pane"), F.col("size"), F.col("slide"))).alias("rws"))
-    w = w.withColumn("rwe", F.col("rws") + F.col("size"))
-    per_idx = w.groupBy(*GKEY, "block_index").agg(
+    """Windows from panes, as ``_outputs`` but without the outputs: ``last`` names the place of each index's last one.
+
+    A row stands for the windows that start at ``rws``, then every ``step`` up
+    to ``last_rws``, and hold the same.  Where versions of a rule have one
+    size but several slides their windows meet, and a row stands for one.
+    """
+    grids = panes.select("rule_id", "size", "slide").distinct().groupBy("rule_id", "size").agg(F.count("*").alias("n"))
+    several = grids.where(F.col("n") > 1).select("rule_id", "size")
+    if several.isEmpty():
+        w = _run_rows(panes)
+    else:
+        met = join_ns(panes, several, ["rule_id", "size"], "left_semi")
+        met = met.select(*PKEY, "head", "first_ord", "last_ord", "match_ms",
+                         F.explode(sliding_starts(F.col("pane"), F.col("size"), F.col("slide"))).alias("rws"))
+        met = met.select("*", F.col("rws").alias("last_rws"), F.lit(1).cast("bigint").alias("step"))
+        w = _run_rows(join_ns(panes, several, ["rule_id", "size"], "left_anti")).unionByName(met)
+    w = w.withColumn("rwe", F.col("rws") + F.col("size")).repartition("customer", "rule_id", "group_by", "rws")
+    per_idx = w.groupBy(*GKEY, "last_rws", "step", "block_index").agg(
         F.min_by("head", "first_ord").alias("head"), F.min("first_ord").alias("first_ord"),
         F.max(F.struct("last_ord", "size", "slide")).alias("at"), F.max("match_ms").alias("match_ms"))
-    return per_idx.groupBy(*GKEY).agg(
+    return per_idx.groupBy(*GKEY, "last_rws", "step").agg(
         F.min_by("head", "first_ord").alias("head"), F.max("match_ms").alias("match_ms"),
         F.sort_array(F.collect_list("block_index")).alias("seen"),
         F.collect_list(F.struct("block_index", "at.*")).alias("last"),
@@ -117,12 +175,15 @@ def _pane_windows(panes: DataFrame) -> DataFrame:
 
 
 def _with_outputs(hit: DataFrame, panes: DataFrame) -> DataFrame:
-    """The outputs of the windows that matched, fetched by their places."""
-    wanted = hit.select(*GKEY, F.struct("head", "match_ms", "seen").alias("facts"), F.explode("last").alias("l")).select(*GKEY, "facts", "l.*")
+    """The outputs of the windows that matched, fetched by their places; one row per window again."""
+    facts = F.struct("head", "match_ms", "seen", "last_rws", "step")
+    wanted = hit.select(*GKEY, facts.alias("facts"), F.explode("last").alias("l")).select(*GKEY, "facts", "l.*")
     got = join_ns(wanted, panes.select(*PKEY, "last_ord", "out"), PKEY + ["last_ord"], "inner")
-    return got.groupBy(*GKEY).agg(
+    got = got.groupBy(*GKEY).agg(
         F.first("facts").alias("facts"),
         F.map_from_entries(F.collect_list(F.struct(F.col("block_index").cast("string"), "out"))).alias("outputs")).select(*GKEY, "facts.*", "outputs")
+    starts = F.explode(F.sequence("rws", "last_rws", "step")).alias("start")
+    return got.select("*", starts).withColumn("rwe", F.col("rwe") - F.col("rws") + F.col("start")).withColumn("rws", F.col("start"))
 
 
 def _advance(pos: Column, ok: Column, want: Column, absent: Column, sp: Column, is_last: Column,

@@ -4,7 +4,7 @@ import random
 
 from helpers import make_events
 
-from rulestream.operators.combine import combine
+from rulestream.operators.combine import _pane_outputs, _pane_windows, combine
 from rulestream.operators.rules import rules_from_json
 from rulestream.plans.batch import RuleSet, run_blocks
 from rulestream.plans.catalog import all_blocks, any_blocks, block, composite_rule, eq, rule, seq_cond
@@ -62,3 +62,13 @@ def test_samples_are_not_copied_into_windows(spark):
     plan = combine(run_blocks(random_events(spark, 2), rs), rs.frame, 0, True, rs.facts["rule_fan"])._jdf.queryExecution().optimizedPlan().toString()
     generate = [line for line in plan.splitlines() if "Generate explode" in line and "sequence" in line]
     assert generate and not any("out#" in line for line in generate)
+
+
+def test_windows_that_hold_the_same_are_one_row(spark):
+    """600 windows per block result: the rows before the matches grow with the panes, not with the windows."""
+    rs = RuleSet(rules_from_json(spark, [("fine", 1, rule([single("a"), single("b")], group_by="user", size=600, slide=1, condition=all_blocks(0, 1)))]))
+    blocks = run_blocks(random_events(spark, 3), rs)
+    panes = _pane_outputs(blocks)
+    assert 0 < _pane_windows(panes).count() <= 3 * panes.count()
+    direct = rows(combine(blocks, rs.frame, 0, True, 1))
+    assert rows(combine(blocks, rs.frame, 0, True, None)) == direct and len(direct) > 600
