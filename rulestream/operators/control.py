@@ -16,10 +16,10 @@ that the batch touches, and with it (``active_at``) the rules active after
 it.  A whole log is the case of no rules before (``fold_control``).  Messages
 are dealt by rule id and sorted; one pass with a rule's current version as
 its only state answers them, so neither a rule's log nor the rule store is
-ever held in a row.  The history (``valid_from_seq``/``valid_to_seq``, and the
+ever held in a row by the fold.  The history (``valid_from_seq``/``valid_to_seq``, and the
 control timestamps as ``valid_from_ms``/``valid_to_ms``) comes from ``lead``
-over the applied changes, and status queries are an as-of range join
-against it.
+over the applied changes, and status queries are answered from the lists of
+the rules in force in their stretch of the log.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from rulestream.operators.validate import control_errors
 from rulestream.schemas import MSG_VALIDATION_PREFIX, OUTPUT_TIME_FORMAT
+from rulestream.session import ensure_checkpoint_dir
 
 STATUS_SPANS = 256
 ENGINE_VERSION = "rulestream-0.1"
@@ -82,7 +83,10 @@ def fold_messages(ctrl: DataFrame, active: DataFrame | None = None, strict: bool
     """
     if active is None:
         active = ctrl.sparkSession.createDataFrame([], ACTIVE)
+    ensure_checkpoint_dir(ctrl.sparkSession)
     c = control_errors(ctrl, strict)
+    kept = F.when(F.size("errors") == 0, F.col("content")).alias("content")  # no other content is read again
+    c = c.select("seq", "timestamp", "type", "rule_id", "rule_version", kept, "errors").checkpoint(eager=True)  # decoded and checked once
     changes = c.where(F.col("type").isin("ADD_RULE", "REMOVE_RULE")).select(
         F.coalesce("rule_id", F.lit("")).alias("rk"), "seq", F.col("type").alias("kind"), "rule_version", "content",
         F.when(F.size("errors") > 0, F.array_join("errors", " ")).alias("errors"))
@@ -98,7 +102,7 @@ def fold_messages(ctrl: DataFrame, active: DataFrame | None = None, strict: bool
     applied = steps.where("applied").join(base.select("seq", "timestamp"), "seq").select(
         F.col("rk").alias("rule_id"), F.col("cur").alias("rule_version"), F.col("cur_content").alias("content"),
         F.col("seq").alias("valid_from_seq"), _ts_ms(F.col("timestamp")).alias("valid_from_ms"))
-    hist = history_of(applied.unionByName(active.select(*applied.columns)))
+    hist = history_of(applied.unionByName(active.select(*applied.columns))).checkpoint(eager=True)  # read by queries, and by the next batch
     queries = c.where(F.col("type") == "QUERY_STATUS")
     status = status_acks(queries, hist)
     acks = change_acks.unionByName(status)
@@ -146,30 +150,37 @@ def status_acks(queries: DataFrame, history: DataFrame) -> DataFrame:
     """K3: each QUERY_STATUS -> JSON list of the rules active at that point.
 
     The log between the first and the last query is cut into ``STATUS_SPANS``
-    spans; queries and history meet in an equi-join on the span with the
-    validity as its filter.  No side is broadcast, and the number of queries
-    is not bounded.
+    spans.  Each rule version is written as JSON once, and the versions in
+    force at any point of a span are listed once per span, in the order of
+    the answer (whose size the list has, but for the span's own changes).  A
+    query takes from its span's list those in force at its place: no row is
+    made, sent or sorted per query and rule.  The number of queries is not
+    bounded.
     """
     ends = queries.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     span = lambda c: F.floor((c - F.col("lo")) / F.ceil((F.col("hi") - F.col("lo") + 1) / STATUS_SPANS))
-    q = queries.join(ends).select("seq", "timestamp", "type", "errors", span(F.col("seq")).alias("span")).alias("q")
+    q = queries.groupBy("seq", "timestamp", "type", "errors").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    q = q.join(ends).select("seq", "timestamp", "type", "errors", "copies", span(F.col("seq")).alias("span"))
+    listed = F.struct("rule_id", F.to_json(F.struct(
+        F.col("rule_id").alias("ruleId"), F.col("rule_version").alias("ruleVersion"),
+        stored_rule(F.col("content"), F.col("rule_id"), F.col("rule_version")).alias("content"))).alias("text"), "valid_from_seq", "valid_to_seq")
     h = history.join(ends).where((F.col("valid_from_seq") < F.col("hi")) & (F.coalesce("valid_to_seq", "hi") >= F.col("lo")))
     first, last = F.greatest("valid_from_seq", "lo"), F.least(F.coalesce("valid_to_seq", "hi"), "hi")
-    h = h.select("*", F.explode(F.sequence(span(first), span(last))).alias("span")).alias("h")
-    cond = (F.col("h.span") == F.col("q.span")) & (F.col("h.valid_from_seq") < F.col("q.seq")) & \
-        (F.col("h.valid_to_seq").isNull() | (F.col("h.valid_to_seq") > F.col("q.seq")))
-    j = q.join(h, cond, "left")
-    lists = j.groupBy("q.seq", "q.timestamp", "q.type", "q.errors").agg(
-        F.sort_array(F.collect_list(F.when(F.col("h.rule_id").isNotNull(), F.struct(
-            F.col("h.rule_id").alias("ruleId"), F.col("h.rule_version").alias("ruleVersion"),
-            stored_rule(F.col("h.content"), F.col("h.rule_id"), F.col("h.rule_version")).alias("content"))))).alias("rules"))
+    h = h.where(F.col("rule_id").isNotNull()).select(listed.alias("r"), F.sequence(span(first), span(last)).alias("spans"))
+    h = h.select("r", F.explode("spans").alias("span"))
+    # by number, so that AQE joins no spans: a list is many times its shuffled size
+    h = h.repartition(STATUS_SPANS, "span").groupBy("span").agg(F.sort_array(F.collect_list("r")).alias("listed"))
+    lists = q.repartition(STATUS_SPANS, "span").join(h, "span", "left")
+    live = F.filter(F.coalesce("listed", F.array().cast(h.schema["listed"].dataType)), lambda r: (r["valid_from_seq"] < F.col("seq")) & (
+        r["valid_to_seq"].isNull() | (r["valid_to_seq"] > F.col("seq"))))
+    texts = F.transform(live, lambda r: F.array_join(F.array_repeat(r["text"], F.col("copies")), ","))
     invalid = F.size("errors") > 0
     return lists.select(
         "seq", "timestamp", "type", F.lit(None).cast("string").alias("rule_id"),
         F.lit(0).alias("rule_version"),
         F.when(invalid, F.lit("ERROR")).otherwise(F.lit("STATUS_UPDATE")).alias("status"),
         F.when(invalid, F.concat(F.lit(MSG_VALIDATION_PREFIX), F.array_join("errors", " ")))
-        .otherwise(F.to_json("rules")).alias("content"))
+        .otherwise(F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))).alias("content"))
 
 
 def acks_to_json(acks: DataFrame) -> DataFrame:

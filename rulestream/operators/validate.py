@@ -15,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rulestream.functions.frames import join_ns
 from rulestream.operators.rules import parse_rules
 from rulestream.operators.ruleschema import schema_violations
 from rulestream.schemas import BLOCK_KEYS, BLOCK_TYPES, RULE_KEYS, RULE_NUMBERS
+from rulestream.session import ensure_checkpoint_dir
 
 _ISO_INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?Z$"
 
@@ -151,12 +153,13 @@ def rule_errors(rules: DataFrame, strict: bool = False) -> DataFrame:
 
 def control_errors(ctrl: DataFrame, strict: bool = False) -> DataFrame:
     """Control frame (``sources.control.parse_control``) + ``errors`` (V1)."""
-    add = ctrl.where(F.col("type") == "ADD_RULE").select("seq", "rule_id", "rule_version", "content")
-    parsed = rule_errors(parse_rules(add.select(
-        F.col("seq").cast("string").alias("rid"), F.lit(0).alias("rv"), "content"),
-        id_col="rid", version_col="rv"), strict)
+    add = ctrl.where(F.col("type") == "ADD_RULE").select("seq", "content")
+    # what is wrong with a rule is in its text: each text is checked once, and kept for the jobs that decode it
+    ensure_checkpoint_dir(ctrl.sparkSession)
+    texts = add.select("content").distinct().checkpoint(eager=True)
+    checked = rule_errors(parse_rules(texts.select(F.lit("r").alias("rid"), F.lit(0).alias("rv"), "content"), id_col="rid", version_col="rv"), strict)
     dec = F.from_json(F.col("content"), "struct<id:string,version:string>")
-    rule_side = parsed.select(F.col("rule_id").cast("bigint").alias("seq"), F.col("errors").alias("rule_errs"))
+    rule_side = join_ns(add, checked.select("content", F.col("errors").alias("rule_errs")), ["content"], "left").drop("content")
     c = ctrl.join(rule_side, "seq", "left")
     is_add, is_remove = F.col("type") == "ADD_RULE", F.col("type") == "REMOVE_RULE"
     bad_id = F.coalesce(F.col("rule_id"), _lit("")) == ""

@@ -411,7 +411,7 @@ def q_control_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = lambda r: F.concat_ws(":", r["ruleId"], r["ruleVersion"].cast("string"), F.get_json_object(r["content"], "$.version"))
     return acks.unionByName(more).select(
         "seq", "action", "status", "ruleId", "ruleVersion",
-        F.when(F.col("status") == "STATUS_UPDATE", F.array_join(F.array_sort(F.transform(listed, entry)), " ")).otherwise(F.col("content")).alias("content"))
+        F.when(F.col("status") == "STATUS_UPDATE", F.array_join(F.sort_array(F.transform(listed, entry)), " ")).otherwise(F.col("content")).alias("content"))
 
 
 def rules_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,6 @@ def _control_batch(spark: SparkSession, opts: JobOptions):
         number_batch(batch, batch_id).write.mode("overwrite").parquet(folder("control-log", batch_id))
         messages = spark.read.schema(batch.withColumn("seq", F.lit(0).cast("bigint")).schema).parquet(folder("control-log", batch_id))
         acks, hist = fold_messages(messages, active)
-        hist = hist.checkpoint(eager=True)
         write_batch_acks(acks, opts.control_output_path, batch_id)
         hist.where(F.col("valid_to_seq").isNotNull()).write.mode("overwrite").parquet(folder("rule-history", batch_id))
         now = active_at(hist)

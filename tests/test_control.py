@@ -112,3 +112,32 @@ def test_rule_numbers_are_strict(spark):
         assert len(got) == 1 and got[0].endswith(next(iter(bad))), (bad, got)
     for good in ({"baseSeverity": "7"}, {"baseSeverity": 7}, {"windowSize": "0"}, {"baseSeverity": None}):
         assert errors_of(spark, json.dumps(one | good)) == [], good
+
+
+def status_log():
+    """Adds, removals and status queries of many rules, some queries twice under one number."""
+    out = []
+    for i in range(120):
+        r = f"r{i % 11}"
+        out.append((i, msg("QUERY_STATUS") if i % 6 == 5 else msg("REMOVE_RULE", r, 1 + i % 3) if i % 7 == 3 else msg("ADD_RULE", r, 1 + i % 3, RULE)))
+        if i % 30 == 29:
+            out.append(out[-1])
+    return out
+
+
+def test_status_lists_the_rules_in_force(spark):
+    """Each answer against the log replayed rule by rule; no row is made per query and rule."""
+    from rulestream.sources.control import parse_control
+    log = status_log()
+    acks, hist = fold_control(parse_control(spark.createDataFrame(log, "seq bigint, value string"), seq_col="seq"))
+    spans = [(r["rule_id"], r["rule_version"], r["valid_from_seq"], r["valid_to_seq"]) for r in hist.collect()]
+    got = {r["seq"]: json.loads(r["content"]) for r in acks.where("action = 'QUERY_STATUS'").collect()}
+    asked = [s for s, m in log if "QUERY_STATUS" in m]
+    assert sorted(got) == sorted(set(asked)) and any(got.values())
+    for seq, listed in got.items():
+        want = sorted((r, v) for r, v, a, b in spans if a < seq and (b is None or b > seq) for _ in range(asked.count(seq)))
+        assert [(x["ruleId"], x["ruleVersion"]) for x in listed] == want, seq
+        assert all((d := json.loads(x["content"]))["id"] == x["ruleId"] and d["version"] == x["ruleVersion"] for x in listed)
+    plan = acks._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "valid_to_seq" in line and "hi#" not in line]
+    assert not joins, joins
