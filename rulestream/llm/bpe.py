@@ -24,10 +24,11 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulestream.llm.common import batches
+from rulestream.llm.common import batches, slices
 
 # White space as the vocabulary's pattern sees it, and its pre-tokenizer pattern.
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -36,10 +37,13 @@ _WORD_END = "</w>"
 _TRAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # signs of which a run is one piece
 _SPLIT = re.compile(f"[{_SPACES}]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_NOT_ASCII_SPLIT = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")  # with the wider spaces: texts that ASCII white space alone does not split
+_WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 NEVER = 1 << 30
 NO_MERGE = (NEVER, -1)
 CACHE = 1 << 18
 PAIRS = 1 << 20
+SLICE_CHARS = 1 << 23
 
 
 def _byte_chars() -> dict[str, int]:
@@ -215,12 +219,15 @@ class WordBpe:
             self.chunks[chunk] = got
         return got
 
-    def _plain(self, text: str) -> bytes:
+    def _normal(self, text: str) -> str:
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         if "Σ" in text:  # a final capital sigma is lower-cased like any other
             text = text.replace("Σ", "σ")
-        text = text.lower()
+        return text.lower()
+
+    def _plain(self, text: str) -> bytes:
+        text = self._normal(text)
         known = self.chunks
         words = text.split() if not _ODD_SPACE.search(text) else [c for c in _SPLIT.split(text) if c]
         return b"".join([known.get(c) or self._chunk(c) for c in words])
@@ -233,6 +240,32 @@ class WordBpe:
             return self._plain(text)
         return b"".join(np.uint32(self.special[p]).tobytes() if p in self.special else self._plain(p) for p in self.split_special.split(text) if p)
 
+    def encode_all(self, texts: list[str | None]):
+        """``encode`` of each text in turn; of a slice of texts every distinct run is looked up once."""
+        for a, b in slices(len(texts), np.array([len(t or "") for t in texts], np.int64), SLICE_CHARS):
+            if b - a == 1 and len(texts[a] or "") > SLICE_CHARS:
+                yield self.encode(texts[a])
+                continue
+            alone, low = {}, []
+            for i in range(a, b):
+                normal = self._normal(texts[i] or "")
+                if any(c in normal for c in _NOT_ASCII_SPLIT) or not normal.isascii() and _WIDE_SPACE.search(normal):
+                    alone[i], normal = self.encode(texts[i]), ""
+                low.append(normal)
+            words = pc.ascii_split_whitespace(pa.array(low, pa.large_string()))
+            runs = words.flatten().dictionary_encode()
+            known = self.chunks
+            ids = [known.get(c) or (self._chunk(c) if c else b"") for c in runs.dictionary.to_numpy(zero_copy_only=False)]
+            table = np.frombuffer(b"".join(ids), "<u4")
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+            code = runs.indices.to_numpy()
+            ends = np.concatenate([[0], np.cumsum(size[code])])
+            shift = ((np.cumsum(size) - size)[code] - ends[:-1]).astype(np.int32)
+            got = table[np.repeat(shift, size[code]) + np.arange(ends[-1], dtype=np.int32)]
+            first = ends[words.offsets.to_numpy()]
+            for i in range(a, b):
+                yield alone[i] if i in alone else got[first[i - a]:first[i - a + 1]].tobytes()
+
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 text of the ids: their texts joined by a space."""
         i = np.frombuffer(ids, "<u4")

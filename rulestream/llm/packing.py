@@ -45,26 +45,27 @@ def differencing(sizes: list[int], m: int) -> list[list[int]]:
         return [list(range(len(sizes)))]
     left: list[int] = [-1] * len(sizes)  # nodes: an item, or two nodes whose items share a window
     right: list[int] = [-1] * len(sizes)
-    heap = []
-    for i, size in enumerate(sizes):
-        sums, nodes = np.zeros(m, np.int64), np.full(m, -1, np.int64)
-        sums[0], nodes[0] = size, i
-        heap.append((-size, i, sums, nodes))
+    # a partition holds its filled windows only, fullest first; its imbalance is the fullest less the emptiest, 0 if one is empty
+    heap = [(-size, i, np.array([size]), np.array([i])) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
     count = len(sizes)
     while len(heap) > 1:
         _, _, s, a = heapq.heappop(heap)
         _, _, t, b = heapq.heappop(heap)
-        s, b = s + t[::-1], b[::-1]
-        both = np.flatnonzero((a >= 0) & (b >= 0))
-        nodes = np.where(a >= 0, a, b)
-        nodes[both] = np.arange(len(left), len(left) + len(both))
-        left.extend(a[both].tolist())
-        right.extend(b[both].tolist())
+        t, b = t[::-1], b[::-1]
+        both = len(a) + len(b) - m
+        if both > 0:  # the emptiest windows of one with the fullest of the other
+            k = len(a) - both
+            nodes = np.concatenate([a[:k], np.arange(len(left), len(left) + both), b[both:]])
+            left.extend(a[k:].tolist())
+            right.extend(b[:both].tolist())
+            s = np.concatenate([s[:k], s[k:] + t[:both], t[both:]])
+        else:
+            nodes, s = np.concatenate([a, b]), np.concatenate([s, t])
         order = np.argsort(-s, kind="stable")
         s, nodes = s[order], nodes[order]
         count += 1
-        heapq.heappush(heap, (int(s[-1] - s[0]), count, s, nodes))
+        heapq.heappush(heap, ((int(s[-1]) if len(s) == m else 0) - int(s[0]), count, s, nodes))
     out = []
     for node in heap[0][3].tolist():
         items, todo = [], [node] if node >= 0 else []
@@ -75,7 +76,7 @@ def differencing(sizes: list[int], m: int) -> list[list[int]]:
             else:
                 todo += [left[k], right[k]]
         out.append(sorted(items))
-    return out
+    return out + [[] for _ in range(m - len(out))]
 
 
 def windows(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -157,8 +158,8 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
         for batch in it:
             rows, held = [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = bpe.encode(text.as_py()) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode_all(batch.column(1).to_pylist())):
+                ids += end
                 tokens = len(ids) // 4
                 full = tokens - tokens % capacity
                 for a in range(0, full, capacity):

@@ -74,6 +74,46 @@ def test_differencing_is_balanced():
     assert all(sum(sizes[i] for i in w) <= 4096 for w in packing.windows([3000, 3000, 3000, 1000], 4096))
 
 
+def dense_differencing(sizes, m):
+    """Every partition with all its ``m`` windows, as the definition has it."""
+    heap = [(-n, i, [(n, [i])] + [(0, [])] * (m - 1)) for i, n in enumerate(sizes)]
+    count = len(sizes)
+    while len(heap) > 1:
+        heap.sort()
+        (_, _, a), (_, _, b) = heap[:2]
+        both = sorted(((x + y, i + j) for (x, i), (y, j) in zip(a, b[::-1])), key=lambda w: -w[0])
+        heap = [*heap[2:], (both[-1][0] - both[0][0], count, both)]
+        count += 1
+    return [sorted(items) for _, items in heap[0][2]]
+
+
+def test_differencing_of_filled_windows():
+    rng = random.Random(7)
+    for _ in range(60):
+        sizes = [rng.randint(1, 40) for _ in range(rng.randint(1, 40))]
+        for m in (1, 2, len(sizes) // 3 + 1, len(sizes) + 3):
+            want = dense_differencing(sizes, m) if m > 1 else [list(range(len(sizes)))]
+            assert packing.differencing(sizes, m) == want
+
+
+def test_encode_all_looks_up_each_run_once():
+    enc = bpe.WordBpe(TOKENIZER)
+    odd = [None, "", "  ", "a\x1cb", "a\xa0b c", "x <|endoftext|> y", "İSTANBUL ΣΑΣ", "a\u2003b", " lead trail ", "é e\u0301", "\x85", "a<|b", "t\tn\nv\x0bf\x0cr\r x", "ßİ ſ"]
+    assert list(enc.encode_all(odd)) == [enc.encode(t) for t in odd]
+    assert list(enc.encode_all([])) == []
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key):
+            Counting.asked += 1
+            return super().get(key)
+
+    enc.chunks = Counting()
+    got = list(enc.encode_all(["one two two"] * 500))
+    assert Counting.asked == 2 and set(got) == {enc.encode("one two two")}
+
+
 def test_packing(spark, ):
     rng = random.Random(3)
     rows = ODD + [(100 + i, " ".join(rng.choice(["that", "whether", "under", "of"]) for _ in range(rng.randint(0, 900)))) for i in range(300)]
