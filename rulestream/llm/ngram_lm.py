@@ -39,6 +39,8 @@ from rulestream.llm.words import words_of
 TOP_WORDS = 1 << 18
 SHARD_TOKENS = 1_500_000
 SPLIT_TOKENS = 200_000
+BUCKET_TOKENS = 6_000_000
+HOLD_PAIRS = 1 << 20
 DISCOUNT = 0.75
 ADD = 0.1
 ROWS = 16384
@@ -194,27 +196,72 @@ def _count_words(it):
             yield pa.record_batch([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["w", "c"])
 
 
-def _hot_pairs(uni: Unigrams):
-    """Successors of split contexts: (2 * context's place + 1, block of 64 frequency ranks, mask) of words in the table, (2 * place, hash, 1) of others."""
-    rank = np.empty(len(uni.words), np.int64)
-    rank[np.argsort(-uni.counts, kind="stable")] = np.arange(len(uni.words))
+def _distinct(token: np.ndarray, nxt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, sorted."""
+    order = np.lexsort((nxt, token))
+    token, nxt = token[order], nxt[order]
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (nxt[1:] != nxt[:-1])
+    return token[new], nxt[new]
+
+
+def _hot_pairs(uni: Unigrams, buckets: int, hold: int = HOLD_PAIRS):
+    """Distinct (split context, successor) of a task, or of about ``hold`` pairs, in one row per bucket of successors: contexts' numbers, run lengths, words."""
+    words = uni.words[uni.split > 1]
+
+    def rows(held):
+        token, nxt = _distinct(*(np.concatenate(x) for x in zip(*held)))
+        bucket = (nxt % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        token, nxt, edges = token[order], nxt[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+        out = []
+        for b in np.flatnonzero(np.diff(edges)):
+            t = token[edges[b]:edges[b + 1]]
+            head = np.flatnonzero(np.diff(t, prepend=-1))
+            out.append((b, t[head].astype("<u4").tobytes(), np.diff(np.append(head, len(t))).astype("<u4").tobytes(), _pack_words(uni, nxt[edges[b]:edges[b + 1]])))
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), *[pa.binary()] * 3))], names=["bucket", "contexts", "runs", "words"])
 
     def run(it):
+        held, n = [], 0
         for batch in it:
             for _, _, w in words_of(batch.column(0)):
                 _, token, nxt = _tokens(w)
-                hot = uni.parts(token) > 1
-                token, nxt = np.searchsorted(uni.words, token[hot]), nxt[hot]
-                place = np.minimum(np.searchsorted(uni.words, nxt), len(rank) - 1)
-                known = uni.words[place] == nxt
-                key = token * 2 + known
-                value = np.where(known, rank[place] >> 6, nxt.view(np.int64))
-                mask = np.where(known, np.uint64(1) << (rank[place] & 63).astype(np.uint64), np.uint64(1))
-                order = np.lexsort((value, key))
-                key, value, mask = key[order], value[order], mask[order]
-                at = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), (key[1:] != key[:-1]) | (value[1:] != value[:-1])]))
-                masks = np.bitwise_or.reduceat(mask, at) if len(at) else mask
-                yield pa.record_batch([pa.array(key[at].astype(np.int32)), pa.array(value[at]), pa.array(masks.view(np.int64))], names=["w", "next", "mask"])
+                at = np.minimum(np.searchsorted(words, token), len(words) - 1)
+                hot = words[at] == token
+                if not hot.any():
+                    continue
+                held.append(_distinct(at[hot], nxt[hot]))
+                n += len(held[-1][0])
+                if n > 2 * hold:
+                    held = [_distinct(*(np.concatenate(x) for x in zip(*held)))]
+                    n = len(held[0][0])
+                    if n > hold:
+                        yield rows(held)
+                        held, n = [], 0
+        if held:
+            yield rows(held)
+
+    return run
+
+
+def _count_kinds(uni: Unigrams):
+    """Rows of ``_hot_pairs`` by bucket: (context's number, its distinct successors in the bucket)."""
+    def counted(held):
+        number, n = np.unique(_distinct(*(np.concatenate(x) for x in zip(*held)))[0], return_counts=True)
+        return pa.record_batch([pa.array(number.astype(np.int32)), pa.array(n.astype(np.int64))], names=["number", "n"])
+
+    def run(it):
+        now, held = None, []
+        for batch in it:
+            for bucket, contexts, runs, words in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and bucket != now:
+                    yield counted(held)
+                    held = []
+                token = np.repeat(np.frombuffer(contexts, "<u4"), np.frombuffer(runs, "<u4"))
+                now = bucket
+                held.append((token, _unpack_words(uni, words, len(token))))
+        if held:
+            yield counted(held)
 
     return run
 
@@ -232,9 +279,10 @@ def unigrams(training: DataFrame, top: int = TOP_WORDS, split_tokens: int = SPLI
     table = counts.where(F.col("level") >= least).select("w", "c").toArrow()
     uni = Unigrams(sum(r.c for r in levels), sum(r.n for r in levels), table.column(0).to_numpy().view(np.uint64).copy(), table.column(1).to_numpy().copy(), split_tokens)
     if (uni.split > 1).any():
-        pairs = training.select("text").mapInArrow(_hot_pairs(uni), "w int, next bigint, mask bigint").groupBy("w", "next").agg(F.bit_or("mask").alias("mask"))
-        kinds = pairs.groupBy(F.shiftright("w", 1).alias("place")).agg(F.sum(F.bit_count("mask")).cast("bigint").alias("n")).toArrow()
-        uni.kinds[kinds.column(0).to_numpy()] = kinds.column(1).to_numpy()
+        buckets = -(-uni.tokens // BUCKET_TOKENS)
+        pairs = training.select("text").mapInArrow(_hot_pairs(uni, buckets), "bucket int, contexts binary, runs binary, words binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        kinds = pairs.mapInArrow(_count_kinds(uni), "number int, n bigint").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+        uni.kinds[np.flatnonzero(uni.split > 1)[kinds.column(0).to_numpy()]] = kinds.column(1).to_numpy()
     return uni, counts.select("w", "c")
 
 

@@ -458,3 +458,30 @@ def test_lm_scores_do_not_depend_on_input_limits(spark, limits):
     assert [g[:4] for g in got] == [w[:4] for w in want]
     assert all(abs(g[4] - w[4]) < 1e-8 for g, w in zip(got, want))
     assert max(abs(g[5] - w[5]) / w[1] for g, w in zip(got, want)) < 0.01  # quantised
+
+
+@pytest.mark.parametrize("hold", [1 << 20, 40])
+def test_successors_of_split_contexts_in_few_rows(hold):
+    """One row a bucket and task (or ``hold`` pairs), however many contexts are split; distinct successors are exact."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), 400)}" for _ in range(60)) for _ in range(300)]
+    column = pa.array([*texts, None, ""])
+    words_, counts = np.unique(np.concatenate([ngram_lm._tokens(w)[1] for _, _, w in words_of(column)]), return_counts=True)
+    top = np.argsort(-counts)[:50]
+    uni = ngram_lm.Unigrams(int(counts.sum()), len(words_), words_[top], counts[top], 20)
+    assert (uni.split > 1).sum() > 20
+    followers = collections.defaultdict(set)
+    for _, _, w in words_of(column):
+        for a, b in zip(*(x.tolist() for x in ngram_lm._tokens(w)[1:])):
+            followers[a].add(b)
+    rows = []
+    for task in (column.slice(0, 150), column.slice(150)):
+        made = [r for batch in ngram_lm._hot_pairs(uni, 3, hold)(pa.record_batch([task.slice(k, 25)], names=["text"]) for k in range(0, len(task), 25)) for r in batch.to_pylist()]
+        assert hold == 40 or len(made) <= 3
+        rows += made
+    rows.sort(key=lambda r: r["bucket"])
+    got = collections.Counter()
+    for batch in ngram_lm._count_kinds(uni)([pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int32()), ("contexts", pa.binary()), ("runs", pa.binary()), ("words", pa.binary())]))]):
+        for r in batch.to_pylist():
+            got[int(uni.words[uni.split > 1][r["number"]])] += r["n"]
+    assert got == {int(w): len(followers[int(w)]) for w in uni.words[uni.split > 1]}
