@@ -58,22 +58,34 @@ def guard_alternatives(prog: Column) -> Column:
     return F.filter(alts, lambda a: ~F.array_contains(a["vals"], ""))
 
 
-def guard_index(rb: DataFrame) -> DataFrame:
+def guard_index(rb: DataFrame, second: bool = False) -> DataFrame:
     """Rule blocks (``rules.rule_blocks``) -> one row per (block, guard value).
 
     Of several alternatives a block takes the field with the most distinct
-    guard values in the rule set: it splits the rules finest.
+    guard values in the rule set: it splits the rules finest.  With ``second``
+    the rows also have hk, hv: the next such field, of those that the block
+    holds to a single value, or ('', '').  Both equalities are necessary, so
+    an event need only meet the blocks whose two values it carries.
     """
     key = ["rule_id", "rule_version", "block_index"] + [c for c in ("valid_from_ms", "valid_to_ms") if c in rb.columns]
+    if second:
+        key.append("cond")  # blocks of one number keep their own pairs of equalities
     alts = rb.select(*key, F.explode(guard_alternatives(F.col("cond"))).alias("a")).select(*key, "a.key", "a.vals")
     spread = (alts.select("key", F.explode("vals").alias("v")).groupBy("key")
               .agg(F.count_distinct("v").alias("n_values")))
-    best = (alts.join(spread, "key", "left").groupBy(*key)
-            .agg(F.max_by(F.struct("key", "vals"), F.struct(F.coalesce("n_values", F.lit(0)), -F.size("vals"), "key")).alias("g")))
+    order = F.struct(F.coalesce("n_values", F.lit(0)).alias("n"), (-F.size("vals")).alias("s"), "key")
+    ranked = alts.join(spread, "key", "left")
+    if second:
+        ranked = ranked.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct(order.alias("o"), "key", "vals")), False).alias("a"))
+        others = F.filter("a", lambda a: (a["key"] != F.col("a")[0]["key"]) & (F.size(a["vals"]) == 1))
+        best = ranked.select(*key, F.col("a")[0].alias("g"), F.get(others, F.lit(0)).alias("h"))
+    else:
+        best = ranked.groupBy(*key).agg(F.max_by(F.struct("key", "vals"), order).alias("g"))
     j = join_ns(rb, best, key, "left")
     pairs = F.when(F.col("g").isNull(), F.array(F.struct(F.lit("").alias("gk"), F.lit("").alias("gv")))) \
         .otherwise(F.transform("g.vals", lambda v: F.struct(F.col("g.key").alias("gk"), v.alias("gv"))))
-    return j.select(*rb.columns, F.explode(pairs).alias("p")).select("p.gk", "p.gv", *rb.columns)
+    also = [F.coalesce("h.key", F.lit("")).alias("hk"), F.coalesce(F.get("h.vals", F.lit(0)), F.lit("")).alias("hv")] if second else []
+    return j.select(*rb.columns, *also, F.explode(pairs).alias("p")).select("p.gk", "p.gv", *(["hk", "hv"] if second else []), *rb.columns)
 
 
 def with_pairs(events: DataFrame, free: bool = True, keys: list[str] | None = None) -> DataFrame:
@@ -90,3 +102,13 @@ def with_pairs(events: DataFrame, free: bool = True, keys: list[str] | None = No
     if free:
         pairs = F.concat(F.array(F.struct(F.lit("").alias("gk"), F.lit("").alias("gv"))), pairs)
     return events.select("*", F.explode(pairs).alias("g"))
+
+
+def with_double_pairs(events: DataFrame, free: bool, fields: list[tuple[str, str]]) -> DataFrame:
+    """Events, once per pair of guard fields (gk, hk) of which they have values, and with ``free`` for ('', ''); hk may be ''."""
+    fields = [*([("", "")] if free else []), *fields]
+    if not fields:
+        return events.select("*", F.explode(F.array().cast("array<struct<gk:string,gv:string,hk:string,hv:string>>")).alias("g"))
+    value = lambda k: F.col("fields")[F.lit(k)] if k else F.lit("")
+    pairs = F.array(*[F.struct(F.lit(a).alias("gk"), value(a).alias("gv"), F.lit(b).alias("hk"), value(b).alias("hv")) for a, b in fields])
+    return events.select("*", F.explode(F.filter(pairs, lambda p: p["gv"].isNotNull() & p["hv"].isNotNull())).alias("g"))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.functions.conditions import compile_condition, eval_condition
-from rulestream.operators.guards import guard_index, with_pairs
+from rulestream.operators.guards import guard_index, with_double_pairs, with_pairs
 from rulestream.operators.rules import rule_blocks
 from rulestream.session import ensure_checkpoint_dir
 
@@ -51,6 +51,8 @@ MAX_BROADCAST_BLOCKS = 20000
 MAX_INLINE_BLOCKS = 32
 # Up to this many guard fields are named in the plan, so that other fields make no pairs.
 MAX_GUARD_FIELDS = 200
+# Up to this many pairs of guard fields are met by both fields; an event makes a row for each whose values it has.
+MAX_GUARD_PAIRS = 32
 # Tasks over which one (field, value) pair is dealt where rules are not broadcast.
 SALTS = 16
 
@@ -208,14 +210,25 @@ class GuardIndex:
 
     def __init__(self, rb: DataFrame):
         ensure_checkpoint_dir(rb.sparkSession)
-        self.frame = guard_index(rb).checkpoint(eager=True)
-        counts = self.frame.groupBy("gk").agg(F.count("*").alias("n"))
+        self.frame = guard_index(rb, second=True).checkpoint(eager=True)
+        counts = self.frame.groupBy("gk", "hk").agg(F.count("*").alias("n"))
         # the guard fields in use are named in the plan unless they are too many
         total = counts.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("gk") == "", F.col("n"))).alias("free")).first()
-        rows = counts.where(F.col("gk") != "").select("gk").limit(MAX_GUARD_FIELDS + 1).collect()
         self.n_free = total["free"] or 0
         self.n_guarded = (total["n"] or 0) - self.n_free
-        self.keys = sorted(r["gk"] for r in rows) if len(rows) <= MAX_GUARD_FIELDS else None
+        fields = self._few(counts, MAX_GUARD_PAIRS, "gk", "hk")
+        self.fields = fields and [(r["gk"], r["hk"]) for r in fields]
+        keys = fields if fields is not None else self._few(counts, MAX_GUARD_FIELDS, "gk")
+        self.keys = keys if keys is None else sorted({r["gk"] for r in keys})
+
+    @staticmethod
+    def _few(counts: DataFrame, most: int, *cols: str) -> list | None:
+        rows = counts.where(F.col("gk") != "").select(*cols).distinct().limit(most + 1).collect()
+        return sorted(rows) if len(rows) <= most else None
+
+    def met_by(self, events: DataFrame, free: bool) -> DataFrame:
+        """Events by the guards in use: by two fields, or by one where the pairs of fields are too many to name."""
+        return with_pairs(events, free, self.keys) if self.fields is None else with_double_pairs(events, free, self.fields)
 
 
 def match_dynamic(events: DataFrame, index: GuardIndex, limit: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
@@ -230,11 +243,11 @@ def match_dynamic(events: DataFrame, index: GuardIndex, limit: int = MAX_BROADCA
     """
     n_free, n_guarded, idx = index.n_free, index.n_guarded, index.frame
     if n_free + n_guarded <= limit:
-        return _join_chunk(with_pairs(events, n_free > 0, index.keys), idx, guard=True)
+        return _join_chunk(index.met_by(events, n_free > 0), idx, guard=True, double=index.fields is not None)
     parts = []
     if n_guarded:
-        parts.append(_join_chunk(with_pairs(events, False, index.keys), idx.where(F.col("gk") != ""),
-                                 guard=True, small=n_guarded <= limit))
+        parts.append(_join_chunk(index.met_by(events, False), idx.where(F.col("gk") != ""),
+                                 guard=True, small=n_guarded <= limit, double=index.fields is not None))
     n_chunks = -(-n_free // limit)
     for c in range(n_chunks):
         part = idx.where((F.col("gk") == "") & (F.pmod(F.xxhash64("rule_id", "block_index"), F.lit(n_chunks)) == c))
@@ -330,14 +343,16 @@ def match_indexed(events: DataFrame, rules: DataFrame, blocks: list[dict]) -> Da
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _join_chunk(events: DataFrame, rb: DataFrame, guard: bool = False, small: bool = True) -> DataFrame:
-    """``small``: the rule side's rows were counted and may be broadcast."""
+def _join_chunk(events: DataFrame, rb: DataFrame, guard: bool = False, small: bool = True, double: bool = False) -> DataFrame:
+    """``small``: the rule side's rows were counted and may be broadcast; ``double``: guards are pairs of fields."""
     e = events.alias("e")
     r = (F.broadcast(rb) if small else rb).alias("r")
     fields = F.col("e.fields")
     cond = eval_condition(F.col("r.cond"), lambda k: _fv(fields, k))
     if guard:
         pair = (F.col("e.g.gk") == F.col("r.gk")) & (F.col("e.g.gv") == F.col("r.gv"))
+        if double:
+            pair = pair & (F.col("e.g.hk") == F.col("r.hk")) & (F.col("e.g.hv") == F.col("r.hv"))
         cond = pair & (F.col("e.salt") == F.col("r.salt")) & cond if "salt" in rb.columns else pair & cond
     cond = cond & _group_ok(fields, F.col("r.group_by_field"))
     if "valid_from_ms" in rb.columns:

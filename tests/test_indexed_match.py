@@ -136,3 +136,25 @@ def test_streams_with_large_and_with_shuffled_rule_sets(spark, tmp_path):
     write_rule_snapshot(rules, snap, limit=None)
     got = run_stream(spark, [lines], rule_side=snapshot_rule_side(spark, snap), broadcast_rules=False)
     assert sorted((a["rule_id"], a["match_ms"]) for a in got) == want
+
+
+def test_two_necessary_fields_guard_a_block(spark):
+    """A block of two equalities meets only the events that carry both; blocks of one rule number keep their own."""
+    from pyspark.sql import functions as F
+
+    from rulestream.operators.guards import with_pairs
+    from rulestream.operators.match import match_dynamic
+    rules = [(f"r{u}.{k}", 1, rule([block("SINGLE_EVENT", all_of(eq("user", f"u{u}"), eq("k", str(k)), cmp("v", "GREATER_THAN", 2)))])) for u in range(6) for k in range(5)]
+    rules += [("one", 1, rule([block("SINGLE_EVENT", eq("user", "u1"))])), ("none", 1, rule([block("SINGLE_EVENT", cmp("v", "GREATER_THAN", 3))])),
+              ("twice", 1, rule([block("SINGLE_EVENT", all_of(eq("user", "u2"), eq("k", "1")))])), ("twice", 1, rule([block("SINGLE_EVENT", all_of(eq("user", "u3"), eq("k", "2")))])),
+              ("same", 1, rule([block("SINGLE_EVENT", all_of(eq("k", "1"), eq("k", "2")))])), ("empty", 1, rule([block("SINGLE_EVENT", all_of(eq("user", "u4"), eq("k", "")))]))]
+    specs = [(t, {"user": f"u{t % 7}", "k": str(t % 5), "v": str(t % 6)} if t % 9 else {"user": f"u{t % 7}", "v": "4"}) for t in range(210)]
+    ev, rs = make_events(spark, specs), RuleSet(rules_from_json(spark, rules))
+    want = sorted(tuple(r) for r in match_compiled(ev, rs.blocks).select(*COLS).collect())
+    assert want and {r[0] for r in want} >= {"one", "none", "twice", "empty"}
+    for limit in (20000, 3):
+        assert sorted(tuple(r) for r in match_dynamic(ev, rs.index, limit).select(*COLS).collect()) == want
+    assert set(rs.index.fields) >= {("user", "k"), ("user", "")}
+    rows, met = rs.index.frame.where(F.col("rule_id").startswith("r")), rs.index.met_by(ev, False).select("g.*")
+    one = with_pairs(ev, False, rs.index.keys).select("g.*")
+    assert 5 * met.join(rows, ["gk", "gv", "hk", "hv"]).count() <= 6 * 5 * 210 // 6 < one.join(rows, ["gk", "gv"]).count() + 210
