@@ -34,14 +34,13 @@ def simple_alerts(blocks: DataFrame) -> DataFrame:
 
 
 def _json_text(text):
-    """A string as a JSON string."""
-    one = F.to_json(F.array(text))
-    return F.substr(one, F.lit(2), F.length(one) - 2)
+    """A string as a JSON string: an array of it without its brackets (those in the text are within its quotes)."""
+    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))
 
 
 def _open(obj):
-    """A JSON object without its closing brace."""
-    return F.substr(obj, F.lit(1), F.length(obj) - 1)
+    """A JSON object of texts and numbers without its closing brace."""
+    return F.rtrim(obj, F.lit("}"))
 
 
 def _member(name: str, text):
@@ -81,14 +80,13 @@ def alerts_to_json(alerts: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame
             F.col("rule_version").alias("matchedRuleVersion"), F.col("customer"),
             F.col("base_severity").alias("baseSeverity")))),
         F.lit(',"blockOutput":'), _block_outputs_json(F.col("outputs")),
-        _member("groupBy", F.col("group_by")), F.lit("}"))
+        _member("groupBy", F.col("group_by")))
     parts = F.split(F.regexp_replace(F.coalesce("group_by", F.lit("")), "=+$", ""), "=", -1)
-    extra = F.to_json(F.create_map(parts[0], parts[1]))
-    with_extra = F.concat(F.expr("substring(__b, 1, length(__b) - 1)"), F.lit(","),
-                          F.expr("substring(__x, 2)"))
     ok = (F.coalesce(F.col("group_by"), F.lit("")) != "") & (F.size(parts) == 2)
-    return (alerts.select(body.alias("__b"), F.when(ok, extra).alias("__x"), ok.alias("__ok"))
-            .select(F.when(F.col("__ok"), with_extra).otherwise(F.col("__b")).alias("value")))
+    # every part is written once: an expression over the whole text would write it again
+    extra = F.when(ok, F.concat(F.lit(","), F.expr("substring(__x, 2)"))).otherwise(F.lit("}"))
+    return (alerts.withColumn("__x", F.when(ok, F.to_json(F.create_map(parts[0], parts[1]))))
+            .select(F.concat(body, extra).alias("value")))
 
 
 def flat_alerts(alerts: DataFrame) -> DataFrame:

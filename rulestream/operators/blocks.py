@@ -91,38 +91,57 @@ def single_event(matched: DataFrame) -> DataFrame:
 # B8/B9 summaries
 # ---------------------------------------------------------------------------
 
-def _summarise(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """B8+B9: rows carrying (agg_key, n, first, latest) per ``keys`` + agg_key
-    -> one row per ``keys`` with the sorted summaries, total count, latest
-    time and the sample metadata (first summary in key order)."""
-    per_key = rows.groupBy(*keys, "agg_key").agg(
-        F.sum("n").alias("n"), F.min_by("first", "first_at").alias("first"),
-        F.min("first_at").alias("first_at"), F.max("latest").alias("latest"))
-    per_win = per_key.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col("agg_key").alias("key"), F.col("first_at"), F.col("first"), F.col("n")))).alias("s"),
-        F.sum("n").alias("total"), F.max("latest").alias("latest"))
-    return per_win.select(
-        *keys, "total", "latest",
-        F.col("s")[0]["first"].alias("meta"),
-        F.transform("s", lambda x: F.struct(x["key"].alias("key"), x["first"]["content"].alias("sample"),
-                                            x["n"].alias("count"))).alias("summaries"))
-
-
-def _event_rows(df: DataFrame) -> DataFrame:
-    """Each event as a one-event partial summary."""
-    return df.select("*", F.lit(1).cast("bigint").alias("n"), _meta().alias("first"),
-                     _arrival().alias("first_at"), F.col("event_ms").alias("latest"))
+def _near(keys: list[str]) -> Column:
+    """A hash of ``keys``, put before them: rows are then sorted by one number instead of by several texts."""
+    return F.xxhash64(*keys).alias("near")
+
+
+def _panes_of_events(d: DataFrame, keys: list[str]) -> DataFrame:
+    """Events folded per ``keys`` + agg_key: their number, the first one (arrival and configuration) and the latest time."""
+    one = F.struct("event_ms", "arrival_seq", _meta().alias("meta"))
+    return d.groupBy(_near([*keys, "agg_key"]), *keys, "agg_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(one).alias("first"), F.max("event_ms").alias("latest")).drop("near")
+
+
+def _firings(final: DataFrame, initial: DataFrame, block_type: str, message: Column) -> DataFrame:
+    """B8+B9: both firings of each window that fired initially.
+
+    ``final``: rows of WKEY + agg_key with the number of events, the first one
+    and the latest time; ``initial``: of those events, the ones up to the
+    firing one (WKEY, agg_key, n0, latest0), none for a window that did not
+    fire, where they are not told by ``n0`` and ``latest0`` of ``final``.  A key that takes part in the initial firing has the same sample in
+    both, since the initial events are the first of their window; so both
+    firings are read from one list of summaries, and all rows of a window meet
+    in one shuffle.  (A window of p panes shares each with p windows, so that
+    its rows are as even over the tasks as the windows are.)
+    """
+    cols = [*WKEY, "agg_key", "n", "first", "latest", "n0", "latest0"]
+    rows = final.select(*[c for c in cols if c in final.columns]).unionByName(initial, allowMissingColumns=True)
+    rows = rows.select(_near(WKEY), *cols).repartition("near")
+    per_key = rows.groupBy("near", *WKEY, "agg_key").agg(
+        F.sum("n").alias("n"), F.sum("n0").alias("n0"), F.min("first").alias("first"), F.max("latest").alias("latest"), F.max("latest0").alias("latest0"))
+    per_win = per_key.groupBy("near", *WKEY).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("agg_key").alias("key"), F.col("first.meta").alias("meta"), "n", "n0"))).alias("s"),
+        F.sum("n").alias("n"), F.sum("n0").alias("n0"), F.max("latest").alias("latest"), F.max("latest0").alias("latest0"))
+    fired = per_win.where(F.col("n0") > 0).withColumn("s0", F.filter("s", lambda x: x["n0"] > 0))
+
+    def firing(phase, s, n, latest):
+        summaries = F.transform(s, lambda x: F.struct(x["key"].alias("key"), x["meta"]["content"].alias("sample"), x[n].alias("count")))
+        return F.struct(F.lit(phase).alias("phase"), F.col(n).alias("total"), F.col(latest).alias("latest"),
+                        F.col(s)[0]["meta"].alias("meta"), summaries.alias("summaries"))
+    both = F.array(firing("initial", "s0", "n0", "latest0"), firing("final", "s", "n", "latest"))
+    out = fired.select(*WKEY, F.explode(both).alias("r")).select(*WKEY, "r.*")
+    return _result(
+        out, F.col("meta"), block_type=F.lit(block_type), match_ms=F.col("latest"),
+        emit_ms=F.col("we") - 1, match_message=message, matching_events=F.col("summaries"),
+        phase=F.col("phase"), window_start_ms=F.col("ws"), window_end_ms=F.col("we"),
+        event_count=F.col("total"), order_tb=F.col("ws"))
 
 
 def _pane_windows(df: DataFrame) -> DataFrame:
     """Fold events into panes per (key, agg_key), then assign panes to the
     sliding windows that contain them (pane-level explosion)."""
-    d = _with_panes(df)
-    panes = d.groupBy(*KEY, "size_ms", "slide_ms", "pane", "agg_key").agg(
-        F.count(F.lit(1)).alias("n"), F.min_by(_meta(), _arrival()).alias("first"),
-        F.min(_arrival()).alias("first_at"), F.max("event_ms").alias("latest"))
-    return _to_windows(panes)
+    return _to_windows(_panes_of_events(_with_panes(df), KEY + ["size_ms", "slide_ms", "pane"]))
 
 
 def _exploded_events(df: DataFrame) -> DataFrame:
@@ -184,14 +203,16 @@ def threshold(matched: DataFrame, max_threshold: int, max_fan: int | None = None
     if k > HEAD_LIMIT:
         few = threshold(t.where(F.col("threshold") <= HEAD_LIMIT), HEAD_LIMIT, max_fan)
         return few.unionByName(_threshold_by_counts(t.where(F.col("threshold") > HEAD_LIMIT)))
-    ev = _exploded_events(t) if max_fan is not None and max_fan <= PANE_LIMIT_FAN else _pane_heads(t, k)
-    rn = F.row_number().over(Window.partitionBy(*WKEY).orderBy("event_ms", "arrival_seq"))
-    top = ev.withColumn("rn", rn).where(F.col("rn") <= F.lit(k))
-    fire_rn = F.min(F.when(F.col("rn") == F.col("threshold"), F.col("rn"))).over(Window.partitionBy(*WKEY))
+    # the first N are found on the columns that decide; the event text goes with the panes alone
+    slim = t.select(*KEY, "agg_key", "window_size", "window_slide", "threshold", "event_ms", "arrival_seq")
+    ev = _exploded_events(slim) if max_fan is not None and max_fan <= PANE_LIMIT_FAN else _pane_heads(slim, k)
+    ev = ev.select(_near(WKEY), *WKEY, "agg_key", "threshold", "event_ms", "arrival_seq")
+    win = Window.partitionBy("near", *WKEY)
+    top = ev.withColumn("rn", F.row_number().over(win.orderBy("event_ms", "arrival_seq"))).where(F.col("rn") <= F.lit(k))
+    fire_rn = F.min(F.when(F.col("rn") == F.col("threshold"), F.col("rn"))).over(win)
     first_n = top.withColumn("fire_rn", fire_rn).where(F.col("rn") <= F.col("fire_rn"))
-    initial = _summarise(_event_rows(first_n), WKEY)
-    final = _summarise(_pane_windows(t), WKEY)
-    return _initial_and_final(initial, final, "THRESHOLD", _threshold_msg())
+    initial = first_n.select(*WKEY, "agg_key", F.lit(1).cast("bigint").alias("n0"), F.col("event_ms").alias("latest0"))
+    return _firings(_pane_windows(t), initial, "THRESHOLD", _threshold_msg())
 
 
 def _with_panes(df: DataFrame) -> DataFrame:
@@ -219,16 +240,13 @@ def _fired(panes_in_windows: DataFrame, fire: DataFrame, events: DataFrame, bloc
     points = fire.select(*KEY, "size_ms", "slide_ms", F.col("fire_pane").alias("pane"), "fire_at").distinct()
     pane_key = KEY + ["size_ms", "slide_ms", "pane"]
     part = join_ns(events, points, pane_key, "inner").where(_arrival() <= F.col("fire_at"))
-    part = part.groupBy(*pane_key, "fire_at", "agg_key").agg(
-        F.count(F.lit(1)).alias("n"), F.min_by(_meta(), _arrival()).alias("first"),
-        F.min(_arrival()).alias("first_at"), F.max("event_ms").alias("latest"))
+    part = part.groupBy(*pane_key, "fire_at", "agg_key").agg(F.count(F.lit(1)).alias("n0"), F.max("event_ms").alias("latest0"))
     at = join_ns(fire.select(*WKEY, "size_ms", "slide_ms", F.col("fire_pane").alias("pane"), "fire_at"), part,
                  pane_key + ["fire_at"], "inner")
-    cols = [*WKEY, "agg_key", "n", "first", "first_at", "latest"]
     inside = join_ns(panes_in_windows, fire.select(*WKEY, "fire_pane"), WKEY, "inner")
-    initial = _summarise(inside.where(F.col("pane") < F.col("fire_pane")).select(*cols).unionByName(at.select(*cols)), WKEY)
-    final = _summarise(inside.select(*cols), WKEY)
-    return _initial_and_final(initial, final, block_type, message)
+    before = F.col("pane") < F.col("fire_pane")
+    inside = inside.withColumn("n0", F.when(before, F.col("n"))).withColumn("latest0", F.when(before, F.col("latest")))
+    return _firings(inside, at.select(*WKEY, "agg_key", "n0", "latest0"), block_type, message)
 
 
 def _threshold_by_counts(t: DataFrame) -> DataFrame:
@@ -262,24 +280,6 @@ def _threshold_by_counts(t: DataFrame) -> DataFrame:
     return _fired(_pane_windows(t), fire, d, "THRESHOLD", _threshold_msg())
 
 
-def _initial_and_final(initial: DataFrame, final: DataFrame, block_type: str, message: Column) -> DataFrame:
-    """Both firings of the windows that fired initially: the final summary
-    of a window is kept only where an initial firing exists (B3 / B7), and
-    each joined window row yields its initial and its final result."""
-    cols = ["total", "latest", "meta", "summaries"]
-    fin = final.select(*WKEY, *[F.col(c).alias(f"f_{c}") for c in cols])
-    both = join_ns(initial, fin, WKEY, "inner")
-    rows = F.array(
-        F.struct(F.lit("initial").alias("phase"), *[F.col(c).alias(c) for c in cols]),
-        F.struct(F.lit("final").alias("phase"), *[F.col(f"f_{c}").alias(c) for c in cols]))
-    out = both.select(*WKEY, F.explode(rows).alias("r")).select(*WKEY, "r.*")
-    return _result(
-        out, F.col("meta"), block_type=F.lit(block_type), match_ms=F.col("latest"),
-        emit_ms=F.col("we") - 1, match_message=message, matching_events=F.col("summaries"),
-        phase=F.col("phase"), window_start_ms=F.col("ws"), window_end_ms=F.col("we"),
-        event_count=F.col("total"), order_tb=F.col("ws"))
-
-
 # ---------------------------------------------------------------------------
 # B5-B7 UNIQUE_THRESHOLD
 # ---------------------------------------------------------------------------

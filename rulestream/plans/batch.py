@@ -113,14 +113,17 @@ def run_blocks(events: DataFrame, rules, mode: str = "auto", cache_matched: bool
     """Events + rules (frame or RuleSet) -> block results."""
     rs = rules if isinstance(rules, RuleSet) else RuleSet(rules)
     facts = rs.facts
+    inline = False
     if rs.compiled and mode == "auto" and len(rs.blocks) > MAX_INLINE_BLOCKS and not events.isStreaming:
         matched = match_indexed(events, rs.frame, rs.blocks)
     elif rs.compiled and mode in ("auto", "compiled"):
-        matched = match_compiled(events, rs.blocks)
+        matched, inline = match_compiled(events, rs.blocks), True
     else:
         matched = match_dynamic(events, rs.index).drop("program")
     types = facts["types"]
-    consumers = sum({"THRESHOLD": 2, "UNIQUE_THRESHOLD": 3}.get(t, 1) for t in types)
+    # THRESHOLD reads the matches a second time on few columns, without the event text: where conditions
+    # are part of the projection, evaluating them again costs less than keeping every match
+    consumers = sum({"THRESHOLD": 1 if inline else 2, "UNIQUE_THRESHOLD": 3}.get(t, 1) for t in types)
     if cache_matched and consumers > 1:
         # several block processors read the matches: scan and match once
         matched = matched.persist(StorageLevel.MEMORY_AND_DISK)

@@ -351,7 +351,8 @@ def q_alert_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     alert = F.from_json("value", "matchTime string, matchedRuleId string, customer string, groupBy string, user string, blockOutput map<string,struct<"
                         "matchMessage:string,matchingEvents:array<struct<key:string,sampleEventContent:struct<event_id:bigint,type:string,value:double>,count:bigint>>>>")
     js = alerts_to_json(run_rules(read_events_table(spark, sf_dir), rule_set(spark, "samples")))
-    a = js.select(alert.alias("a")).select("a.*", F.explode(F.col("a.blockOutput")["0"]["matchingEvents"]).alias("e"))
+    # explode alone has a filter inferred on its input, for which all JSON would be written and read once more
+    a = js.select(alert.alias("a")).select("a.*", F.explode_outer(F.col("a.blockOutput")["0"]["matchingEvents"]).alias("e")).where(F.col("e").isNotNull())
     return a.select(F.col("matchedRuleId").alias("rule_id"), "customer", F.col("groupBy").alias("group_by"), F.col("user").alias("user_field"),
                     F.col("matchTime").alias("match_time"), F.col("blockOutput")["0"]["matchMessage"].alias("match_message"), F.col("e.key").alias("agg_key"),
                     F.col("e.sampleEventContent.event_id").alias("sample_event_id"), F.col("e.sampleEventContent.value").alias("sample_value"), F.col("e.count").alias("n"))

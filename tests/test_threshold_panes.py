@@ -1,5 +1,6 @@
 """THRESHOLD first-N selection: per-pane pre-limit equals direct explosion."""
 
+import datetime as dt
 import random
 
 from helpers import make_events
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from rulestream.operators import blocks as B
 from rulestream.operators.match import match_compiled
 from rulestream.operators.rules import rules_from_json
+from rulestream.plans import catalog
 from rulestream.plans.batch import RuleSet, run_blocks
 from rulestream.plans.catalog import block, eq, rule
 
@@ -80,3 +82,34 @@ def test_unique_threshold_panes_equal_full_windows(spark):
                     break
     got = {(r[3], r[2], r[4], r[5], r[6]) for r in _blocks_of(ev, rules)}
     assert got == want and len(want) > 10
+
+
+def _alert_samples(spark, path):
+    """The query over 200 events of 3 users (one null) in 4 days, with ties in time; the events as tuples."""
+    rnd = random.Random(8)
+    t0 = dt.datetime(2024, 1, 3)
+    rows = [(i, t0 + dt.timedelta(hours=rnd.randrange(96)), rnd.choice([None, 1, 2, 2]), rnd.choice(["error", "view", 'a"]}']), i / 4, f'{{"k": {i % 10}}}') for i in range(200)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").write.parquet(f"{path}/events.parquet")
+    return catalog.q_alert_samples(spark, str(path)), rows
+
+
+def test_alert_samples_equal_windows_read_event_by_event(spark, tmp_path):
+    found, rows = _alert_samples(spark, tmp_path)
+    day, want = dt.timedelta(days=1), []
+    starts = [dt.datetime(2024, 1, 2) + i * day / 2 for i in range(12)]
+    for user in (1, 2):
+        for ws in starts:
+            inside = sorted((r for r in rows if r[2] == user and ws <= r[1] < ws + day), key=lambda r: (r[1], r[0]))
+            for firing in (inside[:3], inside) if len(inside) >= 3 else ():
+                for t in {r[3] for r in firing}:
+                    mine = [r for r in firing if r[3] == t]
+                    want.append((f"user={user}", str(user), firing[-1][1].strftime("%Y-%m-%dT%H:%M:%S.000Z"),
+                                 f"Threshold exceeded. {len(firing)} events were observed in the last 0 minutes.", f"type={t}", mine[0][0], mine[0][4], len(mine)))
+    got = found.select("group_by", "user_field", "match_time", "match_message", "agg_key", "sample_event_id", "sample_value", "n").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 50
+
+
+def test_alert_json_is_written_and_read_once_and_firings_are_not_joined(spark, tmp_path):
+    plan = _alert_samples(spark, tmp_path)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("parseJson(") == 1
+    assert "Join" not in plan and "InMemoryRelation" not in plan
