@@ -15,7 +15,6 @@ Columns besides the id and the text are not carried.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 import re
@@ -42,7 +41,7 @@ _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 NEVER = 1 << 30
 NO_MERGE = (NEVER, -1)
 CACHE = 1 << 18
-PAIRS = 1 << 20
+PAIRS_PER_RUN = 4
 SLICE_CHARS = 1 << 23
 
 
@@ -59,9 +58,12 @@ def _byte_chars() -> dict[str, int]:
 
 
 class WordBpe:
-    """Encoder and decoder for one tokenizer file.  Symbols: a byte inside a word is chr(b), a word's last byte chr(256 + b)."""
+    """Encoder and decoder for one tokenizer file.  Symbols: a byte inside a word is chr(b), a word's last byte chr(256 + b).
 
-    def __init__(self, path: str):
+    ``cache`` bounds the entries of the caches; ids do not depend on it.
+    """
+
+    def __init__(self, path: str, cache: int = CACHE):
         import ahocorasick
         import regex
 
@@ -100,6 +102,7 @@ class WordBpe:
         self.offset = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         self.pairs: list[dict[int, bool]] = [{} for _ in range(len(self.symbols) + 1)]  # by left token; the last row (-1) is a word's start
         self.n_pairs = 0
+        self.cache = cache
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -152,7 +155,7 @@ class WordBpe:
         got = row.get(b)
         if got is None:
             self.n_pairs += 1
-            if self.n_pairs > PAIRS:
+            if self.n_pairs > PAIRS_PER_RUN * self.cache:
                 self.n_pairs = 0
                 for r in self.pairs:
                     r.clear()
@@ -197,7 +200,7 @@ class WordBpe:
         ids = [token] if token is not None and self.compatible(-1, token) else self._backtrack(word)
         got = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
-            if len(self.pieces) >= 2 * CACHE:
+            if len(self.pieces) >= 2 * self.cache:
                 self.pieces.clear()
             self.pieces[piece] = got
         return got
@@ -214,7 +217,7 @@ class WordBpe:
         else:
             got = b"".join([pieces.get(p) or self._piece(p) for p in self.find(chunk)])
         if len(chunk) <= 64:
-            if len(self.chunks) >= CACHE:
+            if len(self.chunks) >= self.cache:
                 self.chunks.clear()
             self.chunks[chunk] = got
         return got
@@ -287,12 +290,6 @@ def load(path: str) -> WordBpe:
     return _loaded[path]
 
 
-def release(path: str) -> None:
-    """Drop this worker's encoder of a file with its caches; the next ``load`` builds it anew."""
-    _loaded.pop(path, None)
-    gc.collect()
-
-
 def bpe_encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, n_tokens): every whole text's ids as binary, little-endian unsigned 32-bit.  No shuffle."""
 

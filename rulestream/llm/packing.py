@@ -11,8 +11,8 @@ The last full windows' worth of slack is removed by cutting: of each group of re
 of windows is cut from the group's ends into sequences whose lengths are powers of two, which need no padding.
 
 Distribution: documents are packed in the partitions they are read in, in groups of ``group`` remainders, without any
-shuffle; memory is bounded by one Arrow batch and one group.  A sequence id is the partition's number and a count, so
-a partition computed again after a loss gives the same rows.
+shuffle; memory is bounded by one Arrow batch, one part of its texts, the encoder's caches and one group.  A sequence id
+is the partition's number and a count, so a partition computed again after a loss gives the same rows.
 
 Texts: null counts as empty; an empty document is its end id alone.  Repeated rows are packed as often as they occur.
 A null id is kept.  Columns besides the id and the text are not carried.
@@ -20,22 +20,28 @@ A null id is kept.  Columns besides the id and the text are not carried.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulestream.llm import bpe as _bpe
+from rulestream.llm.common import slices
 
 CAPACITY = 4096
 END_ID = 2
 GROUP = 2048
 SLACK = 0.004
 WASTE = 0.02
+PART_BYTES = 1 << 23  # of text or ids handled at a time
+SMALL_PART_BYTES = 1 << 20
+SMALL_CACHE = 1 << 16  # entries
 _PIECE = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 
 
@@ -126,17 +132,26 @@ def pack_group(sizes: list[int], capacity: int, slack: float = SLACK) -> list[li
     return out
 
 
+def text_parts(it, budget: int):
+    """Every batch (id, text) in runs of rows of at most ``budget`` bytes of text (one row at least): only these become Python strings."""
+    for batch in it:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        for a, b in slices(batch.num_rows, sizes, budget):
+            yield batch.slice(a, b - a)
+
+
 def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP, hold_encoder: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
 
-    ``capacity`` is a power of two.  ``hold_encoder=False`` frees the encoder and its caches at the end of every task, for
-    jobs whose other stages need the workers' memory.
+    ``capacity`` is a power of two.  ``hold_encoder=False`` is for jobs whose other stages need the workers' memory: a task
+    has an encoder of its own with small caches, encodes little text at a time, and frees the encoder at its end.
     """
     end = struct.pack("<I", end_id)
+    part, cache = (PART_BYTES, _bpe.CACHE) if hold_encoder else (SMALL_PART_BYTES, SMALL_CACHE)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
     def run(it):
-        bpe = _bpe.load(tokenizer)
+        bpe = _bpe.load(tokenizer) if hold_encoder else _bpe.WordBpe(tokenizer, cache)
         count = TaskContext.get().partitionId() << 33
         rest: list[tuple[int | None, int, bytes, int]] = []
 
@@ -156,7 +171,7 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         def batch_of(rows):
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-        for batch in it:
+        for batch in text_parts(it, part):
             rows, held = [], 0
             for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode_all(batch.column(1).to_pylist())):
                 ids += end
@@ -170,7 +185,7 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 if len(rest) >= group:
                     rows += flush()
                 held += len(ids)
-                if held > 8 << 20 and rows:
+                if held > part and rows:
                     yield batch_of(rows)
                     rows, held = [], 0
             if rows:
@@ -179,6 +194,7 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             yield batch_of(flush())
         if not hold_encoder:
             del bpe
-            _bpe.release(tokenizer)
+            gc.collect()
+            pa.default_memory_pool().release_unused()
 
     return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, _PIECE)

@@ -143,6 +143,34 @@ def test_packing(spark, ):
     assert packing.pack_documents(table(spark, []), TOKENIZER).count() == 0
 
 
+def test_small_caches_stay_bounded_and_give_the_same_ids():
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abcdeé.") for _ in range(rng.randint(1, 12))) for _ in range(40)) for _ in range(60)]
+    small = bpe.WordBpe(TOKENIZER, cache=16)
+    assert list(small.encode_all(texts)) == list(bpe.load(TOKENIZER).encode_all(texts))
+    assert len(small.chunks) <= 16 and len(small.pieces) <= 32
+    assert sum(map(len, small.pairs)) <= bpe.PAIRS_PER_RUN * 16 + 1
+
+
+def test_packing_takes_a_batch_in_parts():
+    ids, texts = [1, 2, None, 4, 5, 6], ["a" * 40, None, "é" * 30, "", "b" * 300, "c"]
+    batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
+    parts = list(packing.text_parts(iter([batch, batch.slice(3), batch.slice(0, 0)]), 100))
+    assert [p.num_rows for p in parts] == [4, 1, 1, 1, 1, 1]
+    assert [r for p in parts for r in p.column(0).to_pylist()] == ids + ids[3:]
+    assert [r for p in parts for r in p.column(1).to_pylist()] == texts + texts[3:]
+
+
+def test_packing_without_held_encoder(spark, monkeypatch):
+    """Small parts and caches change the memory only: the same rows come out."""
+    monkeypatch.setattr(packing, "SMALL_PART_BYTES", 500)
+    monkeypatch.setattr(packing, "SMALL_CACHE", 8)
+    rng = random.Random(7)
+    rows = table(spark, ODD + [(100 + i, " ".join(rng.choice(["that", "under", "x1", "é"]) for _ in range(rng.randint(0, 300)))) for i in range(200)]).repartition(2).persist()
+    got, want = (packing.pack_documents(rows, TOKENIZER, group=16, hold_encoder=hold).collect() for hold in (False, True))
+    assert got == want and len(got) > 200
+
+
 # ---- line dedup
 
 def test_line_dedup(spark):
