@@ -151,16 +151,19 @@ def status_acks(queries: DataFrame, history: DataFrame) -> DataFrame:
 
     The log between the first and the last query is cut into ``STATUS_SPANS``
     spans.  Each rule version is written as JSON once, and the versions in
-    force at any point of a span are listed once per span, in the order of
-    the answer (whose size the list has, but for the span's own changes).  A
-    query takes from its span's list those in force at its place: no row is
-    made, sent or sorted per query and rule.  The number of queries is not
-    bounded.
+    force at any query of a span are listed once per span, in the order of
+    the answer (whose size the list has, but for the span's own changes).
+    Neighbours in force at all of the span's queries are joined to one piece
+    of text there (``_pieces``), so a query picks among as many pieces as the
+    span has changes, and copies long texts: no row is made, sent or sorted,
+    and no rule is looked at, per query and rule.  The number of queries is
+    not bounded.
     """
     ends = queries.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     span = lambda c: F.floor((c - F.col("lo")) / F.ceil((F.col("hi") - F.col("lo") + 1) / STATUS_SPANS))
     q = queries.groupBy("seq", "timestamp", "type", "errors").agg(F.count(F.lit(1)).cast("int").alias("copies"))
     q = q.join(ends).select("seq", "timestamp", "type", "errors", "copies", span(F.col("seq")).alias("span"))
+    asked = q.groupBy("span").agg(F.min("seq").alias("first"), F.max("seq").alias("last"), F.max("copies").alias("most"))
     listed = F.struct("rule_id", F.to_json(F.struct(
         F.col("rule_id").alias("ruleId"), F.col("rule_version").alias("ruleVersion"),
         stored_rule(F.col("content"), F.col("rule_id"), F.col("rule_version")).alias("content"))).alias("text"), "valid_from_seq", "valid_to_seq")
@@ -169,18 +172,38 @@ def status_acks(queries: DataFrame, history: DataFrame) -> DataFrame:
     h = h.where(F.col("rule_id").isNotNull()).select(listed.alias("r"), F.sequence(span(first), span(last)).alias("spans"))
     h = h.select("r", F.explode("spans").alias("span"))
     # by number, so that AQE joins no spans: a list is many times its shuffled size
-    h = h.repartition(STATUS_SPANS, "span").groupBy("span").agg(F.sort_array(F.collect_list("r")).alias("listed"))
+    h = h.repartition(STATUS_SPANS, "span").groupBy("span").agg(F.sort_array(F.collect_list("r")).alias("listed")).join(F.broadcast(asked), "span")
+    single = F.when(F.col("most") > 1, F.col("listed")).alias("single")  # only equal queries need each text by itself
+    h = h.select("span", single, _pieces(F.col("listed"), F.col("first"), F.col("last")).alias("pieces"))
     lists = q.repartition(STATUS_SPANS, "span").join(h, "span", "left")
-    live = F.filter(F.coalesce("listed", F.array().cast(h.schema["listed"].dataType)), lambda r: (r["valid_from_seq"] < F.col("seq")) & (
+    live = lambda c: F.filter(c, lambda r: (r["valid_from_seq"].isNull() | (r["valid_from_seq"] < F.col("seq"))) & (
         r["valid_to_seq"].isNull() | (r["valid_to_seq"] > F.col("seq"))))
-    texts = F.transform(live, lambda r: F.array_join(F.array_repeat(r["text"], F.col("copies")), ","))
+    repeated = F.transform(live("single"), lambda r: F.array_join(F.array_repeat(r["text"], F.col("copies")), ","))
+    text = F.array_join(F.when(F.col("copies") > 1, repeated).otherwise(live("pieces")["text"]), ",")
     invalid = F.size("errors") > 0
     return lists.select(
         "seq", "timestamp", "type", F.lit(None).cast("string").alias("rule_id"),
         F.lit(0).alias("rule_version"),
         F.when(invalid, F.lit("ERROR")).otherwise(F.lit("STATUS_UPDATE")).alias("status"),
         F.when(invalid, F.concat(F.lit(MSG_VALIDATION_PREFIX), F.array_join("errors", " ")))
-        .otherwise(F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))).alias("content"))
+        .otherwise(F.concat(F.lit("["), F.coalesce(text, F.lit("")), F.lit("]"))).alias("content"))
+
+
+def _pieces(listed: Column, first: Column, last: Column) -> Column:
+    """A span's versions in order -> texts: neighbours in force from ``first`` to ``last`` joined, without bounds; each other one by itself."""
+    steady = lambda r: (r["valid_from_seq"] < first) & (r["valid_to_seq"].isNull() | (r["valid_to_seq"] > last))
+    size, kind = F.size(listed), "array<struct<text:string,valid_from_seq:bigint,valid_to_seq:bigint>>"
+    changing = F.filter(F.sequence(F.lit(1), size), lambda i: ~steady(F.element_at(listed, i)))
+    none, no_bound = F.array().cast(kind), F.lit(None).cast("bigint")
+
+    def between(a: Column, b: Column) -> Column:
+        """The piece of the versions after a and before b, and that of b."""
+        run = F.array(F.struct(F.array_join(F.slice(listed, a + 1, b - a - 1)["text"], ","), no_bound, no_bound)).cast(kind)
+        at = F.element_at(listed, b)
+        alone = F.array(F.struct(at["text"], at["valid_from_seq"], at["valid_to_seq"])).cast(kind)
+        return F.concat(F.when(b - a > 1, run).otherwise(none), F.when(b <= size, alone).otherwise(none))
+
+    return F.flatten(F.zip_with(F.concat(F.array(F.lit(0)), changing), F.concat(changing, F.array(size + 1)), between))
 
 
 def acks_to_json(acks: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ compared value by value with the SQL oracle.
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -399,20 +400,82 @@ def control_log_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("seq"), message.alias("value"))
 
 
+def _written_once(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared checkpoint folder, for what reads it several times, by column."""
+    ensure_checkpoint_dir(df.sparkSession)
+    folder = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def q_control_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1-K5: every event as a control message; the log is folded in two
     batches, the second from the rules active after the first."""
     from rulestream.operators.control import active_at, fold_messages
     from rulestream.sources.control import parse_control
-    ctrl = parse_control(control_log_of_events(spark, sf_dir), seq_col="seq")
+    ctrl = _written_once(parse_control(control_log_of_events(spark, sf_dir), seq_col="seq"))  # as the job keeps its control log
     middle = ctrl.agg(F.floor(F.avg("seq"))).first()[0]
     acks, hist = fold_messages(ctrl.where(F.col("seq") <= middle))
     more, _ = fold_messages(ctrl.where(F.col("seq") > middle), active_at(hist))
-    listed = F.from_json("content", "array<struct<ruleId:string,ruleVersion:int,content:string>>")
-    entry = lambda r: F.concat_ws(":", r["ruleId"], r["ruleVersion"].cast("string"), F.get_json_object(r["content"], "$.version"))
-    return acks.unionByName(more).select(
-        "seq", "action", "status", "ruleId", "ruleVersion",
-        F.when(F.col("status") == "STATUS_UPDATE", F.array_join(F.sort_array(F.transform(listed, entry)), " ")).otherwise(F.col("content")).alias("content"))
+    columns = "seq bigint, action string, status string, ruleId string, ruleVersion int, content string"
+    return acks.unionByName(more).select(*[c.split()[0] for c in columns.split(", ")]).mapInArrow(_read_status, columns)
+
+
+class _Listed(dict):
+    """JSON of a rule in a status answer (without ``{"`` and ``}``) -> id:version:version within; each text is read once."""
+
+    MOST = 32 << 20
+    size = 0
+
+    def __missing__(self, text: str) -> str:
+        self[text] = entry = _listed_rule(json.loads('{"' + text + "}", parse_int=str, parse_float=str))
+        self.size += len(text)
+        return entry
+
+    def of(self, answer: str) -> str | None:
+        """The rules of one answer: cut where one ends and the next begins; if a part is then no object, read as a whole."""
+        if self.size > self.MOST:
+            self.clear()
+            self.size = 0
+        try:
+            if answer.startswith('[{"') and answer.endswith("}]"):
+                texts = answer.split('},{"')
+                texts[0] = texts[0][3:]
+                texts[-1] = texts[-1][:-2]
+                try:
+                    return " ".join(sorted(map(self.__getitem__, texts)))
+                except ValueError:
+                    pass
+            return " ".join(sorted(map(_listed_rule, json.loads(answer, parse_int=str, parse_float=str))))
+        except ValueError:
+            return None
+
+
+def _listed_rule(rule: dict) -> str:
+    try:
+        stored = json.loads(rule.get("content") or "", parse_int=str, parse_float=str)
+    except ValueError:
+        stored = None
+    version = stored.get("version") if isinstance(stored, dict) else None
+    version = version if version is None or isinstance(version, str) else json.dumps(version)
+    return ":".join(x for x in (rule.get("ruleId"), rule.get("ruleVersion"), version) if x is not None)
+
+
+_LISTED = _Listed()
+
+
+def _read_status(it):
+    """Acks, with the JSON of status answers as the ids and versions of the rules that it lists, in order."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def read(batch):
+        status, content = batch.column("status"), batch.column("content")
+        if not pc.any(pc.equal(status, "STATUS_UPDATE")).as_py():
+            return batch
+        texts = (_LISTED.of(c.as_py()) if s == "STATUS_UPDATE" else c.as_py() for s, c in zip(status.to_pylist(), content))
+        return batch.set_column(batch.schema.get_field_index("content"), "content", pa.array(texts, pa.string()))
+    return map(read, it)  # holds no batch while the next one comes
 
 
 def rules_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,12 +20,13 @@ def parse_control(df: DataFrame, value_col: str = "value", seq_col: str | None =
     """Without ``seq_col`` a batch is numbered in reading order; a stream keeps
     its ``src`` (place in the source), and ``number_batch`` numbers each
     micro-batch by it."""
-    c = F.from_json(F.col(value_col), CONTROL_JSON)
+    # exploded, or the filter below would go before this step with its own copies of all that makes and reads a message
+    c = F.explode_outer(F.array(F.from_json(F.col(value_col), CONTROL_JSON)))
     out = df.select(c.alias("c"), *([F.col(seq_col).cast("bigint").alias("seq")] if seq_col else []),
                     *(["src"] if df.isStreaming and not seq_col else []))
     if not seq_col:
         out = out.withColumnRenamed("src", "seq") if df.isStreaming else out.withColumn("seq", F.monotonically_increasing_id())
-    out = out.where(F.col("c").isNotNull() & F.col("c.type").isin(*CONTROL_TYPES))
+    out = out.where(F.col("c.type").isin(*CONTROL_TYPES))
     return out.select(
         "seq", F.col("c.timestamp").alias("timestamp"), F.col("c.type").alias("type"),
         F.col("c.ruleId").alias("rule_id"),

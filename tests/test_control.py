@@ -141,3 +141,43 @@ def test_status_lists_the_rules_in_force(spark):
     plan = acks._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line and "valid_to_seq" in line and "hi#" not in line]
     assert not joins, joins
+
+
+def test_message_is_read_once(spark):
+    """The filter on the type is no second reader of the messages before it."""
+    from rulestream.sources.control import parse_control
+    made = spark.range(3).selectExpr("id AS seq", "CASE id WHEN 0 THEN 'not json' WHEN 1 THEN '{\"type\":\"RESET\"}' ELSE '{\"type\":\"QUERY_STATUS\"}' END AS value")
+    ctrl = parse_control(made, seq_col="seq")
+    assert [r["seq"] for r in ctrl.collect()] == [2]
+    assert ctrl._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_steady_rules_are_one_piece(spark):
+    """Neighbours in force at all queries of a span are joined once, not per query."""
+    from pyspark.sql import functions as F
+    from rulestream.operators.control import _pieces
+    rows = [(f"r{i:02d}", f"t{i}", 60 if i == 7 else 1, 70 if i in (11, 12) else 200 if i == 3 else None) for i in range(20)]
+    listed = spark.createDataFrame([(rows, 50, 100), (rows[:1], 50, 100), (rows[7:8], 50, 100)],
+                                   "listed array<struct<rule_id:string,text:string,valid_from_seq:bigint,valid_to_seq:bigint>>, first bigint, last bigint")
+    got = [[tuple(p) for p in r["pieces"]] for r in listed.select(_pieces(F.col("listed"), F.col("first"), F.col("last")).alias("pieces")).collect()]
+    text = lambda a, b: ",".join(f"t{i}" for i in range(a, b))
+    assert got == [[(text(0, 7), None, None), ("t7", 60, None), (text(8, 11), None, None), ("t11", 1, 70), ("t12", 1, 70), (text(13, 20), None, None)],
+                   [("t0", None, None)], [("t7", 60, None)]]
+
+
+def test_listed_rules_are_read_once_each(monkeypatch):
+    """Status answers against a plain reading of their JSON, also where an entry's text looks like the end of one."""
+    from rulestream.plans import catalog
+    read = []
+    monkeypatch.setattr(catalog, "_listed_rule", lambda r, plain=catalog._listed_rule: read.append(r) or plain(r))
+    two = json.dumps({"id": "b", "version": 2, "blocks": [{"type": "SINGLE_EVENT"}, {"type": "THRESHOLD"}]})
+    rules = [{"ruleId": "b", "ruleVersion": 2, "content": two}, {"ruleId": "ü", "ruleVersion": 1, "content": '{"version":"7"}'},
+             {"ruleId": "a", "ruleVersion": 3, "content": "{broken"}, {"ruleId": "c", "ruleVersion": 4}]
+    answer = lambda r: json.dumps(r, separators=(",", ":"))
+    seen = catalog._Listed()
+    assert [seen.of(answer(rules[:n])) for n in (0, 1, 4, 4)] == ["", "b:2:2", *["a:3 b:2:2 c:4 ü:1:7"] * 2]
+    assert len(read) == 4
+    odd = [{"ruleId": "},{", "ruleVersion": 1, "content": "},{"}, *rules[:1]]
+    assert seen.of(answer(odd)) == "b:2:2 },{:1" and seen.of("[{") is None and seen.of(json.dumps(rules[:1])) == "b:2:2"
+    monkeypatch.setattr(catalog._Listed, "MOST", 0)
+    assert seen.of(answer(rules[3:])) == "c:4" and len(seen) == 1
